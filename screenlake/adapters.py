@@ -129,6 +129,23 @@ ADAPTERS: dict[str, str] = {
                s_suppkey * 10 + 14 + s_nationkey AS range_end
         FROM {supplier}
     """,
+    # Rows of one control file per supplier.
+    "control": " UNION ALL ".join(
+        f"SELECT concat('ctrl-', CAST(s_suppkey AS STRING)) AS file, {n} AS line_no, '{key}' AS key, {value} AS value FROM {{supplier}}"
+        for n, (key, value) in enumerate(
+            (
+                ("docking_scenario_names", "concat('r', CAST(s_nationkey AS STRING), ':rigid:flexible')"),
+                ("docking_scenario_programs", "CASE WHEN s_nationkey < 5 THEN 'vina:adfr' ELSE 'vina:smina_rigid:adfr' END"),
+                ("docking_scenario_replicas", "concat(CAST(s_nationkey % 3 + 1 AS STRING), ':', CAST(s_suppkey % 5 + 1 AS STRING), ':2')"),
+                ("docking_scenario_inputfolders", "'in1:in2:in3'"),
+                ("energy_check", "CASE s_nationkey % 4 WHEN 0 THEN 'false' WHEN 1 THEN 'yes' ELSE 'true' END"),
+                ("energy_max", "CASE WHEN s_nationkey % 7 = 0 THEN 'high' ELSE '10000' END"),
+                ("ligand_library_format", "CASE WHEN s_nationkey % 5 = 0 THEN 'sdf' ELSE 'pdbqt' END"),
+                ("outputfiles_level", "'tranche'"),
+            ),
+            1,
+        )
+    ),
     "jobline": "SELECT o_orderkey AS jobline FROM {orders}",
     # A log per line item, in the format of one of the programs.
     "log": f"""

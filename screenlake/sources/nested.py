@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import posixpath
 import tarfile
@@ -99,6 +100,24 @@ def read_ligands(
     return unpack_collections(archives, keep_extension)
 
 
+def read_archived_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, value): lines of the gzip text files inside `.tar` files below `folder`."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.tar").load(folder).select("path", "content")
+    )
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"]):
+                for name, inner in _members(content):
+                    text = gzip.decompress(inner) if name.endswith(".gz") else inner
+                    lines = text.decode("utf-8", "replace").splitlines()
+                    yield pd.DataFrame({"path": path, "value": lines}, columns=["path", "value"])
+
+    return files.mapInPandas(unpack, "path STRING, value STRING")
+
+
 # -- batch status ----------------------------------------------------------------------
 
 

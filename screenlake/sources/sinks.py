@@ -84,21 +84,23 @@ def summary_lines(summary: DataFrame) -> DataFrame:
     return summary.withColumn("line", line)
 
 
-def write_summary_text(summary: DataFrame, path: str, max_replicas: int) -> None:
-    """gzip text tree `<path>/scenario=.../metatranche=.../tranche=...`.
+def write_summary_text(summary: DataFrame, root: str, max_replicas: int, state: str = "complete") -> None:
+    """gzip text below `<root>/state=.../scenario=.../metatranche=.../tranche=...`.
 
     The header comes before a folder's lines; where a very large folder is split over several
     files, its first file has it.
     """
-    folders = ["scenario", "metatranche", "tranche"]
-    lines = with_collection_parts(summary_lines(summary)).select(*folders, F.lit(1).alias("kind"), "line")
+    folders = ["state", "scenario", "metatranche", "tranche"]
+    keyed = with_collection_parts(summary_lines(summary)).withColumn("state", F.lit(state))
+    lines = keyed.select(*folders, F.lit(1).alias("kind"), "line")
     header = summary_header(max_replicas, "smiles" in summary.columns)
     headers = lines.select(*folders).distinct().select(*folders, F.lit(0).alias("kind"), F.lit(header).alias("line"))
     (
         _rebalanced(lines.unionAll(headers), folders)
         .sortWithinPartitions(*folders, "kind", "line")
         .select(*folders, "line")
-        .write.partitionBy(*folders).option("compression", "gzip").text(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*folders).option("compression", "gzip").text(root)
     )
 
 

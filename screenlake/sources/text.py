@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from screenlake import fixed_values as fv
 from screenlake import schemas
 from screenlake.operators.ordering import number_rows
+from screenlake.sources.nested import read_archived_lines
 
 
 def _file_order() -> list[Column]:
@@ -170,16 +171,33 @@ def summary_rows(lines: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
-def read_summaries(spark: SparkSession, root: str, scenario: str | None = None) -> DataFrame:
-    """Summaries below `<root>/<complete|incomplete>/<scenario>/summaries/`, plain or gzip."""
-    path = F.col("_metadata.file_path")
-    read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt*")
-    lines = read.text(f"{root}/*/{scenario or '*'}/summaries").select(
-        F.regexp_extract(path, r"/([^/]+)/([^/]+)/summaries/", 1).alias("state"),
-        F.regexp_extract(path, r"/([^/]+)/([^/]+)/summaries/", 2).alias("scenario"),
-        "value",
+def read_summaries(
+    spark: SparkSession, root: str, scenario: str | None = None, layout: str = "collection"
+) -> DataFrame:
+    """Summaries of complete and incomplete collections with their state and scenario.
+
+    layout `collection`: `<root>/<state>/<scenario>/summaries/<meta>/<tranche>/<ID>.txt[.gz]`;
+    `tranche`: the complete ones are `.../summaries/<meta>/<tranche>.tar` of such files;
+    `table`: folders written by `write_summary_text`, where a scenario is a partition.
+    """
+    if layout == "table":
+        lines = spark.read.text(root).select("state", "scenario", "value")
+        return summary_rows(lines.where(F.col("scenario") == scenario) if scenario else lines)
+    folder = f"{root}/*/{scenario or '*'}/summaries"
+    plain = (
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt*").text(folder)
+        .select(F.col("_metadata.file_path").alias("path"), "value")
+    )
+    if layout == "tranche":
+        plain = plain.unionAll(read_archived_lines(spark, folder))
+    keys = r"/([^/]+)/([^/]+)/summaries/"
+    return summary_rows(
+        plain.select(
+            F.regexp_extract("path", keys, 1).alias("state"),
+            F.regexp_extract("path", keys, 2).alias("scenario"),
+            "value",
+        )
     )
-    return summary_rows(lines)
 
 
 # -- ligand status lists ---------------------------------------------------------------

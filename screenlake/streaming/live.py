@@ -84,7 +84,7 @@ def stream_state(status: DataFrame, table: str, checkpoint: str) -> StreamingQue
             *schemas.TASK_KEYS,
             F.col("s.status").alias("status"),
             F.col("s.ts").alias("ts"),
-            (F.unix_millis("s.ts") - F.unix_millis("first_ts")).alias("elapsed_ms"),
+            F.floor((F.unix_micros("s.ts") - F.unix_micros("first_ts")) / 1000).alias("elapsed_ms"),
         )
     )
     return _write_changes(live, table, checkpoint)
