@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenlake import fixed_values as fv
 
-# White space other than a line end; a token must be preceded by it on its own line.
-_BLANK = r"[ \t\f\r\x0B]"
+# The element as a word; the white space before it must be on the same line.
+_WORD = rf"[ \t\f\r\x0B]({'|'.join(fv.UNSUPPORTED_ELEMENTS)})\s"
+
+
+# Fields 6-8 of a line, or as many of them as there are.
+_COORDS = r"^\s*+(?:\S++\s++){5}(\S++(?:\s++\S++){0,2}+)"
 
 
 def _line_at(text: Column, position: Column) -> Column:
@@ -17,6 +23,48 @@ def _line_at(text: Column, position: Column) -> Column:
     return F.length(head) - F.length(F.replace(head, F.lit("\n"))) + 1
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with value computed once, also where the optimizer copies the expression."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _element(text: Column, dialect: str) -> Column:
+    if dialect == "shell":
+        first, *others = fv.UNSUPPORTED_ELEMENTS
+        found = F.when(text.contains(f" {first} "), first)
+        for name in others:
+            found = found.when(F.lower(text).contains(f" {name.lower()} "), name)
+        return found
+    return F.nullif(F.regexp_extract(text, _WORD, 1), F.lit(""))
+
+
+def _element_line(text: Column, dialect: str) -> Column:
+    if dialect == "shell":
+        return F.lit(None).cast("int")
+    position = F.regexp_instr(text, F.lit(_WORD))
+    return F.when(position > 0, _line_at(text, position))
+
+
+def _duplicate_line(text: Column, include_hetatm: bool) -> Column:
+    """Sorting a file's (fields, line) pairs puts copies side by side: n log n per ligand."""
+
+    def keyed(line: Column, index: Column) -> Column:
+        fields = F.regexp_replace(F.regexp_extract(line, _COORDS, 1), r"\s+", ":")
+        is_atom = line.contains("ATOM") if include_hetatm else line.startswith("ATOM")
+        return F.struct(
+            F.when(is_atom, fields).alias("key"), (index + 1).alias("line")
+        )
+
+    def second_of_pair(atoms: Column) -> Column:
+        n = F.greatest(F.size(atoms) - 1, F.lit(0))
+        pairs = F.arrays_zip(F.slice(atoms, F.lit(1), n).alias("a"), F.slice(atoms, F.lit(2), n).alias("b"))
+        return F.filter(pairs, lambda p: p["a"]["key"] == p["b"]["key"])
+
+    atoms = F.filter(F.transform(F.split(text, "\n"), keyed), lambda a: a["key"].isNotNull())
+    repeats = _let(F.sort_array(atoms), second_of_pair)
+    return F.array_min(F.transform(repeats, lambda p: p["b"]["line"]))
+
+
 def flag_elements(ligands: DataFrame, dialect: str = "aws", col: str = "content") -> DataFrame:
     """Add `element`: the unsupported element found, else null, and `element_line`.
 
@@ -24,18 +72,7 @@ def flag_elements(ligands: DataFrame, dialect: str = "aws", col: str = "content"
     Sn between blanks anywhere, Si and Sn in any case; `element_line` is null there.
     """
     text = F.col(col)
-    if dialect == "shell":
-        first, *others = fv.UNSUPPORTED_ELEMENTS
-        found = F.when(text.contains(f" {first} "), first)
-        for name in others:
-            found = found.when(F.lower(text).contains(f" {name.lower()} "), name)
-        return ligands.withColumns({"element": found, "element_line": F.lit(None).cast("int")})
-    pattern = rf"{_BLANK}({'|'.join(fv.UNSUPPORTED_ELEMENTS)})\s"
-    element = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-    line = _line_at(text, F.regexp_instr(text, F.lit(pattern)))
-    return ligands.withColumn("element", element).withColumn(
-        "element_line", F.when(F.col("element").isNotNull(), line)
-    )
+    return ligands.withColumns({"element": _element(text, dialect), "element_line": _element_line(text, dialect)})
 
 
 def flag_duplicate_coords(
@@ -43,29 +80,9 @@ def flag_duplicate_coords(
 ) -> DataFrame:
     """Add `duplicate_line`: first line repeating fields 6-8 of an earlier ATOM line, else null.
 
-    Fields are compared as text. Sorting a ligand's (fields, line) pairs puts copies side by
-    side, so the cost per ligand is n log n.
+    Fields are compared as text.
     """
-
-    def keyed(line: Column, index: Column) -> Column:
-        fields = F.filter(F.split(line, r"\s+"), lambda f: f != "")
-        return F.struct(
-            F.when(line.contains("ATOM") if include_hetatm else line.startswith("ATOM"),
-                   F.array_join(F.slice(fields, 6, 3), ":")).alias("key"),
-            (index + 1).alias("line"),
-        )
-
-    atoms = F.filter(F.transform(F.split(F.col(col), "\n"), keyed), lambda a: a["key"].isNotNull())
-    pairs = F.arrays_zip(
-        F.slice(F.col("_atoms"), F.lit(1), F.greatest(F.size("_atoms") - 1, F.lit(0))).alias("a"),
-        F.slice(F.col("_atoms"), F.lit(2), F.greatest(F.size("_atoms") - 1, F.lit(0))).alias("b"),
-    )
-    repeats = F.filter(pairs, lambda p: p["a"]["key"] == p["b"]["key"])
-    return (
-        ligands.withColumn("_atoms", F.sort_array(atoms))
-        .withColumn("duplicate_line", F.array_min(F.transform(repeats, lambda p: p["b"]["line"])))
-        .drop("_atoms")
-    )
+    return ligands.withColumn("duplicate_line", _duplicate_line(F.col(col), include_hetatm))
 
 
 def ligand_verdict(
@@ -81,22 +98,33 @@ def ligand_verdict(
     """
     if include_hetatm is None:
         include_hetatm = precedence == "shell"
-    flagged = flag_duplicate_coords(flag_elements(ligands, precedence, col), include_hetatm, col)
-    by_element = F.col("element").isNotNull()
-    if precedence == "aws":
-        by_element = by_element & (
-            F.col("duplicate_line").isNull() | (F.col("element_line") <= F.col("duplicate_line"))
+
+    def judge(found: Column) -> Column:
+        element, line, duplicate = found["element"], found["element_line"], found["duplicate_line"]
+        by_element = element.isNotNull()
+        if precedence == "aws":
+            by_element = by_element & (duplicate.isNull() | (line <= duplicate))
+        verdict = (
+            F.when(by_element, F.concat(F.lit("failed(ligand_elements:"), element, F.lit(")")))
+            .when(duplicate.isNotNull(), fv.FAILED_COORDINATES)
+            .otherwise("ok")
+        )
+        info = F.when(by_element, F.concat(F.lit("ligand includes elements: "), element)).when(
+            duplicate.isNotNull(), "duplicate coordinates"
         )
-    by_coords = F.col("duplicate_line").isNotNull()
-    verdict = (
-        F.when(by_element, F.format_string("failed(ligand_elements:%s)", "element"))
-        .when(by_coords, fv.FAILED_COORDINATES)
-        .otherwise("ok")
+        return F.struct(verdict.alias("verdict"), info.alias("info"))
+
+    text = F.col(col)
+    found = F.struct(
+        _element(text, precedence).alias("element"),
+        _element_line(text, precedence).alias("element_line"),
+        _duplicate_line(text, include_hetatm).alias("duplicate_line"),
     )
-    info = F.when(by_element, F.concat(F.lit("ligand includes elements: "), F.col("element"))).when(
-        by_coords, "duplicate coordinates"
+    return (
+        ligands.withColumn("_judged", _let(found, judge))
+        .withColumns({"verdict": F.col("_judged.verdict"), "info": F.col("_judged.info")})
+        .drop("_judged")
     )
-    return flagged.withColumns({"verdict": verdict, "info": info})
 
 
 def with_smiles(ligands: DataFrame, col: str = "content") -> DataFrame:

@@ -39,34 +39,44 @@ def ordered_parts(df: DataFrame, order_by: Sequence[str | Column] | str) -> Data
     )
 
 
-def part_offsets(parts: DataFrame, total: Column) -> DataFrame:
-    """(`_part`, `_before`): sum of `total` over all earlier partitions; one row per partition."""
-    spark = parts.sparkSession
-    rows = sorted(parts.groupBy(PART).agg(total.cast("long").alias("t")).collect())
-    before = [0, *accumulate(r["t"] or 0 for r in rows)]
-    shifted = [(r[PART], b) for r, b in zip(rows, before)]
-    return F.broadcast(spark.createDataFrame(shifted, f"{PART} INT, _before LONG"))
-
+def part_offsets(parts: DataFrame, totals: dict[str, Column]) -> DataFrame:
+    """`_part` and, per name, the sum of that total over all earlier partitions.
 
-def number_parts(parts: DataFrame, col: str = "rn", start: int = 1) -> DataFrame:
-    offsets = part_offsets(parts, F.count(F.lit(1)))
-    number = F.col("_before") + F.col(ROW) + F.lit(start)
-    return parts.join(offsets, PART).withColumn(col, number).drop("_before")
+    One row per partition, so the table is as small as the list of partitions.
+    """
+    spark = parts.sparkSession
+    sums = parts.groupBy(PART).agg(*(F.coalesce(t.cast("long"), F.lit(0)).alias(n) for n, t in totals.items()))
+    rows = sorted(sums.collect(), key=lambda r: r[PART])
+    before = [[0, *accumulate(r[n] for r in rows)][: len(rows)] for n in totals]
+    shifted = list(zip((r[PART] for r in rows), *before))
+    schema = ", ".join([f"{PART} INT", *(f"{n} LONG" for n in totals)])
+    return F.broadcast(spark.createDataFrame(shifted, schema))
 
 
 def number_rows(
     df: DataFrame, order_by: Sequence[str | Column] | str, col: str = "rn", start: int = 1
 ) -> DataFrame:
     """Dense position of every row in the order, from `start`."""
-    return number_parts(ordered_parts(df, order_by), col, start).drop(PART, ROW)
+    parts = ordered_parts(df, order_by)
+    offsets = part_offsets(parts, {"_before": F.count(F.lit(1))})
+    number = F.col("_before") + F.col(ROW) + F.lit(start)
+    return parts.join(offsets, PART).withColumn(col, number).drop("_before", PART, ROW)
 
 
-def total_parts(parts: DataFrame, value: Column, col: str, exclusive: bool = False) -> DataFrame:
-    """Running total over rows from `ordered_parts`."""
-    valued = parts.withColumn("_value", value.cast("long"))
+def running_totals(
+    df: DataFrame, order_by: Sequence[str | Column] | str, value: str, col: str = "p", number: str = "rn"
+) -> DataFrame:
+    """Position from 1 and running total of `value`, this row included."""
+    parts = ordered_parts(df, order_by)
+    offsets = part_offsets(parts, {"_rows": F.count(F.lit(1)), "_sum": F.sum(value)})
     window = Window.partitionBy(PART).orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = part_offsets(valued, F.sum("_value"))
-    total = F.sum("_value").over(window) + F.col("_before")
-    if exclusive:
-        total = total - F.col("_value")
-    return valued.join(offsets, PART).withColumn(col, total).drop("_value", "_before")
+    return (
+        parts.join(offsets, PART)
+        .withColumns(
+            {
+                number: F.col("_rows") + F.col(ROW) + 1,
+                col: F.sum(F.col(value).cast("long")).over(window) + F.col("_sum"),
+            }
+        )
+        .drop("_rows", "_sum", PART, ROW)
+    )

@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake.operators.joins import salted_lookup
-from screenlake.operators.ordering import (
-    PART,
-    ROW,
-    number_parts,
-    number_rows,
-    ordered_parts,
-    total_parts,
-)
+from screenlake.operators.ordering import PART, ROW, number_rows, ordered_parts, running_totals
 from screenlake.session import stable
 
 # Rows handled together when bin chains are followed inside one task.
@@ -44,7 +37,8 @@ def _first_reaching(rows: DataFrame, t: int) -> DataFrame:
     wanted = rows.select((F.col("p") - F.col("x") + t).alias("value"), F.lit(0).alias("kind"), "rn")
     parts = ordered_parts(wanted.unionAll(data), ["value", "kind", "rn"])
     data_rn = F.when(F.col("kind") == 1, F.col("rn"))
-    ahead = Window.partitionBy(PART).orderBy(ROW).rowsBetween(0, Window.unboundedFollowing)
+    # Backwards with a growing frame: a frame that shrinks would be recomputed for every row.
+    ahead = Window.partitionBy(PART).orderBy(F.desc(ROW)).rowsBetween(Window.unboundedPreceding, 0)
     # One row per partition: the first data row there, then the first in any later partition.
     firsts = sorted(parts.groupBy(PART).agg(F.min(data_rn).alias("rn")).collect(), reverse=True)
     later, seen = [], None
@@ -72,16 +66,22 @@ def _block_exits(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _mark_starts(links: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-    """Bin starts on the chain from the block's entry (at most one) to the block's end."""
-    starts: list[int] = []
-    if len(links) and len(entries):
-        links = links.sort_values("id")
-        first, nxt = int(links["id"].iloc[0]), links["nxt"].to_numpy()
-        here = int(entries["id"].iloc[0])
-        while 0 <= here - first < len(nxt):
-            starts.append(here)
-            here = int(nxt[here - first])
-    return pd.DataFrame({"start": np.array(starts, "int64")})
+    """Per row the start of its bin where that lies in the block, else -1.
+
+    The chain enters a block at one row at most; `after` is the row after the bin's last
+    one, given on the start row only.
+    """
+    links = links.sort_values("id")
+    ids, nxt = links["id"].to_numpy(), links["nxt"].to_numpy()
+    start, after = np.full(len(ids), -1, "int64"), np.full(len(ids), -1, "int64")
+    if len(ids) and len(entries):
+        first, at = int(ids[0]), int(entries["id"].iloc[0]) - int(ids[0])
+        while 0 <= at < len(ids):
+            to = int(nxt[at]) - first if nxt[at] >= 0 else len(ids)
+            start[at:to] = first + at
+            after[at] = nxt[at]
+            at = to
+    return pd.DataFrame({"block": links["block"], "id": ids, "start": start, "after": after})
 
 
 def _reached_entries(links: DataFrame) -> DataFrame:
@@ -113,43 +113,48 @@ def pack_bins(manifest: DataFrame, t: int, block: int = BLOCK) -> DataFrame:
     only the few block entries are chased across blocks.
     """
     large = manifest.where(F.col("n_ligands") >= t)
-    small = ordered_parts(manifest.where(F.col("n_ligands") < t), ["seq", "collection"])
-    # Row numbers and running totals keep the stable partitions, no further checkpoint.
-    rows = total_parts(number_parts(small), F.col("n_ligands"), "p").withColumn("x", F.col("n_ligands"))
+    small = manifest.where(F.col("n_ligands") < t)
+    rows = running_totals(small, ["seq", "collection"], "n_ligands").withColumn("x", F.col("n_ligands"))
+    block_of = F.floor((F.col("id") - 1) / block).cast("long")
     links = _first_reaching(rows.select("rn", "x", "p"), t).select(
-        F.floor((F.col("id") - 1) / block).cast("long").alias("block"),
-        "id",
-        F.coalesce("nxt", F.lit(-1)).cast("long").alias("nxt"),
+        block_of.alias("block"), "id", F.coalesce("nxt", F.lit(-1)).cast("long").alias("nxt")
     )
     exits = stable(
         links.groupBy("block").applyInPandas(_block_exits, "block LONG, id LONG, nxt LONG, exit LONG")
     )
-    entries = _reached_entries(exits).withColumn(
-        "block", F.floor((F.col("id") - 1) / block).cast("long")
-    )
-    starts = (
+    entries = _reached_entries(exits).withColumn("block", block_of)
+    marked = stable(
         exits.select("block", "id", "nxt").groupBy("block")
         .cogroup(entries.groupBy("block"))
-        .applyInPandas(_mark_starts, "start LONG")
+        .applyInPandas(_mark_starts, "block LONG, id LONG, start LONG, after LONG")
     )
-    opens = starts.select(F.col("start").alias("rn"), F.lit(1).alias("_opens"))
-    # k-th bin of the small rows, and the place of its last row in the manifest.
-    parted = total_parts(
-        rows.join(opens, "rn", "left"), F.coalesce("_opens", F.lit(0)), "k"
-    ).select("k", *manifest.columns)
-    last_rows = parted.groupBy("k").agg(F.max(F.struct("seq", "collection")).alias("_at"), F.sum("n_ligands").alias("_sum"))
-    closed = last_rows.select(
-        "k", (F.col("_sum") < t).alias("_open"), F.col("_at.seq").alias("seq"), F.col("_at.collection").alias("collection")
+    opened = marked.where("start = id").select("start", "after")
+    # A bin that goes on into later blocks: at most one such bin per block.
+    end = F.when(F.col("after") > 0, F.col("after") - 1).otherwise(exits.agg(F.max("id")).scalar())
+    carried = (
+        opened.select("start", F.floor((F.col("start") - 1) / block).cast("long").alias("from"),
+                      F.floor((end - 1) / block).cast("long").alias("to"))
+        .where("`to` > `from`")
+        .select(F.col("start").alias("_carried"), F.explode(F.sequence(F.col("from") + 1, F.col("to"))).alias("block"))
     )
-    ends = closed.unionByName(
-        large.select(F.lit(None).cast("long").alias("k"), F.lit(False).alias("_open"), "seq", "collection")
+    placed = marked.join(carried, "block", "left").select(
+        F.col("id").alias("rn"), F.when(F.col("start") > 0, F.col("start")).otherwise(F.col("_carried")).alias("start")
+    )
+    # Bins close where their last row stands in the manifest; the open remainder comes last.
+    closing = rows.select((F.col("rn") + 1).alias("after"), "seq", "collection")
+    ends = (
+        opened.join(closing, "after", "left")
+        .select("start", F.col("seq").isNull().alias("_open"), "seq", "collection")
+        .unionAll(large.select(F.lit(None).cast("long"), F.lit(False), "seq", "collection"))
     )
     bins = number_rows(ends, ["_open", "seq", "collection"], "bin", start=0)
-    of_small = salted_lookup(parted, bins.where("k IS NOT NULL").select("k", "bin"), ["k"]).drop("k")
-    of_large = large.join(
-        bins.where("k IS NULL").select("seq", "collection", "bin"), ["seq", "collection"]
-    ).select(*manifest.columns, "bin")
-    return of_small.select(*manifest.columns, "bin").unionAll(of_large)
+    of_small = salted_lookup(
+        rows.join(placed, "rn").select(*manifest.columns, "start"),
+        bins.where("start IS NOT NULL").select("start", "bin"),
+        ["start"],
+    )
+    of_large = large.join(bins.where("start IS NULL").select("seq", "collection", "bin"), ["seq", "collection"])
+    return of_small.select(*manifest.columns, "bin").unionAll(of_large.select(*manifest.columns, "bin"))
 
 
 def group_workunits(bins: DataFrame, size: int, queues: int) -> DataFrame:

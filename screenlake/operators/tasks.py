@@ -97,28 +97,46 @@ def runs_per_ligand(scenario_rows: DataFrame) -> DataFrame:
     return scenario_rows.agg(F.coalesce(F.sum("replicas"), F.lit(0)).cast("long").alias("runs_per_ligand"))
 
 
+TASK_FIELDS = ["scenario_idx", "scenario", "program", "replica"]
+
+
+def is_short_list(scenario_rows: DataFrame) -> bool:
+    return scenario_rows.limit(INLINE_SCENARIOS + 1).count() <= INLINE_SCENARIOS
+
+
+def listed_tasks(scenario_rows: DataFrame, replica_base: int = 1) -> Column:
+    """Tasks of one ligand as an array: a scalar subquery over a short scenario list."""
+    fields = [
+        F.col("idx").alias("scenario_idx"),
+        F.col("name").alias("scenario"),
+        "program",
+        F.explode(F.sequence(F.lit(replica_base), F.col("replicas") + (replica_base - 1))).alias("replica"),
+    ]
+    rows = scenario_rows.where("replicas > 0").select(*fields)
+    return rows.agg(F.sort_array(F.collect_list(F.struct(*TASK_FIELDS)))).scalar()
+
+
 def task_grid(ligands: DataFrame, scenario_rows: DataFrame, replica_base: int = 1) -> DataFrame:
     """Every ligand with every scenario and replica; other ligand columns ride along.
 
-    The scenario list comes from one control file and is short, so it is attached to each
-    ligand as an array and exploded in place: no join and no shuffle. A list longer than
+    The scenario list comes from one control file and is short, so its tasks are attached to
+    each ligand as an array and exploded in place: no join and no shuffle. A list longer than
     `INLINE_SCENARIOS` is numbered and joined on that number instead.
     """
-    fields = ["idx", "name", "program", "replicas"]
-    rows = scenario_rows.select(*fields)
-    if rows.limit(INLINE_SCENARIOS + 1).count() <= INLINE_SCENARIOS:
-        listed = rows.agg(F.sort_array(F.collect_list(F.struct(*fields)))).scalar()
-        grid = ligands.withColumn("_s", F.explode(listed)).select("*", *(f"_s.{f}" for f in fields)).drop("_s")
-    else:
-        numbered = number_rows(rows, fields, "_n")
-        count = numbered.agg(F.max("_n")).scalar()
-        grid = ligands.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), count))).join(numbered, "_n").drop("_n")
+    if is_short_list(scenario_rows):
+        tasks = listed_tasks(scenario_rows, replica_base)
+        grid = ligands.withColumn("_t", F.explode(tasks))
+        return grid.select(*ligands.columns, *(f"_t.{f}" for f in TASK_FIELDS))
+    numbered = number_rows(scenario_rows.where("replicas > 0"), ["idx", "name"], "_n")
+    count = numbered.agg(F.max("_n")).scalar()
+    every = ligands.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), count)))
     replicas = F.sequence(F.lit(replica_base), F.col("replicas") + (replica_base - 1))
-    return (
-        grid.where("replicas > 0")
-        .withColumn("replica", F.explode(replicas))
-        .drop("replicas")
-        .withColumnsRenamed({"idx": "scenario_idx", "name": "scenario"})
+    return every.join(numbered, "_n").select(
+        *ligands.columns,
+        F.col("idx").alias("scenario_idx"),
+        F.col("name").alias("scenario"),
+        "program",
+        F.explode(replicas).alias("replica"),
     )
 
 
@@ -144,7 +162,8 @@ def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None)
     """Run `scorer(task)` for each task; it returns the program's log text or the score itself.
 
     Adds log, score_given, error and seconds. A scorer that raises fails its own task only.
-    `partitions` spreads the tasks evenly first; by default they run where they are.
+    Rows without a scenario (ligands left out) pass through. `partitions` spreads the tasks
+    evenly first; by default they run where they are.
     """
     if partitions:
         keys = [c for c in ["collection", "ligand", "scenario", "replica"] if c in tasks.columns]
@@ -162,7 +181,12 @@ def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for task in batch.to_dict("records"):
+            # Rows left out have no replica, which turns the column into floats.
+            whole = batch.astype({"replica": "Int32", "scenario_idx": "Int32"})
+            for task in whole.to_dict("records"):
+                if task["scenario"] is None:
+                    out.append((None, None, None, None))
+                    continue
                 start = time.perf_counter()
                 try:
                     got, error = scorer(task), None
@@ -178,7 +202,7 @@ def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None)
                     )
                 )
             made = pd.DataFrame(out, columns=["log", "score_given", "error", "seconds"], index=batch.index)
-            made["score_given"] = made["score_given"].astype("float64")
+            made = made.astype({"score_given": "float64", "seconds": "float64"})
             yield pd.concat([batch.drop(columns="content", errors="ignore"), made], axis=1)
 
     return tasks.mapInPandas(run, schema)

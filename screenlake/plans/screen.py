@@ -34,39 +34,42 @@ def screen(
     partitions: int | None = None,
     with_scores: bool = True,
 ) -> Screen:
-    """Screen a library.
+    """Screen a library in one pass over its files.
 
-    Checks are columns of the ligand row, so skipping ligands is a filter. Ligands are spread
-    over tasks before they are multiplied by scenario and replica, so file contents are
-    shuffled once per ligand and not once per task. Scored tasks are checkpointed: a lost
-    executor never makes a docking run twice for the tables derived from it. `finished`
-    (latest states) leaves out tasks that already have a final state.
+    Ligands are spread over `partitions` tasks (default: the session's shuffle partitions)
+    before they are multiplied by scenario and replica, so file contents are shuffled once
+    per ligand and not once per task. Ligands that fail the checks go through the same pass
+    without tasks. Scored tasks are checkpointed: a lost executor never makes a docking run
+    twice for the tables derived from it. `finished` (latest states) leaves out tasks that
+    already have a final state.
     """
-    checked = ligand_verdict(with_smiles(ligands), precedence).select(
-        "collection", "ligand", "smiles", "content", "verdict", "info"
+    spark = ligands.sparkSession
+    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["collection", "ligand"]
+    files = ligands.select(*keys, "content")
+    if finished is None and tasks.is_short_list(scenario_rows):
+        with_tasks = files.repartition(count, *keys).withColumn("_tasks", tasks.listed_tasks(scenario_rows))
+    else:
+        grid = tasks.task_grid(files.select(*keys), scenario_rows)
+        if finished is not None:
+            grid = tasks.pending_tasks(grid, finished)
+        # At most scenarios times replicas per ligand.
+        wanted = grid.groupBy(*keys).agg(F.collect_list(F.struct(*tasks.TASK_FIELDS)).alias("_tasks"))
+        with_tasks = files.join(wanted, keys).repartition(count, *keys)
+    checked = ligand_verdict(with_smiles(with_tasks), precedence)
+    task = F.explode_outer(F.when(F.col("verdict") == "ok", F.col("_tasks")))
+    spread = checked.withColumn("_t", task).select(
+        *keys, "smiles", "verdict", "info", "content", *(f"_t.{f}" for f in tasks.TASK_FIELDS)
     )
-    valid = checked.where(F.col("verdict") == "ok").select("collection", "ligand", "smiles", "content")
-    if partitions:
-        valid = valid.repartition(partitions, "collection", "ligand")
-    grid = tasks.task_grid(valid, scenario_rows)
-    if finished is not None:
-        grid = tasks.pending_tasks(grid, finished)
-    results = stable(tasks.score_results(tasks.run_scorer(grid, scorer)))
+    passed = stable(tasks.score_results(tasks.run_scorer(spread, scorer)))
+    results = passed.where("scenario IS NOT NULL").drop("verdict", "info")
     if energies is not None:
         results = tasks.energy_check(results, energies, energy_max)
-    removed = checked.where(F.col("verdict") != "ok").select(
-        "collection",
-        "ligand",
-        F.lit(None).cast("string").alias("scenario"),
-        F.lit(None).cast("int").alias("replica"),
-        F.lit(fv.FAILED).alias("status"),
-        "info",
-        F.lit(None).cast("double").alias("seconds"),
-        F.lit(None).cast("double").alias("score"),
+    removed = passed.where("verdict <> 'ok'").select(
+        *keys, "scenario", "replica", F.lit(fv.FAILED).alias("status"), "info", "seconds", "score"
     )
     docked = results.select(
-        "collection", "ligand", "scenario", "replica", "status",
-        F.lit(None).cast("string").alias("info"), "seconds", "score",
+        *keys, "scenario", "replica", "status", F.lit(None).cast("string").alias("info"), "seconds", "score"
     )
     status = docked.unionAll(removed)
     return Screen(
