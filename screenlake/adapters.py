@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 _SCORE = (
-    "CAST((CASE WHEN l_discount = 0 THEN floor(l_quantity) "
-    "ELSE -floor(l_extendedprice / 500) END) / 10.0 AS DECIMAL(8,1))"
+    "CAST(CAST(CASE WHEN l_discount = 0 THEN floor(l_quantity) ELSE -floor(l_extendedprice / 500) END AS INT) "
+    "* CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(8,1))"
 )
 _STATUS = "CASE WHEN l_tax > 0.075 THEN 'failed(docking)' WHEN l_tax > 0.065 THEN 'failed' ELSE 'succeeded' END"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenlake.operators.joins import salted_lookup
+from screenlake.operators.joins import salted_join
 
 # Widest aligned block used to cover a range: 2**16 joblines.
 TOP_LEVEL = 16
@@ -55,7 +55,7 @@ def resolve_control(joblines: DataFrame, ranges: DataFrame, default: str) -> Dat
     found = (
         probes.join(first_file, ["level", "block"]).groupBy("jobline").agg(F.min("file").alias("_file"))
     )
-    return salted_lookup(joblines, found, ["jobline"]).select(
+    return salted_join(joblines, found, ["jobline"]).select(
         *joblines.columns, F.coalesce("_file", F.lit(default)).alias("control_file")
     )
 
@@ -72,4 +72,4 @@ def latest_assignment(assignment: DataFrame, order: str = "seq") -> DataFrame:
 
 def with_assignment(df: DataFrame, assignment: DataFrame, order: str = "seq") -> DataFrame:
     """Add workunit, subjob and count of each row's collection; the last assignment wins."""
-    return salted_lookup(df, latest_assignment(assignment, order), ["collection"])
+    return salted_join(df, latest_assignment(assignment, order), ["collection"])

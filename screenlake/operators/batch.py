@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from screenlake import fixed_values as fv
 from screenlake.functions.status import outcome_of
-from screenlake.operators.joins import salted_lookup
+from screenlake.operators.joins import salted_join
 from screenlake.operators.progress import as_metrics
 
 STATUS_COLUMNS = (*fv.BATCH_STATUS_NAMES, fv.UNKNOWN_STATUS)
@@ -98,7 +98,7 @@ def resolved_subjobs(workunits: DataFrame, subjobs: DataFrame, attempts: DataFra
     state = F.coalesce("status", "_parent", F.lit(fv.UNKNOWN_STATUS))
     known_state = F.when(state.isin(*fv.BATCH_STATUS_NAMES), state).otherwise(fv.UNKNOWN_STATUS)
     out = (
-        salted_lookup(_with_vcpu_ms(subjobs, attempts), parents, ["workunit"])
+        salted_join(_with_vcpu_ms(subjobs, attempts), parents, ["workunit"])
         .where(F.col("_known"))
         .withColumn("status", known_state)
         .drop("_parent", "_known")

@@ -1,4 +1,4 @@
-"""Lookup join that spreads hot keys over several tasks."""
+"""Joins against a table with one row per key that spread hot keys over several tasks."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 SALTS = 8
 
 
-def salted_lookup(df: DataFrame, lookup: DataFrame, on: list[str], salts: int = SALTS) -> DataFrame:
-    """Left join to a table with at most one row per key.
+def salted_join(
+    df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
+) -> DataFrame:
+    """Left, left_semi or left_anti join to a table with at most one row per key.
 
     A key holding a large share of `df` is split over `salts` tasks by the partition its
     rows come from, so exact copies of a row are spread as well; the lookup side, one row
@@ -17,4 +19,4 @@ def salted_lookup(df: DataFrame, lookup: DataFrame, on: list[str], salts: int =
     """
     salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")

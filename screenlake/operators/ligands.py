@@ -45,12 +45,14 @@ def _element_line(text: Column, dialect: str) -> Column:
     return F.when(position > 0, _line_at(text, position))
 
 
-def _duplicate_line(text: Column, include_hetatm: bool) -> Column:
+def _duplicate_line(text: Column, dialect: str, include_hetatm: bool) -> Column:
     """Sorting a file's (fields, line) pairs puts copies side by side: n log n per ligand."""
 
     def keyed(line: Column, index: Column) -> Column:
         fields = F.regexp_replace(F.regexp_extract(line, _COORDS, 1), r"\s+", ":")
-        is_atom = line.contains("ATOM") if include_hetatm else line.startswith("ATOM")
+        is_atom = line.contains("ATOM") if dialect == "shell" else line.startswith("ATOM")
+        if include_hetatm:
+            is_atom = is_atom | line.startswith("HETATM")
         return F.struct(
             F.when(is_atom, fields).alias("key"), (index + 1).alias("line")
         )
@@ -76,19 +78,20 @@ def flag_elements(ligands: DataFrame, dialect: str = "aws", col: str = "content"
 
 
 def flag_duplicate_coords(
-    ligands: DataFrame, include_hetatm: bool = False, col: str = "content"
+    ligands: DataFrame, dialect: str = "aws", include_hetatm: bool = False, col: str = "content"
 ) -> DataFrame:
     """Add `duplicate_line`: first line repeating fields 6-8 of an earlier ATOM line, else null.
 
-    Fields are compared as text.
+    ATOM lines start with the word (aws) or hold it anywhere (shell); HETATM lines count only
+    with `include_hetatm`. Fields are compared as text.
     """
-    return ligands.withColumn("duplicate_line", _duplicate_line(F.col(col), include_hetatm))
+    return ligands.withColumn("duplicate_line", _duplicate_line(F.col(col), dialect, include_hetatm))
 
 
 def ligand_verdict(
     ligands: DataFrame,
     precedence: str = "aws",
-    include_hetatm: bool | None = None,
+    include_hetatm: bool = False,
     col: str = "content",
 ) -> DataFrame:
     """Add `verdict` (`ok` or the failure text) and `info` for the status list.
@@ -96,9 +99,6 @@ def ligand_verdict(
     aws: the earliest offending line decides, the element first on a shared line.
     shell: B, Si, Sn, then coordinates.
     """
-    if include_hetatm is None:
-        include_hetatm = precedence == "shell"
-
     def judge(found: Column) -> Column:
         element, line, duplicate = found["element"], found["element_line"], found["duplicate_line"]
         by_element = element.isNotNull()
@@ -118,7 +118,7 @@ def ligand_verdict(
     found = F.struct(
         _element(text, precedence).alias("element"),
         _element_line(text, precedence).alias("element_line"),
-        _duplicate_line(text, include_hetatm).alias("duplicate_line"),
+        _duplicate_line(text, precedence, include_hetatm).alias("duplicate_line"),
     )
     return (
         ligands.withColumn("_judged", _let(found, judge))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenlake.operators.joins import salted_lookup
+from screenlake.operators.joins import salted_join
 from screenlake.operators.ordering import PART, ROW, number_rows, ordered_parts, running_totals
 from screenlake.session import stable
 
@@ -148,7 +148,7 @@ def pack_bins(manifest: DataFrame, t: int, block: int = BLOCK) -> DataFrame:
         .unionAll(large.select(F.lit(None).cast("long"), F.lit(False), "seq", "collection"))
     )
     bins = number_rows(ends, ["_open", "seq", "collection"], "bin", start=0)
-    of_small = salted_lookup(
+    of_small = salted_join(
         rows.join(placed, "rn").select(*manifest.columns, "start"),
         bins.where("start IS NOT NULL").select("start", "bin"),
         ["start"],

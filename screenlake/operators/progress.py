@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from screenlake.operators.joins import salted_join
+
 COUNTERS = (
     "ligands_started",
     "ligands_succeeded",
@@ -113,4 +115,4 @@ def merge_todo(old: DataFrame, new: DataFrame) -> DataFrame:
 def remaining(manifest: DataFrame, done: DataFrame, current: DataFrame, assigned: DataFrame) -> DataFrame:
     """Manifest rows in none of the other lists."""
     taken = reduce(DataFrame.unionAll, [d.select("collection") for d in (done, current, assigned)])
-    return manifest.join(taken.distinct(), "collection", "left_anti")
+    return salted_join(manifest, taken.distinct(), ["collection"], "left_anti")

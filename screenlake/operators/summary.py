@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from screenlake import fixed_values as fv
 from screenlake.functions.scores import histogram_bin
 from screenlake.functions.status import is_failure, is_success
+from screenlake.operators.joins import salted_join
 from screenlake.operators.ordering import number_rows
 
 LIGAND_KEYS = ["scenario", "collection", "ligand"]
@@ -120,7 +121,7 @@ def all_summaries(complete: DataFrame, incomplete: DataFrame) -> DataFrame:
     """Complete and incomplete summaries; a collection found in both counts as complete."""
     keys = [c for c in ("scenario", "collection") if c in complete.columns and c in incomplete.columns]
     done = complete.select(*keys).distinct()
-    open_rows = incomplete.join(done, keys, "left_anti")
+    open_rows = salted_join(incomplete, done, keys, "left_anti")
     return complete.withColumn("state", F.lit("complete")).unionByName(
         open_rows.withColumn("state", F.lit("incomplete")), allowMissingColumns=True
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from screenlake import fixed_values as fv
 from screenlake.functions.keys import with_collection_parts
+from screenlake.operators.joins import salted_join
 from screenlake.session import stable
 
 TREE = ["state", "scenario", "metatranche", "tranche"]
@@ -36,9 +37,8 @@ def write_results(df: DataFrame, root: str, level: str = "collection") -> None:
         old = df.sparkSession.read.parquet(root).select(*rows.columns)
         touched = rows.select(*TREE).distinct()
         replaced = rows.select("state", "scenario", "collection").distinct()
-        kept = old.join(touched, TREE, "left_semi").join(
-            replaced, ["state", "scenario", "collection"], "left_anti"
-        )
+        kept = salted_join(old, touched, TREE, "left_semi")
+        kept = salted_join(kept, replaced, ["state", "scenario", "collection"], "left_anti")
         rows = rows.unionByName(stable(kept))
     (
         _rebalanced(rows, folders)
@@ -52,8 +52,8 @@ def read_results(spark: SparkSession, root: str) -> DataFrame:
     rows = spark.read.parquet(root)
     keys = ["scenario", "collection"]
     complete = rows.where(F.col("state") == "complete")
-    still_open = rows.where(F.col("state") == "incomplete").join(
-        complete.select(*keys).distinct(), keys, "left_anti"
+    still_open = salted_join(
+        rows.where(F.col("state") == "incomplete"), complete.select(*keys).distinct(), keys, "left_anti"
     )
     return complete.unionByName(still_open)
 
@@ -130,9 +130,12 @@ def status_lines(status: DataFrame) -> DataFrame:
 
 
 def write_status(status: DataFrame, path: str, fmt: str = "json") -> None:
-    """Status lists per collection, gzip: JSON objects line by line, or text lines."""
+    """Status lists per collection, gzip: JSON objects line by line, or text lines.
+
+    New files are added to those already below `path`.
+    """
     rows = status_objects(status) if fmt == "json" else status_lines(status)
-    writer = _rebalanced(rows, ["collection"]).write.partitionBy("collection").option("compression", "gzip")
+    writer = _rebalanced(rows, ["collection"]).write.mode("append").partitionBy("collection").option("compression", "gzip")
     writer.json(path) if fmt == "json" else writer.text(path)
 
 
