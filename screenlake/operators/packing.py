@@ -75,7 +75,8 @@ def _mark_starts(links: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
     ids, nxt = links["id"].to_numpy(), links["nxt"].to_numpy()
     start, after = np.full(len(ids), -1, "int64"), np.full(len(ids), -1, "int64")
     if len(ids) and len(entries):
-        first, at = int(ids[0]), int(entries["id"].iloc[0]) - int(ids[0])
+        # A chain that ends on the very last row also points one row past it.
+        first, at = int(ids[0]), int(entries["id"].min()) - int(ids[0])
         while 0 <= at < len(ids):
             to = int(nxt[at]) - first if nxt[at] >= 0 else len(ids)
             start[at:to] = first + at
