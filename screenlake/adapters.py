@@ -1,17 +1,14 @@
 """Domain tables over the sample tables.
 
 Each adapter is one SQL text that Spark and DuckDB both accept; `{table}` marks a sample
-table. Every row of a sample table is used. Scores are DECIMAL, so sums are exact.
+table. Every row of a sample table is used. Scores are quarters, so sums of doubles are exact.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SCORE = (
-    "CAST(CAST(CASE WHEN l_discount = 0 THEN floor(l_quantity) ELSE -floor(l_extendedprice / 500) END AS INT) "
-    "* CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(8,1))"
-)
+_SCORE = "CAST((CASE WHEN l_discount = 0 THEN floor(l_quantity) ELSE 0 - floor(l_extendedprice / 1000) END) / 4.0 AS DOUBLE)"
 _STATUS = "CASE WHEN l_tax > 0.075 THEN 'failed(docking)' WHEN l_tax > 0.065 THEN 'failed' ELSE 'succeeded' END"
 
 _ATOM = "ATOM 1 C LIG 1 "

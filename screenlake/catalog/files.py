@@ -96,8 +96,8 @@ def s3_ligand_archives(spark, d):
 @query(
     "s4_summaries",
     f"""WITH {TASK_SQL}
-    SELECT 'complete' AS state, scenario, collection, ligand, CAST(min(score) AS DOUBLE) AS best_score,
-           CAST(max(score) AS DOUBLE) AS worst_score, CAST(count(score) AS INT) AS n_dockings
+    SELECT 'complete' AS state, scenario, collection, ligand, CAST(printf('%.1f', min(score)) AS DOUBLE) AS best_score,
+           CAST(printf('%.1f', max(score)) AS DOUBLE) AS worst_score, CAST(count(score) AS INT) AS n_dockings
     FROM t WHERE score IS NOT NULL GROUP BY 2, 3, 4""",
 )
 def s4_summaries(spark, d):
@@ -110,10 +110,10 @@ def s4_summaries(spark, d):
     "s10_summary_text",
     """
     WITH p AS (SELECT scenario, collection, ligand, replica, min(score) AS lo, sum(score) AS s, count(*) AS c FROM @result WHERE score IS NOT NULL GROUP BY 1, 2, 3, 4),
-    g AS (SELECT scenario, collection, ligand, CAST(sum(s) AS DOUBLE) / sum(c) AS avg_score, min(lo) AS best, CAST(sum(c) AS INT) AS n, string_agg(CAST(lo AS STRING), ' ' ORDER BY replica) AS scores
+    g AS (SELECT scenario, collection, ligand, CAST(sum(s) AS DOUBLE) / sum(c) AS avg_score, min(lo) AS best, CAST(sum(c) AS INT) AS n, string_agg(printf('%.1f', lo), ' ' ORDER BY replica) AS scores
           FROM p GROUP BY 1, 2, 3)
     SELECT scenario, substr(collection, 1, 2) AS metatranche, string_split(collection, '_')[1] AS tranche,
-           concat(collection, ' ', ligand, ' ', CAST(CAST(CAST(avg_score AS STRING) AS DECIMAL(9, 1)) AS STRING), ' ', CAST(best AS STRING), ' ', lpad(CAST(n AS STRING), 5, ' '), ' ', scores) AS line
+           concat(collection, ' ', ligand, ' ', printf('%.1f', avg_score), ' ', printf('%.1f', best), ' ', lpad(CAST(n AS STRING), 5, ' '), ' ', scores) AS line
     FROM g
     UNION ALL SELECT DISTINCT scenario, substr(collection, 1, 2), string_split(collection, '_')[1],
            'Tranch   Compound   average-score   maximum-score   number-of-dockings   score-replica-1   score-replica-2   score-replica-3   score-replica-4   score-replica-5   score-replica-6   score-replica-7' FROM g

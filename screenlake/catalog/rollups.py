@@ -31,16 +31,16 @@ BIN_SQL = """
         SELECT scenario, collection, ligand, replica, min(score) AS lo FROM @result
         WHERE score IS NOT NULL GROUP BY 1, 2, 3, 4),
     lists AS (
-        SELECT scenario, collection, ligand, string_agg(CAST(CAST(lo * 10 AS INT) AS STRING), ',' ORDER BY replica) AS scores_tenths
+        SELECT scenario, collection, ligand, string_agg(CAST(CAST(lo * 4 AS INT) AS STRING), ',' ORDER BY replica) AS scores_quarters
         FROM per_replica GROUP BY 1, 2, 3),
     s AS (""" + SUMMARY_SQL + """)
-    SELECT s.*, scores_tenths FROM s JOIN lists USING (scenario, collection, ligand)
+    SELECT s.*, scores_quarters FROM s JOIN lists USING (scenario, collection, ligand)
     """,
 )
 def a1_ligand_summary(spark, d):
     out = summary.ligand_summary(table(spark, d, "result"))
-    tenths = F.transform("scores", lambda s: F.round(s * 10).cast("int").cast("string"))
-    return out.withColumn("scores_tenths", F.array_join(tenths, ",")).drop("scores")
+    quarters = F.transform("scores", lambda s: (s * 4).cast("int").cast("string"))
+    return out.withColumn("scores_quarters", F.array_join(quarters, ",")).drop("scores")
 
 
 def _summary(spark, d):

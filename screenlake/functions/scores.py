@@ -98,6 +98,23 @@ def first_pose_of(text: Column) -> Column:
     return F.when(mark > 0, F.concat(F.substr(text, F.lit(1), mark - 1), F.substring_index(rest, "\n", 1)))
 
 
+def one_place(value: Column) -> Column:
+    """Text with one decimal, rounded as C and Python print it: exact value, ties to even.
+
+    The fraction is scaled by a power of two into a whole number, which is exact, and rounded
+    there; a score below 2**-7 cannot be near a tie, so its lost bits do not matter.
+    """
+    unit = 1 << 59
+    size = F.abs(value)
+    scaled = ((size - F.floor(size)) * float(unit)).cast("long") * 10
+    digit, rest = F.shiftright(scaled, 59), scaled.bitwiseAND(F.lit(unit - 1))
+    up = (rest > unit // 2) | ((rest == unit // 2) & (digit % 2 == 1))
+    tenths = F.floor(size) * 10 + digit + F.when(up, 1).otherwise(0)
+    sign = F.when(value < 0, "-").otherwise("")
+    whole = F.floor(tenths / 10).cast("long").cast("string")
+    return F.when(value.isNotNull(), F.concat(sign, whole, F.lit("."), (tenths % 10).cast("string")))
+
+
 def histogram_bin(score: Column) -> Column:
     """Bin 23: s >= 0; 0: -5 < s < 0; 1-20: half a unit each from -5 down; 21: from -15; 22: from -20."""
     depth = -score.cast("double")

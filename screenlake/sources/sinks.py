@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenlake import fixed_values as fv
 from screenlake.functions.keys import with_collection_parts
+from screenlake.functions.scores import one_place
 from screenlake.operators.joins import salted_join
 from screenlake.session import stable
 
@@ -66,20 +67,16 @@ def summary_header(max_replicas: int, smiles: bool) -> str:
 
 def summary_lines(summary: DataFrame) -> DataFrame:
     """Fixed-format text line per ligand; scores are rounded to one place here only."""
-
-    def short(value: Column) -> Column:
-        return F.format_string("%3.1f", value)
-
     smiles = [F.col("smiles")] if "smiles" in summary.columns else []
     line = F.concat_ws(
         " ",
         "collection",
         "ligand",
         *smiles,
-        short(F.col("avg_score")),
-        short(F.col("best_score")),
+        one_place(F.col("avg_score")),
+        one_place(F.col("best_score")),
         F.format_string("%5d", "n_dockings"),
-        F.array_join(F.transform("scores", short), " "),
+        F.array_join(F.transform("scores", one_place), " "),
     )
     return summary.withColumn("line", line)
 

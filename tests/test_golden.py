@@ -1,5 +1,7 @@
 """Hand-checked cases on small tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +141,15 @@ def test_histogram_edges(spark):
     assert as_dict(df.select("score", scores.histogram_bin(F.col("score")).alias("b")), "score", "b") == edges
 
 
+def test_one_decimal_as_printed(spark):
+    rng = random.Random(7)
+    values = [k / 20 for k in range(-700, 700)] + [rng.uniform(-120, 120) for _ in range(2000)]
+    values += [0.05, -0.04, 0.001, 99.95, -0.25, 1e-9, 12345.25]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    for r in df.select("v", scores.one_place(F.col("v")).alias("t")).collect():
+        assert r["t"] == f"{r['v']:3.1f}"
+
+
 def test_outcomes(results):
     totals = as_dict(batch.outcome_totals(batch.collection_outcomes(results)), "outcome", "n", "percent")
     assert totals["ligands_removed"] == (1, pytest.approx(14.2857, abs=1e-3))
