@@ -13,25 +13,45 @@ from screenlake.operators.ordering import number_rows
 
 LIGAND_KEYS = ["scenario", "collection", "ligand"]
 
+# Most replicas gathered as one column each.
+SLOTS = 32
+
 # Top lists up to this length are ranked in one task; longer ones are numbered in parallel.
 RANK_IN_ONE_TASK = 100_000
 
 
-def ligand_summary(results: DataFrame, with_scores: bool = True) -> DataFrame:
+def ligand_summary(
+    results: DataFrame, with_scores: bool = True, max_replicas: int | None = None
+) -> DataFrame:
     """Per (scenario, collection, ligand): avg, best (lowest), worst, n and scores by replica.
 
     Only ligands with a score appear. `scores` has one entry per replica, in replica order,
     so its length is bounded by the replica count; a replica docked more than once counts
     fully in avg and n and shows its best score. Sums are kept in the type of `score`.
+
+    With the largest replica number known (and at most `SLOTS`) the scores are gathered in
+    one shuffle, one column per replica; a larger number in the data is an error then.
+    Otherwise rows are folded per replica first, so that no list grows with repeats.
     """
     scored = results.where(F.col("score").isNotNull())
+    totals = [
+        F.sum("score").alias("_sum"),
+        F.count("score").alias("_n"),
+        F.min("score").alias("best"),
+        F.max("score").alias("worst"),
+    ]
     if not with_scores:
-        grouped = scored.groupBy(*LIGAND_KEYS).agg(
-            F.sum("score").alias("_sum"),
-            F.count("score").alias("_n"),
-            F.min("score").alias("best"),
-            F.max("score").alias("worst"),
+        grouped = scored.groupBy(*LIGAND_KEYS).agg(*totals)
+    elif max_replicas is not None and max_replicas <= SLOTS:
+        by_replica = [F.min(F.when(F.col("replica") == k, F.col("score"))) for k in range(1, max_replicas + 1)]
+        slots = scored.groupBy(*LIGAND_KEYS).agg(
+            *totals,
+            F.max("replica").alias("_last"),
+            *(s.cast("double").alias(f"_s{k}") for k, s in enumerate(by_replica, 1)),
         )
+        listed = F.array_compact(F.array(*(f"_s{k}" for k in range(1, max_replicas + 1))))
+        beyond = F.raise_error(F.format_string(f"replica %d is beyond max_replicas={max_replicas}", "_last"))
+        grouped = slots.withColumn("_scores", F.when(F.col("_last") > max_replicas, beyond).otherwise(listed))
     else:
         per_replica = scored.groupBy(*LIGAND_KEYS, "replica").agg(
             F.sum("score").alias("s"),
@@ -39,22 +59,22 @@ def ligand_summary(results: DataFrame, with_scores: bool = True) -> DataFrame:
             F.min("score").alias("lo"),
             F.max("score").alias("hi"),
         )
+        pairs = F.sort_array(F.collect_list(F.struct("replica", F.col("lo").cast("double").alias("score"))))
         grouped = per_replica.groupBy(*LIGAND_KEYS).agg(
             F.sum("s").alias("_sum"),
             F.sum("c").alias("_n"),
             F.min("lo").alias("best"),
             F.max("hi").alias("worst"),
-            F.sort_array(F.collect_list(F.struct("replica", F.col("lo").cast("double").alias("score")))).alias("_r"),
+            pairs["score"].alias("_scores"),
         )
-    out = grouped.select(
+    return grouped.select(
         *LIGAND_KEYS,
         (F.col("_sum").cast("double") / F.col("_n")).alias("avg_score"),
         F.col("best").cast("double").alias("best_score"),
         F.col("worst").cast("double").alias("worst_score"),
         F.col("_n").cast("int").alias("n_dockings"),
-        *([F.col("_r.score").alias("scores")] if with_scores else []),
+        *([F.col("_scores").alias("scores")] if with_scores else []),
     )
-    return out
 
 
 def scores_wide(results: DataFrame, max_replicas: int) -> DataFrame:

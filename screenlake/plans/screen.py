@@ -72,9 +72,10 @@ def screen(
         *keys, "scenario", "replica", "status", F.lit(None).cast("string").alias("info"), "seconds", "score"
     )
     status = docked.unionAll(removed)
+    largest = scenario_rows.agg(F.max("replicas")).first()[0]
     return Screen(
         results=results,
         status=status,
-        summary=summary.ligand_summary(results, with_scores),
+        summary=summary.ligand_summary(results, with_scores, largest),
         counters=summary.collection_counters(status),
     )

@@ -95,6 +95,11 @@ def test_summary(results):
     assert got["L1"] == (pytest.approx(-7.4), -7.6, -7.2, 2, [-7.2, -7.6])
     assert got["L2"] == (-5.0, -5.0, -5.0, 1, [-5.0])
     assert got["L4"] == (pytest.approx(-7.35), -15.0, 0.3, 2, [0.3, -15.0])
+    assert as_dict(summary.ligand_summary(results, max_replicas=2), "ligand", "best_score", "scores") == {
+        k: (v[1], v[4]) for k, v in got.items()
+    }
+    with pytest.raises(Exception, match="beyond max_replicas=1"):
+        summary.ligand_summary(results, max_replicas=1).collect()
     slim = summary.ligand_summary(results, with_scores=False)
     assert as_dict(slim, "ligand", "best_score", "n_dockings") == {k: (v[1], v[3]) for k, v in got.items()}
 

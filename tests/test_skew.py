@@ -30,12 +30,13 @@ def results(spark):
     )
 
 
-def test_summary(results):
+@pytest.mark.parametrize("max_replicas", [None, 4])
+def test_summary(results, max_replicas):
     want = defaultdict(list)
     for r in results.collect():
         if r["score"] is not None:
             want[r["collection"], r["ligand"]].append((r["replica"], r["score"]))
-    got = {(r["collection"], r["ligand"]): r for r in summary.ligand_summary(results).collect()}
+    got = {(r["collection"], r["ligand"]): r for r in summary.ligand_summary(results, max_replicas=max_replicas).collect()}
     assert set(got) == set(want)
     for key, pairs in want.items():
         values = [s for _, s in pairs]
