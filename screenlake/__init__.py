@@ -1 +1,8 @@
 """Virtual-screening analytics as Spark jobs: DataFrame in, DataFrame out."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions go to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

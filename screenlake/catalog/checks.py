@@ -273,7 +273,7 @@ SCORER_SQL = f"""
 @query("f1_run_scorer", f"WITH {SCORER_SQL} SELECT * FROM scored")
 def f1_run_scorer(spark, d):
     grid = tasks.task_grid(table(spark, d, "ligand").select(*LIGAND_KEYS), table(spark, d, "scenario"))
-    return tasks.score_results(tasks.run_scorer(grid, sample_scorer)).drop("log", "error", "seconds")
+    return tasks.score_results(tasks.run_scorer(grid, sample_scorer)).drop("log", "pose", "error", "seconds")
 
 
 @query(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import tempfile
 import time
 from collections.abc import Callable, Iterator
 
@@ -155,55 +158,77 @@ def pending_tasks(grid: DataFrame, latest: DataFrame) -> DataFrame:
     return grid.join(finished, schemas.TASK_KEYS, "left_anti")
 
 
-Scorer = Callable[[dict], "str | float"]
+# A scorer gets the task as a dict and returns the program's log, the score itself, or a
+# dict with any of `log`, `score` and `pose`.
+Scorer = Callable[[dict], "str | float | dict"]
+
+
+def command_scorer(command: Callable[[dict, str, str], list[str]], timeout: float | None = None) -> Scorer:
+    """Scorer running an external program: `command(task, ligand_path, pose_path)` is its call.
+
+    The ligand file is put in a folder of its own for the time of the run. A non-zero exit
+    fails the task; otherwise the standard output is the log and the pose file the pose.
+    """
+
+    def run(task: dict) -> dict:
+        with tempfile.TemporaryDirectory() as folder:
+            ligand, pose = os.path.join(folder, "ligand"), os.path.join(folder, "pose")
+            with open(ligand, "w") as file:
+                file.write(task["content"])
+            done = subprocess.run(
+                command(task, ligand, pose), capture_output=True, text=True, timeout=timeout, cwd=folder
+            )
+            if done.returncode != 0:
+                raise RuntimeError(f"exit {done.returncode}: {done.stderr.strip()}")
+            out = {"log": done.stdout}
+            if os.path.exists(pose):
+                with open(pose) as file:
+                    out["pose"] = file.read()
+            return out
+
+    return run
+
+
+def _as_output(got: str | float | dict | None) -> dict:
+    if isinstance(got, dict):
+        return got
+    return {"log": got} if isinstance(got, str) else {"score": got}
 
 
 def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None) -> DataFrame:
-    """Run `scorer(task)` for each task; it returns the program's log text or the score itself.
+    """Run the scorer on each task; adds log, pose, score_given, error and seconds.
 
-    Adds log, score_given, error and seconds. A scorer that raises fails its own task only.
-    Rows without a scenario (ligands left out) pass through. `partitions` spreads the tasks
-    evenly first; by default they run where they are.
+    A scorer that raises fails its own task only. Rows without a scenario (ligands left out)
+    pass through. `partitions` spreads the tasks evenly first; by default they run where
+    they are. The ligand's `content` is given to the scorer and dropped afterwards.
     """
     if partitions:
         keys = [c for c in ["collection", "ligand", "scenario", "replica"] if c in tasks.columns]
         tasks = tasks.repartition(partitions, *keys)
-    schema = T.StructType(
-        [f for f in tasks.schema.fields if f.name != "content"]
-        + [
-            T.StructField("log", T.StringType()),
-            T.StructField("score_given", T.DoubleType()),
-            T.StructField("error", T.StringType()),
-            T.StructField("seconds", T.DoubleType()),
-        ]
-    )
+    made = {"log": "string", "pose": "string", "score_given": "double", "error": "string", "seconds": "double"}
+    schema = T.StructType([f for f in tasks.schema.fields if f.name != "content"])
+    for name, kind in made.items():
+        schema = schema.add(name, kind)
+
+    def score_one(task: dict) -> tuple:
+        if task["scenario"] is None:
+            return (None,) * len(made)
+        start, out, error = time.perf_counter(), {}, None
+        try:
+            out = _as_output(scorer(task))
+            score = None if out.get("score") is None else float(out["score"])
+        except Exception as exc:  # noqa: BLE001 - any scorer failure is a task failure
+            out, score, error = {}, None, f"{type(exc).__name__}: {exc}"
+        return out.get("log"), out.get("pose"), score, error, time.perf_counter() - start
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
             # Rows left out have no replica, which turns the column into floats.
             whole = batch.astype({"replica": "Int32", "scenario_idx": "Int32"})
-            for task in whole.to_dict("records"):
-                if task["scenario"] is None:
-                    out.append((None, None, None, None))
-                    continue
-                start = time.perf_counter()
-                try:
-                    got, error = scorer(task), None
-                except Exception as exc:  # noqa: BLE001 - any scorer failure is a task failure
-                    got, error = None, f"{type(exc).__name__}: {exc}"
-                is_log = isinstance(got, str)
-                out.append(
-                    (
-                        got if is_log else None,
-                        None if is_log or got is None else float(got),
-                        error,
-                        time.perf_counter() - start,
-                    )
-                )
-            made = pd.DataFrame(out, columns=["log", "score_given", "error", "seconds"], index=batch.index)
-            made = made.astype({"score_given": "float64", "seconds": "float64"})
-            yield pd.concat([batch.drop(columns="content", errors="ignore"), made], axis=1)
+            rows = [score_one(task) for task in whole.to_dict("records")]
+            out = pd.DataFrame(rows, columns=list(made), index=batch.index)
+            out = out.astype({"score_given": "float64", "seconds": "float64"})
+            yield pd.concat([batch.drop(columns="content", errors="ignore"), out], axis=1)
 
     return tasks.mapInPandas(run, schema)
 

@@ -11,6 +11,7 @@ from screenlake import fixed_values as fv
 from screenlake.operators import summary, tasks
 from screenlake.operators.ligands import ligand_verdict, with_smiles
 from screenlake.session import stable
+from screenlake.sources import sinks
 
 
 @dataclass
@@ -36,7 +37,7 @@ def screen(
 ) -> Screen:
     """Screen a library in one pass over its files.
 
-    Ligands are spread over `partitions` tasks (default: the session's shuffle partitions)
+    Ligands are spread over `partitions` tasks (default: two per core of the cluster)
     before they are multiplied by scenario and replica, so file contents are shuffled once
     per ligand and not once per task. Ligands that fail the checks go through the same pass
     without tasks. Scored tasks are checkpointed: a lost executor never makes a docking run
@@ -44,7 +45,7 @@ def screen(
     already have a final state.
     """
     spark = ligands.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or 2 * spark.sparkContext.defaultParallelism
     keys = ["collection", "ligand"]
     files = ligands.select(*keys, "content")
     if finished is None and tasks.is_short_list(scenario_rows):
@@ -79,3 +80,11 @@ def screen(
         summary=summary.ligand_summary(results, with_scores, largest),
         counters=summary.collection_counters(status),
     )
+
+
+def publish(out: Screen, root: str, max_replicas: int, level: str = "collection") -> None:
+    """Write the tables of a finished screen: results tree, status lists and summary text."""
+    results = out.results.drop("smiles", "error").withColumn("state", F.lit("complete"))
+    sinks.write_results(results, f"{root}/results", level)
+    sinks.write_status(out.status, f"{root}/ligand-lists", "json")
+    sinks.write_summary_text(out.summary, f"{root}/summaries", max_replicas)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,7 +27,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     elif current is None:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="screenlake-"))
+        made = tempfile.mkdtemp(prefix="screenlake-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        sc.setCheckpointDir(made)
     return sc.getCheckpointDir()
 
 
