@@ -162,7 +162,7 @@ def _batch_files(spark, d):
     """Status rows as JSON lines, each with one attempt of one subjob."""
     attempts = table(spark, d, "attempt").selectExpr(
         """map(CAST(workunit AS STRING), named_struct(
-             'status', named_struct('vf_job_status', 'SUBMITTED', 'job_id', concat('j', CAST(workunit AS STRING)), 'aws_batch_status', 'RUNNING'),
+             'status', named_struct('job_id', concat('j', CAST(workunit AS STRING)), 'aws_batch_status', 'RUNNING'),
              'subjobs', map(CAST(subjob AS STRING), named_struct(
                'status', 'SUCCEEDED',
                'collections', array(array(concat('C_', CAST(subjob AS STRING)), CAST(attempt_no AS STRING)), array('D_1', '7')),

@@ -30,7 +30,7 @@ STATUS_JSON = (
 # Nested status file: work units hold subjobs, subjobs hold attempts.
 BATCH_STATUS_JSON = """
 workunits MAP<STRING, STRUCT<
-  status: STRUCT<vf_job_status: STRING, job_id: STRING, aws_batch_status: STRING>,
+  status: STRUCT<job_id: STRING, aws_batch_status: STRING>,
   subjobs: MAP<STRING, STRUCT<
     status: STRING,
     collections: ARRAY<ARRAY<STRING>>,

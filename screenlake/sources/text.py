@@ -205,7 +205,7 @@ def read_summaries(
 _STATUS_COLUMNS = ("collection", "ligand", "scenario", "replica", "status", "info", "seconds", "score")
 
 
-def _collection_from(path: Column) -> Column:
+def collection_from(path: Column) -> Column:
     """`.../<tranche>/<ID>.status.gz` or `.../collection=<key>/part-...`."""
     tree = F.regexp_extract(path, r"/([^/]+)/([^/.]+)\.(?:status|json)[^/]*$", 1)
     number = F.regexp_extract(path, r"/([^/]+)/([^/.]+)\.(?:status|json)[^/]*$", 2)
@@ -243,7 +243,7 @@ def read_status(
     fmt: `text` lines, `json` (one list per file, as jobs publish it) or `jsonl` (one object
     per line, read in parallel blocks). `replica_base` is the first replica's number there.
     """
-    keys = _collection_from(F.col("_metadata.file_path")).alias("collection")
+    keys = collection_from(F.col("_metadata.file_path")).alias("collection")
     reader = spark.read.option("recursiveFileLookup", "true")
     if fmt == "text":
         rows = status_text_rows(reader.text(path).select(keys, "value"), unit, replica_base)

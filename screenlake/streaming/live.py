@@ -15,15 +15,20 @@ from screenlake import fixed_values as fv
 from screenlake import schemas
 from screenlake.functions.status import outcome_of
 from screenlake.operators.summary import LIGAND_KEYS
+from screenlake.sources.text import collection_from
 
 
-def status_stream(spark: SparkSession, path: str) -> DataFrame:
-    """New status files below `path` (JSON lines in `collection=...` folders), each read once.
+def status_stream(spark: SparkSession, path: str, fmt: str = "jsonl") -> DataFrame:
+    """New status files below `path`, each read once; a missing one is picked up later.
 
-    A file that is not there yet is picked up by a later trigger.
+    fmt: `jsonl` lines in `collection=...` folders, or `json` lists in `<tranche>/<ID>.json.gz`.
     """
-    schema = f"collection STRING, {schemas.STATUS_JSON}"
-    return spark.readStream.schema(schema).json(path)
+    if fmt == "jsonl":
+        return spark.readStream.schema(f"collection STRING, {schemas.STATUS_JSON}").json(path)
+    reader = spark.readStream.schema(schemas.STATUS_JSON).option("recursiveFileLookup", "true")
+    return reader.json(path, multiLine=True).select(
+        collection_from(F.col("_metadata.file_path")).alias("collection"), "*"
+    )
 
 
 def _write_changes(changes: DataFrame, table: str, checkpoint: str) -> StreamingQuery:

@@ -151,7 +151,7 @@ def test_done_and_logs(spark, tmp_path):
 def test_batch_status(spark, tmp_path):
     attempts = [{"statusReason": "host lost"}, {"startedAt": 1, "stoppedAt": 5, "statusReason": "Essential container in task exited"}]
     subjobs = {"0": {"collections": [["A_1", 5], ["A_2", 6]], "status": "SUCCEEDED", "detailed_status": {"container": {"vcpus": 8}, "attempts": attempts}}, "1": {"collections": [["A_3", 7]]}}
-    content = {"overall": {}, "workunits": {"1": {"status": {"vf_job_status": "SUBMITTED", "job_id": "j", "aws_batch_status": "RUNNING"}, "subjobs": subjobs}, "2": {"subjobs": {}}}, "collections": {}}
+    content = {"overall": {}, "workunits": {"1": {"status": {"other": 1, "job_id": "j", "aws_batch_status": "RUNNING"}, "subjobs": subjobs}, "2": {"subjobs": {}}}, "collections": {}}
     put(tmp_path / "status.json", json.dumps(content, indent=1))
     tables = nested.read_batch_status(spark, str(tmp_path / "status.json"))
     assert rows(tables["workunit"], "*") == [(1, "j", "RUNNING")]

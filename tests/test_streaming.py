@@ -1,5 +1,8 @@
 """Streams restarted over growing folders give the batch results."""
 
+import gzip
+import json
+
 from pyspark.sql import functions as F
 
 from screenlake.operators.batch import collection_outcomes
@@ -31,6 +34,25 @@ def test_outcomes_count_each_file_once(spark, tmp_path):
     assert run() == rows(collection_outcomes(first.union(second)))
 
 
+def test_outcomes_of_published_lists(spark, tmp_path):
+    def publish(number, statuses):
+        file = tmp_path / "in" / "AA" / "AAAB" / f"{number}.json.gz"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        content = [{"ligand": f"L{i}", "status": s} for i, s in enumerate(statuses)]
+        file.write_bytes(gzip.compress(json.dumps(content, indent=4).encode()))
+
+    def run():
+        stream = live.status_stream(spark, f"{tmp_path}/in", "json")
+        live.stream_outcomes(stream, f"{tmp_path}/table", f"{tmp_path}/progress").awaitTermination()
+        table = live.read_changes(spark, f"{tmp_path}/table", ["collection"])
+        return rows(table.select("collection", "ligands_removed", "ligands_succeeded_docking"))
+
+    publish("0", ["succeeded", "failed"])
+    assert run() == [("AAAB_0", 1, 1)]
+    publish("1", ["succeeded", "succeeded", "odd"])
+    assert run() == [("AAAB_0", 1, 1), ("AAAB_1", 0, 2)]
+
+
 def test_running_summary(spark, tmp_path):
     schema = "scenario STRING, collection STRING, ligand STRING, replica INT, score DOUBLE"
     parts = [
