@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenlake.llm.common import table
+from screenlake.llm.fingerprints import fingerprint_documents
 from screenlake.llm.licenses import scan_licenses
 from screenlake.llm.line_dedup import dedup_lines
 from screenlake.llm.mixing import mix
@@ -21,6 +22,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -52,6 +57,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_license_scan": op3_license_scan,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op6_line_dedup": op6_line_dedup,
     "op8_source_mixing": op8_source_mixing,
     "op9_personal_data": op9_personal_data,
