@@ -13,6 +13,7 @@ from screenlake.llm.licenses import scan_licenses
 from screenlake.llm.line_dedup import dedup_lines
 from screenlake.llm.mixing import mix
 from screenlake.llm.pii import BASE_KINDS, find_personal_data, spans_text
+from screenlake.llm.secrets import find_secrets
 from screenlake.llm.topk import integer_vectors, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,23 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        one = F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")))
+        return F.array_join(one, ",")
+
+    base = F.filter("spans", lambda x: x["kind"] != "named")
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"), number("named"),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -57,6 +75,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_license_scan": op3_license_scan,
+    "op4_secret_scan": op4_secret_scan,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_line_dedup": op6_line_dedup,
     "op8_source_mixing": op8_source_mixing,
