@@ -12,6 +12,7 @@ from screenlake.llm.fingerprints import fingerprint_documents
 from screenlake.llm.licenses import scan_licenses
 from screenlake.llm.line_dedup import dedup_lines
 from screenlake.llm.mixing import mix
+from screenlake.llm.packing import pack
 from screenlake.llm.pii import BASE_KINDS, find_personal_data, spans_text
 from screenlake.llm.secrets import find_secrets
 from screenlake.llm.topk import integer_vectors, top_k
@@ -19,6 +20,10 @@ from screenlake.llm.topk import integer_vectors, top_k
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pack_sequences": op1_pack_sequences,
     "op3_license_scan": op3_license_scan,
     "op4_secret_scan": op4_secret_scan,
     "op5_document_fingerprints": op5_document_fingerprints,
