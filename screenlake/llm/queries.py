@@ -14,6 +14,7 @@ from screenlake.llm.line_dedup import dedup_lines
 from screenlake.llm.mixing import mix
 from screenlake.llm.packing import pack
 from screenlake.llm.pii import BASE_KINDS, find_personal_data, spans_text
+from screenlake.llm.quality import THRESHOLD, fit, fold_of, score_quality
 from screenlake.llm.secrets import find_secrets
 from screenlake.llm.topk import integer_vectors, top_k
 
@@ -24,6 +25,14 @@ def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select(
+        "doc_id", (fold_of() == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -80,6 +89,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_pack_sequences": op1_pack_sequences,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": op3_license_scan,
     "op4_secret_scan": op4_secret_scan,
     "op5_document_fingerprints": op5_document_fingerprints,
