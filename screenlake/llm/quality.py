@@ -21,6 +21,8 @@ STATISTICS = (
 )
 # Shrinkage of the class covariances to the pooled one, and of those to a multiple of the identity.
 TO_POOLED, TO_IDENTITY = 0.5, 0.02
+# Statistics depend on each other, so log-density differences overstate how sure they are.
+TEMPERATURE = 4.0
 # Words added to every text when shares of repeats are taken, so that few words say little.
 PRIOR_WORDS = 6
 THRESHOLD = 0.3
@@ -113,7 +115,7 @@ class Model:
         for prior, mean, factor in zip(self.priors, self.means, self.factors):
             z = np.linalg.solve(factor, (x / self.scale - mean).T)
             densities.append(np.log(prior) - np.log(np.diag(factor)).sum() - 0.5 * (z**2).sum(axis=0))
-        return 1.0 / (1.0 + np.exp(np.clip(densities[0] - densities[1], -500, 500)))
+        return 1.0 / (1.0 + np.exp(np.clip((densities[0] - densities[1]) / TEMPERATURE, -36, 500)))
 
 
 def fit_moments(counts: np.ndarray, sums: np.ndarray, squares: np.ndarray) -> Model:
@@ -139,8 +141,8 @@ def fit_moments(counts: np.ndarray, sums: np.ndarray, squares: np.ndarray) -> Mo
 
 
 def fold_of(doc_id: str = "doc_id"):
-    """crc32 of the id as text, modulo FOLDS: fold 0 is held out."""
-    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(FOLDS))
+    """crc32 of the id as text, modulo FOLDS: fold 0 is held out. A null id is not."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(FOLDS)), F.lit(1))
 
 
 def _moments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
