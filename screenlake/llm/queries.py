@@ -12,6 +12,7 @@ from screenlake.llm.fingerprints import fingerprint_documents
 from screenlake.llm.licenses import scan_licenses
 from screenlake.llm.line_dedup import dedup_lines
 from screenlake.llm.mixing import mix
+from screenlake.llm.near_dedup import near_duplicate_classes
 from screenlake.llm.packing import pack
 from screenlake.llm.pii import BASE_KINDS, find_personal_data, spans_text
 from screenlake.llm.quality import THRESHOLD, fit, fold_of, score_quality
@@ -63,6 +64,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_line_dedup": op6_line_dedup,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_source_mixing": op8_source_mixing,
     "op9_personal_data": op9_personal_data,
     "op10_exact_top_k": op10_exact_top_k,
