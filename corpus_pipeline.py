@@ -1,23 +1,71 @@
-"""Documents to training sequences: STAGES are applied one after the other."""
+"""Documents to training sequences: STAGES are applied one after the other.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what it returns is written and read
+again before the next one. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from screenlake.llm.common import table
 from screenlake.llm.line_dedup import dedup_lines
+from screenlake.llm.mixing import mix_documents
+from screenlake.llm.near_dedup import keep_first_of_classes
+from screenlake.llm.packing import pack
+from screenlake.llm.quality import THRESHOLD, fit, score_quality
+from screenlake.session import shared_path
+
+SCORE, CLASS = "_quality", "_class"
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the threshold go."""
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model, SCORE).where(F.col(SCORE) >= THRESHOLD).drop(SCORE)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = dedup_lines(docs)
-    return kept.withColumn("text", kept["kept_text"]).select(*docs.columns)
+    """Repeated lines go; n_chars follows the text. A document of such lines only becomes empty."""
+    text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    new = {"text": text}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return dedup_lines(docs).withColumns(new).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays: the first by doc_id."""
+    return keep_first_of_classes(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document appears as often as the mix takes it; those it does not take go."""
+    return mix_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences; a document taken several times is packed several times."""
+    return pack(docs)
 
 
-STAGES = [("line_dedup", line_dedup)]
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+# Trained scores, sampling and packing are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over documents; every result but the last is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = shared_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

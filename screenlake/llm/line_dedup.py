@@ -11,6 +11,7 @@ import string
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from screenlake.llm.common import LAST_ID, WHITE_SPACE, text_of
 
@@ -23,7 +24,7 @@ def line_key(line: Column) -> Column:
     return F.when(plain, F.lower(trimmed)).otherwise(other)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _without(text: pd.Series, dropped: pd.Series) -> pd.Series:
     out = []
     for whole, positions in zip(text, dropped):

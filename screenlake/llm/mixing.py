@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenlake.llm.common import WORD, group_key, rank_in_group, text_of
+from screenlake.llm.common import LAST_ID, WORD, group_key, rank_in_group, text_of
 from screenlake.operators.ordering import number_rows
 from screenlake.session import stable
 
@@ -107,8 +107,37 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
     A source of any share of the table is spread: sizes are counted per (source, length) before
     the shuffle and documents of one length are ranked in about sqrt(rows) buckets.
     """
+    return _allocated(docs, weights, max_epochs, seed).drop("_check", "_key")
+
+
+def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 17) -> DataFrame:
+    """The rows of `docs`, all columns, each as often as mix() takes it.
+
+    Rows that agree in doc_id, source and text share what was allotted to them together.
+    """
+    allotted = (
+        _allocated(docs, weights, max_epochs, seed)
+        .withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)))
+        .groupBy("_doc", "_check", "_key").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+        .where("_copies > 0")
+    )
+    keys = {
+        "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_check": F.xxhash64(text_of()), "_key": group_key("source"),
+    }
+    same = Window.partitionBy("_doc", "_check", "_key").orderBy("_doc")
+    copies = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_nth") <= F.pmod("_copies", "_rows")).cast("long")
+    return (
+        docs.withColumns(keys).join(allotted, ["_doc", "_check", "_key"])
+        .withColumn("_nth", F.row_number().over(same))
+        .withColumn("_times", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+        .select(*docs.columns)
+    )
+
+
+def _allocated(docs: DataFrame, weights: Sequence[int], max_epochs: int, seed: int) -> DataFrame:
+    """mix() with the keys that lead back to a row's text."""
     sized = stable(
-        docs.select("doc_id", "source", F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"))
+        docs.select("doc_id", "source", F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text_of()).alias("_check"))
         .withColumn("_key", group_key("source"))
         .withColumn("_row", F.monotonically_increasing_id())
     )
@@ -128,5 +157,5 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
         ranked.withColumn("_salt", salt)
         .join(plan.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(15)))), ["_key", "size", "_salt"])
         .withColumn("copies", F.col("_epochs") + (F.col("rank") < F.col("_more")).cast("long"))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "_check", "_key")
     )

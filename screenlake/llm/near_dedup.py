@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake.llm.common import LAST_ID, text_of
@@ -280,19 +280,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicate_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, check) for every row of `docs`: rows of one class are linked, directly or
-    through others, by a weighted Jaccard similarity of SIMILARITY or more over TF-IDF shingles of
-    five words. class_id is the least doc_id of the class (null ids last); check is a hash of the text.
-
-    Texts of the same words are one node from the start, so copies are never paired; texts without
-    words are copies of each other. Null text is empty. Repeated rows are copies of each other. An
-    empty table gives an empty table. Columns other than doc_id and text are ignored.
-
-    A term weighs 1 + ln(count) times its idf, which is 1 up to a document share of COMMON and falls
-    to FLOOR. Two texts at the threshold share none of BANDS bands of ROWS samples, and are missed,
-    with a probability below 3 in 100,000; bucket mates are compared exactly.
-    """
+def _labelled(docs: DataFrame) -> DataFrame:
+    """(_doc, _check, _class) for every row; _class is a number of the class."""
     keyed = _keyed(docs)
     weights = shingle_weights(keyed, docs.count())
     signed = stable(keyed.mapInPandas(lambda it: _sign(it, weights), SIGNATURES).withColumn("_row", F.monotonically_increasing_id()))
@@ -306,10 +295,39 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     texts = stable(keyed.join(involved, ["_doc", "_check"]).select("node", "_text"))
     labels = components(_link_buckets(cells, texts, weights))
     labelled = salted_join(members.select("_doc", "_check", "node"), labels, ["node"])
-    labelled = labelled.select("_doc", "_check", F.coalesce("label", "node").alias("_class"))
+    return labelled.select("_doc", "_check", F.coalesce("label", "node").alias("_class"))
+
+
+def near_duplicate_classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id, check) for every row of `docs`: rows of one class are linked, directly or
+    through others, by a weighted Jaccard similarity of SIMILARITY or more over TF-IDF shingles of
+    five words. class_id is the least doc_id of the class (null ids last); check is a hash of the text.
+
+    Texts of the same words are one node from the start, so copies are never paired; texts without
+    words are copies of each other. Null text is empty. Repeated rows are copies of each other. An
+    empty table gives an empty table. Columns other than doc_id and text are ignored.
+
+    A term weighs 1 + ln(count) times its idf, which is 1 up to a document share of COMMON and falls
+    to FLOOR. Two texts at the threshold share none of BANDS bands of ROWS samples, and are missed,
+    with a probability below 3 in 100,000; bucket mates are compared exactly.
+    """
+    labelled = stable(_labelled(docs))
     least = labelled.groupBy("_class").agg(F.min("_doc").alias("_first"))
     return salted_join(labelled, least, ["_class"]).select(
         F.when(F.col("_doc") != LAST_ID, F.col("_doc")).alias("doc_id"),
         F.when(F.col("_first") != LAST_ID, F.col("_first")).alias("class_id"),
         F.col("_check").alias("check"),
     )
+
+
+def keep_first_of_classes(docs: DataFrame) -> DataFrame:
+    """One row of `docs` for each class of near_duplicate_classes, all columns: the one of least doc_id
+    (null last), of several by a hash of the text, of equal ones any."""
+    first = _labelled(docs).groupBy("_class").agg(F.min(F.struct("_doc", "_check")).alias("_k")).select("_k._doc", "_k._check")
+    keys = {"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_check": F.xxhash64(text_of())}
+    same = Window.partitionBy("_doc", "_check").orderBy("_doc")
+    return (
+        docs.withColumns(keys).join(first, ["_doc", "_check"])
+        .withColumn("_n", F.row_number().over(same)).where("_n = 1")
+        .select(*docs.columns)
+    )
