@@ -13,12 +13,15 @@ from screenlake.llm.licenses import scan_licenses
 from screenlake.llm.line_dedup import dedup_lines
 from screenlake.llm.mixing import mix
 from screenlake.llm.near_dedup import near_duplicate_classes
+from screenlake.llm.oracles import ORACLES
 from screenlake.llm.packing import pack
 from screenlake.llm.pii import BASE_KINDS, find_personal_data, spans_text
 from screenlake.llm.quality import THRESHOLD, fit, fold_of, score_quality
 from screenlake.llm.secrets import find_secrets
 from screenlake.llm.topk import integer_vectors, top_k
 
+__all__ = ["ORACLES", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -104,4 +107,3 @@ QUERIES: dict[str, Query] = {
     "op9_personal_data": op9_personal_data,
     "op10_exact_top_k": op10_exact_top_k,
 }
-ORACLES: dict[str, str] = {}
