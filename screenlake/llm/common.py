@@ -24,6 +24,21 @@ def text_of(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def id_of(column: str = "doc_id") -> Column:
+    """The id, null as LAST_ID: never null, so that it also passes through pandas unharmed."""
+    return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
+
+
+def id_back(column: str) -> Column:
+    """The id that id_of() stands for."""
+    return F.when(F.col(column) != LAST_ID, F.col(column))
+
+
+def whole_row(docs: DataFrame, *without: str) -> Column:
+    """All columns but `without` as one struct, so that working columns cannot clash with them."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in without))
+
+
 def group_key(column: str) -> Column:
     """A string key that is never null: a null value is a group of its own."""
     value = F.col(column).cast("string")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenlake.llm.common import text_of
+from screenlake.llm.common import id_back, id_of, text_of
 from screenlake.llm.shingles import batches, mix, shingle_hashes
 
 BINS, BITS = 512, 4
@@ -120,7 +120,7 @@ def _pairs_of(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
                 e = next(new)
                 rows.append((part["doc_id"].iloc[i], len(texts[i]), next(sums), pack(prints[i]), pack(e),
                              likeness(prints[i], e), likeness(prints[i], prints[i + 1])))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    base = docs.select("doc_id", text_of().alias("_text"), key.alias("_id"))
+    base = docs.select(id_of().alias("doc_id"), text_of().alias("_text"), key.alias("_id"))
     cuts = np.array([], np.int64)
     if tasks > 1:
         at = [i / tasks for i in range(1, tasks)]
@@ -173,4 +173,4 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions("_chunk", "_guest", F.desc("_id"), "_text")
         .select("doc_id", "_text", "_chunk", (F.col("_guest") > 0).alias("_guest"))
     )
-    return met.mapInPandas(_fingerprint_pairs, SCHEMA)
+    return met.mapInPandas(_fingerprint_pairs, SCHEMA).withColumn("doc_id", id_back("doc_id"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from screenlake.llm.common import LAST_ID, WHITE_SPACE, text_of
+from screenlake.llm.common import WHITE_SPACE, id_of, text_of, whole_row
 
 
 def line_key(line: Column) -> Column:
@@ -51,8 +51,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Data
     id of a hash decide, so counting combines before the shuffle and a line that all documents share
     is no hot group; higher thresholds count distinct pairs of hash and document.
     """
-    base = docs.drop("n_lines", "n_dropped", "kept_text").withColumns(
-        {"_text": text_of(), "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))}
+    base = docs.select(
+        whole_row(docs, "n_lines", "n_dropped", "kept_text").alias("_all"), text_of().alias("_text"), id_of().alias("_doc")
     ).withColumn("_check", F.xxhash64("_text"))
     key = line_key(F.col("_line"))
     lines = (
@@ -78,12 +78,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Data
     changed = _without(F.when(F.col("_dropped").isNotNull(), F.col("_text")), F.col("_dropped"))
     return (
         base.join(dropped, ["_doc", "_check"], "left")
-        .withColumns(
-            {
-                "n_lines": (F.length("_text") - F.length(F.replace("_text", F.lit("\n"))) + 1).cast("long"),
-                "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"),
-                "kept_text": F.coalesce(changed, F.col("_text")),
-            }
+        .select(
+            "_all.*",
+            (F.length("_text") - F.length(F.replace("_text", F.lit("\n"))) + 1).cast("long").alias("n_lines"),
+            F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+            F.coalesce(changed, F.col("_text")).alias("kept_text"),
         )
-        .drop("_text", "_doc", "_check", "_dropped")
     )

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenlake.llm.common import LAST_ID, WORD, group_key, rank_in_group, text_of
+from screenlake.llm.common import WORD, group_key, id_of, rank_in_group, text_of, whole_row
 from screenlake.operators.ordering import number_rows
 from screenlake.session import stable
 
@@ -19,7 +19,7 @@ DP_WORDS = 16_384
 
 
 def fit_subset(lengths: Sequence[int], counts: Sequence[int], budget: int, dp_words: int = DP_WORDS) -> list[int]:
-    """How many documents of each length to take, so that their lengths sum to `budget` or just less.
+    """How many documents of each length to take, so that their lengths sum to about `budget`.
 
     The same share of every length is taken first, then long documents until about `dp_words` are
     left; a bounded knapsack over the reachable sums (one bit per sum, counts split into powers of
@@ -50,6 +50,11 @@ def fit_subset(lengths: Sequence[int], counts: Sequence[int], budget: int, dp_wo
         if not before >> at & 1:
             taken[i] += k
             at -= k * lengths[i]
+    # One document more where that comes nearer than stopping short.
+    short = budget - sum(x * k for x, k in zip(lengths, taken))
+    over = min((lengths[i] - short, i) for i in downward if taken[i] < counts[i])
+    if 0 <= over[0] < short:
+        taken[over[1]] += 1
     return taken
 
 
@@ -117,20 +122,18 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs:
     """
     allotted = (
         _allocated(docs, weights, max_epochs, seed)
-        .withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)))
+        .withColumn("_doc", id_of())
         .groupBy("_doc", "_check", "_key").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
         .where("_copies > 0")
     )
-    keys = {
-        "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_check": F.xxhash64(text_of()), "_key": group_key("source"),
-    }
     same = Window.partitionBy("_doc", "_check", "_key").orderBy("_doc")
     copies = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_nth") <= F.pmod("_copies", "_rows")).cast("long")
     return (
-        docs.withColumns(keys).join(allotted, ["_doc", "_check", "_key"])
+        docs.select(whole_row(docs).alias("_all"), id_of().alias("_doc"), F.xxhash64(text_of()).alias("_check"), group_key("source").alias("_key"))
+        .join(allotted, ["_doc", "_check", "_key"])
         .withColumn("_nth", F.row_number().over(same))
         .withColumn("_times", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-        .select(*docs.columns)
+        .select("_all.*")
     )
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenlake.llm.common import LAST_ID, text_of
+from screenlake.llm.common import id_back, id_of, text_of, whole_row
 from screenlake.llm.shingles import batches, mix, shingle_hashes, word_hashes
 from screenlake.operators.joins import salted_join
 from screenlake.session import stable
@@ -32,9 +32,7 @@ DRAWS = 1 << 16
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """(_doc, _check, _text): the id, null last, and a hash of the text tell rows apart."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_doc"), text_of().alias("_text")).withColumn(
-        "_check", F.xxhash64("_text")
-    )
+    return docs.select(id_of().alias("_doc"), text_of().alias("_text")).withColumn("_check", F.xxhash64("_text"))
 
 
 # --- weights ---------------------------------------------------------------------------------
@@ -314,8 +312,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     labelled = stable(_labelled(docs))
     least = labelled.groupBy("_class").agg(F.min("_doc").alias("_first"))
     return salted_join(labelled, least, ["_class"]).select(
-        F.when(F.col("_doc") != LAST_ID, F.col("_doc")).alias("doc_id"),
-        F.when(F.col("_first") != LAST_ID, F.col("_first")).alias("class_id"),
+        id_back("_doc").alias("doc_id"), id_back("_first").alias("class_id"),
         F.col("_check").alias("check"),
     )
 
@@ -324,10 +321,10 @@ def keep_first_of_classes(docs: DataFrame) -> DataFrame:
     """One row of `docs` for each class of near_duplicate_classes, all columns: the one of least doc_id
     (null last), of several by a hash of the text, of equal ones any."""
     first = _labelled(docs).groupBy("_class").agg(F.min(F.struct("_doc", "_check")).alias("_k")).select("_k._doc", "_k._check")
-    keys = {"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_check": F.xxhash64(text_of())}
     same = Window.partitionBy("_doc", "_check").orderBy("_doc")
     return (
-        docs.withColumns(keys).join(first, ["_doc", "_check"])
+        docs.select(whole_row(docs).alias("_all"), id_of().alias("_doc"), F.xxhash64(text_of()).alias("_check"))
+        .join(first, ["_doc", "_check"])
         .withColumn("_n", F.row_number().over(same)).where("_n = 1")
-        .select(*docs.columns)
+        .select("_all.*")
     )

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenlake.llm.common import rank_in_group, text_of
+from screenlake.llm.common import id_back, id_of, rank_in_group, text_of
 from screenlake.operators.ordering import PART, part_offsets
 from screenlake.session import stable
 
@@ -72,7 +72,7 @@ def _tokenise(frames: Iterator[pd.DataFrame], tokenizer: str, window: int) -> It
             rest = ids[full * window:]
             rows.append((doc_id, len(ids), full, crcs, len(rest), rest.astype("<u4").tobytes()))
         out = pd.DataFrame(rows, columns=["doc_id", "doc_tokens", "n_full", "full_crcs", "rest", "rest_ids"])
-        yield out.astype({"doc_id": "Int64"})
+        yield out
 
 
 def combinations(window: int = WINDOW, depth: int = DEPTH) -> list[tuple[tuple[int, int], ...]]:
@@ -176,7 +176,7 @@ _COLUMNS = [c.split()[0] for c in PIECES.split(", ")]
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=_COLUMNS).astype({"doc_id": "Int64"})
+    return pd.DataFrame(rows, columns=_COLUMNS)
 
 
 def _place_rests(frames: Iterator[pd.DataFrame], plan: Plan) -> Iterator[pd.DataFrame]:
@@ -239,7 +239,7 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str = "byte_bpe_50k",
     of one length are ranked in about sqrt(rows) buckets, so a length that a third of all documents
     share is no hot group.
     """
-    texts = docs.select("doc_id", text_of().alias("_text"))
+    texts = docs.select(id_of().alias("doc_id"), text_of().alias("_text"))
     tokens = stable(
         texts.mapInPandas(lambda it: _tokenise(it, tokenizer, window), TOKENS)
         .withColumn("_row", F.monotonically_increasing_id())
@@ -262,4 +262,4 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str = "byte_bpe_50k",
     of_full = full.join(offsets, PART).withColumnRenamed(PART, "part").mapInPandas(
         lambda it: _place_full(it, first, window), PIECES
     )
-    return of_rests.unionAll(of_full)
+    return of_rests.unionAll(of_full).withColumn("doc_id", id_back("doc_id"))

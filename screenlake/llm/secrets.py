@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from screenlake.llm.common import text_of
+from screenlake.llm.common import id_back, id_of, text_of
 
 # The kinds in report order and the three base patterns.
 KINDS = ("assign", "access", "hex", "named")
@@ -174,7 +174,7 @@ def spans_of(text: str) -> list[tuple[int, str, int]]:
 def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         out = [[(k, a, b) for a, k, b in spans_of(t)] for t in frame["_text"]]
-        yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "spans": out})
+        yield pd.DataFrame({"doc_id": frame["doc_id"], "spans": out})
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -189,4 +189,5 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     ignored.
     """
     schema = "doc_id LONG, spans ARRAY<STRUCT<kind: STRING, start: INT, end: INT>>"
-    return docs.select("doc_id", text_of().alias("_text")).mapInPandas(_scan, schema)
+    found = docs.select(id_of().alias("doc_id"), text_of().alias("_text")).mapInPandas(_scan, schema)
+    return found.withColumn("doc_id", id_back("doc_id"))
