@@ -7,6 +7,7 @@ import pytest
 from compare import compare
 
 from __spark_entry__ import entry, oracle_sql, queries
+from screenlake.catalog import ORACLES, QUERIES
 
 SF_DIR = Path("/root/testdata/sf0.001")
 
@@ -21,14 +22,15 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     ok, note = compare(spark, con, name, str(SF_DIR))
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(queries()) >= set(QUERIES) and set(oracle_sql()) >= set(ORACLES)
 
 
 def test_entry(spark):
