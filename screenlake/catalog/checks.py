@@ -225,15 +225,16 @@ def j2_valid_ligands(spark, d):
     "j3_pending_tasks",
     f"""WITH {TASK_SQL},
     g AS (SELECT DISTINCT collection, ligand FROM @result),
-    grid AS (SELECT g.collection, g.ligand, s AS scenario, CAST(i AS INT) AS replica FROM g, (VALUES ('A'), ('N')) AS v(s), range(1, 4) AS r(i))
+    s AS (SELECT scenario, max(replica) AS replicas FROM @result GROUP BY 1),
+    grid AS (SELECT g.collection, g.ligand, s.scenario, CAST(i AS INT) AS replica FROM g, s, range(1, 8) AS r(i) WHERE i <= s.replicas)
     SELECT grid.collection, grid.ligand, scenario, replica FROM grid
     WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.collection = grid.collection AND t.ligand = grid.ligand AND t.scenario = grid.scenario
                       AND t.replica = grid.replica AND t.seconds < 40)""",
 )
 def j3_pending_tasks(spark, d):
     rows = table(spark, d, "result").select(*LIGAND_KEYS).distinct()
-    scenario_rows = spark.createDataFrame(
-        [(1, "A", "vina", 3), (2, "N", "vina", 3)], "idx INT, name STRING, program STRING, replicas INT"
+    scenario_rows = table(spark, d, "result").groupBy(F.col("scenario").alias("name")).agg(
+        F.max("replica").alias("replicas"), F.lit("vina").alias("program"), F.lit(1).alias("idx")
     )
     # A docking that has taken 40 s or more counts as still processing.
     entries = dockings(spark, d).select(
@@ -247,7 +248,7 @@ def j3_pending_tasks(spark, d):
 
 def sample_scorer(task: dict) -> str:
     """Deterministic stand-in for a docking program: a log in the program's format."""
-    value = (int(task["ligand"][1:]) * 7 + task["scenario_idx"] * 13 + task["replica"] * 29) % 211
+    value = (len(task["content"]) * 7 + task["scenario_idx"] * 13 + task["replica"] * 29) % 211
     if value % 17 == 0:
         raise RuntimeError("docking failed")
     text = f"{-value / 10:.1f}"
@@ -262,7 +263,7 @@ def sample_scorer(task: dict) -> str:
 
 SCORER_SQL = f"""
     grid AS ({GRID_SQL}),
-    drawn AS (SELECT *, (CAST(substr(ligand, 2) AS BIGINT) * 7 + scenario_idx * 13 + replica * 29) % 211 AS v FROM grid),
+    drawn AS (SELECT grid.*, (length(l.content) * 7 + scenario_idx * 13 + replica * 29) % 211 AS v FROM grid JOIN @ligand AS l USING (collection, ligand)),
     scored AS (SELECT collection, ligand, scenario, scenario_idx, program, replica,
                       CASE WHEN program = 'other' THEN 'failed(docking_program)' WHEN v % 17 = 0 THEN 'failed(docking)' ELSE 'succeeded' END AS status,
                       CASE WHEN program = 'other' OR v % 17 = 0 THEN NULL ELSE -v / 10.0::DOUBLE END AS score
@@ -272,8 +273,9 @@ SCORER_SQL = f"""
 
 @query("f1_run_scorer", f"WITH {SCORER_SQL} SELECT * FROM scored")
 def f1_run_scorer(spark, d):
-    grid = tasks.task_grid(table(spark, d, "ligand").select(*LIGAND_KEYS), table(spark, d, "scenario"))
-    return tasks.score_results(tasks.run_scorer(grid, sample_scorer)).drop("log", "pose", "error", "seconds")
+    rows = table(spark, d, "ligand").select(*LIGAND_KEYS, "content")
+    listed = rows.withColumn("_tasks", tasks.listed_tasks(table(spark, d, "scenario")))
+    return tasks.score_results(tasks.run_scorer(listed, sample_scorer)).drop("log", "pose", "error", "seconds")
 
 
 @query(

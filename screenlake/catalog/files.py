@@ -93,6 +93,20 @@ def s3_ligand_archives(spark, d):
     )
 
 
+@query(
+    "s3_bad_archives",
+    """SELECT collection, count(*) FILTER (NOT broken) AS n_ligands, CAST(max(CASE WHEN broken THEN 1 ELSE 0 END) AS BIGINT) AS n_errors
+       FROM (SELECT *, collection LIKE 'DE%' OR collection LIKE '%1' AS broken FROM @ligand) AS l GROUP BY 1""",
+)
+def s3_bad_archives(spark, d):
+    one_each = table(spark, d, "ligand").groupBy("collection").applyInPandas(lambda rows: next(_pack([rows])), nested.ARCHIVE)
+    # Some archives are cut in the middle, some are no archives at all.
+    cut = F.expr("substring(content, 1, length(content) div 2)")
+    content = F.when(F.col("path").rlike("/DE[^/]*/"), cut).when(F.col("path").rlike("1.tar.gz$"), F.lit(b"no archive")).otherwise(F.col("content"))
+    out = nested.unpack_collections(one_each.withColumn("content", content))
+    return out.groupBy("collection").agg(F.count("ligand").alias("n_ligands"), F.count("error").alias("n_errors"))
+
+
 @query(
     "s4_summaries",
     f"""WITH {TASK_SQL}
@@ -102,7 +116,7 @@ def s3_ligand_archives(spark, d):
 )
 def s4_summaries(spark, d):
     path = shared_path(spark, "summaries")
-    sinks.write_summary_text(summary.ligand_summary(dockings(spark, d)), path, 7)
+    sinks.write_summary_text(summary.ligand_summary(dockings(spark, d), padded=True), path, 7)
     return text.read_summaries(spark, path, layout="table").drop("avg_score", "scores", "smiles")
 
 
@@ -110,18 +124,23 @@ def s4_summaries(spark, d):
     "s10_summary_text",
     """
     WITH p AS (SELECT scenario, collection, ligand, replica, min(score) AS lo, sum(score) AS s, count(*) AS c FROM @result WHERE score IS NOT NULL GROUP BY 1, 2, 3, 4),
-    g AS (SELECT scenario, collection, ligand, CAST(sum(s) AS DOUBLE) / sum(c) AS avg_score, min(lo) AS best, CAST(sum(c) AS INT) AS n, string_agg(printf('%.1f', lo), ' ' ORDER BY replica) AS scores
+    g AS (SELECT scenario, collection, ligand, CAST(sum(s) AS DOUBLE) / sum(c) AS avg_score, min(lo) AS best, CAST(sum(c) AS INT) AS n,
+                 array_to_string(list_transform(range(1, max(replica) + 1), lambda k: coalesce(list_max(list_transform(list_filter(list((replica, printf('%.1f', lo))), lambda q: q[1] = k), lambda q: q[2])), '-')), ' ') AS scores
           FROM p GROUP BY 1, 2, 3)
     SELECT scenario, substr(collection, 1, 2) AS metatranche, string_split(collection, '_')[1] AS tranche,
            concat(collection, ' ', ligand, ' ', printf('%.1f', avg_score), ' ', printf('%.1f', best), ' ', lpad(CAST(n AS STRING), 5, ' '), ' ', scores) AS line
     FROM g
-    UNION ALL SELECT DISTINCT scenario, substr(collection, 1, 2), string_split(collection, '_')[1],
-           'Tranch   Compound   average-score   maximum-score   number-of-dockings   score-replica-1   score-replica-2   score-replica-3   score-replica-4   score-replica-5   score-replica-6   score-replica-7' FROM g
+    UNION ALL SELECT scenario, substr(collection, 1, 2), string_split(collection, '_')[1],
+           'Tranch   Compound   average-score   maximum-score   number-of-dockings   score-replica-1   score-replica-2   score-replica-3   score-replica-4   score-replica-5   score-replica-6   score-replica-7' FROM (SELECT DISTINCT scenario, collection FROM g) AS h
     """,
 )
 def s10_summary_text(spark, d):
     path = shared_path(spark, "summary-text")
-    sinks.write_summary_text(summary.ligand_summary(table(spark, d, "result")), path, 7)
+    # Two calls; the collections of the second one share folders with those of the first.
+    whole = summary.ligand_summary(table(spark, d, "result"), padded=True)
+    first = F.col("collection").endswith("1")
+    sinks.write_summary_text(whole.where(first), path, 7)
+    sinks.write_summary_text(whole.where(~first), path, 7)
     return spark.read.text(path).select("scenario", "metatranche", "tranche", F.col("value").alias("line"))
 
 
@@ -145,6 +164,50 @@ def s5_status_text(spark, d):
     return text.read_status(spark, path, "text").drop("ts", "score")
 
 
+@query(
+    "s5_status_shell_index",
+    """SELECT s.collection, s.ligand, n.name AS scenario, replica, status FROM @status AS s
+       JOIN @scenario AS n ON n.idx = CAST(substr(s.scenario, 2) AS INT) + 1 WHERE s.scenario IS NOT NULL""",
+)
+def s5_status_shell_index(spark, d):
+    path = shared_path(spark, "status-shell")
+    rows = table(spark, d, "status").where("scenario IS NOT NULL")
+    numbered = rows.withColumn("scenario", (F.substring("scenario", 2, 9).cast("int") + 1).cast("string"))
+    sinks.write_status(numbered, path, "text")
+    named = text.read_status(spark, path, "text", scenario_rows=table(spark, d, "scenario"))
+    return named.select("collection", "ligand", "scenario", "replica", "status")
+
+
+@query(
+    "s5_status_json_list",
+    """SELECT collection, ligand, scenario, replica, status, score FROM @status""",
+)
+def s5_status_json_list(spark, d):
+    """One JSON array per file, replicas from 0, as jobs publish them."""
+    path = shared_path(spark, "status-list")
+    rows = table(spark, d, "status").withColumn("replica", F.col("replica") - 1)
+    objects = sinks.status_objects(rows.drop("ts")).withColumn("seconds", F.col("seconds").cast("string"))
+    fields = [c for c in objects.columns if c != "collection"]
+    lists = objects.groupBy("collection").agg(F.to_json(F.collect_list(F.struct(*fields)), {"ignoreNullFields": "false"}).alias("value"))
+    lists.select("collection", "value").write.partitionBy("collection").text(path)
+    return text.read_status(spark, path).select("collection", "ligand", "scenario", "replica", "status", "score")
+
+
+@query(
+    "s11_status_replaced",
+    """SELECT collection, count(*) AS n, count(*) FILTER (scenario IS NULL) AS n_removed, count(*) AS n_timed FROM @status GROUP BY 1""",
+)
+def s11_status_replaced(spark, d):
+    """Lists of collections that are written again are replaced, others stay, times are kept."""
+    path = shared_path(spark, "status-replaced")
+    rows = table(spark, d, "status")
+    sinks.write_status(rows, path, "json", replace=True)
+    sinks.write_status(rows.where(F.col("collection") < "C3"), path, "json", replace=True)
+    return text.read_status(spark, path, "jsonl").groupBy("collection").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("scenario").isNull()).alias("n_removed"), F.count("ts").alias("n_timed")
+    )
+
+
 @query(
     "s11_status_sink",
     """SELECT collection, count(*) AS n, count(*) FILTER (scenario IS NULL) AS n_removed FROM @status GROUP BY 1""",
@@ -219,6 +282,30 @@ def s8_logs(spark, d):
     return text.log_rows(files).withColumn("n_chars", F.length("log").cast("long")).drop("log")
 
 
+@query(
+    "s8_log_archives",
+    """SELECT collection, ligand, scenario, replica, length(log) AS n_chars FROM @log""",
+)
+def s8_log_archives(spark, d):
+    """Logs in one archive per scenario and collection, as finished collections publish them."""
+    rows = table(spark, d, "log").select("collection", "scenario", "ligand", "replica", "log")
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        collection, scenario = frame["collection"].iloc[0], frame["scenario"].iloc[0]
+        buffer = io.BytesIO()
+        with tarfile.open(fileobj=buffer, mode="w:gz") as tar:
+            for r in frame.itertuples():
+                data = (r.log or "").encode()
+                info = tarfile.TarInfo(f"{r.ligand}_replica-{r.replica}")
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+        tranche, number = collection.split("_", 1)
+        return pd.DataFrame({"path": [f"/out/{scenario}/logfiles/AB/{tranche}/{number}.tar.gz"], "content": [buffer.getvalue()]})
+
+    archives = rows.groupBy("collection", "scenario").applyInPandas(pack, nested.ARCHIVE)
+    return text.log_rows(nested.unpack_files(archives)).withColumn("n_chars", F.length("log").cast("long")).drop("log")
+
+
 @query(
     "s9_results_tree",
     """WITH r AS (SELECT *, CASE WHEN flag = 'F' AND scenario <> 'N' THEN 'complete' ELSE 'incomplete' END AS state FROM @result),

@@ -50,6 +50,17 @@ def w2_pack_bins_large_collections(spark, d):
     return packing.pack_bins(table(spark, d, "manifest"), 40)
 
 
+@query(
+    "w2_pack_bins_unknown_counts",
+    f"""WITH RECURSIVE m AS (SELECT seq, collection, CASE WHEN n_ligands % 7 > 0 THEN n_ligands END AS n_ligands FROM @manifest),
+    {_bins_sql(TARGET).replace('@manifest', 'm')}
+    SELECT * FROM bins UNION ALL SELECT seq, collection, n_ligands, NULL FROM m WHERE n_ligands IS NULL""",
+)
+def w2_pack_bins_unknown_counts(spark, d):
+    rows = table(spark, d, "manifest").withColumn("n_ligands", F.expr("CASE WHEN n_ligands % 7 > 0 THEN n_ligands END"))
+    return packing.pack_bins(rows, TARGET)
+
+
 @query(
     "w3_group_workunits",
     f"""WITH RECURSIVE {_bins_sql(TARGET)},
@@ -88,7 +99,7 @@ HELD = ", ".join(
         FROM sim AS m JOIN lines AS l ON l.jobline = m.jobline AND l.at = m.at
         WHERE m.slot < 4 * 6)
     SELECT l.jobline, l.seq, l.collection, l.n_ligands, CAST(s.slot % 4 // 2 + 1 AS INT) AS step, CAST(s.slot % 2 + 1 AS INT) AS queue
-    FROM sim AS s JOIN lines AS l ON l.jobline = s.jobline AND l.at = s.took
+    FROM lines AS l LEFT JOIN sim AS s ON l.jobline = s.jobline AND l.at = s.took
     """,
 )
 def w4_refill_queues(spark, d):
@@ -152,12 +163,17 @@ def j5_with_assignment(spark, d):
 
 @query(
     "s12_worklists",
-    """SELECT jobline, queue, concat(collection, ' ', CAST(n_ligands AS STRING)) AS line FROM @assignment""",
+    """WITH n AS (SELECT *, row_number() OVER (PARTITION BY jobline, queue, seq % 2 ORDER BY seq) - 1 AS nth FROM @assignment)
+    SELECT jobline, queue, concat(collection, ' ', CAST(n_ligands AS STRING)) AS line, nth FROM n""",
 )
 def s12_worklists(spark, d):
     from screenlake.session import shared_path
     from screenlake.sources.sinks import write_worklists
 
+    # Two calls, odd lines after even ones; every call leaves one file in a folder this small.
     root = shared_path(spark, "worklists")
-    write_worklists(table(spark, d, "assignment"), root, ["jobline", "queue"])
-    return spark.read.text(root).select("jobline", "queue", F.col("value").alias("line"))
+    rows = table(spark, d, "assignment")
+    for half in (0, 1):
+        write_worklists(rows.where(F.col("seq") % 2 == half), root, ["jobline", "queue"])
+    lines = spark.read.text(root, wholetext=True).select("jobline", "queue", F.split(F.regexp_replace("value", "\n$", ""), "\n").alias("l"))
+    return lines.select("jobline", "queue", F.posexplode("l").alias("nth", "line")).withColumn("nth", F.col("nth").cast("long"))

@@ -42,10 +42,7 @@ A1_SQL = (
 
 @query("a1_ligand_summary", A1_SQL)
 def a1_ligand_summary(spark, d):
-    rows = table(spark, d, "result")
-    # One narrow column is read for the largest replica number.
-    out = summary.ligand_summary(rows, max_replicas=rows.agg(F.max("replica")).first()[0])
-    return _with_quarters(out)
+    return _with_quarters(summary.ligand_summary(table(spark, d, "result"), max_replicas=7))
 
 
 @query("a1_ligand_summary_any_replicas", A1_SQL)
@@ -53,6 +50,18 @@ def a1_ligand_summary_any_replicas(spark, d):
     return _with_quarters(summary.ligand_summary(table(spark, d, "result")))
 
 
+@query("a1_ligand_summary_from_zero", A1_SQL)
+def a1_ligand_summary_from_zero(spark, d):
+    rows = table(spark, d, "result").withColumn("replica", F.col("replica") - 1)
+    return _with_quarters(summary.ligand_summary(rows, max_replicas=7, replica_base=0))
+
+
+@query("a1_ligand_summary_many_replicas", A1_SQL)
+def a1_ligand_summary_many_replicas(spark, d):
+    rows = table(spark, d, "result").withColumn("replica", F.col("replica") * 30)
+    return _with_quarters(summary.ligand_summary(rows, max_replicas=210))
+
+
 def _with_quarters(out):
     quarters = F.transform("scores", lambda s: (s * 4).cast("int").cast("string"))
     return out.withColumn("scores_quarters", F.array_join(quarters, ",")).drop("scores")
@@ -154,6 +163,18 @@ def k1_top_compounds(spark, d):
     return summary.top_compounds(_summary(spark, d), 100)
 
 
+@query(
+    "k1_top_compounds_nearly_all",
+    "WITH s AS (" + SUMMARY_SQL + """)
+    SELECT CAST(row_number() OVER (ORDER BY best_score, collection, ligand, scenario) AS INT) AS rank,
+           collection, ligand, scenario, best_score AS score
+    FROM s ORDER BY best_score, collection, ligand, scenario LIMIT 50000
+    """,
+)
+def k1_top_compounds_nearly_all(spark, d):
+    return summary.top_compounds(_summary(spark, d), 50_000)
+
+
 @query(
     "k1_top_compounds_average",
     "WITH s AS (" + SUMMARY_SQL + """)

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from screenlake import fixed_values as fv
 from screenlake.adapters import table
 from screenlake.catalog.checks import LINES_SQL, SCORER_SQL, sample_scorer
 from screenlake.catalog.registry import query
 from screenlake.catalog.rollups import COUNTERS_SQL
+from screenlake.functions.scores import one_place
+from screenlake.operators import tasks
 from screenlake.operators.batch import collection_outcomes, outcome_totals
-from screenlake.plans.screen import screen
+from screenlake.operators.state import latest_state
+from screenlake.operators.summary import all_summaries, collection_counters
+from screenlake.plans.screen import publish, screen
+from screenlake.session import shared_path
+from screenlake.sources import sinks, text
 
 VALID_SQL = f"""
     {LINES_SQL}, {SCORER_SQL},
@@ -35,6 +42,47 @@ def r4_screen_summary(spark, d):
     return out.withColumn("scores_tenths", F.array_join(tenths, ",")).drop("scores", "avg_score")
 
 
+@query(
+    "r4_resume_publish",
+    f"""WITH {VALID_SQL},
+    r AS (SELECT collection, ligand, scenario, replica, status, score FROM docked),
+    p AS (SELECT scenario, collection, ligand, min(score) AS best,
+                 array_to_string(list_transform(range(1, max(replica) + 1), lambda k: coalesce(list_max(list_transform(list_filter(list((replica, printf('%.1f', score))), lambda q: q[1] = k), lambda q: q[2])), '-')), ' ') AS said
+          FROM r WHERE score IS NOT NULL GROUP BY 1, 2, 3)
+    SELECT 'complete' AS part, collection, ligand, scenario, replica, status, score FROM r
+    UNION ALL SELECT 'status', collection, ligand, scenario, replica, status, score FROM r
+    UNION ALL SELECT 'status', collection, ligand, NULL, NULL, 'failed', NULL FROM checked WHERE verdict <> 'ok'
+    UNION ALL SELECT 'summary', collection, ligand, scenario, NULL, said, best FROM p
+    UNION ALL SELECT 'counters', collection, NULL, NULL, NULL, concat(CAST(ligands_started AS STRING), ' ', CAST(dockings_failed AS STRING)), CAST(dockings_started AS DOUBLE)
+              FROM ({COUNTERS_SQL.format("states")}) AS c""",
+)
+def r4_resume_publish(spark, d):
+    """A screen in two halves, both published, read back: the same rows as of one whole screen."""
+    ligands, scenarios = table(spark, d, "ligand"), table(spark, d, "scenario")
+    grid, root = tasks.task_grid(ligands.select("collection", "ligand"), scenarios), shared_path(spark, "screen")
+    first = publish(screen(ligands, scenarios.withColumn("replicas", F.lit(1)), sample_scorer), root, 3, grid=grid)
+    states = latest_state(first.status.withColumn("ts", F.current_timestamp()))
+    publish(screen(ligands, scenarios, sample_scorer, finished=states), root, 3, grid=grid)
+    columns = ["collection", "ligand", "scenario", "replica", "status", "score"]
+    marker = F.array_join(F.transform("scores", one_place), " ", fv.NO_SCORE)
+    none = F.lit(None).cast("string")
+    every = text.read_summaries(spark, f"{root}/summaries", layout="table")
+    summaries = all_summaries(*(every.where(F.col("state") == s).drop("state") for s in ("complete", "incomplete")))
+    status = text.read_status(spark, f"{root}/ligand-lists", "jsonl")
+    return (
+        sinks.read_results(spark, f"{root}/results").select(F.col("state").alias("part"), *columns)
+        .unionByName(status.select(F.lit("status").alias("part"), *columns))
+        .unionByName(summaries.select(
+            F.lit("summary").alias("part"), "collection", "ligand", "scenario", F.lit(None).cast("int").alias("replica"),
+            marker.alias("status"), F.col("best_score").alias("score"),
+        ))
+        .unionByName(collection_counters(status).select(
+            F.lit("counters").alias("part"), "collection", none.alias("ligand"), none.alias("scenario"), F.lit(None).cast("int").alias("replica"),
+            F.concat_ws(" ", "ligands_started", "dockings_failed").alias("status"), F.col("dockings_started").cast("double").alias("score"),
+        ))
+    )
+
+
 @query("r4_screen_counters", f"WITH {VALID_SQL} " + COUNTERS_SQL.format("states"))
 def r4_screen_counters(spark, d):
     return _screen(spark, d).counters

@@ -77,3 +77,10 @@ SUMMARY_TITLES = (
     "number-of-dockings",
 )
 SUMMARY_REPLICA_TITLE = "score-replica-"
+
+# Stands in a summary line for a replica without a score.
+NO_SCORE = "-"
+
+# Reasons for leaving a ligand out, as status lists give them.
+ELEMENTS_INFO = "ligand includes elements: "
+COORDINATES_INFO = "duplicate coordinates"

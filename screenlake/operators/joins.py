@@ -13,10 +13,14 @@ def salted_join(
 ) -> DataFrame:
     """Left, left_semi or left_anti join to a table with at most one row per key.
 
-    A key holding a large share of `df` is split over `salts` tasks by the partition its
-    rows come from, so exact copies of a row are spread as well; the lookup side, one row
-    per key, is repeated once per salt.
+    A key holding a large share of `df` is split over `salts` tasks by what else its rows
+    hold and the partition they come from: rows of one partition are spread as well as copies
+    in several ones, and a task that runs again deals its rows out as before. The lookup side,
+    one row per key, is repeated once per salt.
     """
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Maps cannot be hashed.
+    rest = [F.col(f"`{n}`") for n, kind in df.dtypes if n not in on and "map<" not in kind and kind != "variant"]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*rest) + F.spark_partition_id(), F.lit(salts)) if rest
+                           else F.pmod(F.spark_partition_id(), F.lit(salts)).cast("long"))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

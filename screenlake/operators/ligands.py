@@ -109,8 +109,8 @@ def ligand_verdict(
             .when(duplicate.isNotNull(), fv.FAILED_COORDINATES)
             .otherwise("ok")
         )
-        info = F.when(by_element, F.concat(F.lit("ligand includes elements: "), element)).when(
-            duplicate.isNotNull(), "duplicate coordinates"
+        info = F.when(by_element, F.concat(F.lit(fv.ELEMENTS_INFO), element)).when(
+            duplicate.isNotNull(), fv.COORDINATES_INFO
         )
         return F.struct(verdict.alias("verdict"), info.alias("info"))
 

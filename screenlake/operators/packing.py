@@ -108,6 +108,7 @@ def pack_bins(manifest: DataFrame, t: int, block: int = BLOCK) -> DataFrame:
 
     A collection of at least t ligands is a bin of its own. Smaller ones gather until their
     sum reaches t; then the sum starts again at 0. What is left at the end is the last bin.
+    A collection without a count (an error line of a manifest) comes back with a null bin.
 
     Exact and parallel: every row knows where a bin starting at it would end, the chain of
     bin starts is contracted inside blocks of rows with dense numbers (bounded tasks), and
@@ -155,7 +156,12 @@ def pack_bins(manifest: DataFrame, t: int, block: int = BLOCK) -> DataFrame:
         ["start"],
     )
     of_large = large.join(bins.where("start IS NULL").select("seq", "collection", "bin"), ["seq", "collection"])
-    return of_small.select(*manifest.columns, "bin").unionAll(of_large.select(*manifest.columns, "bin"))
+    unknown = manifest.where(F.col("n_ligands").isNull()).withColumn("bin", F.lit(None).cast("long"))
+    return (
+        of_small.select(*manifest.columns, "bin")
+        .unionAll(of_large.select(*manifest.columns, "bin"))
+        .unionAll(unknown.select(*manifest.columns, "bin"))
+    )
 
 
 def group_workunits(bins: DataFrame, size: int, queues: int) -> DataFrame:
@@ -187,7 +193,8 @@ def refill_queues(
     Jobline j takes from the j-th chunk of `chunk_size` lines, so one task holds at most one
     chunk. In rounds k = 1, 2, ... each queue (by step, then queue) takes lines in order
     until its ligands reach k * ligands_per_step. `load` has the ligands queues hold before
-    (jobline, step, queue, n_ligands). Lines not taken are left out.
+    (jobline, step, queue, n_ligands). Lines not taken come back with null step and queue: they stay
+    on the list.
     """
     rounds = ligands_per_queue // ligands_per_step
 
@@ -203,9 +210,10 @@ def refill_queues(
                     loads[slot] += int(counts[at])
                     taken.append(slot)
                     at += 1
-        out = lines.iloc[:at][["jobline", "seq", "collection", "n_ligands"]].copy()
-        out["step"] = np.array([s for s, _ in taken], "int32")
-        out["queue"] = np.array([q for _, q in taken], "int32")
+        out = lines[["jobline", "seq", "collection", "n_ligands"]].copy()
+        untaken = [None] * (len(lines) - at)
+        out["step"] = pd.array([s for s, _ in taken] + untaken, "Int32")
+        out["queue"] = pd.array([q for _, q in taken] + untaken, "Int32")
         return out
 
     lines = number_rows(manifest, ["seq", "collection"], "_rn", start=0).select(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenlake import fixed_values as fv
@@ -13,60 +16,54 @@ from screenlake.operators.ordering import number_rows
 
 LIGAND_KEYS = ["scenario", "collection", "ligand"]
 
-# Most replicas gathered as one column each.
-SLOTS = 32
 
-# Top lists up to this length are ranked in one task; longer ones are numbered in parallel.
-RANK_IN_ONE_TASK = 100_000
+def _within(replica: Column, max_replicas: int | None, replica_base: int) -> Column:
+    """The replica; an error where it is not one of `max_replicas` from `replica_base`."""
+    if max_replicas is None:
+        return replica
+    last = replica_base + max_replicas - 1
+    beyond = F.raise_error(F.format_string(f"replica %d is beyond max_replicas={max_replicas} from {replica_base}", replica))
+    return F.when((replica < replica_base) | (replica > last), beyond.cast("int")).otherwise(replica)
 
 
 def ligand_summary(
-    results: DataFrame, with_scores: bool = True, max_replicas: int | None = None
+    results: DataFrame, with_scores: bool = True, max_replicas: int | None = None, replica_base: int = 1, padded: bool = False
 ) -> DataFrame:
     """Per (scenario, collection, ligand): avg, best (lowest), worst, n and scores by replica.
 
     Only ligands with a score appear. `scores` has one entry per replica, in replica order,
     so its length is bounded by the replica count; a replica docked more than once counts
     fully in avg and n and shows its best score. Sums are kept in the type of `score`.
+    With `padded` the n-th entry belongs to the n-th replica from `replica_base`, null where that one
+    has no score, up to the last one with a score. With `max_replicas` any other replica is an error.
 
-    With the largest replica number known (and at most `SLOTS`) the scores are gathered in
-    one shuffle, one column per replica; a larger number in the data is an error then.
-    Otherwise rows are folded per replica first, so that no list grows with repeats.
+    Rows are folded per replica first, so that no list grows with repeats.
     """
     scored = results.where(F.col("score").isNotNull())
-    totals = [
-        F.sum("score").alias("_sum"),
-        F.count("score").alias("_n"),
-        F.min("score").alias("best"),
-        F.max("score").alias("worst"),
-    ]
     if not with_scores:
+        totals = [F.sum("score").alias("_sum"), F.count("score").alias("_n"), F.min("score").alias("best"), F.max("score").alias("worst")]
         grouped = scored.groupBy(*LIGAND_KEYS).agg(*totals)
-    elif max_replicas is not None and max_replicas <= SLOTS:
-        by_replica = [F.min(F.when(F.col("replica") == k, F.col("score"))) for k in range(1, max_replicas + 1)]
-        slots = scored.groupBy(*LIGAND_KEYS).agg(
-            *totals,
-            F.max("replica").alias("_last"),
-            *(s.cast("double").alias(f"_s{k}") for k, s in enumerate(by_replica, 1)),
-        )
-        listed = F.array_compact(F.array(*(f"_s{k}" for k in range(1, max_replicas + 1))))
-        beyond = F.raise_error(F.format_string(f"replica %d is beyond max_replicas={max_replicas}", "_last"))
-        grouped = slots.withColumn("_scores", F.when(F.col("_last") > max_replicas, beyond).otherwise(listed))
     else:
-        per_replica = scored.groupBy(*LIGAND_KEYS, "replica").agg(
+        checked = scored.withColumn("replica", _within(F.col("replica"), max_replicas, replica_base))
+        per_replica = checked.groupBy(*LIGAND_KEYS, "replica").agg(
             F.sum("score").alias("s"),
             F.count("score").alias("c"),
             F.min("score").alias("lo"),
             F.max("score").alias("hi"),
         )
-        pairs = F.sort_array(F.collect_list(F.struct("replica", F.col("lo").cast("double").alias("score"))))
         grouped = per_replica.groupBy(*LIGAND_KEYS).agg(
             F.sum("s").alias("_sum"),
             F.sum("c").alias("_n"),
             F.min("lo").alias("best"),
             F.max("hi").alias("worst"),
-            pairs["score"].alias("_scores"),
+            F.sort_array(F.collect_list(F.struct("replica", F.col("lo").cast("double").alias("score")))).alias("_pairs"),
         )
+        if padded:
+            known = F.map_from_entries(F.filter("_pairs", lambda p: p["replica"].isNotNull()))
+            numbers = F.sequence(F.lit(replica_base), F.element_at("_pairs", -1)["replica"])
+            grouped = grouped.withColumn("_scores", F.transform(numbers, lambda k: F.try_element_at(known, k)))
+        else:
+            grouped = grouped.withColumn("_scores", F.col("_pairs")["score"])
     return grouped.select(
         *LIGAND_KEYS,
         (F.col("_sum").cast("double") / F.col("_n")).alias("avg_score"),
@@ -78,8 +75,9 @@ def ligand_summary(
 
 
 def scores_wide(results: DataFrame, max_replicas: int) -> DataFrame:
-    """One column per replica, null where that replica has no score."""
-    return results.groupBy(*LIGAND_KEYS).agg(
+    """One column per replica, null where that replica has no score; any other replica is an error."""
+    checked = results.withColumn("replica", _within(F.col("replica"), max_replicas, 1))
+    return checked.groupBy(*LIGAND_KEYS).agg(
         *(
             F.min(F.when(F.col("replica") == k, F.col("score"))).cast("double").alias(f"score_replica_{k}")
             for k in range(1, max_replicas + 1)
@@ -121,20 +119,27 @@ def score_histogram(summary: DataFrame, score_col: str = "best_score") -> DataFr
     )
 
 
+def _heads(frames: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
+    """The first n rows of a task."""
+    for frame in frames:
+        yield frame.iloc[:n]
+        n -= len(frame)
+        if n <= 0:
+            return
+
+
 def top_compounds(summary: DataFrame, n: int, score_col: str = "best_score") -> DataFrame:
-    """The n best (lowest) scores with rank; ties by collection, then ligand."""
+    """The n best (lowest) scores with rank; ties by collection, then ligand.
+
+    Every task sorts its own rows and keeps its first n; only those are sorted over the whole
+    cluster and numbered, so no task holds more than its share of a long list.
+    """
     # The scenario only settles ties when several scenarios are passed at once.
     keys = ["collection", "ligand"] + (["scenario"] if "scenario" in summary.columns else [])
-    order = [F.col(score_col), *(F.col(k) for k in keys)]
-    top = (
-        summary.where(F.col(score_col).isNotNull()).orderBy(*order).limit(n)
-        .select("collection", "ligand", *keys[2:], F.col(score_col))
-    )
-    if n <= RANK_IN_ONE_TASK:
-        ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    else:
-        ranked = number_rows(top, order, "rank")
-    return ranked.select("rank", *keys, F.col(score_col).alias("score"))
+    order = [score_col, *keys]
+    rows = summary.where(F.col(score_col).isNotNull()).select(*order).sortWithinPartitions(*order)
+    ranked = number_rows(rows.mapInPandas(lambda it: _heads(it, n), rows.schema), order, "rank")
+    return ranked.where(F.col("rank") <= n).select(F.col("rank").cast("int").alias("rank"), *keys, F.col(score_col).alias("score"))
 
 
 def all_summaries(complete: DataFrame, incomplete: DataFrame) -> DataFrame:

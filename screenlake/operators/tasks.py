@@ -16,10 +16,6 @@ from pyspark.sql import types as T
 from screenlake import fixed_values as fv
 from screenlake import schemas
 from screenlake.functions import scores
-from screenlake.operators.ordering import number_rows
-
-# Scenario lists up to this length ride along as one array; longer ones are joined.
-INLINE_SCENARIOS = 1000
 
 
 def _control_lists(control: DataFrame) -> DataFrame:
@@ -102,44 +98,37 @@ def runs_per_ligand(scenario_rows: DataFrame) -> DataFrame:
 
 TASK_FIELDS = ["scenario_idx", "scenario", "program", "replica"]
 
+TASK_TYPES = {"scenario_idx": "integer", "scenario": "string", "program": "string", "replica": "integer"}
+
+# Results that leave a task together.
+TASKS_AT_ONCE = 100
 
-def is_short_list(scenario_rows: DataFrame) -> bool:
-    return scenario_rows.limit(INLINE_SCENARIOS + 1).count() <= INLINE_SCENARIOS
+
+def _scenario_list(scenario_rows: DataFrame) -> Column:
+    """The scenarios as one array: a scalar subquery. They are the entries of four lines of one control
+    file, which bounds them; replicas are only counted in it."""
+    rows = scenario_rows.where("replicas > 0").select(
+        F.col("idx").alias("scenario_idx"), F.col("name").alias("scenario"), "program", "replicas"
+    )
+    return rows.agg(F.sort_array(F.collect_list(F.struct("scenario_idx", "scenario", "program", "replicas")))).scalar()
 
 
-def listed_tasks(scenario_rows: DataFrame, replica_base: int = 1) -> Column:
-    """Tasks of one ligand as an array: a scalar subquery over a short scenario list."""
-    fields = [
-        F.col("idx").alias("scenario_idx"),
-        F.col("name").alias("scenario"),
-        "program",
-        F.explode(F.sequence(F.lit(replica_base), F.col("replicas") + (replica_base - 1))).alias("replica"),
-    ]
-    rows = scenario_rows.where("replicas > 0").select(*fields)
-    return rows.agg(F.sort_array(F.collect_list(F.struct(*TASK_FIELDS)))).scalar()
+def listed_tasks(scenario_rows: DataFrame) -> Column:
+    """All tasks of a ligand as an array of scenarios with their number of replicas, see `run_scorer`."""
+    return _scenario_list(scenario_rows)
 
 
 def task_grid(ligands: DataFrame, scenario_rows: DataFrame, replica_base: int = 1) -> DataFrame:
     """Every ligand with every scenario and replica; other ligand columns ride along.
 
-    The scenario list comes from one control file and is short, so its tasks are attached to
-    each ligand as an array and exploded in place: no join and no shuffle. A list longer than
-    `INLINE_SCENARIOS` is numbered and joined on that number instead.
+    The scenario list is attached to each ligand and exploded in place, then the replicas: no join
+    and no shuffle, whatever the number of either.
     """
-    if is_short_list(scenario_rows):
-        tasks = listed_tasks(scenario_rows, replica_base)
-        grid = ligands.withColumn("_t", F.explode(tasks))
-        return grid.select(*ligands.columns, *(f"_t.{f}" for f in TASK_FIELDS))
-    numbered = number_rows(scenario_rows.where("replicas > 0"), ["idx", "name"], "_n")
-    count = numbered.agg(F.max("_n")).scalar()
-    every = ligands.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), count)))
-    replicas = F.sequence(F.lit(replica_base), F.col("replicas") + (replica_base - 1))
-    return every.join(numbered, "_n").select(
-        *ligands.columns,
-        F.col("idx").alias("scenario_idx"),
-        F.col("name").alias("scenario"),
-        "program",
-        F.explode(replicas).alias("replica"),
+    replicas = F.sequence(F.lit(replica_base), F.col("_s.replicas") + (replica_base - 1))
+    return (
+        ligands.withColumn("_s", F.explode(_scenario_list(scenario_rows)))
+        .withColumn("_r", F.explode(replicas))
+        .select(*ligands.columns, "_s.scenario_idx", "_s.scenario", "_s.program", F.col("_r").alias("replica"))
     )
 
 
@@ -200,16 +189,41 @@ def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None)
 
     A scorer that raises fails its own task only. Rows without a scenario (ligands left out)
     pass through. `partitions` spreads the tasks evenly first; by default they run where
-    they are. The ligand's `content` is given to the scorer and dropped afterwards.
+    they are. The ligand's `content` is given to the scorer and dropped afterwards. Instead of task
+    columns a row may have the list of its tasks as `_tasks` (null: left out), so that its content
+    is sent once; it becomes one row per task here, a few at a time. Elements of the list are tasks, or
+    scenarios with `replicas`, which stand for replicas from 1 on.
     """
+    listed = "_tasks" in tasks.columns
     if partitions:
         keys = [c for c in ["collection", "ligand", "scenario", "replica"] if c in tasks.columns]
         tasks = tasks.repartition(partitions, *keys)
     made = {"log": "string", "pose": "string", "score_given": "double", "error": "string", "seconds": "double"}
-    schema = T.StructType([f for f in tasks.schema.fields if f.name != "content"])
+    schema = T.StructType([f for f in tasks.schema.fields if f.name not in ("content", "_tasks")])
+    for name, kind in TASK_TYPES.items() if listed else ():
+        schema = schema.add(name, kind)
     for name, kind in made.items():
         schema = schema.add(name, kind)
 
+    def expanded(own) -> Iterator[dict]:
+        for t in own:
+            base = {f: t[f] for f in ("scenario_idx", "scenario", "program")}
+            for replica in range(1, t["replicas"] + 1) if "replicas" in t else (t["replica"],):
+                yield base | {"replica": replica}
+
+    def one_by_one(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Rows with task columns instead of lists, at most TASKS_AT_ONCE together."""
+        held: list[dict] = []
+        for row in batch.to_dict("records"):
+            own = row.pop("_tasks")
+            for task in [dict.fromkeys(TASK_FIELDS)] if own is None else expanded(own):
+                held.append(row | task)
+                if len(held) >= TASKS_AT_ONCE:
+                    yield pd.DataFrame(held)
+                    held = []
+        if held:
+            yield pd.DataFrame(held)
+
     def score_one(task: dict) -> tuple:
         if task["scenario"] is None:
             return (None,) * len(made)
@@ -222,13 +236,13 @@ def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None)
         return out.get("log"), out.get("pose"), score, error, time.perf_counter() - start
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (b for given in batches for b in (one_by_one(given) if listed else [given])):
             # Rows left out have no replica, which turns the column into floats.
             whole = batch.astype({"replica": "Int32", "scenario_idx": "Int32"})
             rows = [score_one(task) for task in whole.to_dict("records")]
             out = pd.DataFrame(rows, columns=list(made), index=batch.index)
             out = out.astype({"score_given": "float64", "seconds": "float64"})
-            yield pd.concat([batch.drop(columns="content", errors="ignore"), out], axis=1)
+            yield pd.concat([batch.drop(columns="content", errors="ignore"), out], axis=1)[schema.names]
 
     return tasks.mapInPandas(run, schema)
 

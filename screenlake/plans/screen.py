@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenlake import fixed_values as fv
+from screenlake import schemas
 from screenlake.operators import summary, tasks
+from screenlake.operators.joins import salted_join
 from screenlake.operators.ligands import ligand_verdict, with_smiles
+from screenlake.operators.state import latest_state
 from screenlake.session import stable
-from screenlake.sources import sinks
+from screenlake.sources import sinks, text
 
 
 @dataclass
@@ -47,22 +50,24 @@ def screen(
     spark = ligands.sparkSession
     count = partitions or 2 * spark.sparkContext.defaultParallelism
     keys = ["collection", "ligand"]
-    files = ligands.select(*keys, "content")
-    if finished is None and tasks.is_short_list(scenario_rows):
+    readable = ligands.where("error IS NULL") if "error" in ligands.columns else ligands
+    files = readable.select(*keys, "content")
+    if finished is None:
         with_tasks = files.repartition(count, *keys).withColumn("_tasks", tasks.listed_tasks(scenario_rows))
     else:
-        grid = tasks.task_grid(files.select(*keys), scenario_rows)
-        if finished is not None:
-            grid = tasks.pending_tasks(grid, finished)
+        grid = tasks.pending_tasks(tasks.task_grid(files.select(*keys), scenario_rows), finished)
         # At most scenarios times replicas per ligand.
         wanted = grid.groupBy(*keys).agg(F.collect_list(F.struct(*tasks.TASK_FIELDS)).alias("_tasks"))
         with_tasks = files.join(wanted, keys).repartition(count, *keys)
     checked = ligand_verdict(with_smiles(with_tasks), precedence)
-    task = F.explode_outer(F.when(F.col("verdict") == "ok", F.col("_tasks")))
-    spread = checked.withColumn("_t", task).select(
-        *keys, "smiles", "verdict", "info", "content", *(f"_t.{f}" for f in tasks.TASK_FIELDS)
+    own = checked.select(
+        *keys, "smiles", "verdict", "info", "content", F.when(F.col("verdict") == "ok", F.col("_tasks")).alias("_tasks")
     )
-    passed = stable(tasks.score_results(tasks.run_scorer(spread, scorer)))
+    if finished is not None:
+        # A ligand that was rejected before is not reported again.
+        rejected = finished.where(F.col("scenario").isNull()).select(*keys).distinct()
+        own = own.join(rejected, keys, "left_anti")
+    passed = stable(tasks.score_results(tasks.run_scorer(own, scorer)))
     results = passed.where("scenario IS NOT NULL").drop("verdict", "info")
     if energies is not None:
         results = tasks.energy_check(results, energies, energy_max)
@@ -73,18 +78,58 @@ def screen(
         *keys, "scenario", "replica", "status", F.lit(None).cast("string").alias("info"), "seconds", "score"
     )
     status = docked.unionAll(removed)
-    largest = scenario_rows.agg(F.max("replicas")).first()[0]
     return Screen(
         results=results,
         status=status,
-        summary=summary.ligand_summary(results, with_scores, largest),
+        summary=summary.ligand_summary(results, with_scores),
         counters=summary.collection_counters(status),
     )
 
 
-def publish(out: Screen, root: str, max_replicas: int, level: str = "collection") -> None:
-    """Write the tables of a finished screen: results tree, status lists and summary text."""
-    results = out.results.drop("smiles", "error").withColumn("state", F.lit("complete"))
+def merged(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of both; where both have a task (or a ligand without tasks), the new one counts."""
+    keys = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_{k}") for k in schemas.TASK_KEYS]
+    names = [f"_{k}" for k in schemas.TASK_KEYS]
+    known = new.select(*keys).distinct()
+    kept = old.withColumns(dict(zip(names, keys))).join(known, names, "left_anti").drop(*names)
+    return kept.unionByName(new, allowMissingColumns=True)
+
+
+def publish(out: Screen, root: str, max_replicas: int, level: str = "collection", grid: DataFrame | None = None) -> Screen:
+    """Write the tables of a screen: results tree, status lists and summary text; returns them as written.
+
+    Collections that were published before keep their earlier tasks: what the tree and the lists
+    hold of them is merged with the new rows task by task, and summaries and counters are made of
+    both. Other collections are not touched. With `grid`, all tasks there are, a collection (of a
+    scenario) with a task that has no final state is published as incomplete.
+    """
+    spark = out.results.sparkSession
+    touched = out.status.select("collection").distinct()
+    results, status, was_complete = out.results.drop("smiles", "error"), out.status, None
+    if sinks.exists(spark, f"{root}/results"):
+        old = sinks.read_results(spark, f"{root}/results")
+        was_complete = old.where("state = 'complete'").select("scenario", "collection").distinct()
+        results = merged(salted_join(old, touched, ["collection"], "left_semi").drop("state", "metatranche", "tranche"), results)
+    if sinks.exists(spark, f"{root}/ligand-lists"):
+        old = text.read_status(spark, f"{root}/ligand-lists", "jsonl")
+        status = merged(salted_join(old, touched, ["collection"], "left_semi"), status)
+    results, status = stable(results), stable(status)
+    state = F.lit("complete")
+    if grid is not None:
+        finished = status.withColumn("ts", F.coalesce("ts", F.current_timestamp()) if "ts" in status.columns else F.current_timestamp())
+        removed = status.where(F.col("scenario").isNull()).select("collection", "ligand").distinct()
+        wanted = grid.join(removed, ["collection", "ligand"], "left_anti")
+        pending = tasks.pending_tasks(wanted, latest_state(finished)).select("scenario", "collection").distinct()
+        if was_complete is not None:
+            # Once complete, a collection stays so: readers leave out incomplete rows beside it.
+            pending = pending.join(was_complete, ["scenario", "collection"], "left_anti")
+        results = salted_join(results, pending.withColumn("_open", F.lit(True)), ["scenario", "collection"])
+        state = F.when(F.col("_open"), "incomplete").otherwise("complete")
+    results = stable(results.withColumn("state", state).drop("_open"))
+    summaries = summary.ligand_summary(results, max_replicas=max_replicas, padded=True)
+    states = results.select("scenario", "collection", "state").distinct()
+    by_state = salted_join(summaries, states, ["scenario", "collection"])
     sinks.write_results(results, f"{root}/results", level)
-    sinks.write_status(out.status, f"{root}/ligand-lists", "json")
-    sinks.write_summary_text(out.summary, f"{root}/summaries", max_replicas)
+    sinks.write_status(status, f"{root}/ligand-lists", "json", replace=True)
+    sinks.write_summary_text(by_state, f"{root}/summaries", max_replicas)
+    return Screen(results, status, summaries, summary.collection_counters(status))

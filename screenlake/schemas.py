@@ -24,7 +24,7 @@ STATUS = (
 # Field names as they stand in the JSON ligand lists.
 STATUS_JSON = (
     "ligand STRING, scenario_key STRING, replica_index INT, status STRING, info STRING, "
-    "seconds STRING, score DOUBLE"
+    "seconds STRING, score DOUBLE, ts STRING"
 )
 
 # Nested status file: work units hold subjobs, subjobs hold attempts.

@@ -6,6 +6,7 @@ import gzip
 import io
 import posixpath
 import tarfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,23 +22,48 @@ ARCHIVE = "path STRING, content BINARY"
 ROWS_PER_FRAME = 1000
 
 
+class BadArchive(Exception):
+    """An archive that cannot be read to its end."""
+
+
 def _members(content: bytes) -> Iterator[tuple[str, bytes]]:
-    """Files of a tar, gzip-compressed or not; an unreadable archive yields no more files."""
+    """Files of a tar, gzip-compressed or not; raises BadArchive where it is broken."""
     try:
         with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
             for member in tar:
                 if member.isfile():
-                    yield member.name, tar.extractfile(member).read()
-    except (tarfile.TarError, OSError, EOFError):
-        return
+                    data = tar.extractfile(member).read()
+                    if len(data) < member.size:
+                        raise BadArchive("unexpected end of data")
+                    yield member.name, data
+    except (tarfile.TarError, OSError, EOFError, zlib.error) as exc:
+        raise BadArchive(f"{type(exc).__name__}: {exc}") from exc
+
+
+def _fault(content: bytes | None) -> str | None:
+    """What is wrong with an archive, found by reading all of it; null content had a fault before."""
+    if content is None:
+        return "unreadable tranche archive"
+    try:
+        for _ in _members(content):
+            pass
+    except BadArchive as exc:
+        return str(exc)
+    return None
 
 
 def unpack_tranches(archives: DataFrame) -> DataFrame:
-    """`<tranche>.tar` rows to one row per `<tranche>/<ID>.tar.gz` inside."""
+    """`<tranche>.tar` rows to one row per `<tranche>/<ID>.tar.gz` inside.
+
+    A broken tranche archive gives one row with its own path and null content.
+    """
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
+                if _fault(content) is not None:
+                    yield pd.DataFrame({"path": [path], "content": [None]})
+                    continue
                 for name, inner in _members(content):
                     if name.endswith((".tar.gz", ".tgz")):
                         yield pd.DataFrame({"path": [posixpath.join(posixpath.dirname(path), name)], "content": [inner]})
@@ -48,27 +74,37 @@ def unpack_tranches(archives: DataFrame) -> DataFrame:
 def unpack_collections(archives: DataFrame, keep_extension: bool = False) -> DataFrame:
     """`.../<tranche>/<ID>.tar.gz` rows to one row per ligand file.
 
-    The ligand id is the member name up to its first dot, or all of it.
+    The ligand id is the member name up to its first dot, or all of it. An archive that cannot be read
+    to its end gives one row with its collection and `error`, and none of its ligands.
     """
-    schema = "collection STRING, ligand STRING, format STRING, pos INT, content STRING"
+    schema = "collection STRING, ligand STRING, format STRING, pos INT, content STRING, error STRING"
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["collection", "ligand", "format", "pos", "content"]
+        columns = ["collection", "ligand", "format", "pos", "content", "error"]
         rows: list[tuple] = []
+
+        def frame_of(rows: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=columns).astype({"pos": "Int32"})
+
         for frame in frames:
             for path, content in zip(frame["path"], frame["content"]):
                 folder, name = posixpath.split(path)
                 collection = f"{posixpath.basename(folder)}_{name.split('.', 1)[0]}"
+                fault = _fault(content)
+                if fault is not None:
+                    key = collection if content is not None else name.split(".", 1)[0]
+                    rows.append((key, None, None, None, None, fault))
+                    continue
                 for pos, (member, text) in enumerate(_members(content), 1):
                     base = posixpath.basename(member)
                     ligand = base if keep_extension else base.split(".", 1)[0]
                     ending = base.rsplit(".", 1)[1] if "." in base else ""
-                    rows.append((collection, ligand, ending, pos, text.decode("utf-8", "replace")))
+                    rows.append((collection, ligand, ending, pos, text.decode("utf-8", "replace"), None))
                     if len(rows) >= ROWS_PER_FRAME:
-                        yield pd.DataFrame(rows, columns=columns)
+                        yield frame_of(rows)
                         rows = []
         if rows:
-            yield pd.DataFrame(rows, columns=columns)
+            yield frame_of(rows)
 
     key = F.col("collection")
     return archives.mapInPandas(unpack, schema).select(
@@ -79,13 +115,14 @@ def unpack_collections(archives: DataFrame, keep_extension: bool = False) -> Dat
         "format",
         "pos",
         "content",
+        "error",
     )
 
 
 def read_ligands(
     spark: SparkSession, root: str, layout: str = "tranche", keep_extension: bool = False
 ) -> DataFrame:
-    """Ligand library, one row per ligand.
+    """Ligand library, one row per ligand; a broken archive is one row with `error` and no ligand.
 
     layout `tranche`: `<meta>/<tranche>.tar` holding `<tranche>/<ID>.tar.gz`; the inner
     archives are spread over tasks again, so one big tranche is no bottleneck.
@@ -101,7 +138,10 @@ def read_ligands(
 
 
 def read_archived_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, value): lines of the gzip text files inside `.tar` files below `folder`."""
+    """(path, value): lines of the gzip text files inside `.tar` files below `folder`.
+
+    `path` ends in the member's name. A broken archive stops the job.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.tar").load(folder).select("path", "content")
@@ -113,11 +153,28 @@ def read_archived_lines(spark: SparkSession, folder: str) -> DataFrame:
                 for name, inner in _members(content):
                     text = gzip.decompress(inner) if name.endswith(".gz") else inner
                     lines = text.decode("utf-8", "replace").splitlines()
-                    yield pd.DataFrame({"path": path, "value": lines}, columns=["path", "value"])
+                    yield pd.DataFrame({"path": f"{path}/{name}", "value": lines}, columns=["path", "value"])
 
     return files.mapInPandas(unpack, "path STRING, value STRING")
 
 
+def unpack_files(archives: DataFrame) -> DataFrame:
+    """`.../<ID>.tar.gz` rows to (path, text) of the files inside, as if they lay in `.../<ID>/`.
+
+    Members that are gzip files are unpacked. A broken archive stops the job.
+    """
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"]):
+                folder = path.removesuffix(".tar.gz")
+                for name, inner in _members(content):
+                    text = gzip.decompress(inner) if name.endswith(".gz") else inner
+                    yield pd.DataFrame({"path": [f"{folder}/{posixpath.basename(name)}"], "text": [text.decode("utf-8", "replace")]})
+
+    return archives.mapInPandas(unpack, "path STRING, text STRING")
+
+
 # -- batch status ----------------------------------------------------------------------
 
 

@@ -19,7 +19,7 @@ def _rebalanced(df: DataFrame, folders: list[str]) -> DataFrame:
     return df.hint("rebalance", *(F.col(f) for f in folders))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
@@ -27,14 +27,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def write_results(df: DataFrame, root: str, level: str = "collection") -> None:
     """Results below `state / scenario / metatranche / tranche [/ collection]` as Parquet.
 
-    Collections in `df` replace earlier rows of the same state; all others stay. At level
+    Collections in `df` replace their earlier rows; all others stay. At level
     `tranche` several collections share a folder, so the folders touched are read, merged
     and written again. Incomplete rows of a collection that is complete by now are left
     out by `read_results`.
     """
     folders = TREE + (["collection"] if level == "collection" else [])
     rows = with_collection_parts(df).drop("collection_id")
-    if level == "tranche" and _exists(df.sparkSession, root):
+    if level == "tranche" and exists(df.sparkSession, root):
         old = df.sparkSession.read.parquet(root).select(*rows.columns)
         touched = rows.select(*TREE).distinct()
         replaced = rows.select("state", "scenario", "collection").distinct()
@@ -66,7 +66,10 @@ def summary_header(max_replicas: int, smiles: bool) -> str:
 
 
 def summary_lines(summary: DataFrame) -> DataFrame:
-    """Fixed-format text line per ligand; scores are rounded to one place here only."""
+    """Fixed-format text line per ligand; scores are rounded to one place here only.
+
+    A null in `scores` is printed as a marker, so that those after it keep their column.
+    """
     smiles = [F.col("smiles")] if "smiles" in summary.columns else []
     line = F.concat_ws(
         " ",
@@ -76,19 +79,21 @@ def summary_lines(summary: DataFrame) -> DataFrame:
         one_place(F.col("avg_score")),
         one_place(F.col("best_score")),
         F.format_string("%5d", "n_dockings"),
-        F.array_join(F.transform("scores", one_place), " "),
+        F.array_join(F.transform("scores", one_place), " ", fv.NO_SCORE),
     )
     return summary.withColumn("line", line)
 
 
 def write_summary_text(summary: DataFrame, root: str, max_replicas: int, state: str = "complete") -> None:
-    """gzip text below `<root>/state=.../scenario=.../metatranche=.../tranche=...`.
+    """gzip text below `<root>/state=.../scenario=.../metatranche=.../tranche=.../collection=...`.
 
-    The header comes before a folder's lines; where a very large folder is split over several
-    files, its first file has it.
+    Collections in `summary` replace their earlier text of the same state; all others stay. A column
+    `state` counts instead of the argument. The header comes before a folder's lines; where a very
+    large folder is split over several files, its first file has it.
     """
-    folders = ["state", "scenario", "metatranche", "tranche"]
-    keyed = with_collection_parts(summary_lines(summary)).withColumn("state", F.lit(state))
+    folders = ["state", "scenario", "metatranche", "tranche", "collection"]
+    keyed = with_collection_parts(summary_lines(summary))
+    keyed = keyed if "state" in summary.columns else keyed.withColumn("state", F.lit(state))
     lines = keyed.select(*folders, F.lit(1).alias("kind"), "line")
     header = summary_header(max_replicas, "smiles" in summary.columns)
     headers = lines.select(*folders).distinct().select(*folders, F.lit(0).alias("kind"), F.lit(header).alias("line"))
@@ -112,6 +117,7 @@ def status_objects(status: DataFrame) -> DataFrame:
         "info",
         F.format_string("%.2f", "seconds").alias("seconds"),
         "score",
+        *([F.col("ts").cast("string").alias("ts")] if "ts" in status.columns else []),
     )
 
 
@@ -126,19 +132,26 @@ def status_lines(status: DataFrame) -> DataFrame:
     return status.select("collection", line.alias("line"))
 
 
-def write_status(status: DataFrame, path: str, fmt: str = "json") -> None:
+def write_status(status: DataFrame, path: str, fmt: str = "json", replace: bool = False) -> None:
     """Status lists per collection, gzip: JSON objects line by line, or text lines.
 
-    New files are added to those already below `path`.
+    New files are added to those already below `path`; with `replace` the lists of the collections
+    in `status` are written anew and those of others stay.
     """
     rows = status_objects(status) if fmt == "json" else status_lines(status)
-    writer = _rebalanced(rows, ["collection"]).write.mode("append").partitionBy("collection").option("compression", "gzip")
+    writer = _rebalanced(rows, ["collection"]).write.mode("overwrite" if replace else "append")
+    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("collection").option("compression", "gzip")
     writer.json(path) if fmt == "json" else writer.text(path)
 
 
 def write_worklists(df: DataFrame, root: str, folders: list[str] | None = None) -> None:
-    """`<collection> <count>` lines below one folder per work unit and subjob (or queue)."""
+    """`<collection> <count>` lines below one folder per work unit and subjob (or queue).
+
+    Lines keep the order of `seq`, where there is one; new files are added to a folder's old ones.
+    """
     folders = folders or ["workunit", "subjob"]
     line = F.concat_ws(" ", "collection", F.col("n_ligands").cast("string"))
-    rows = _rebalanced(df.select(*folders, line.alias("line")), folders)
-    rows.sortWithinPartitions(*folders, "line").write.partitionBy(*folders).text(root)
+    order = ["seq"] if "seq" in df.columns else []
+    rows = _rebalanced(df.select(*folders, *order, line.alias("line")), folders)
+    rows = rows.sortWithinPartitions(*folders, *order, "line").select(*folders, "line")
+    rows.write.mode("append").partitionBy(*folders).text(root)

@@ -122,12 +122,16 @@ def log_rows(files: DataFrame, replica_base: int = 1) -> DataFrame:
     )
 
 
-def read_logs(spark: SparkSession, root: str, replica_base: int = 1) -> DataFrame:
-    files = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*_replica-*")
-        .text(root, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    )
+def read_logs(spark: SparkSession, root: str, replica_base: int = 1, archived: bool = False) -> DataFrame:
+    """Logs of a tree: loose files, or with `archived` the members of `<ID>.tar.gz` archives, in which
+    finished collections publish them."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if archived:
+        files = unpack_files(reader.format("binaryFile").option("pathGlobFilter", "*.tar.gz").load(root).select("path", "content"))
+    else:
+        files = reader.option("pathGlobFilter", "*_replica-*").text(root, wholetext=True).select(
+            F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
+        )
     return log_rows(files, replica_base)
 
 
@@ -227,31 +231,44 @@ def status_text_rows(lines: DataFrame, unit: str = "ms", replica_base: int = 1)
         F.when(~is_removed, F.regexp_extract(text, docked, 2)).alias("scenario"),
         F.when(~is_removed, F.regexp_extract(text, docked, 3).try_cast("int") - replica_base + 1).alias("replica"),
         F.when(is_removed, fv.FAILED).otherwise(F.regexp_extract(text, docked, 4)).alias("status"),
-        F.when(is_removed & (element != ""), F.concat(F.lit("ligand includes elements: "), element))
-        .when(is_removed, "duplicate coordinates")
+        F.when(is_removed & (element != ""), F.concat(F.lit(fv.ELEMENTS_INFO), element))
+        .when(is_removed, fv.COORDINATES_INFO)
         .alias("info"),
         (seconds / 1000 if unit == "ms" else seconds).alias("seconds"),
         F.lit(None).cast("double").alias("score"),
     )
 
 
+# Number of the first replica in lists of each format.
+_FIRST_REPLICA = {"text": 1, "jsonl": 1, "json": 0}
+
+
 def read_status(
-    spark: SparkSession, path: str, fmt: str = "json", unit: str = "ms", replica_base: int = 1
+    spark: SparkSession, path: str, fmt: str = "json", unit: str = "ms", replica_base: int | None = None,
+    scenario_rows: DataFrame | None = None, archived: bool = False,
 ) -> DataFrame:
     """Ligand status lists as one schema.
 
-    fmt: `text` lines, `json` (one list per file, as jobs publish it) or `jsonl` (one object
-    per line, read in parallel blocks). `replica_base` is the first replica's number there.
+    fmt: `text` lines, `json` (one list per file, as jobs publish it, replicas from 0) or `jsonl`
+    (one object per line, read in parallel blocks). `replica_base` overrides the first replica's
+    number. Text lists have the number of a scenario; with `scenario_rows` (idx, name), the entries of
+    one control file, it becomes the name. `archived` reads the text lists inside tranche archives.
     """
+    base = _FIRST_REPLICA[fmt] if replica_base is None else replica_base
     keys = collection_from(F.col("_metadata.file_path")).alias("collection")
     reader = spark.read.option("recursiveFileLookup", "true")
     if fmt == "text":
-        rows = status_text_rows(reader.text(path).select(keys, "value"), unit, replica_base)
+        if archived:
+            lines = read_archived_lines(spark, path).select(collection_from(F.col("path")).alias("collection"), "value")
+        else:
+            lines = reader.text(path).select(keys, "value")
+        rows = status_text_rows(lines, unit, base).withColumn("ts", F.lit(None).cast("timestamp"))
     else:
-        rows = status_json_rows(
-            reader.schema(schemas.STATUS_JSON).json(path, multiLine=fmt == "json").select(keys, "*"), replica_base
-        )
-    return rows.select(*_STATUS_COLUMNS, F.lit(None).cast("timestamp").alias("ts"))
+        rows = status_json_rows(reader.schema(schemas.STATUS_JSON).json(path, multiLine=fmt == "json").select(keys, "*"), base)
+    if scenario_rows is not None:
+        names = scenario_rows.select(F.col("idx").cast("string").alias("scenario"), F.col("name").alias("_name"))
+        rows = rows.join(F.broadcast(names), "scenario", "left").withColumn("scenario", F.coalesce("_name", "scenario"))
+    return rows.select(*_STATUS_COLUMNS, "ts")
 
 
 def status_json_rows(objects: DataFrame, replica_base: int = 1) -> DataFrame:
@@ -264,4 +281,5 @@ def status_json_rows(objects: DataFrame, replica_base: int = 1) -> DataFrame:
         "info",
         F.col("seconds").try_cast("double").alias("seconds"),
         "score",
+        (F.col("ts") if "ts" in objects.columns else F.lit(None)).try_cast("timestamp").alias("ts"),
     )

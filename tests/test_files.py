@@ -65,7 +65,13 @@ def test_ligand_archives(spark, tmp_path):
     put(tmp_path / "packed/AA/BROKEN.tar", b"not a tar")
     cols = ("collection", "tranche", "metatranche", "ligand", "format", "pos", "content")
     tree = rows(nested.read_ligands(spark, str(tmp_path / "tree"), "collection"), *cols)
-    assert rows(nested.read_ligands(spark, str(tmp_path / "packed")), *cols) == tree
+    packed = nested.read_ligands(spark, str(tmp_path / "packed"))
+    assert rows(packed.where("error IS NULL"), *cols) == tree
+    # A broken archive is one row that says so.
+    assert rows(packed.where("error IS NOT NULL"), "collection", "ligand") == [("BROKEN", None)]
+    put(tmp_path / "cut/AA/AAAB/00000.tar.gz", inner["00000"][: len(inner["00000"]) // 2])
+    cut = nested.read_ligands(spark, str(tmp_path / "cut"), "collection").collect()
+    assert [(r["collection"], r["ligand"], r["error"] is not None) for r in cut] == [("AAAB_00000", None, True)]
     assert tree[0] == ("AAAB_00000", "AAAB", "AA", "a", "pdbqt", 2, "00000a.1\n") and len(tree) == 4
     kept = nested.read_ligands(spark, str(tmp_path / "tree"), "collection", keep_extension=True)
     assert {r["ligand"] for r in kept.collect()} == {"b.pdbqt", "a.1.pdbqt"}

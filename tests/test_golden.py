@@ -123,10 +123,25 @@ def test_histogram_and_top(results):
     assert top == [(1, "L4", -15.0), (2, "L1", -7.6)]
 
 
-def test_top_list_too_long_for_one_task(results, monkeypatch):
-    monkeypatch.setattr(summary, "RANK_IN_ONE_TASK", 1)
-    top = summary.top_compounds(summary.ligand_summary(results), 2)
-    assert as_dict(top, "rank", "ligand") == {1: "L4", 2: "L1"}
+def test_top_list_longer_than_the_table(results):
+    top = summary.top_compounds(summary.ligand_summary(results), 200)
+    assert as_dict(top, "rank", "ligand") == {1: "L4", 2: "L1", 3: "L2"}
+
+
+def test_replicas_outside_the_range_are_errors(results):
+    from_zero = results.withColumn("replica", F.col("replica") - 1)
+    for broken in (summary.ligand_summary(from_zero, max_replicas=2), summary.scores_wide(from_zero, 2), summary.scores_wide(results, 1)):
+        with pytest.raises(Exception, match="beyond max_replicas"):
+            broken.collect()
+    got = as_dict(summary.ligand_summary(from_zero, max_replicas=2, replica_base=0), "ligand", "scores")
+    assert got["L1"] == [-7.2, -7.6]
+
+
+def test_padded_scores_keep_their_replica(spark):
+    rows = [("S", "A_1", "L", 1, None), ("S", "A_1", "L", 2, -6.0), ("S", "A_1", "L", 4, -5.0)]
+    df = spark.createDataFrame(rows, "scenario STRING, collection STRING, ligand STRING, replica INT, score DOUBLE")
+    assert summary.ligand_summary(df, padded=True).first()["scores"] == [None, -6.0, None, -5.0]
+    assert summary.ligand_summary(df).first()["scores"] == [-6.0, -5.0]
 
 
 @pytest.mark.parametrize("with_scenario_column", [True, False])
@@ -187,12 +202,14 @@ def test_latest_state(spark):
     assert as_dict(state.latest_state(df), "replica", "status") == {1: "succeeded", 2: "processing"}
 
 
-def test_task_grid_with_long_scenario_list(spark, monkeypatch):
+def test_task_grid_and_listed_tasks(spark):
     ligand_rows = spark.createDataFrame([("C", "a"), ("C", "b")], "collection STRING, ligand STRING")
     scenario_rows = spark.createDataFrame([(i * 3, f"s{i}", "vina", i % 3) for i in range(1, 8)], "idx INT, name STRING, program STRING, replicas INT")
     short = sorted(map(tuple, tasks.task_grid(ligand_rows, scenario_rows).collect()))
-    monkeypatch.setattr(tasks, "INLINE_SCENARIOS", 3)
-    assert sorted(map(tuple, tasks.task_grid(ligand_rows, scenario_rows).collect())) == short
+    listed = ligand_rows.withColumn("content", F.lit("x")).withColumn("_tasks", tasks.listed_tasks(scenario_rows))
+    scored = tasks.run_scorer(listed, lambda task: float(task["replica"])).select("collection", "ligand", *tasks.TASK_FIELDS, "score_given")
+    got = sorted(map(tuple, scored.collect()))
+    assert [r[:-1] for r in got] == short and all(r[-1] == r[-2] for r in got)
     assert len(short) == 2 * (1 + 2 + 0 + 1 + 2 + 0 + 1)
 
 
