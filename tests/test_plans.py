@@ -5,7 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from screenlake.adapters import table
 from screenlake.catalog import QUERIES
+from screenlake.operators.summary import ligand_summary
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS = ("w1", "w2", "w5", "w6", "w8", "j1", "j4", "j5", "p3", "p4", "p5", "u1", "a1", "a3", "a7", "w7", "r4", "a8", "u3", "j3")
@@ -58,7 +60,7 @@ def test_top_list_passes_through_no_single_task(spark):
 
 
 def test_summary_combines_before_the_shuffle(spark):
-    df = QUERIES[""](spark, SF_DIR)
+    df = ligand_summary(table(spark, SF_DIR, "result"), with_scores=False)
     assert len(re.findall(r"Exchange hashpartitioning", plan_of(df))) == 1
     assert "partial_min" in details_of(df)
 
