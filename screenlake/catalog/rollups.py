@@ -302,6 +302,23 @@ def w8_next_ligand(spark, d):
     """,
 )
 def u1_all_summaries(spark, d):
+    rows = table(spark, d, "result")
+    is_complete = (F.col("flag") == "F") & (F.col("scenario") != "N")
+    states = rows.withColumn("state", F.when(is_complete, "complete").otherwise("incomplete"))
+    return summary.summaries_by_state(states).drop("avg_score", "worst_score")
+
+
+@query(
+    "u1_all_summaries_of_two_tables",
+    """
+    WITH r AS (SELECT *, flag = 'F' AND scenario <> 'N' AS complete FROM @result WHERE score IS NOT NULL),
+    s AS (SELECT complete, scenario, collection, ligand, CAST(min(score) AS DOUBLE) AS best_score, count(*)::INT AS n_dockings
+          FROM r GROUP BY 1, 2, 3, 4)
+    SELECT scenario, collection, ligand, best_score, n_dockings, CASE WHEN complete THEN 'complete' ELSE 'incomplete' END AS state
+    FROM s WHERE complete OR (scenario, collection) NOT IN (SELECT (scenario, collection) FROM s WHERE complete)
+    """,
+)
+def u1_all_summaries_of_two_tables(spark, d):
     rows = table(spark, d, "result")
     is_complete = (F.col("flag") == "F") & (F.col("scenario") != "N")
     complete = summary.ligand_summary(rows.where(is_complete), with_scores=False)

@@ -114,13 +114,18 @@ def _long_form(table: DataFrame, names: dict[str, Column]) -> DataFrame:
     return table.select("status", F.inline(F.array(*rows)))
 
 
+def status_sums(workunits: DataFrame, subjobs: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Sums over the subjobs of each state, at most one row per state: matrix and metrics are made of
+    these, so a report that shows both folds subjobs and attempts once."""
+    summed = {"ligands": "n_ligands", "ms": "vcpu_ms_total", "ms_retried": "vcpu_ms_retried", "vcpus": "vcpus", "reattempts": "reattempts"}
+    return resolved_subjobs(workunits, subjobs, attempts).groupBy("status").agg(
+        F.count(F.lit(1)).alias("subjobs"), *(F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in summed.items())
+    )
+
+
 def status_matrix(workunits: DataFrame, subjobs: DataFrame, attempts: DataFrame) -> DataFrame:
     """Rows ligands, jobs, subjobs, vcpu_min, vcpu_hours; a column per status and TOTAL."""
-    per_status = resolved_subjobs(workunits, subjobs, attempts).groupBy("status").agg(
-        F.coalesce(F.sum("n_ligands"), F.lit(0)).alias("ligands"),
-        F.count(F.lit(1)).alias("subjobs"),
-        F.sum("vcpu_ms_total").alias("ms"),
-    )
+    per_status = status_sums(workunits, subjobs, attempts)
     measures = {
         "ligands": F.col("ligands"),
         "subjobs": F.col("subjobs"),
@@ -155,19 +160,19 @@ def status_matrix(workunits: DataFrame, subjobs: DataFrame, attempts: DataFrame)
 
 def vcpu_metrics(workunits: DataFrame, subjobs: DataFrame, attempts: DataFrame) -> DataFrame:
     """Efficiency of the batch run as (metric, value)."""
-    resolved = resolved_subjobs(workunits, subjobs, attempts)
+    sums = status_sums(workunits, subjobs, attempts)
 
     def total(name: str, *states: str) -> Column:
         value = F.when(F.col("status").isin(*states), F.col(name)) if states else F.col(name)
         return F.coalesce(F.sum(value), F.lit(0)).cast("double")
 
     hour = 3600000.0
-    one_row = resolved.agg(
-        (total("vcpu_ms_total") / hour).alias("vcpu_hours_total"),
-        (total("vcpu_ms_retried") / hour).alias("vcpu_hours_interrupted"),
-        (total("vcpu_ms_total", "FAILED") / hour).alias("vcpu_hours_failed"),
-        (total("vcpu_ms_total", "SUCCEEDED") / hour).alias("vcpu_hours_succeeded"),
-        F.try_divide(total("vcpu_ms_total", "SUCCEEDED") / 1000, total("n_ligands", "SUCCEEDED")).alias(
+    one_row = sums.agg(
+        (total("ms") / hour).alias("vcpu_hours_total"),
+        (total("ms_retried") / hour).alias("vcpu_hours_interrupted"),
+        (total("ms", "FAILED") / hour).alias("vcpu_hours_failed"),
+        (total("ms", "SUCCEEDED") / hour).alias("vcpu_hours_succeeded"),
+        F.try_divide(total("ms", "SUCCEEDED") / 1000, total("ligands", "SUCCEEDED")).alias(
             "vcpu_seconds_per_ligand"
         ),
         total("vcpus", "RUNNING").alias("active_vcpus"),

@@ -142,6 +142,21 @@ def top_compounds(summary: DataFrame, n: int, score_col: str = "best_score") ->
     return ranked.where(F.col("rank") <= n).select(F.col("rank").cast("int").alias("rank"), *keys, F.col(score_col).alias("score"))
 
 
+def summaries_by_state(results: DataFrame) -> DataFrame:
+    """Summaries (without score lists) of results with a `state`; a collection that is complete leaves
+    out its incomplete rows. Results are aggregated once, with the state as a key."""
+    scored = results.where(F.col("score").isNotNull())
+    per_state = scored.groupBy(*LIGAND_KEYS, "state").agg(
+        (F.sum("score").cast("double") / F.count("score")).alias("avg_score"),
+        F.min("score").cast("double").alias("best_score"),
+        F.max("score").cast("double").alias("worst_score"),
+        F.count("score").cast("int").alias("n_dockings"),
+    )
+    keys = ["scenario", "collection"]
+    done = per_state.where("state = 'complete'").select(*keys).distinct().withColumn("_done", F.lit(True))
+    return salted_join(per_state, done, keys).where("state = 'complete' OR _done IS NULL").drop("_done")
+
+
 def all_summaries(complete: DataFrame, incomplete: DataFrame) -> DataFrame:
     """Complete and incomplete summaries; a collection found in both counts as complete."""
     keys = [c for c in ("scenario", "collection") if c in complete.columns and c in incomplete.columns]
