@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake.llm.common import id_back, id_of, text_of, whole_row
@@ -25,7 +25,11 @@ GROUPS = 1 << 20
 SLICES = 128
 # Shingles in at most this share of documents weigh 1; commoner ones less, never below FLOOR, so that
 # a large family of near copies still shows as one.
-COMMON, FLOOR = 0.01, 0.75
+COMMON, FLOOR = 0.01, 0.9
+# Heads of a bucket in the rounds after the first; None: every member.
+ROUNDS = (16, None)
+# 64-bit words of a sketch relative to the first head.
+SKETCH = 8
 # Entries of the tables of random variates that sampling draws from.
 DRAWS = 1 << 16
 
@@ -187,95 +191,183 @@ def _sign(frames: Iterator[pd.DataFrame], weights: Weights) -> Iterator[pd.DataF
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Sum of smaller over sum of larger weights; both sides are (sorted shingles, weights)."""
-    common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    low = np.minimum(a[1][i], b[1][j]).sum()
-    return float(low / (a[1].sum() + b[1].sum() - low)) if len(a[0]) or len(b[0]) else 1.0
+    return compared(a, b)[0]
+
+
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(20) & np.uint64(64 * SKETCH - 1)).astype(np.int64)
+
+
+def _words(bits: np.ndarray) -> list[int]:
+    set_ = np.zeros(64 * SKETCH, np.uint8)
+    set_[bits] = 1
+    return np.packbits(set_).view(np.int64).tolist()
+
+
+def compared(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple:
+    """Weighted Jaccard similarity, and a sketch of `b` relative to `a`.
+
+    The sketch: total weight of b; its weight on shingles of a; its least weight there; its largest
+    weight on other shingles of one bit; bits of shingles that it lacks of a; bits of its others.
+    """
+    if not len(a[0]) or not len(b[0]):
+        total = float(b[1].sum())
+        return float(len(a[0]) == len(b[0])), total, 0.0, 0.0, total, _words(_bits(a[0])), _words(_bits(b[0]))
+    at = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
+    same = a[0][at] == b[0]
+    low = np.minimum(a[1][at[same]], b[1][same]).sum()
+    kept = np.zeros(len(a[0]), bool)
+    kept[at[same]] = True
+    other = _bits(b[0][~same])
+    most = np.bincount(other, weights=b[1][~same]).max() if len(other) else 0.0
+    total, shared = b[1].sum(), b[1][same].sum()
+    least = b[1][same].min() if same.any() else 0.0
+    sim = float(low / (a[1].sum() + total - low))
+    return sim, float(total), float(shared), float(least), float(most), _words(_bits(a[0][~kept])), _words(other)
+
+
+def _may_link(x: str, y: str) -> Column:
+    """False only where the sketches of two texts, relative to the same head, prove them unlike.
+
+    On shingles of the head they share at most what x has there, less its least weight for every bit
+    of which y lacks a shingle and x none; the same the other way round. On others they share at
+    most the largest weight of a bit for every bit that both have.
+    """
+    def count(words: Callable[[int], Column]) -> Column:
+        total = F.bit_count(words(0))
+        for i in range(1, SKETCH):
+            total = total + F.bit_count(words(i))
+        return total
+
+    def word(side: str, name: str, i: int) -> Column:
+        return F.col(f"{side}.{name}")[i]
+
+    def on_head(p: str, q: str) -> Column:
+        lacking = count(lambda i: word(q, "lacks", i).bitwiseAND(F.bitwise_not(word(p, "lacks", i))))
+        return F.col(f"{p}.shared") - F.col(f"{p}.least") * lacking
+
+    both = count(lambda i: word(x, "others", i).bitwiseAND(word(y, "others", i)))
+    common = F.least(on_head(x, y), on_head(y, x)) + F.least(F.col(f"{x}.most"), F.col(f"{y}.most")) * both
+    total = F.col(f"{x}.total") + F.col(f"{y}.total")
+    return common * (1 + SIMILARITY) + 1e-6 >= total * SIMILARITY
+
+
+VERIFIED = (
+    "a LONG, b LONG, la LONG, lb LONG, sim DOUBLE, total DOUBLE, shared DOUBLE, least DOUBLE, most DOUBLE, "
+    "lacks ARRAY<LONG>, others ARRAY<LONG>"
+)
+_SKETCH = ["total", "shared", "least", "most", "lacks", "others"]
 
 
 def _verify(frames: Iterator[pd.DataFrame], weights: Weights) -> Iterator[pd.DataFrame]:
-    """Similarity of every pair; the last vectors of `a`, which repeat, are kept."""
-    known: dict[int, tuple] = {}
+    """Similarity and sketch of every pair (a, b, la, lb, text_a, text_b)."""
 
-    def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
-        return vectors(pa.array([text], pa.large_string()), weights)[:2]
+    def split(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        hashes, w, n = vectors(pa.array(texts, pa.large_string()), weights)
+        ends = np.cumsum(n)
+        return [(hashes[e - k:e], w[e - k:e]) for e, k in zip(ends, n)]
 
     for frame in frames:
-        out = []
-        for a, text_a, text_b in zip(frame["a"], frame["text_a"], frame["text_b"]):
-            if a not in known:
-                if len(known) >= 32:
-                    known.clear()
-                known[a] = vector(text_a)
-            out.append(weighted_jaccard(known[a], vector(text_b)))
-        yield pd.DataFrame({"a": frame["a"], "b": frame["b"], "sim": out})
+        # About 4 MB of text at a time; a text that repeats on side `a` is cut into shingles once.
+        lots = np.cumsum(frame["text_a"].str.len() + frame["text_b"].str.len()) // (4 << 20)
+        for _, lot in frame.groupby(lots.to_numpy(), sort=False):
+            firsts = lot.drop_duplicates("a")
+            of_a = dict(zip(firsts["a"], split(firsts["text_a"].tolist())))
+            found = [compared(of_a[a], b) for a, b in zip(lot["a"], split(lot["text_b"].tolist()))]
+            rows = pd.DataFrame(found, columns=["sim", *_SKETCH], index=lot.index)
+            yield pd.concat([lot[["a", "b", "la", "lb"]], rows], axis=1)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """`pairs` (a, b, la, lb) with similarities and sketches."""
+    of_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("_text").alias("text_b")), "b")
+    both = of_b.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("text_a")), "a")
+    out = both.select("a", "b", "la", "lb", "text_a", "text_b").mapInPandas(lambda it: _verify(it, weights), VERIFIED)
+    # A repeated row of the input makes a pair twice.
+    return stable(out.dropDuplicates(["a", "b"]))
 
 
 def _link_buckets(cells: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
-    """All links (a, b) between texts that share a bucket, as far as classes need them.
+    """(node, label) of all nodes that are linked to another one; links are between bucket mates.
 
-    Rounds: some members of each bucket are its heads, all members are compared with them. A linked
-    member leaves if it cannot be linked to a member its head is not linked to: one minus weighted
-    Jaccard is a metric, so that needs sim(head, member) > 0.2 + the largest similarity below the
-    threshold. Heads leave. The rest meets new heads, twice as many each round, until no bucket has
-    two members. So no pair is lost, while buckets of copies cost one comparison a member.
+    First every member of a bucket is compared with its head, the least node, and components are
+    merged: buckets of one component, such as families of copies, are done with one comparison a
+    member. In the others members of different components are paired, first with a few heads, then
+    with each other, unless their sketches relative to the head prove them unlike. So no link
+    between components is lost, and pairs that are emitted are nearly all close to the threshold.
     """
-    slack = 1.0 - SIMILARITY
-    sims, heads_per_bucket = None, 1
-    links = []
-    while True:
-        part = F.pmod(F.xxhash64(F.lit(heads_per_bucket), "node"), F.lit(heads_per_bucket))
-        heads = cells.groupBy("key", part.alias("_part")).agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("_n"))
-        if heads_per_bucket == 1:
-            heads = heads.where("_n > 1")
-        met = cells.join(heads.select("key", "head"), "key").where("node != head")
-        met = stable(met.select("key", "head", "node"))
-        if met.isEmpty():
-            break
-        pairs = met.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
-        if sims is not None:
-            pairs = pairs.join(sims.select("a", "b"), ["a", "b"], "left_anti")
-        of_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("_text").alias("text_b")), "b")
-        both = of_b.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("text_a")), "a")
-        new = both.select("a", "b", "text_a", "text_b").mapInPandas(lambda it: _verify(it, weights), "a LONG, b LONG, sim DOUBLE")
-        new = stable(new.groupBy("a", "b").agg(F.max("sim").alias("sim")))
-        links.append(new.where(F.col("sim") >= SIMILARITY).select("a", "b"))
-        sims = new if sims is None else stable(sims.unionAll(new))
-        compared = met.withColumns({"a": F.least("head", "node"), "b": F.greatest("head", "node")}).join(sims, ["a", "b"])
-        near = compared.groupBy("key", "head").agg(F.max(F.when(F.col("sim") < SIMILARITY, F.col("sim"))).alias("_near"))
-        done = (F.col("sim") >= SIMILARITY) & (F.col("_near").isNull() | (F.col("sim") > F.col("_near") + slack + 1e-9))
-        left = (
-            compared.join(near, ["key", "head"])
-            .groupBy("key", "node").agg(F.max(done).alias("_done"))
-            .where("NOT _done").drop("_done")
-            .join(heads.select("key", F.col("head").alias("node")), ["key", "node"], "left_anti")
-        )
-        cells = stable(left)
-        heads_per_bucket *= 2
-    every = links[0] if links else texts.sparkSession.createDataFrame([], "a LONG, b LONG")
-    for more in links[1:]:
-        every = every.unionAll(more)
-    return every
+    heads = cells.groupBy("key").agg(F.min("node").alias("head"))
+    met = stable(cells.join(heads, "key").where("node <> head").select("key", "head", "node"))
+    pairs = met.select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("head").alias("la"), F.col("node").alias("lb"))
+    new = _verified(pairs.distinct(), texts, weights)
+    sims = new.select("a", "b")
+    labels = None
+    sketched = new.select(F.col("a").alias("head"), F.col("b").alias("node"), F.struct(*_SKETCH).alias("x"))
+    cells = met.join(sketched, ["head", "node"]).select("key", "node", F.col("node").alias("label"), "x")
+    for count in ROUNDS:
+        labels, merged = _merged_labels(labels, new)
+        cells = cells if merged is None else _relabelled(cells, merged)
+        mixed = cells.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high")
+        cells = stable(cells.join(mixed.select("key"), "key").select("key", "node", "label", "x"))
+        others = cells.select("key", F.col("node").alias("mate"), F.col("label").alias("mate_label"), F.col("x").alias("y"))
+        if count is not None:
+            part = F.pmod(F.xxhash64("mate"), F.lit(count))
+            row = F.struct("mate", "mate_label", "y")
+            others = others.groupBy("key", part).agg(F.min_by(row, "mate").alias("_m")).select("key", "_m.*")
+            once = F.col("node") != F.col("mate")
+        else:
+            once = F.col("node") < F.col("mate")
+        near = cells.join(others, "key").where(once & (F.col("label") != F.col("mate_label")) & _may_link("x", "y"))
+        turned = F.col("node") > F.col("mate")
+        pairs = near.select(
+            F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b"),
+            F.when(turned, F.col("mate_label")).otherwise(F.col("label")).alias("la"),
+            F.when(turned, F.col("label")).otherwise(F.col("mate_label")).alias("lb"),
+        ).distinct()
+        new = _verified(pairs.join(sims, ["a", "b"], "left_anti"), texts, weights)
+        sims = stable(sims.unionAll(new.select("a", "b")))
+    labels, _ = _merged_labels(labels, new)
+    if labels is None:
+        return texts.sparkSession.createDataFrame([], "node LONG, label LONG")
+    return labels
+
+
+def _merged_labels(labels: DataFrame | None, new: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """Labels after the links among `new`, and how those change labels; None where nothing is linked."""
+    found = new.where(F.col("sim") >= SIMILARITY).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    if found.isEmpty():
+        return labels, None
+    merged = components(found)
+    if labels is None:
+        return merged, merged
+    fresh = merged.join(labels.select("node"), "node", "left_anti")
+    return stable(_relabelled(labels, merged).unionAll(fresh)), merged
+
+
+def _relabelled(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    """`rows` with the labels that `merged` (node, label) maps replaced."""
+    moved = merged.select(F.col("node").alias("label"), F.col("label").alias("_to"))
+    return salted_join(rows, moved, ["label"]).withColumn("label", F.coalesce("_to", "label")).drop("_to").select(*rows.columns)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node of each connected component, for nodes that have links.
 
     Labels are lowered to the least one among neighbours, then to the label's own label, until
-    nothing changes; every step is a join and a combined minimum.
+    nothing changes; every step is a join, which splits hot nodes, and a combined minimum.
     """
     both = stable(links.union(links.select("b", "a")).toDF("node", "other").distinct())
     labels = stable(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")))
     while True:
-        of_other = salted_join(both.select(F.col("node").alias("other"), F.col("other").alias("node")).withColumnRenamed("other", "src"),
-                               labels.select(F.col("node").alias("src"), "label"), ["src"])
-        near = of_other.groupBy("node").agg(F.min("label").alias("_near"))
+        of_other = labels.select(F.col("node").alias("other"), F.col("label").alias("_theirs"))
+        near = both.join(of_other, "other").groupBy("node").agg(F.min("_theirs").alias("_near"))
         lower = labels.join(near, "node").withColumn("_low", F.least("label", "_near"))
-        jumped = salted_join(lower, labels.select(F.col("node").alias("_low"), F.col("label").alias("_next")), ["_low"])
-        after = stable(jumped.select("node", "label", F.least("_low", F.coalesce("_next", "_low")).alias("_new")))
-        changed = not after.where("_new < label").isEmpty()
-        labels = after.select("node", F.col("_new").alias("label"))
-        if not changed:
-            return labels
+        # The label of the label: paths shrink by half each time.
+        jump = labels.select(F.col("node").alias("_low"), F.col("label").alias("_next"))
+        after = stable(lower.join(jump, "_low").select("node", F.least("_low", "_next").alias("label"), F.col("label").alias("_was")))
+        if after.where("label < _was").isEmpty():
+            return after.select("node", "label")
+        labels = after.select("node", "label")
 
 
 def _labelled(docs: DataFrame) -> DataFrame:
@@ -291,7 +383,7 @@ def _labelled(docs: DataFrame) -> DataFrame:
     cells = stable(cells.join(shared, "key"))
     involved = nodes.select("_doc", "_check", "node").join(cells.select("node").distinct(), "node")
     texts = stable(keyed.join(involved, ["_doc", "_check"]).select("node", "_text"))
-    labels = components(_link_buckets(cells, texts, weights))
+    labels = _link_buckets(cells, texts, weights)
     labelled = salted_join(members.select("_doc", "_check", "node"), labels, ["node"])
     return labelled.select("_doc", "_check", F.coalesce("label", "node").alias("_class"))
 

@@ -187,6 +187,36 @@ def test_chain_of_edits_is_one_class(spark):
     assert all(got[k] == 0 for k in range(120)) and all(got[1000 + k] == 1000 + k for k in range(5))
 
 
+def test_sketches_never_prune_a_link():
+    """The bound of the sketches holds for every pair, and prunes most that are far apart."""
+    import random
+
+    from screenlake.llm.near_dedup import SIMILARITY, compared, weighted_jaccard
+
+    rng, pruned, far = random.Random(3), 0, 0
+    pick = lambda: rng.getrandbits(63)
+    head = {pick(): rng.choice((0.9, 1.0, 1.7)) for _ in range(180)}
+    extra = [pick() for _ in range(60)]
+    texts = []
+    for _ in range(70):
+        lost = rng.random() * 0.3
+        text = {k: w if rng.random() < 0.9 else 1.3 for k, w in head.items() if rng.random() > lost}
+        texts.append(text | {k: 1.0 for k in rng.sample(extra, rng.randrange(20))} | {pick(): 1.0 for _ in range(int(180 * lost))})
+    vec = lambda t: (np.array(sorted(t), np.uint64), np.array([t[k] for k in sorted(t)]))
+    vecs = [vec(t) for t in texts]
+    marks = [compared(vec(head), v)[1:] for v in vecs]
+    ones = lambda words: sum(bin(w & (2**64 - 1)).count("1") for w in words)
+    for i, (ti, si, li, mi, ki, oi) in enumerate(marks):
+        for j, (tj, sj, lj, mj, kj, oj) in enumerate(marks[:i]):
+            on = min(si - li * ones(b & ~a for a, b in zip(ki, kj)), sj - lj * ones(a & ~b for a, b in zip(ki, kj)))
+            common = on + min(mi, mj) * ones(a & b for a, b in zip(oi, oj))
+            true = weighted_jaccard(vecs[i], vecs[j])
+            assert common / (ti + tj - common) >= true - 1e-9
+            far += true < SIMILARITY - 0.1
+            pruned += true < SIMILARITY - 0.1 and common * (1 + SIMILARITY) < (ti + tj) * SIMILARITY
+    assert pruned > 0.8 * far
+
+
 def test_common_groups_are_counted_over_all_documents(spark):
     from pyspark.sql import functions as F
 
@@ -194,7 +224,7 @@ def test_common_groups_are_counted_over_all_documents(spark):
 
     docs = spark.createDataFrame([(f"one two three four five tail{i}",) for i in range(300)], "_text STRING")
     found = shingle_weights(docs.withColumn("_text", F.col("_text")).repartition(7), 300)
-    assert len(found.groups) == 1 and found.idf[0] == 0.75
+    assert len(found.groups) == 1 and found.idf[0] == 0.9
 
 
 def test_mixing_meets_targets(spark):
