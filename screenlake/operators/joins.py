@@ -11,7 +11,7 @@ SALTS = 8
 def salted_join(
     df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
-    """Left, left_semi or left_anti join to a table with at most one row per key.
+    """Join (left, left_semi, left_anti or inner) to a table with at most one row per key.
 
     A key holding a large share of `df` is split over `salts` tasks by what else its rows
     hold and the partition they come from: rows of one partition are spread as well as copies

@@ -39,6 +39,12 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `shared_path` gave, once nothing reads it any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
