@@ -60,9 +60,9 @@ def r4_resume_publish(spark, d):
     """A screen in two halves, both published, read back: the same rows as of one whole screen."""
     ligands, scenarios = table(spark, d, "ligand"), table(spark, d, "scenario")
     grid, root = tasks.task_grid(ligands.select("collection", "ligand"), scenarios), shared_path(spark, "screen")
-    first = publish(screen(ligands, scenarios.withColumn("replicas", F.lit(1)), sample_scorer), root, 3, grid=grid)
+    first = publish(screen(ligands, scenarios.withColumn("replicas", F.lit(1)), sample_scorer), root, 3, "tranche", grid)
     states = latest_state(first.status.withColumn("ts", F.current_timestamp()))
-    publish(screen(ligands, scenarios, sample_scorer, finished=states), root, 3, grid=grid)
+    publish(screen(ligands, scenarios, sample_scorer, finished=states), root, 3, "tranche", grid)
     columns = ["collection", "ligand", "scenario", "replica", "status", "score"]
     marker = F.array_join(F.transform("scores", one_place), " ", fv.NO_SCORE)
     none = F.lit(None).cast("string")
