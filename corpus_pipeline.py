@@ -15,7 +15,7 @@ from screenlake.llm.mixing import mix_documents
 from screenlake.llm.near_dedup import keep_first_of_classes
 from screenlake.llm.packing import pack
 from screenlake.llm.quality import THRESHOLD, fit, score_quality
-from screenlake.session import shared_path
+from screenlake.session import remove_path, shared_path
 
 SCORE, CLASS = "_quality", "_class"
 
@@ -62,10 +62,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; every result but the last is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; every result but the last is written to the shared folder and read again.
+
+    A result is removed when the next one is written; the last one, which the returned pieces may still
+    be computed from, stays.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = shared_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from screenlake.llm.common import WHITE_SPACE, id_of, text_of, whole_row
+from screenlake.operators.joins import salted_join
 
 
 def line_key(line: Column) -> Column:
@@ -71,7 +72,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Data
             F.min("_doc").alias("_keeper"), F.count(F.lit(1)).alias("_docs")
         ).where(F.col("_docs") >= min_docs).drop("_docs")
     dropped = (
-        lines.join(shared, ["_h1", "_h2"])
+        salted_join(lines, shared, ["_h1", "_h2"], "inner")
         .where("_doc > _keeper")
         .groupBy("_doc", "_check").agg(F.collect_set("_pos").alias("_dropped"))
     )
