@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenlake.llm.common import text_of
 from screenlake.operators.joins import salted_join
 
+# Complete texts and the headers of files, as published; a file is named by its license, then its variant.
+TEXTS = Path(__file__).parent / "license_texts"
+# Titles that a short text may carry above its first paragraph.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"), "ISC": ("ISC License", "The ISC License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "BSD License"),
+    "Zlib": ("zlib License", "The zlib License"), "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+}
 # License notices and the identifiers they stand for.
 KNOWN_NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -40,6 +53,25 @@ SPELLINGS = [
 ]
 # d: only \n ends a line.
 COPYRIGHT_LINE = r"(?md)^[ \t\r*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# In runs of lines a line is only a copyright line if it does not go on with a sentence; upper and lower case tell too.
+NOTICE_LINE = (
+    r"(?md)^[ \t\r*#/;-]*((?i:copyright[ \t]*(\(c\)|©|[0-9:])|\(c\)[ \t]*(copyright|©|[0-9]{4})|©|all rights reserved)"
+    r"|(Copyright|COPYRIGHT)[ \t]+(?i:(?!holder|owner|notice|licen|law|statement|interest|treat|disclaimer|doctrine"
+    r"|material|permission|protection|right|status|and\b|or\b|in\b|on\b|to\b|is\b)[^ \t\n]))[^\n]*$"
+)
+# Spellings of several words, word by word: with them and without blanks, spelled lines add up to a spelled text.
+LOOSE = {a: b for said, meant in SPELLINGS if len(said.split()) == len(meant.split()) > 1 for a, b in zip(said.split(), meant.split()) if a != b}
+# Letters of a run's beginning that a line is first judged by; no result depends on it.
+LEAD = 16
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """(license, text): the notices, and the complete texts and headers with and without their titles."""
+    said = list(KNOWN_NOTICES)
+    for path in sorted(TEXTS.glob("*.txt")):
+        license, text = path.stem.split("--")[0], path.read_text(encoding="utf-8")
+        said += [(license, text), *((license, f"{title}\n\n{text}") for title in TITLES.get(license, ()))]
+    return said
 
 
 def _spell(words: Column) -> Column:
@@ -49,9 +81,9 @@ def _spell(words: Column) -> Column:
     return F.btrim(F.regexp_replace(words, " +", " "))
 
 
-def _plain(text: Column) -> Column:
+def _plain(text: Column, copyright: str | None = COPYRIGHT_LINE) -> Column:
     """Lower case, no copyright lines, punctuation and blanks as two spaces; lines stay apart."""
-    bare = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    bare = F.regexp_replace(F.lower(text), copyright, "") if copyright else F.lower(text)
     return F.concat(F.lit("  "), F.regexp_replace(bare, r"[^0-9a-z\n\x{80}-\x{10FFFF}]+", "  "), F.lit("  "))
 
 
@@ -75,24 +107,141 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame
     )
 
 
-def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | DataFrame = KNOWN_NOTICES) -> DataFrame:
+def run_lines(text: Column) -> Column:
+    """The canonical forms of a text's lines that are not empty; lines that go on about copyright stay."""
+    spaced = _spell(F.replace(_plain(F.regexp_replace(text, NOTICE_LINE, ""), None), F.lit("\n"), F.lit("  \n  ")))
+    return F.filter(F.split(spaced, " *\n *", -1), lambda x: x != "")
+
+
+def _joined(lines: Column) -> Column:
+    """The canonical form of adjacent lines as one text: spellings also across their ends."""
+    return _spell(F.concat(F.lit("  "), F.replace(F.array_join(lines, " "), F.lit(" "), F.lit("  ")), F.lit("  ")))
+
+
+def _letters(lines: Column) -> Column:
+    """Lines without blanks, loosely spelled: equal texts have equal letters, however they are wrapped."""
+    text = F.array_join(lines, "\n")
+    for a, b in LOOSE.items():
+        text = F.regexp_replace(text, rf"(?<![^ \n]){a}(?![^ \n])", b)
+    return F.split(F.replace(text, F.lit(" "), F.lit("")), "\n", -1)
+
+
+def _needles(texts: list[str]) -> list[str] | None:
+    """Strings one of which is in every known text, however spelled or wrapped; None if there are none."""
+    odd = {w for said, meant in SPELLINGS if " " in said + meant for w in (said + " " + meant).split()} - {"license"}
+    spelled: dict[str, set[str]] = {}
+    for said, meant in SPELLINGS:
+        if " " not in said + meant:
+            spelled.setdefault(meant, set()).add(said)
+    words = [{w for w in t.split() if w not in odd and w not in LOOSE} for t in texts]
+    found: list[str] = []
+    while words:
+        if not all(words):
+            return None
+        often: dict[str, int] = {}
+        for w in (w for ws in words for w in ws):
+            often[w] = often.get(w, 0) + 1
+        best = max(often, key=lambda w: (len(w) > 6, often[w], len(w), w))
+        found += [best, *sorted(spelled.get(best, ()))]
+        words = [ws for ws in words if best not in ws]
+    return found
+
+
+def _in_runs(docs: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
+    """scan_licenses() for a list of known texts: the driver holds their digests, lengths and first letters."""
+    spark, text, lines = docs.sparkSession, F.col("_text"), F.col("_lines")
+    forms = (
+        spark.createDataFrame(known, "license STRING, text STRING").select("license", text_of().alias("_text"))
+        .select("license", canonical(text).alias("whole"), run_lines(text).alias("_lines"))
+        .select("license", "whole", _joined(lines).alias("run"), F.array_join(_letters(lines), "").alias("letters"))
+        .select("license", "whole", "run", "letters", F.sha2("whole", 256).alias("d1"), F.sha2("run", 256).alias("d2"))
+        .collect()
+    )
+    named: dict[str, str] = {}
+    for r in forms:
+        for digest in [r["d1"]] * (r["whole"] != "") + [r["d2"]] * (r["run"] != ""):
+            named[digest] = min(r["license"], named.get(digest, r["license"]))
+    letters = {r["letters"] for r in forms if r["run"]}
+    lead = min([LEAD, *map(len, letters)])
+    starts: dict[str, set[int]] = {}
+    for x in letters:
+        starts.setdefault(x[:lead], set()).add(len(x))
+    needles = _needles([r["run"] for r in forms if r["run"]])
+    suspect = F.lit(True) if needles is None else reduce(or_, (F.contains(F.lower(text), F.lit(n)) for n in needles), F.lit(False))
+    heads = F.array(*(F.struct(F.lit(k).alias("lead"), F.array(*map(F.lit, sorted(v))).alias("sizes")) for k, v in sorted(starts.items())))
+    none = F.expr("CAST(array() AS ARRAY<INT>)")
+
+    def ends(x: Column, i: Column, own: Column) -> Column:
+        """How many lines from i on make up as many letters as a known text of the same beginning has."""
+        step = lambda s, y: F.struct(
+            (s["at"] + F.length(y)).alias("at"), (s["n"] + 1).alias("n"),
+            F.when(F.array_contains(own, s["at"] + F.length(y)), F.concat(s["hit"], F.array(s["n"] + 1))).otherwise(s["hit"]).alias("hit"),
+        )
+        begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), none.alias("hit"))
+        return F.aggregate(F.slice(x, i + 1, F.array_max(own)), begin, step, lambda s: s["hit"])
+
+    def runs(x: Column) -> Column:
+        leads = F.transform(x, lambda _, i: F.struct(i.alias("i"), F.left(F.array_join(F.slice(x, i + 1, F.lit(lead)), ""), F.lit(lead)).alias("lead")))
+        heard = F.filter(leads, lambda s: F.array_contains(F.array(*map(F.lit, sorted(starts))), s["lead"]))
+        sized = F.transform(heard, lambda s: F.struct(s["i"].alias("i"), ends(x, s["i"], F.filter(heads, lambda h: h["lead"] == s["lead"])[0]["sizes"]).alias("n")))
+        return F.flatten(F.transform(sized, lambda s: F.transform(s["n"], lambda n: F.struct(s["i"].alias("i"), n.alias("n")))))
+
+    whole = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).alias("n"), F.lit(False).alias("all"), F.sha2("_canon", 256).alias("digest")))
+    found = F.transform("_runs", lambda r: F.struct(
+        r["i"].alias("i"), r["n"].alias("n"), (r["n"] == F.size(lines)).alias("all"), F.sha2(_joined(F.slice(lines, r["i"] + 1, r["n"])), 256).alias("digest")))
+    # Only texts that may hold a known text are read line by line, and only runs that may be one are digested.
+    parts = (
+        docs.select("doc_id", text_of().alias("_text"))
+        .select("doc_id", F.monotonically_increasing_id().alias("_row"), canonical(text).alias("_canon"), F.when(suspect, run_lines(text)).alias("_lines"))
+        .withColumn("_runs", F.when(F.size("_lines") > 0, runs(_letters(lines))))
+        .select("_row", "doc_id", F.explode(F.when(F.size("_runs") > 0, F.concat(whole, found)).otherwise(whole)).alias("_part"))
+        .select("_row", "doc_id", "_part.*")
+    )
+    wanted = spark.createDataFrame(sorted(named.items()), "digest STRING, license STRING")
+    met = parts.join(F.broadcast(wanted), "digest", "left")
+    hit = F.when((F.col("i") >= 0) & F.col("license").isNotNull(), F.struct("i", (-F.col("n")).alias("less"), "license"))
+    begin = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"), F.expr("CAST(array() AS ARRAY<STRING>)").alias("names"))
+    # By start, longest first: a run inside one before it is part of that one.
+    outer = F.aggregate(F.array_sort("_hits"), begin, lambda s, x: F.when(
+        x["i"] - x["less"] > s["end"],
+        F.struct((x["i"] - x["less"]).alias("end"), (s["n"] + 1).alias("n"), F.array_union(s["names"], F.array(x["license"])).alias("names")),
+    ).otherwise(s))
+    return (
+        met.groupBy("_row", "doc_id")
+        .agg(
+            F.max(F.when(F.col("i") < 0, F.col("digest"))).alias("text_digest"),
+            F.max(F.when(F.col("i") < 0, F.col("license"))).alias("_whole"),
+            F.max(F.when(F.col("all"), F.col("license"))).alias("_all"),
+            F.collect_list(hit).alias("_hits"),
+        )
+        .withColumn("_outer", outer)
+        .select(
+            "doc_id", "text_digest", F.coalesce("_whole", "_all").alias("text_license"),
+            F.col("_outer.n").alias("n_notices"), F.array_join(F.array_sort("_outer.names"), ",").alias("notice_licenses"),
+        )
+    )
+
+
+def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
     """(doc_id, text_digest, text_license, n_notices, notice_licenses) for every row of `docs`.
 
     text_license is the known license whose canonical text the whole document is; n_notices counts
-    its lines that as a whole are a known text, notice_licenses names those licenses in order.
+    its runs of adjacent lines, single ones too, that as a whole are a known text and do not lie
+    inside a longer one; notice_licenses names those licenses in order. Without `known` the known
+    texts are known_texts().
 
     Null text is empty; an empty canonical text matches nothing. Repeated rows are reported once
     each, null ids too; an empty table gives an empty table. Columns other than doc_id and text are
-    ignored. SQL expressions only: a text and its lines are digested where they lie and met with the
+    ignored. SQL expressions only: a text and its runs are digested where they lie and met with the
     known digests by a hash join; rows of one document are combined before the only shuffle. A list
-    of known texts, which the driver holds already, is broadcast and lets lines of other lengths be
-    skipped; a table of them is joined by salted digest.
+    of known texts, which the driver holds already, is broadcast, and only runs of the right first
+    letters and length are digested. With a table of known texts, joined by salted digest, runs are
+    single lines.
     """
+    if not isinstance(known, DataFrame):
+        return _in_runs(docs, known_texts() if known is None else known)
     digests = known_digests(docs.sparkSession, known)
     lines = F.transform(canonical_lines(F.col("_text")), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("canon")))
-    if not isinstance(known, DataFrame):
-        lengths = F.array(*(F.lit(n) for n in sorted({r["chars"] for r in digests.select("chars").collect()}) or [0]))
-        lines = F.filter(lines, lambda x: F.array_contains(lengths, F.length(x["canon"])))
     whole = F.array(F.struct(F.lit(True).alias("whole"), canonical(F.col("_text")).alias("canon")))
     parts = (
         docs.select("doc_id", text_of().alias("_text"))
@@ -100,8 +249,7 @@ def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | DataFrame = KN
         .select("_row", "doc_id", F.explode(F.concat(whole, lines)).alias("_part"))
         .select("_row", "doc_id", "_part.whole", F.sha2("_part.canon", 256).alias("digest"))
     )
-    wanted = digests.drop("chars")
-    met = salted_join(parts, wanted, ["digest"]) if isinstance(known, DataFrame) else parts.join(F.broadcast(wanted), "digest", "left")
+    met = salted_join(parts, digests.drop("chars"), ["digest"])
     notice = F.when(~F.col("whole"), F.col("license"))
     return (
         met.groupBy("_row", "doc_id")
