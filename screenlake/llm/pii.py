@@ -35,6 +35,8 @@ CONTEXT = {
 SCORES = {"email": (0.9, 1.0), "ip": (0.6, 0.9), "card": (0.8, 1.0), "phone": (0.6, 0.9), "iban": (0.8, 1.0), "ssn": (0.3, 0.8)}
 THRESHOLD = 0.5
 NEARBY = 40
+# So many matches before and after a span hold all characters nearby: none is shorter than 4.
+PIECES = NEARBY // 4
 # Matches whose positions are summed together; no result depends on it.
 BLOCK = 256
 
@@ -83,7 +85,7 @@ def _confirmed(kind: str, value: Column) -> Column:
 
 
 def _placed(pieces: Column) -> Column:
-    """(start, end, hit, before) of every (gap, hit), by running sums of their lengths.
+    """(start, end, hit, at) of every (gap, hit), at its place in the array from 0, by running sums of their lengths.
 
     Sums run over blocks first and inside blocks then, so that texts with very many matches stay cheap.
     """
@@ -92,32 +94,50 @@ def _placed(pieces: Column) -> Column:
     width = lambda x: F.length(x["gap"]) + F.length(x["hit"])
     widths = F.transform(blocks, lambda b: F.aggregate(block(b), F.lit(0), lambda at, x: at + width(x)))
     firsts = F.aggregate(widths, F.array(F.lit(0)), lambda done, w: F.concat(done, F.array(F.element_at(done, -1) + w)))
-    none = F.expr("CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, hit: STRING, before: STRING>>)")
+    none = F.expr("CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, hit: STRING, at: INT>>)")
 
-    def place(state: Column, x: Column) -> Column:
+    def place(b: Column, state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["gap"])
         end = start + F.length(x["hit"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit"), F.right(x["gap"], F.lit(NEARBY)).alias("before"))
+        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit"), (b * BLOCK + F.size(state["spans"])).alias("at"))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
     inside = F.transform(
         blocks,
         lambda b: F.aggregate(
-            block(b), F.struct(F.element_at(firsts, b + 1).alias("at"), none.alias("spans")), place, lambda s: s["spans"]
+            block(b), F.struct(F.element_at(firsts, b + 1).alias("at"), none.alias("spans")), lambda s, x: place(b, s, x), lambda s: s["spans"]
         ),
     )
     return F.when(F.size(pieces) > 0, F.flatten(inside))
 
 
+def _nearby(pieces: Column, at: Column) -> tuple[Column, Column]:
+    """The NEARBY characters of the text before and after a match, across the matches next to it."""
+    first = F.greatest(at - PIECES, F.lit(0))
+    ahead = F.transform(F.slice(pieces, first + 1, at - first), lambda x: F.concat(F.right(x["gap"], F.lit(NEARBY)), F.right(x["hit"], F.lit(NEARBY))))
+    before = F.concat(F.array_join(ahead, ""), F.right(F.get(pieces, at)["gap"], F.lit(NEARBY)))
+    behind = F.transform(
+        F.slice(pieces, at + 2, F.lit(PIECES + 1)), lambda x: F.concat(F.left(x["gap"], F.lit(NEARBY)), F.coalesce(F.left(x["hit"], F.lit(NEARBY)), F.lit("")))
+    )
+    return F.right(before, F.lit(NEARBY)), F.left(F.array_join(behind, ""), F.lit(NEARBY))
+
+
 def _spans(kind: str, pieces: Column) -> Column:
-    """Confirmed spans of one kind: array of (name, start, end, score), code points, end exclusive."""
-    placed = _placed(pieces)
+    """Confirmed spans of one kind: array of (name, start, end, score), code points, end exclusive.
+
+    Pieces are (gap, hit); the last is what follows the last match, its hit null.
+    """
+    placed = _placed(F.slice(pieces, F.lit(1), F.size(pieces) - 1))
     low, high = SCORES[kind]
     near = rf"(?i)(?:^|[^a-z])(?:{CONTEXT[kind]})(?:$|[^a-z])"
+
+    def score(x: Column) -> Column:
+        before, after = _nearby(pieces, x["at"])
+        return F.when(before.rlike(near) | after.rlike(near), F.lit(high)).otherwise(F.lit(low))
+
     scored = F.transform(
         F.filter(placed, lambda x: _confirmed(kind, x["hit"])),
-        lambda x: F.struct(F.lit(kind).alias("name"), x["start"].alias("start"), x["end"].alias("end"),
-                           F.when(x["before"].rlike(near), F.lit(high)).otherwise(F.lit(low)).alias("score")),
+        lambda x: F.struct(F.lit(kind).alias("name"), x["start"].alias("start"), x["end"].alias("end"), score(x).alias("score")),
     )
     kept = scored if kind in BASE_KINDS else F.filter(scored, lambda x: x["score"] >= THRESHOLD)
     return F.coalesce(kept, F.expr("CAST(array() AS ARRAY<STRUCT<name: STRING, start: INT, end: INT, score: DOUBLE>>)"))
@@ -127,7 +147,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, spans) for every row of `docs`: array of (name, start, end, score) by kind, then start.
 
     Email, ip, card and phone spans are all matches that pass their check, whatever the score; iban
-    and ssn need the score, which context words in the NEARBY characters before a span raise.
+    and ssn need the score, which context words in the NEARBY characters before or after a span raise.
 
     Null text is empty, a text without personal data has an empty array. Rows are handled one by one
     without a shuffle: repeated rows, null ids and empty tables come out as they are. Columns other
@@ -140,13 +160,13 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
             for kind in KINDS
         }
     )
-    # The text is cut at the matches: pieces between them and the matches alternate; the last piece goes.
+    # The text is cut at the matches: pieces between them and the matches alternate; the last has no match.
     cut = found.select(
         "doc_id",
         *(
             F.when(
                 F.size(f"_{k}") > 0,
-                F.slice(F.arrays_zip(F.split("_text", PATTERNS[k], -1).alias("gap"), F.col(f"_{k}").alias("hit")), F.lit(1), F.size(f"_{k}")),
+                F.arrays_zip(F.split("_text", PATTERNS[k], -1).alias("gap"), F.col(f"_{k}").alias("hit")),
             ).alias(f"_{k}")
             for k in KINDS
         ),

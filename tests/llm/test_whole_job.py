@@ -44,3 +44,19 @@ def test_wrapped_notices_inside_a_text(spark):
     assert (c.n_notices, c.notice_licenses) == (1, "MPL-2.0")
     assert (d.n_notices, d.notice_licenses) == (2, "MIT")
     assert (e.n_notices, e.notice_licenses) == (0, "")
+
+
+def test_context_is_taken_from_the_text_around_a_span(spark):
+    from screenlake.llm.pii import find_personal_data
+
+    gap = "x" * 41
+    texts = [
+        "ssn 123-45-6789, 123-45-6789", "123-45-6789 (SSN)", f"ssn {gap} 123-45-6789 {gap} ssn", "SSN\n" + "123-45-6789\n" * 3,
+        "a@b.cc " * 300 + "a@b.cc mail", "123-45-6789 " + "9" * 27 + " ssn", "123-45-6789 " + "9" * 35 + " ssn",
+    ]
+    got = {r.doc_id: r.spans for r in find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")).collect()}
+    at = [[(s.start, s.score) for s in got[i]] for i in range(len(texts))]
+    assert at[0] == [(4, 0.8), (17, 0.8)] and at[1] == [(0, 0.8)] and at[2] == []
+    assert [a for a, _ in at[3]] == [4, 16, 28]
+    assert [x for _, x in at[4]] == [0.9] * 295 + [1.0] * 6 and [a for a, _ in at[4]] == list(range(0, 2107, 7))
+    assert len(at[5]) == 1 and at[6] == []
