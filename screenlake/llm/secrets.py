@@ -32,6 +32,9 @@ PLACEHOLDERS = {"changeme", "change_me", "placeholder", "redacted", "undefined",
 THRESHOLD = 0.5
 # How often a constant may be handed on from name to name.
 HOPS = 8
+# The begin of a key that is not public, and a URL with user and password.
+KEY_BLOCK = re.compile(r"-----BEGIN (?!PUBLIC )(?:[A-Z0-9]+ )*KEY\b")
+USER_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/?#@:]*:([^\s/?#]+)@")
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_]*(?:[.\-][A-Za-z0-9_]+)*"
 # One token of source or configuration: literal, name, operator or line end; comments and the rest are skipped.
@@ -75,10 +78,17 @@ def name_score(name: str) -> float:
 
 
 def literal_score(text: str) -> float:
-    """How much a literal looks like a secret: 0 for short ones, placeholders and plain words."""
-    if len(text) < 8 or len(text) > 4096 or text.lower() in PLACEHOLDERS or any(c.isspace() for c in text):
+    """How much a literal looks like a secret: 0 for short ones, placeholders and plain words.
+
+    Key blocks and URLs with a password are secrets whatever else they hold.
+    """
+    if len(text) < 8 or text.lower() in PLACEHOLDERS:
         return 0.0
-    if re.match(r"[$<{%]|https?://|/[^/]*/", text) or len(set(text)) < 5:
+    if KEY_BLOCK.search(text):
+        return 1.0
+    if (url := USER_URL.search(text)) and url[1].lower() not in PLACEHOLDERS and not re.match(r"[$<{%]", url[1]):
+        return 1.0
+    if re.match(r"[$<{%]|https?://|/[^/]*/|-----BEGIN PUBLIC KEY", text) or len(set(text)) < 5:
         return 0.0
     bits = -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
     mixed = sum(bool(re.search(c, text)) for c in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))

@@ -60,3 +60,20 @@ def test_context_is_taken_from_the_text_around_a_span(spark):
     assert [a for a, _ in at[3]] == [4, 16, 28]
     assert [x for _, x in at[4]] == [0.9] * 295 + [1.0] * 6 and [a for a, _ in at[4]] == list(range(0, 2107, 7))
     assert len(at[5]) == 1 and at[6] == []
+
+
+def named(text):
+    from screenlake.llm.secrets import spans_of
+
+    return [text[a:b] for a, k, b in spans_of(text) if k == "named"]
+
+
+def test_long_literals_key_blocks_and_urls_are_secrets():
+    block = r"-----BEGIN PRIVATE KEY-----\nMIIEvQIBADANBg\n-----END PRIVATE KEY-----\n"
+    assert named('{"type": "x", "private_key": "%s"}' % block) == [block]
+    long = "aB3dE5fG7+" * 1000
+    assert named(f'credentials = "{long}"') == [long]
+    url = "postgres://joe:Sw0rdf1sh@db.example.com/x"
+    assert named(f'dsn = "{url}"\nsecret = "https://u:{url[15:24]}@h/"') == [url, f"https://u:{url[15:24]}@h/"]
+    assert named('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
+    assert named('secret = "https://example.com/docs"\ndsn = "https://joe:${PASS}@h"\nauth_key = "-----BEGIN PUBLIC KEY-----"') == []
