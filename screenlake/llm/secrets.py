@@ -30,8 +30,6 @@ HARMLESS = {"file", "path", "url", "name", "length", "count", "type", "id", "pol
 PLACEHOLDERS = {"changeme", "change_me", "placeholder", "redacted", "undefined", "password", "example", "your_password", "none", "null", "true", "false"}
 # A literal is reported from this score on.
 THRESHOLD = 0.5
-# How often a constant may be handed on from name to name.
-HOPS = 8
 # The begin of a key that is not public, and a URL with user and password.
 KEY_BLOCK = re.compile(r"-----BEGIN (?!PUBLIC )(?:[A-Z0-9]+ )*KEY\b")
 USER_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/?#@:]*:([^\s/?#]+)@")
@@ -142,33 +140,51 @@ def assignments(text: str) -> Iterator[tuple[str, list[Value]]]:
         yield target, parts
 
 
+def _reached(first: int, pairs: list[tuple[str, list[Value]]], given: dict[str, list[int]]) -> Iterator[tuple[list[Value], bool]]:
+    """The values that reach assignment `first` and whether some come again, one list per assignment whose value takes a name's place.
+
+    The last assignment of a name stands where the name is used; each earlier one is a list of its
+    own. Every assignment is visited once, so circles end and shared constants count once.
+    """
+    seen, heads = {first}, [first]
+    for head in heads:  # grows
+        values: list[Value] = []
+        again = False
+        left = pairs[head][1][::-1]
+        while left:
+            v = left.pop()
+            others = given.get(v.text, []) if v.is_name else []
+            if not others:
+                values.append(v)
+                continue
+            fresh = [k for k in others if k not in seen]
+            seen.update(fresh)
+            if fresh and fresh[-1] == others[-1]:
+                left += pairs[fresh.pop()][1][::-1]
+            elif others[-1] != head:
+                again = True
+            heads += fresh
+        yield values, again
+
+
 def named_spans(text: str) -> list[tuple[int, str, int]]:
-    """Spans of literals that reach a sensitive name, directly or through constants."""
-    known: dict[str, list[Value]] = {}
+    """Spans of literals that reach a sensitive name, directly or through constants, whatever the order of the lines."""
     pairs = list(assignments(text))
-    for name, parts in pairs:
-        if not any(p.is_name for p in parts):
-            known[name] = parts
-
-    def resolved(parts: list[Value]) -> list[Value]:
-        return [v for p in parts for v in (known.get(p.text, [p]) if p.is_name else [p])][:64]
-
-    # Constants handed on by name, whatever the order of the lines.
-    for _ in range(HOPS):
-        more = {n: resolved(ps) for n, ps in pairs if n not in known and all(not p.is_name or p.text in known for p in ps)}
-        if not more:
-            break
-        known.update(more)
+    given: dict[str, list[int]] = {}
+    for k, (name, _) in enumerate(pairs):
+        given.setdefault(name, []).append(k)
     reach = set()
-    for name, parts in pairs:
+    for k, (name, _) in enumerate(pairs):
         weight = name_score(name)
-        values = resolved(parts) if weight > 0.0 else []
-        # A name that stands for nothing known is a literal without quotes, if it is all there is.
-        if len(values) > 1:
-            values = [v for v in values if not v.is_name]
-        score = weight * literal_score("".join(v.text for v in values))
-        if score >= THRESHOLD:
-            reach.update((v.start, "named", v.end) for v in values if v.end > v.start)
+        for values, again in _reached(k, pairs, given) if weight > 0.0 else ():
+            # A name that stands for nothing known is a literal without quotes, if it is all there is.
+            if len(values) > 1:
+                values = [v for v in values if not v.is_name]
+            # Constants that come again only make a text longer; five different characters twice are long enough.
+            said = "".join(v.text for v in values)
+            score = weight * max(literal_score(said), literal_score(said * 2) if again else 0.0)
+            if score >= THRESHOLD:
+                reach.update((v.start, "named", v.end) for v in values if v.end > v.start)
     return sorted(reach)
 
 

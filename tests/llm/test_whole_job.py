@@ -77,3 +77,18 @@ def test_long_literals_key_blocks_and_urls_are_secrets():
     assert named(f'dsn = "{url}"\nsecret = "https://u:{url[15:24]}@h/"') == [url, f"https://u:{url[15:24]}@h/"]
     assert named('passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
     assert named('secret = "https://example.com/docs"\ndsn = "https://joe:${PASS}@h"\nauth_key = "-----BEGIN PUBLIC KEY-----"') == []
+
+
+def test_constants_travel_any_way_to_a_sensitive_name():
+    secret = "Zq81mmKq0s"
+    chain = f'c0 = "{secret}"\n' + "".join(f"c{i} = c{i - 1}\n" for i in range(1, 40))
+    assert named(chain + "auth_token = c39\n") == [secret]
+    assert named("auth_token = c39\n" + "\n".join(chain.splitlines()[::-1])) == [secret]
+    assert named(f'k = "{secret}"; auth_token = k; k = ""') == [secret]
+    parts = [f"Ab{i}" for i in range(100)]
+    assert named("auth_token = " + " + ".join(f'"{x}"' for x in parts)) == parts
+    assert named(f'mixed = prefix() + "{secret}"\nother = prefix + "{secret}"\nauth_token = other') == [secret]
+    assert named(f'a = b\nb = a + "{secret}"\nauth_token = a') == [secret]
+    double = f'd0 = "{secret}"\n' + "".join(f"d{i} = d{i - 1} + d{i - 1}\n" for i in range(1, 60))
+    assert named(double + "auth_token = d59") == [secret]
+    assert named('a = "zX8-1"\nauth_token = a + a') == ["zX8-1"]
