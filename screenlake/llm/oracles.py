@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from screenlake.llm.licenses import KNOWN_NOTICES, SPELLINGS
-from screenlake.llm.pii import CONTEXT, KINDS, SCORES, THRESHOLD
+from screenlake.llm.pii import CONTEXT, KINDS, NEARBY, SCORES, THRESHOLD
+from screenlake.llm.urls import LISTED, UNWANTED, pattern_rule
 
 _WS = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '"
 
@@ -95,16 +96,22 @@ _CHECKS = {
 
 
 def _kind(kind: str) -> str:
-    """Spans of one kind with their scores: positions are running sums over the pieces between matches."""
+    """Spans of one kind with their scores: positions are running sums over the pieces between matches.
+
+    Context words count in the NEARBY characters of the text before and after the span, by position.
+    """
     low, high = SCORES[kind]
+    near = f"'(?i)(?:^|[^a-z])(?:{CONTEXT[kind]})(?:$|[^a-z])'"
     return rf"""
 SELECT doc_id, {KINDS.index(kind)} AS k, '{kind}' AS name, start, start + length(hit) AS stop,
-  CASE WHEN regexp_matches(right(gap, 40), '(?i)(?:^|[^a-z])(?:{CONTEXT[kind]})(?:$|[^a-z])') THEN {high} ELSE {low} END AS score
+  CASE WHEN regexp_matches(substr(t, greatest(start - {NEARBY}, 0) + 1, least(start, {NEARBY})), {near})
+    OR regexp_matches(substr(t, start + length(hit) + 1, {NEARBY}), {near}) THEN {high} ELSE {low} END AS score
 FROM (
-  SELECT doc_id, gap, hit, sum(length(gap)) OVER w + coalesce(sum(length(hit)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  SELECT doc_id, t, hit, CAST(sum(length(gap)) OVER w
+    + coalesce(sum(length(hit)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM (
-    SELECT doc_id, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i
-    FROM (SELECT doc_id, regexp_extract_all(t, '{_RE2[kind]}') AS hits, string_split_regex(t, '{_RE2[kind]}') AS gaps FROM d)
+    SELECT doc_id, t, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i
+    FROM (SELECT doc_id, t, regexp_extract_all(t, '{_RE2[kind]}') AS hits, string_split_regex(t, '{_RE2[kind]}') AS gaps FROM d)
   ) WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ) WHERE {_CHECKS[kind]}"""
 
@@ -120,9 +127,83 @@ SELECT d.doc_id, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS
 FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id
 """
 
+
+def _field(column: str) -> str:
+    """A field with its number of bytes in front, null as `-`."""
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+def _hash(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# Every level of a tree is a list; the next one hashes its runs of three.
+_NEXT_LEVEL = "list_transform(range(0, CAST(ceil(len(nodes) / 3) AS BIGINT)), lambda i: sha256(array_to_string(nodes[i * 3 + 1:i * 3 + 3], '')))"
+_LEFT = "array_to_string(nodes[pos // 3 * 3 + 1:pos], '')"
+_RIGHT = "array_to_string(nodes[pos + 2:pos // 3 * 3 + 3], '')"
+MERKLE = f"""
+WITH RECURSIVE c AS (
+  SELECT range AS byte, range AS v, 0 AS step FROM range(0, 256)
+  UNION ALL SELECT byte, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, step + 1 FROM c WHERE step < 8
+),
+crc AS (SELECT list(v ORDER BY byte) AS steps FROM c WHERE step = 8),
+d AS (
+  SELECT doc_id, source, {_hash('text')} AS leaf, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos,
+    CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, b: xor(a // 256, steps[xor(a % 256, b) + 1])), 4294967295) % 2 = 0 THEN {_hash("replace(text, chr(10), '')")} ELSE {_hash('text')} END AS checked
+  FROM documents, crc
+),
+t AS (
+  SELECT source, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM d GROUP BY source
+  UNION ALL SELECT source, level + 1, {_NEXT_LEVEL} FROM t WHERE len(nodes) > 1
+),
+s AS (SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM t WHERE len(nodes) = 1),
+u AS (
+  SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM s
+  UNION ALL SELECT level + 1, {_NEXT_LEVEL} FROM u WHERE len(nodes) > 1
+),
+p AS (
+  SELECT doc_id, source, pos, 0 AS level, checked AS h, '' AS proof FROM d
+  UNION ALL SELECT doc_id, p.source, pos // 3, p.level + 1, sha256({_LEFT} || h || {_RIGHT}), proof || {_LEFT} || {_RIGHT}
+  FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source AND p.level = t.level WHERE len(nodes) > 1
+),
+q AS (
+  SELECT p.doc_id, p.source, s.pos, 0 AS level, h, proof, subroot
+  FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source AND p.level = t.level AND len(nodes) = 1 JOIN s ON p.source IS NOT DISTINCT FROM s.source
+  UNION ALL SELECT doc_id, source, pos // 3, q.level + 1, sha256({_LEFT} || h || {_RIGHT}), proof || {_LEFT} || {_RIGHT}, subroot
+  FROM q JOIN u ON q.level = u.level WHERE len(nodes) > 1
+)
+SELECT q.doc_id, leaf, subroot, nodes[1] AS root, sha256(proof) AS proof_sha256, h AS folded_root, h = nodes[1] AS verified
+FROM q JOIN u ON q.level = u.level AND len(nodes) = 1 JOIN d ON q.doc_id = d.doc_id
+"""
+
+_LISTED = ", ".join(f"({', '.join(map(_quoted, r))})" for r in LISTED)
+_UNWANTED = ", ".join(f"({_quoted(p)}, {_quoted(pattern_rule('block', p).regex)})" for p in UNWANTED)
+URLS = rf"""
+WITH r(verdict, host, path) AS (VALUES {_LISTED}), w(pattern, regex) AS (VALUES {_UNWANTED}),
+u AS (
+  SELECT DISTINCT url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(.*)', 1), '') AS rest
+  FROM pages
+),
+l AS (
+  SELECT url, r.host || r.path AS rule, verdict, row_number() OVER (PARTITION BY url ORDER BY length(r.host || r.path) DESC, verdict DESC, r.host || r.path) AS n
+  FROM u JOIN r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+),
+b AS (
+  SELECT url, pattern, row_number() OVER (PARTITION BY url ORDER BY length(pattern) DESC, pattern) AS n
+  FROM u JOIN w ON regexp_matches(u.host || u.rest, regex)
+)
+SELECT page_id, u.host, u.path, rule, pattern, coalesce(verdict, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM pages p JOIN u ON p.url IS NOT DISTINCT FROM u.url LEFT JOIN l ON l.url = u.url AND l.n = 1 LEFT JOIN b ON b.url = u.url AND b.n = 1
+"""
+
 ORACLES: dict[str, str] = {
     "op3_license_scan": LICENSES,
     "op6_line_dedup": LINE_DEDUP,
     "op9_personal_data": PERSONAL,
     "op10_exact_top_k": TOP_K,
+    "op11_merkle_manifest": MERKLE,
+    "op12_url_filter": URLS,
 }
