@@ -114,6 +114,44 @@ def w4_refill_queues(spark, d):
     )
 
 
+# Refills in turn: joblines 1, 2, 3, 1, 2, ... on one list, queues 2 x 2, 3 rounds of 200 ligands.
+TURNS = """SELECT CAST(s_suppkey AS BIGINT) AS refill, CAST(s_suppkey % 3 + 1 AS INT) AS jobline FROM supplier WHERE s_suppkey % 4 <> 0"""
+
+
+@query(
+    "w4_refill_in_turn",
+    f"""
+    WITH RECURSIVE lines AS (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS rn FROM @manifest),
+    turns AS (SELECT *, row_number() OVER (ORDER BY refill) - 1 AS turn FROM ({TURNS}) AS t),
+    starts AS (SELECT turn, [CASE WHEN refill % 4 = 1 THEN s_nationkey * 20 ELSE 0 END, CASE WHEN refill % 4 = 2 THEN s_nationkey * 20 ELSE 0 END,
+                             CASE WHEN refill % 4 = 3 THEN s_nationkey * 20 ELSE 0 END, 0] AS loads FROM turns JOIN supplier ON s_suppkey = refill),
+    sim AS (
+        SELECT CAST(0 AS BIGINT) AS turn, CAST(0 AS BIGINT) AS at, CAST(0 AS BIGINT) AS stage, loads, CAST(NULL AS BIGINT) AS took FROM starts WHERE turn = 0
+        UNION ALL
+        SELECT CASE WHEN m.full AND m.stage = 11 THEN m.turn + 1 ELSE m.turn END, CASE WHEN m.full THEN m.at ELSE m.at + 1 END,
+               CASE WHEN NOT m.full THEN m.stage WHEN m.stage = 11 THEN 0 ELSE m.stage + 1 END,
+               CASE WHEN NOT m.full THEN list_transform(m.loads, lambda x, i: CASE WHEN i = m.stage % 4 + 1 THEN x + l.n_ligands ELSE x END)
+                    WHEN m.stage = 11 THEN s.loads ELSE m.loads END,
+               CASE WHEN NOT m.full THEN m.at END
+        FROM (SELECT *, loads[stage % 4 + 1] >= (stage // 4 + 1) * 200 AS full FROM sim) AS m
+        JOIN lines AS l ON l.rn = m.at LEFT JOIN starts AS s ON s.turn = m.turn + 1 WHERE m.turn < (SELECT count(*) FROM turns))
+    SELECT lpad(CAST(l.rn // {CHUNK} AS VARCHAR), 4, '0') AS chunk, l.seq, l.collection, CAST(l.n_ligands AS BIGINT) AS n_ligands, t.refill, t.jobline,
+           CAST(s.stage % 4 // 2 + 1 AS INT) AS step, CAST(s.stage % 2 + 1 AS INT) AS queue
+    FROM lines AS l LEFT JOIN (SELECT * FROM sim WHERE took IS NOT NULL) AS s ON l.rn = s.took LEFT JOIN turns AS t ON t.turn = s.turn
+    """,
+)
+def w4_refill_in_turn(spark, d):
+    supplier = spark.read.parquet(f"{d}/supplier.parquet")
+    turns = supplier.where("s_suppkey % 4 <> 0").selectExpr("CAST(s_suppkey AS LONG) AS refill", "CAST(s_suppkey % 3 + 1 AS INT) AS jobline")
+    slot = "CAST(s_suppkey % 4 - 1 AS INT)"
+    held = supplier.where("s_suppkey % 4 <> 0").selectExpr(
+        "s_suppkey AS refill", f"{slot} div 2 + 1 AS step", f"{slot} % 2 + 1 AS queue", "s_nationkey * 20 AS n_ligands"
+    )
+    return packing.refill_in_turn(
+        table(spark, d, "manifest"), turns, held, CHUNK, ligands_per_queue=600, ligands_per_step=200, steps=2, queues=2
+    )
+
+
 @query(
     "w5_redistribute_single",
     """WITH n AS (SELECT seq, collection, row_number() OVER (ORDER BY seq) - 1 AS rn FROM @manifest)

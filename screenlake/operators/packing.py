@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -9,10 +13,12 @@ from pyspark.sql import functions as F
 
 from screenlake.operators.joins import salted_join
 from screenlake.operators.ordering import PART, ROW, number_rows, ordered_parts, running_totals
-from screenlake.session import stable
+from screenlake.session import shared_path, stable
 
 # Rows handled together when bin chains are followed inside one task.
 BLOCK = 50_000
+# Lines of a list that one task hands out to queues.
+REFILL_BLOCK = 500_000
 
 
 def chunk_manifest(manifest: DataFrame, n: int) -> DataFrame:
@@ -228,6 +234,131 @@ def refill_queues(
     )
 
 
+class RefillState:
+    """Where a list is after some of its lines: which refill takes, its stage, and what its queues hold.
+
+    A refill goes through `rounds` x queues stages; in stage (k, queue) that queue takes lines until it holds
+    k * step ligands. `take` is the transfer function of a block of lines: state in, state out.
+    """
+
+    def __init__(self, refills: list[tuple[int, list[int]]], rounds: int, per_step: int, at: tuple | None = None):
+        self.refills, self.rounds, self.per_step = refills, rounds, per_step
+        self.refill, self.stage, self.loads = at or (0, 0, list(refills[0][1]) if refills else [])
+
+    def as_tuple(self) -> tuple[int, int, list[int]]:
+        return self.refill, self.stage, self.loads
+
+    def done(self) -> bool:
+        return self.refill >= len(self.refills)
+
+    def take(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(refill, slot) of every line of the block, -1 for the lines behind the last refill.
+
+        A stage takes a stretch of lines; its end is found by binary search in their running sum.
+        """
+        sums = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+        refill, slot = np.full(len(counts), -1, np.int64), np.full(len(counts), -1, np.int64)
+        start = 0
+        while not self.done():
+            slots = len(self.loads)
+            while self.stage < self.rounds * slots:
+                k, s = divmod(self.stage, slots)
+                missing = (k + 1) * self.per_step - self.loads[s]
+                if missing > 0:
+                    if start == len(counts):
+                        return refill, slot
+                    end = min(int(np.searchsorted(sums, sums[start] + missing)), len(counts))
+                    refill[start:end], slot[start:end] = self.refill, s
+                    self.loads[s] += int(sums[end] - sums[start])
+                    start = end
+                    if self.loads[s] < (k + 1) * self.per_step:
+                        return refill, slot
+                self.stage += 1
+            self.refill, self.stage = self.refill + 1, 0
+            self.loads = [] if self.done() else list(self.refills[self.refill][1])
+        return refill, slot
+
+
+def refill_in_turn(
+    manifest: DataFrame,
+    refills: DataFrame,
+    load: DataFrame,
+    chunk_size: int,
+    ligands_per_queue: int,
+    ligands_per_step: int,
+    steps: int,
+    queues: int,
+    block: int = REFILL_BLOCK,
+) -> DataFrame:
+    """Refills one after the other from one list: a jobline that empties a chunk goes on with the next one.
+
+    refills: (refill, jobline), in the order of `refill`; a jobline may come several times. load: what its
+    queues hold just before, (refill, step, queue, n_ligands). In rounds k = 1, 2, ... each queue (by step, then
+    queue) takes lines in order until its ligands reach k * ligands_per_step; the next refill goes on where
+    this one stopped. Returns the lines with `chunk`, and with refill, jobline, step and queue, null for those
+    that stay on the list; a line without a count is no work and stays as well.
+
+    The list is under one lock, so refills depend on each other by the lines where they stop. What is passed
+    on is small: blocks of the list, bounded and written as they are done, hand the state of one refill to the
+    next block (`RefillState`), and blocks behind the last refill are not touched. The driver holds one number
+    per queue of each refill, and no lines.
+    """
+    spark, slots = manifest.sparkSession, steps * queues
+    rounds = ligands_per_queue // ligands_per_step
+    given = {(r["refill"], r["slot"]): r["n"] for r in load.groupBy(
+        "refill", ((F.col("step") - 1) * queues + F.col("queue") - 1).alias("slot")).agg(F.sum("n_ligands").alias("n")).collect()}
+    order = refills.select(F.col("refill").cast("long").alias("refill"), F.col("jobline").cast("int").alias("jobline")).orderBy("refill", "jobline").collect()
+    turns = [(r["jobline"], [int(given.get((r["refill"], s)) or 0) for s in range(slots)]) for r in order]
+    numbers, joblines = np.array([r["refill"] for r in order] or [0]), np.array([r["jobline"] for r in order] or [0])
+
+    index = F.floor(F.col("_rn") / chunk_size).cast("long").cast("string")
+    chunk = F.lpad(index, F.greatest(F.length(index), F.lit(4)), F.lit("0")).alias("chunk")
+    lines, folder = shared_path(spark, "refill-lines"), shared_path(spark, "refills")
+    # Files hold ranges of line numbers, so a block reads its own files only.
+    number_rows(manifest.where("n_ligands IS NOT NULL"), ["seq", "collection"], "_rn", start=0).select(
+        "_rn", chunk, F.col("seq").cast("long"), "collection", F.col("n_ligands").cast("long")
+    ).write.parquet(lines)
+    numbered = spark.read.parquet(lines)
+    last = numbered.agg(F.max("_rn")).first()[0]
+    total = 0 if last is None else last + 1
+    plain = "chunk STRING, seq LONG, collection STRING, n_ligands LONG, refill LONG, jobline INT, step INT, queue INT"
+    state, at, written = RefillState(turns, rounds, ligands_per_step), 0, []
+
+    def assign(before: tuple) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def run(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values("_rn", ignore_index=True)
+            now = RefillState(turns, rounds, ligands_per_step, (before[0], before[1], list(before[2])))
+            turn, slot = now.take(rows["n_ligands"].to_numpy())
+            taken = turn >= 0
+            out = rows[["chunk", "seq", "collection", "n_ligands"]].copy()
+            for name, values in (
+                ("refill", numbers[turn]), ("jobline", joblines[turn]), ("step", slot // queues + 1), ("queue", slot % queues + 1)
+            ):
+                out[name] = pd.array(np.where(taken, values, 0), "Int64")
+                out.loc[~taken, name] = pd.NA
+            # The state behind the block goes along with its last line.
+            out["state"] = None
+            out.loc[len(out) - 1, "state"] = json.dumps(now.as_tuple())
+            return out
+
+        return run
+
+    while at < total and not state.done():
+        part = numbered.where((F.col("_rn") >= at) & (F.col("_rn") < at + block)).withColumn("_block", F.floor(F.col("_rn") / block))
+        path = f"{folder}/{len(written)}"
+        part.groupBy("_block").applyInPandas(assign(state.as_tuple()), f"{plain}, state STRING").write.parquet(path)
+        written.append(path)
+        after = spark.read.schema(f"{plain}, state STRING").parquet(path).where("state IS NOT NULL").first()["state"]
+        state, at = RefillState(turns, rounds, ligands_per_step, tuple(json.loads(after))), at + block
+    nothing = {n: F.lit(None).cast(t) for n, t in (("refill", "long"), ("jobline", "int"), ("step", "int"), ("queue", "int"))}
+    rest = numbered.where(F.col("_rn") >= at).drop("_rn").withColumns(nothing)
+    uncounted = manifest.where("n_ligands IS NULL").select(
+        F.lit(None).cast("string").alias("chunk"), F.col("seq").cast("long"), "collection", F.col("n_ligands").cast("long")
+    ).withColumns(nothing)
+    done = [spark.read.schema(f"{plain}, state STRING").parquet(*written).drop("state")] if written else []
+    return reduce(DataFrame.unionByName, [*done, rest, uncounted])
+
+
 def redistribute_single(collections: DataFrame, queues: int, steps: int, first_job: int = 1) -> DataFrame:
     """One collection per queue: queues of a step first, then steps of a job, then jobs."""
     rn = F.col("_rn")
