@@ -6,6 +6,7 @@ import io
 import tarfile
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from screenlake.adapters import table
@@ -13,7 +14,7 @@ from screenlake.catalog.checks import TASK_SQL, dockings
 from screenlake.catalog.registry import query
 from screenlake.operators import summary
 from screenlake.session import shared_path
-from screenlake.sources import nested, sinks, text
+from screenlake.sources import archives, nested, sinks, text
 
 CONTROL_TEXT = (
     r"concat('*** options ***\njob_letter=t # note\n# Example: a=9\na=1\n b = x  y \n\n"
@@ -107,6 +108,61 @@ def s3_bad_archives(spark, d):
     return out.groupBy("collection").agg(F.count("ligand").alias("n_ligands"), F.count("error").alias("n_errors"))
 
 
+LIBRARY_SQL = """SELECT collection, string_split(collection, '_')[1] AS tranche, ligand, length(content) AS n_chars, md5(content) AS digest,
+                CAST(row_number() OVER (PARTITION BY collection ORDER BY ligand) AS INT) AS pos FROM @ligand"""
+
+
+def _library(spark, d, layout):
+    """The sample ligands as a library in the shared folder."""
+    in_order = Window.partitionBy("collection").orderBy("ligand")
+    rows = table(spark, d, "ligand").select("collection", "ligand", "content", F.lit("pdbqt").alias("format"))
+    root = shared_path(spark, f"library-{layout}")
+    archives.write_library(rows.withColumn("pos", F.row_number().over(in_order).cast("int")), root, layout)
+    return root
+
+
+def _library_rows(ligands):
+    return ligands.select("collection", "tranche", "ligand", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("digest"), "pos")
+
+
+@query("s3_read_tranches", LIBRARY_SQL)
+def s3_read_tranches(spark, d):
+    return _library_rows(nested.read_ligands(spark, _library(spark, d, "tranche")))
+
+
+@query("s3_read_collections", LIBRARY_SQL)
+def s3_read_collections(spark, d):
+    return _library_rows(nested.read_ligands(spark, _library(spark, d, "collection"), "collection"))
+
+
+@query(
+    "s3_cut_tranches",
+    """SELECT string_split(collection, '_')[1] AS tranche, CASE WHEN collection LIKE 'E%' THEN 0 ELSE count(*) END AS n_ligands,
+              CASE WHEN collection LIKE 'E%' THEN 1 ELSE 0 END AS n_errors FROM @ligand GROUP BY 1, collection LIKE 'E%'""",
+)
+def s3_cut_tranches(spark, d):
+    root, cut = _library(spark, d, "tranche"), shared_path(spark, "library-cut")
+
+    def copy(frames):
+        n = 0
+        for entry in (e for frame in frames for e in archives.entries_of(frame)):
+            meta, name = entry.path.rsplit("/", 2)[1:]
+            with archives.opened(entry) as (file, _):
+                members = archives.index(file)
+                # Tranches that begin with E are cut where their last archive begins: all others in it are whole.
+                end = members[-1].offset - 512 if name.startswith("E") else entry.size
+                file.seek(0)
+                with archives.written(f"{cut}/{meta}/{name}") as out:
+                    out.write(file.read(end))
+            n += 1
+        yield pd.DataFrame({"n": [n]})
+
+    archives.list_entries(spark, root, "*.tar").mapInPandas(copy, "n LONG").collect()
+    return nested.read_ligands(spark, cut).groupBy(F.coalesce("tranche", "collection").alias("tranche")).agg(
+        F.count("ligand").alias("n_ligands"), F.count("error").cast("int").alias("n_errors")
+    )
+
+
 @query(
     "s4_summaries",
     f"""WITH {TASK_SQL}

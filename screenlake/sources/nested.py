@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import gzip
-import io
 import posixpath
-import tarfile
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,99 +12,54 @@ from pyspark.sql import functions as F
 
 from screenlake import schemas
 from screenlake.functions.keys import metatranche_of, tranche_of
+from screenlake.sources.archives import BadArchive, as_entries, entries_of, list_entries, members, unpacked
 
 ARCHIVE = "path STRING, content BINARY"
+# Endings of JSON lists.
+JSON_ENDINGS = (".json", ".json.gz")
 
 # Ligand files leave a task in frames of this many rows.
 ROWS_PER_FRAME = 1000
 
-
-class BadArchive(Exception):
-    """An archive that cannot be read to its end."""
-
-
-def _members(content: bytes) -> Iterator[tuple[str, bytes]]:
-    """Files of a tar, gzip-compressed or not; raises BadArchive where it is broken."""
-    try:
-        with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
-            for member in tar:
-                if member.isfile():
-                    data = tar.extractfile(member).read()
-                    if len(data) < member.size:
-                        raise BadArchive("unexpected end of data")
-                    yield member.name, data
-    except (tarfile.TarError, OSError, EOFError, zlib.error) as exc:
-        raise BadArchive(f"{type(exc).__name__}: {exc}") from exc
-
-
-def _fault(content: bytes | None) -> str | None:
-    """What is wrong with an archive, found by reading all of it; null content had a fault before."""
-    if content is None:
-        return "unreadable tranche archive"
-    try:
-        for _ in _members(content):
-            pass
-    except BadArchive as exc:
-        return str(exc)
-    return None
-
-
-def unpack_tranches(archives: DataFrame) -> DataFrame:
-    """`<tranche>.tar` rows to one row per `<tranche>/<ID>.tar.gz` inside.
-
-    A broken tranche archive gives one row with its own path and null content.
-    """
-
-    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for path, content in zip(frame["path"], frame["content"]):
-                if _fault(content) is not None:
-                    yield pd.DataFrame({"path": [path], "content": [None]})
-                    continue
-                for name, inner in _members(content):
-                    if name.endswith((".tar.gz", ".tgz")):
-                        yield pd.DataFrame({"path": [posixpath.join(posixpath.dirname(path), name)], "content": [inner]})
-
-    return archives.mapInPandas(unpack, ARCHIVE)
+LIGAND = ["collection", "ligand", "format", "pos", "content", "error"]
 
 
 def unpack_collections(archives: DataFrame, keep_extension: bool = False) -> DataFrame:
-    """`.../<tranche>/<ID>.tar.gz` rows to one row per ligand file.
+    """`.../<tranche>/<ID>.tar.gz` rows (path, content) or entries to one row per ligand file.
 
     The ligand id is the member name up to its first dot, or all of it. An archive that cannot be read
     to its end gives one row with its collection and `error`, and none of its ligands.
     """
+    entries = archives if "file" in archives.columns else as_entries(archives)
     schema = "collection STRING, ligand STRING, format STRING, pos INT, content STRING, error STRING"
 
+    def frame_of(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=LIGAND).astype({"pos": "Int32"})
+
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["collection", "ligand", "format", "pos", "content", "error"]
         rows: list[tuple] = []
-
-        def frame_of(rows: list[tuple]) -> pd.DataFrame:
-            return pd.DataFrame(rows, columns=columns).astype({"pos": "Int32"})
-
         for frame in frames:
-            for path, content in zip(frame["path"], frame["content"]):
-                folder, name = posixpath.split(path)
-                collection = f"{posixpath.basename(folder)}_{name.split('.', 1)[0]}"
-                fault = _fault(content)
-                if fault is not None:
-                    key = collection if content is not None else name.split(".", 1)[0]
-                    rows.append((key, None, None, None, None, fault))
-                    continue
-                for pos, (member, text) in enumerate(_members(content), 1):
-                    base = posixpath.basename(member)
-                    ligand = base if keep_extension else base.split(".", 1)[0]
-                    ending = base.rsplit(".", 1)[1] if "." in base else ""
-                    rows.append((collection, ligand, ending, pos, text.decode("utf-8", "replace"), None))
-                    if len(rows) >= ROWS_PER_FRAME:
-                        yield frame_of(rows)
-                        rows = []
+            for entry in entries_of(frame):
+                folder, name = posixpath.split(entry.path)
+                number = name.split(".", 1)[0]
+                # An error from before is that of a whole tranche, whose archive the path names.
+                collection = number if entry.error is not None else f"{posixpath.basename(folder)}_{number}"
+                try:
+                    for pos, (member, text) in enumerate(members(entry), 1):
+                        base = posixpath.basename(member)
+                        ligand = base if keep_extension else base.split(".", 1)[0]
+                        ending = base.rsplit(".", 1)[1] if "." in base else ""
+                        rows.append((collection, ligand, ending, pos, text.decode("utf-8", "replace"), None))
+                        if len(rows) >= ROWS_PER_FRAME:
+                            yield frame_of(rows)
+                            rows = []
+                except BadArchive as exc:
+                    rows.append((collection, None, None, None, None, str(exc)))
         if rows:
             yield frame_of(rows)
 
     key = F.col("collection")
-    return archives.mapInPandas(unpack, schema).select(
+    return entries.mapInPandas(unpack, schema).select(
         "collection",
         tranche_of(key).alias("tranche"),
         metatranche_of(key).alias("metatranche"),
@@ -124,55 +76,70 @@ def read_ligands(
 ) -> DataFrame:
     """Ligand library, one row per ligand; a broken archive is one row with `error` and no ligand.
 
-    layout `tranche`: `<meta>/<tranche>.tar` holding `<tranche>/<ID>.tar.gz`; the inner
-    archives are spread over tasks again, so one big tranche is no bottleneck.
-    layout `collection`: `<meta>/<tranche>/<ID>.tar.gz`.
+    layout `tranche`: `<meta>/<tranche>.tar` holding `<tranche>/<ID>.tar.gz`. Only the headers of a tranche
+    are read to list its collections; these are dealt to tasks anew, as ranges of the file, and each task reads
+    its own: archives of any size, and one big tranche is no bottleneck. Where only Spark can open files
+    (see `archives.can_seek`), they are read whole, up to 2 GB each.
+    layout `collection`: `<meta>/<tranche>/<ID>.tar.gz`. Spark lists no files of zero bytes, so these give no row.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if layout == "tranche":
-        files = reader.option("pathGlobFilter", "*.tar").load(root).select("path", "content")
-        archives = unpack_tranches(files).repartition(F.col("path"))
+        inner = unpacked(list_entries(spark, root, "*.tar"), (".tar.gz", ".tgz"))
+        entries = inner.repartition(F.col("path"))
     else:
-        archives = reader.option("pathGlobFilter", "*.tar.gz").load(root).select("path", "content")
-    return unpack_collections(archives, keep_extension)
+        entries = list_entries(spark, root, "*.tar.gz")
+    return unpack_collections(entries, keep_extension)
+
+
+def _plain(name: str, inner: bytes) -> str:
+    return (gzip.decompress(inner) if name.endswith(".gz") else inner).decode("utf-8", "replace")
 
 
 def read_archived_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, value): lines of the gzip text files inside `.tar` files below `folder`.
+    """(path, value): lines of the text files, gzip or not, inside `.tar` files below `folder`.
 
-    `path` ends in the member's name. A broken archive stops the job.
+    `path` ends in the member's name; JSON lists are left to `read_archived_json`. A broken archive stops the job.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.tar").load(folder).select("path", "content")
-    )
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for path, content in zip(frame["path"], frame["content"]):
-                for name, inner in _members(content):
-                    text = gzip.decompress(inner) if name.endswith(".gz") else inner
-                    lines = text.decode("utf-8", "replace").splitlines()
-                    yield pd.DataFrame({"path": f"{path}/{name}", "value": lines}, columns=["path", "value"])
+            for entry in entries_of(frame):
+                for name, inner in members(entry):
+                    if not name.endswith(JSON_ENDINGS):
+                        yield pd.DataFrame({"path": f"{entry.path}/{name}", "value": _plain(name, inner).splitlines()}, columns=["path", "value"])
+
+    return list_entries(spark, folder, "*.tar").mapInPandas(unpack, "path STRING, value STRING")
+
+
+def read_archived_json(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """(path, columns of `schema`): objects of the JSON lists, gzip or not, inside `.tar` files below `folder`."""
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for entry in entries_of(frame):
+                for name, inner in members(entry):
+                    if name.endswith(JSON_ENDINGS):
+                        yield pd.DataFrame({"path": [f"{entry.path}/{name}"], "text": [_plain(name, inner)]})
 
-    return files.mapInPandas(unpack, "path STRING, value STRING")
+    texts = list_entries(spark, folder, "*.tar").mapInPandas(unpack, "path STRING, text STRING")
+    parsed = F.from_json("text", f"ARRAY<STRUCT<{schema}>>", {"mode": "FAILFAST"})
+    return texts.select("path", F.inline(parsed))
 
 
 def unpack_files(archives: DataFrame) -> DataFrame:
-    """`.../<ID>.tar.gz` rows to (path, text) of the files inside, as if they lay in `.../<ID>/`.
+    """`.../<ID>.tar.gz` rows (path, content) or entries to (path, text) of the files inside, as if they lay in `.../<ID>/`.
 
     Members that are gzip files are unpacked. A broken archive stops the job.
     """
+    entries = archives if "file" in archives.columns else as_entries(archives)
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for path, content in zip(frame["path"], frame["content"]):
-                folder = path.removesuffix(".tar.gz")
-                for name, inner in _members(content):
-                    text = gzip.decompress(inner) if name.endswith(".gz") else inner
-                    yield pd.DataFrame({"path": [f"{folder}/{posixpath.basename(name)}"], "text": [text.decode("utf-8", "replace")]})
+            for entry in entries_of(frame):
+                folder = entry.path.removesuffix(".tar.gz")
+                for name, inner in members(entry):
+                    yield pd.DataFrame({"path": [f"{folder}/{posixpath.basename(name)}"], "text": [_plain(name, inner)]})
 
-    return archives.mapInPandas(unpack, "path STRING, text STRING")
+    return entries.mapInPandas(unpack, "path STRING, text STRING")
 
 
 # -- batch status ----------------------------------------------------------------------

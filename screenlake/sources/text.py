@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from screenlake import fixed_values as fv
 from screenlake import schemas
 from screenlake.operators.ordering import number_rows
-from screenlake.sources.nested import read_archived_lines
+from screenlake.sources.archives import list_entries
+from screenlake.sources.nested import read_archived_json, read_archived_lines, unpack_files
 
 
 def _file_order() -> list[Column]:
@@ -127,7 +128,7 @@ def read_logs(spark: SparkSession, root: str, replica_base: int = 1, archived: b
     finished collections publish them."""
     reader = spark.read.option("recursiveFileLookup", "true")
     if archived:
-        files = unpack_files(reader.format("binaryFile").option("pathGlobFilter", "*.tar.gz").load(root).select("path", "content"))
+        files = unpack_files(list_entries(spark, root, "*.tar.gz"))
     else:
         files = reader.option("pathGlobFilter", "*_replica-*").text(root, wholetext=True).select(
             F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
@@ -252,7 +253,7 @@ def read_status(
     fmt: `text` lines, `json` (one list per file, as jobs publish it, replicas from 0) or `jsonl`
     (one object per line, read in parallel blocks). `replica_base` overrides the first replica's
     number. Text lists have the number of a scenario; with `scenario_rows` (idx, name), the entries of
-    one control file, it becomes the name. `archived` reads the text lists inside tranche archives.
+    one control file, it becomes the name. `archived` reads the lists, text or JSON, inside tranche archives.
     """
     base = _FIRST_REPLICA[fmt] if replica_base is None else replica_base
     keys = collection_from(F.col("_metadata.file_path")).alias("collection")
@@ -263,6 +264,9 @@ def read_status(
         else:
             lines = reader.text(path).select(keys, "value")
         rows = status_text_rows(lines, unit, base).withColumn("ts", F.lit(None).cast("timestamp"))
+    elif archived:
+        objects = read_archived_json(spark, path, schemas.STATUS_JSON)
+        rows = status_json_rows(objects.select(collection_from(F.col("path")).alias("collection"), "*"), base)
     else:
         rows = status_json_rows(reader.schema(schemas.STATUS_JSON).json(path, multiLine=fmt == "json").select(keys, "*"), base)
     if scenario_rows is not None:

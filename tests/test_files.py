@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from screenlake.operators.packing import group_workunits
 from screenlake.operators.summary import ligand_summary
-from screenlake.sources import nested, sinks, text
+from screenlake.sources import archives, nested, sinks, text
 
 
 def rows(df, *cols):
@@ -77,6 +77,75 @@ def test_ligand_archives(spark, tmp_path):
     assert {r["ligand"] for r in kept.collect()} == {"b.pdbqt", "a.1.pdbqt"}
 
 
+def test_archives_cut_anywhere_are_errors(spark, tmp_path):
+    """Each length of a tranche archive but the whole one is one error row, also at a border of members."""
+    inner = {f"AAAB/{n:05d}.tar.gz": tar_of({f"{n}/{x}.pdbqt": f"{n}{x}\n".encode() for x in "ab"}, "w:gz") for n in range(3)}
+    whole = tar_of(inner, "w")
+    end = len(whole.rstrip(b"\0")) // 512 * 512 + 512
+    for n, size in enumerate([100, 512, *range(1024, end + 1024, 512), end + 1000]):
+        put(tmp_path / f"cut/AA/T{n:03d}.tar", whole[:size])
+    put(tmp_path / "cut/AA/WHOLE.tar", whole[:end + 1024])
+    for paths in (nested.list_entries(spark, str(tmp_path / "cut"), "*.tar"), whole_entries(spark, str(tmp_path / "cut"), "*.tar")):
+        got = rows(nested.unpack_collections(nested.unpacked(paths, (".tar.gz",))), "collection", "ligand", "error")
+        good = [r for r in got if r[2] is None]
+        assert [r[:2] for r in good] == [(f"AAAB_{i:05d}", x) for i in range(3) for x in "ab"]
+        assert [r[0] for r in got if r[2] is not None] == [f"T{i:03d}" for i in range(n + 1)]
+
+
+def whole_entries(spark, root, glob):
+    """Entries as from a store that only Spark can read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+    return archives.as_entries(files.select("path", "content"))
+
+
+def test_tranche_above_two_gigabytes(spark, tmp_path):
+    """Headers are read by seeking, members as ranges behind the limit of one binary row."""
+    inner = tar_of({"00001/Z.pdbqt": b"far away\n"}, "w:gz")
+    path = tmp_path / "big/AA/AAAB.tar"
+    path.parent.mkdir(parents=True)
+    filler = tarfile.TarInfo("AAAB/notes.bin")
+    filler.size = (5 << 30) + 7
+    last = tar_of({"AAAB/00001.tar.gz": inner}, "w")
+    with open(path, "wb") as file:
+        file.write(filler.tobuf())
+        # A hole instead of data.
+        file.seek((filler.size + 511) // 512 * 512, 1)
+        file.write(last)
+    got = rows(nested.read_ligands(spark, str(tmp_path / "big")), "collection", "ligand", "content", "error")
+    assert got == [("AAAB_00001", "Z", "far away\n", None)]
+
+
+def test_large_collections_are_spooled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "SPOOL", 1000)
+    files = {f"1/Z{i}.pdbqt": f"ATOM {i}\n".encode() * 500 for i in range(20)}
+    put(tmp_path / "AA/AAAB/1.tar.gz", tar_of(files, "w:gz"))
+    entry = archives.Entry("AA/AAAB/1.tar.gz", file=f"file:{tmp_path}/AA/AAAB/1.tar.gz", size=(tmp_path / "AA/AAAB/1.tar.gz").stat().st_size)
+    assert dict(archives.members(entry)) == files
+
+
+def test_library_is_written_as_read(spark, tmp_path):
+    ligands = [(f"AAA{t}_{c:05d}", f"Z{i}", "pdbqt", i, f"{t} {c} {i}\n") for t in "BC" for c in range(3) for i in range(1, 5)]
+    df = spark.createDataFrame(ligands, "collection STRING, ligand STRING, format STRING, pos INT, content STRING").repartition(5)
+    for layout in ("tranche", "collection"):
+        # Writing again replaces the files.
+        for _ in range(2):
+            archives.write_library(df, str(tmp_path / layout), layout)
+        back = nested.read_ligands(spark, str(tmp_path / layout), layout)
+        assert rows(back, "collection", "ligand", "format", "pos", "content") == sorted(ligands) and back.where("error IS NOT NULL").count() == 0
+    assert sorted(p.name for p in (tmp_path / "tranche").rglob("*") if p.is_file() and not p.name.endswith(".crc")) == ["AAAB.tar", "AAAC.tar"]
+
+
+def test_status_lists_inside_tranche_archives(spark, tmp_path):
+    entries = [{"ligand": "L1", "scenario_key": "S", "replica_index": 0, "status": "succeeded", "info": "", "seconds": "1.50"},
+               {"ligand": "L2", "status": "failed", "info": "x"}]
+    packed = gzip.compress(json.dumps(entries, indent=4).encode())
+    lines = gzip.compress(b"L9 1 1 succeeded total-time:1500\n")
+    put(tmp_path / "AA/AAAB.tar", tar_of({"AAAB/00000.json.gz": packed, "AAAB/00000.status.gz": lines, "AAAB/00001.json": json.dumps(entries[:1]).encode()}, "w"))
+    got = rows(text.read_status(spark, str(tmp_path), "json", archived=True), "collection", "ligand", "scenario", "replica", "status", "seconds")
+    assert got == [("AAAB_00000", "L1", "S", 1, "succeeded", 1.5), ("AAAB_00000", "L2", None, None, "failed", None), ("AAAB_00001", "L1", "S", 1, "succeeded", 1.5)]
+    assert rows(text.read_status(spark, str(tmp_path), "text", archived=True), "collection", "ligand") == [("AAAB_00000", "L9")]
+
+
 SHELL = "Tranch Compound SMILES average-score maximum-score number-of-dockings score-replica-1 score-replica-2\nAA_1 L1 CCO -7.4 -7.6 2 -7.2 -7.6\n"
 AWS = "Tranch    Compound   average-score maximum-score  number-of-dockings score-replica-0score-replica-1\nAA_2 L2     -5.0    -5.0         1   -5.0   \n"
 
