@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +10,7 @@ from screenlake.functions.scores import histogram_bin
 from screenlake.functions.status import is_failure, is_success
 from screenlake.operators.joins import salted_join
 from screenlake.operators.ordering import number_rows
+from screenlake.session import stable
 
 LIGAND_KEYS = ["scenario", "collection", "ligand"]
 
@@ -119,26 +117,35 @@ def score_histogram(summary: DataFrame, score_col: str = "best_score") -> DataFr
     )
 
 
-def _heads(frames: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
-    """The first n rows of a task."""
-    for frame in frames:
-        yield frame.iloc[:n]
-        n -= len(frame)
-        if n <= 0:
-            return
+# Quantiles are known up to one in so many rows; cut-offs are looked up at halves, quarters, ... of them.
+ACCURACY = 10_000
+SHARES = [2.0**-k for k in range(24, -1, -1)]
+
+
+def _cut_off(rows: DataFrame, score_col: str, n: int) -> Column:
+    """A score that at least n rows (or all) reach, and not many more: a scalar subquery.
+
+    Quantile sketches of the tasks are merged. The subquery aggregates the same rows as the query around it, whose
+    shuffle it shares.
+    """
+    sketch = rows.agg(F.percentile_approx(score_col, F.array(*map(F.lit, SHARES)), ACCURACY).alias("cuts"), F.count(F.lit(1)).alias("rows"))
+    wanted = F.lit(n) / F.col("rows") + 2 / ACCURACY
+    at = F.size(F.filter(F.array(*map(F.lit, SHARES)), lambda share: share < wanted))
+    return sketch.select(F.when(F.col("rows") > 0, F.get("cuts", F.least(at, F.lit(len(SHARES) - 1))))).scalar()
 
 
 def top_compounds(summary: DataFrame, n: int, score_col: str = "best_score") -> DataFrame:
     """The n best (lowest) scores with rank; ties by collection, then ligand.
 
-    Every task sorts its own rows and keeps its first n; only those are sorted over the whole
-    cluster and numbered, so no task holds more than its share of a long list.
+    Rows beyond a cut-off score are left out first; those that stay, ties at the cut-off included, are sorted over
+    the whole cluster and numbered, so no task holds more than its share of a long list.
     """
     # The scenario only settles ties when several scenarios are passed at once.
     keys = ["collection", "ligand"] + (["scenario"] if "scenario" in summary.columns else [])
     order = [score_col, *keys]
-    rows = summary.where(F.col(score_col).isNotNull()).select(*order).sortWithinPartitions(*order)
-    ranked = number_rows(rows.mapInPandas(lambda it: _heads(it, n), rows.schema), order, "rank")
+    rows = summary.where(F.col(score_col).isNotNull()).select(*order)
+    near = stable(rows.where(F.col(score_col) <= _cut_off(rows, score_col, n)))
+    ranked = number_rows(near, order, "rank")
     return ranked.where(F.col("rank") <= n).select(F.col("rank").cast("int").alias("rank"), *keys, F.col(score_col).alias("score"))
 
 

@@ -100,8 +100,9 @@ TASK_FIELDS = ["scenario_idx", "scenario", "program", "replica"]
 
 TASK_TYPES = {"scenario_idx": "integer", "scenario": "string", "program": "string", "replica": "integer"}
 
-# Results that leave a task together.
-TASKS_AT_ONCE = 100
+# Results that leave a task together: so many, or so many characters of logs and poses, or those of so many seconds.
+ROWS_AT_ONCE, BYTES_AT_ONCE, SECONDS_AT_ONCE = 10_000, 16 << 20, 30
+_PANDAS_TYPES = {"integer": "Int32", "long": "Int64", "double": "float64"}
 
 
 def _scenario_list(scenario_rows: DataFrame) -> Column:
@@ -205,25 +206,22 @@ def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None)
     for name, kind in made.items():
         schema = schema.add(name, kind)
 
-    def expanded(own) -> Iterator[dict]:
+    kinds = {f.name: _PANDAS_TYPES.get(f.dataType.typeName(), "object") for f in schema.fields}
+
+    def expanded(row: dict) -> Iterator[dict]:
+        """The tasks of a row; a row that is left out stays one row without a task."""
+        if not listed:
+            yield row
+            return
+        own = row.pop("_tasks")
+        if own is None:
+            yield row | dict.fromkeys(TASK_FIELDS)
+            return
         for t in own:
-            base = {f: t[f] for f in ("scenario_idx", "scenario", "program")}
+            base = row | {f: t[f] for f in ("scenario_idx", "scenario", "program")}
             for replica in range(1, t["replicas"] + 1) if "replicas" in t else (t["replica"],):
                 yield base | {"replica": replica}
 
-    def one_by_one(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        """Rows with task columns instead of lists, at most TASKS_AT_ONCE together."""
-        held: list[dict] = []
-        for row in batch.to_dict("records"):
-            own = row.pop("_tasks")
-            for task in [dict.fromkeys(TASK_FIELDS)] if own is None else expanded(own):
-                held.append(row | task)
-                if len(held) >= TASKS_AT_ONCE:
-                    yield pd.DataFrame(held)
-                    held = []
-        if held:
-            yield pd.DataFrame(held)
-
     def score_one(task: dict) -> tuple:
         if task["scenario"] is None:
             return (None,) * len(made)
@@ -235,14 +233,28 @@ def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None)
             out, score, error = {}, None, f"{type(exc).__name__}: {exc}"
         return out.get("log"), out.get("pose"), score, error, time.perf_counter() - start
 
+    def frame_of(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({n: pd.Series(values, dtype=kinds[n]) for n, values in zip(schema.names, zip(*rows))})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in (b for given in batches for b in (one_by_one(given) if listed else [given])):
-            # Rows left out have no replica, which turns the column into floats.
-            whole = batch.astype({"replica": "Int32", "scenario_idx": "Int32"})
-            rows = [score_one(task) for task in whole.to_dict("records")]
-            out = pd.DataFrame(rows, columns=list(made), index=batch.index)
-            out = out.astype({"score_given": "float64", "seconds": "float64"})
-            yield pd.concat([batch.drop(columns="content", errors="ignore"), out], axis=1)[schema.names]
+        own = [n for n in schema.names if n not in made]
+        held: list[tuple] = []
+        size, since = 0, time.perf_counter()
+        for batch in batches:
+            # Numbers with gaps come as floats.
+            gaps = [n for n, k in kinds.items() if k.startswith("Int") and n in batch.columns and batch[n].dtype.kind == "f"]
+            for values in batch.itertuples(index=False, name=None):
+                row = dict(zip(batch.columns, values))
+                row.update({n: None if row[n] != row[n] else int(row[n]) for n in gaps})
+                for task in expanded(row):
+                    scored = score_one(task)
+                    held.append((*(task[n] for n in own), *scored))
+                    size += len(scored[0] or "") + len(scored[1] or "")
+                    if len(held) >= ROWS_AT_ONCE or size >= BYTES_AT_ONCE or time.perf_counter() - since >= SECONDS_AT_ONCE:
+                        yield frame_of(held)
+                        held, size, since = [], 0, time.perf_counter()
+        if held:
+            yield frame_of(held)
 
     return tasks.mapInPandas(run, schema)
 
