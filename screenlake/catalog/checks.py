@@ -242,8 +242,7 @@ def j3_pending_tasks(spark, d):
         F.when(F.col("seconds") < 40, F.col("status")).otherwise("processing").alias("status"),
         F.lit("2024-01-01").cast("timestamp").alias("ts"),
     )
-    grid = tasks.task_grid(rows, scenario_rows)
-    return tasks.pending_tasks(grid, state.latest_state(entries)).select(*LIGAND_KEYS, "scenario", "replica")
+    return tasks.pending_grid(rows, scenario_rows, state.latest_state(entries)).select(*LIGAND_KEYS, "scenario", "replica")
 
 
 def sample_scorer(task: dict) -> str:

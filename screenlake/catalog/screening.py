@@ -14,6 +14,7 @@ from screenlake.operators import tasks
 from screenlake.operators.batch import collection_outcomes, outcome_totals
 from screenlake.operators.state import latest_state
 from screenlake.operators.summary import all_summaries, collection_counters
+from screenlake.plans import published
 from screenlake.plans.screen import publish, screen
 from screenlake.session import shared_path
 from screenlake.sources import sinks, text
@@ -42,9 +43,7 @@ def r4_screen_summary(spark, d):
     return out.withColumn("scores_tenths", F.array_join(tenths, ",")).drop("scores", "avg_score")
 
 
-@query(
-    "r4_resume_publish",
-    f"""WITH {VALID_SQL},
+PUBLISHED_SQL = f"""WITH {VALID_SQL},
     r AS (SELECT collection, ligand, scenario, replica, status, score FROM docked),
     p AS (SELECT scenario, collection, ligand, min(score) AS best,
                  array_to_string(list_transform(range(1, max(replica) + 1), lambda k: coalesce(list_max(list_transform(list_filter(list((replica, printf('%.1f', score))), lambda q: q[1] = k), lambda q: q[2])), '-')), ' ') AS said
@@ -54,8 +53,10 @@ def r4_screen_summary(spark, d):
     UNION ALL SELECT 'status', collection, ligand, NULL, NULL, 'failed', NULL FROM checked WHERE verdict <> 'ok'
     UNION ALL SELECT 'summary', collection, ligand, scenario, NULL, said, best FROM p
     UNION ALL SELECT 'counters', collection, NULL, NULL, NULL, concat(CAST(ligands_started AS STRING), ' ', CAST(dockings_failed AS STRING)), CAST(dockings_started AS DOUBLE)
-              FROM ({COUNTERS_SQL.format("states")}) AS c""",
-)
+              FROM ({COUNTERS_SQL.format("states")}) AS c"""
+
+
+@query("r4_resume_publish", PUBLISHED_SQL)
 def r4_resume_publish(spark, d):
     """A screen in two halves, both published, read back: the same rows as of one whole screen."""
     ligands, scenarios = table(spark, d, "ligand"), table(spark, d, "scenario")
@@ -63,14 +64,18 @@ def r4_resume_publish(spark, d):
     first = publish(screen(ligands, scenarios.withColumn("replicas", F.lit(1)), sample_scorer), root, 3, "tranche", grid)
     states = latest_state(first.status.withColumn("ts", F.current_timestamp()))
     publish(screen(ligands, scenarios, sample_scorer, finished=states), root, 3, "tranche", grid)
+    every = text.read_summaries(spark, f"{root}/summaries", layout="table")
+    summaries = all_summaries(*(every.where(F.col("state") == s).drop("state") for s in ("complete", "incomplete")))
+    return _published_rows(sinks.read_results(spark, f"{root}/results"), text.read_status(spark, f"{root}/ligand-lists", "jsonl"), summaries)
+
+
+def _published_rows(results, status, summaries):
+    """Rows of all published tables in one."""
     columns = ["collection", "ligand", "scenario", "replica", "status", "score"]
     marker = F.array_join(F.transform("scores", one_place), " ", fv.NO_SCORE)
     none = F.lit(None).cast("string")
-    every = text.read_summaries(spark, f"{root}/summaries", layout="table")
-    summaries = all_summaries(*(every.where(F.col("state") == s).drop("state") for s in ("complete", "incomplete")))
-    status = text.read_status(spark, f"{root}/ligand-lists", "jsonl")
     return (
-        sinks.read_results(spark, f"{root}/results").select(F.col("state").alias("part"), *columns)
+        results.select(F.col("state").alias("part"), *columns)
         .unionByName(status.select(F.lit("status").alias("part"), *columns))
         .unionByName(summaries.select(
             F.lit("summary").alias("part"), "collection", "ligand", "scenario", F.lit(None).cast("int").alias("replica"),
@@ -83,6 +88,21 @@ def r4_resume_publish(spark, d):
     )
 
 
+@query("r4_publish_runs", PUBLISHED_SQL)
+def r4_publish_runs(spark, d):
+    """A screen in three runs, the last with open tasks of the first: each is committed with one snapshot."""
+    ligands, scenarios = table(spark, d, "ligand"), table(spark, d, "scenario")
+    grid, root = tasks.task_grid(ligands.select("collection", "ligand"), scenarios), shared_path(spark, "runs")
+    some = F.col("collection").startswith("E")
+    single = scenarios.withColumn("replicas", F.lit(1))
+    first = published.publish_run(screen(ligands.where(some), single, sample_scorer), root, 3, "tranche", grid.where(some))
+    published.publish_run(screen(ligands.where(~some), scenarios, sample_scorer), root, 3, "tranche", grid.where(~some))
+    states = latest_state(first.status.withColumn("ts", F.current_timestamp()))
+    published.publish_run(screen(ligands.where(some), scenarios, sample_scorer, finished=states), root, 3, "tranche", grid.where(some))
+    summaries = published.published_summaries(spark, root)
+    return _published_rows(published.published_results(spark, root), published.published_status(spark, root), summaries)
+
+
 @query("r4_screen_counters", f"WITH {VALID_SQL} " + COUNTERS_SQL.format("states"))
 def r4_screen_counters(spark, d):
     return _screen(spark, d).counters

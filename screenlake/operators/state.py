@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake import fixed_values as fv
 from screenlake import schemas
-from screenlake.operators.ordering import number_rows
+
+# Positions of a collection that are ordered together.
+POSITIONS = 10_000
 
 
 def latest_state(status: DataFrame) -> DataFrame:
@@ -30,18 +32,17 @@ def latest_state(status: DataFrame) -> DataFrame:
 def next_ligand(ligands: DataFrame, pos: str = "pos") -> DataFrame:
     """Add `next_ligand` in archive order within the collection; null at the collection's end.
 
-    Rows are numbered over the whole table and met with their successor by number, so a
-    collection of any size is spread over tasks.
+    A collection is cut into stretches of POSITIONS positions, so one of any size is spread over tasks. Rows meet
+    their successor inside the stretch; its last row meets the first one of the next stretch there is, in a table
+    with one row per stretch. Without a position a row comes first; rows without a collection have no successor.
     """
-    numbered = number_rows(ligands, ["collection", pos, "ligand"], "_rn")
-    after = numbered.select(
-        (F.col("_rn") - 1).alias("_rn"),
-        F.col("collection").alias("_collection"),
-        F.col("ligand").alias("_next"),
-    )
-    same = F.col("_collection") == F.col("collection")
-    return (
-        numbered.join(after, "_rn", "left")
-        .withColumn("next_ligand", F.when(same, F.col("_next")))
-        .drop("_rn", "_collection", "_next")
-    )
+    before_all = F.lit(-(1 << 62))
+    cut = ligands.withColumn("_stretch", F.coalesce(F.floor(F.col(pos) / POSITIONS).cast("long"), before_all))
+    borders = cut.groupBy("collection", "_stretch").agg(F.min(F.struct(pos, "ligand")).alias("_first"))
+    following = F.lead("_first.ligand").over(Window.partitionBy("collection").orderBy("_stretch"))
+    borders = borders.select("collection", "_stretch", following.alias("_beyond"))
+    inside = Window.partitionBy("collection", "_stretch").orderBy(pos, "ligand")
+    # A position is none that the window gives: the ligand behind may be null itself.
+    met = cut.withColumn("_next", F.lead(F.struct("ligand")).over(inside)).join(borders, ["collection", "_stretch"], "left")
+    successor = F.when(F.col("_next").isNotNull(), F.col("_next.ligand")).otherwise(F.col("_beyond"))
+    return met.select(*ligands.columns, F.when(F.col("collection").isNotNull(), successor).alias("next_ligand"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import subprocess
 import tempfile
@@ -9,13 +10,18 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileType
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from screenlake import fixed_values as fv
 from screenlake import schemas
 from screenlake.functions import scores
+from screenlake.sources import archives
 
 
 def _control_lists(control: DataFrame) -> DataFrame:
@@ -148,6 +154,32 @@ def pending_tasks(grid: DataFrame, latest: DataFrame) -> DataFrame:
     return grid.join(finished, schemas.TASK_KEYS, "left_anti")
 
 
+def pending_lists(ligands: DataFrame, scenario_rows: DataFrame, latest: DataFrame, replica_base: int = 1) -> DataFrame:
+    """Ligands with `_tasks`, the list of their tasks with no final state; those without any are left out.
+
+    What is finished is folded to a set per ligand and met there, before tasks are multiplied out: ligands are
+    shuffled, tasks never. Scenarios and replicas, and so the set, are bounded by one control file.
+    """
+    finished = latest.where((F.col("status") != fv.PROCESSING) & F.col("scenario").isNotNull() & F.col("replica").isNotNull())
+    name = lambda t: F.concat_ws(" ", t["replica"].cast("string"), t["scenario"])
+    done = finished.groupBy("collection", "ligand").agg(F.collect_set(name({c: F.col(c) for c in ("replica", "scenario")})).alias("_done"))
+    fields = ("scenario_idx", "scenario", "program")
+    each = lambda s: F.transform(
+        F.sequence(F.lit(replica_base), s["replicas"] + (replica_base - 1)),
+        lambda r: F.struct(*(s[f].alias(f) for f in fields), r.alias("replica")),
+    )
+    everything = ligands.withColumn("_scenarios", _scenario_list(scenario_rows))
+    left = F.filter(F.flatten(F.transform("_scenarios", each)), lambda t: F.col("_done").isNull() | ~F.array_contains("_done", name(t)))
+    met = everything.join(done, ["collection", "ligand"], "left").withColumn("_tasks", left)
+    return met.drop("_done", "_scenarios").where(F.size("_tasks") > 0)
+
+
+def pending_grid(ligands: DataFrame, scenario_rows: DataFrame, latest: DataFrame, replica_base: int = 1) -> DataFrame:
+    """The task grid without the tasks that have a final state, see `pending_lists`."""
+    rows = pending_lists(ligands, scenario_rows, latest, replica_base)
+    return rows.withColumn("_t", F.explode("_tasks")).select(*ligands.columns, "_t.*")
+
+
 # A scorer gets the task as a dict and returns the program's log, the score itself, or a
 # dict with any of `log`, `score` and `pose`.
 Scorer = Callable[[dict], "str | float | dict"]
@@ -185,22 +217,11 @@ def _as_output(got: str | float | dict | None) -> dict:
     return {"log": got} if isinstance(got, str) else {"score": got}
 
 
-def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None) -> DataFrame:
-    """Run the scorer on each task; adds log, pose, score_given, error and seconds.
-
-    A scorer that raises fails its own task only. Rows without a scenario (ligands left out)
-    pass through. `partitions` spreads the tasks evenly first; by default they run where
-    they are. The ligand's `content` is given to the scorer and dropped afterwards. Instead of task
-    columns a row may have the list of its tasks as `_tasks` (null: left out), so that its content
-    is sent once; it becomes one row per task here, a few at a time. Elements of the list are tasks, or
-    scenarios with `replicas`, which stand for replicas from 1 on.
-    """
-    listed = "_tasks" in tasks.columns
-    if partitions:
-        keys = [c for c in ["collection", "ligand", "scenario", "replica"] if c in tasks.columns]
-        tasks = tasks.repartition(partitions, *keys)
+def _scoring(given: T.StructType, scorer: Scorer) -> tuple[T.StructType, Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]]:
+    """Schema of scored tasks, and what turns frames of tasks into frames of scored tasks, see `run_scorer`."""
+    listed = "_tasks" in given.names
     made = {"log": "string", "pose": "string", "score_given": "double", "error": "string", "seconds": "double"}
-    schema = T.StructType([f for f in tasks.schema.fields if f.name not in ("content", "_tasks")])
+    schema = T.StructType([f for f in given.fields if f.name not in ("content", "_tasks")])
     for name, kind in TASK_TYPES.items() if listed else ():
         schema = schema.add(name, kind)
     for name, kind in made.items():
@@ -256,9 +277,58 @@ def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None)
         if held:
             yield frame_of(held)
 
+    return schema, run
+
+
+def run_scorer(tasks: DataFrame, scorer: Scorer, partitions: int | None = None) -> DataFrame:
+    """Run the scorer on each task; adds log, pose, score_given, error and seconds.
+
+    A scorer that raises fails its own task only. Rows without a scenario (ligands left out)
+    pass through. `partitions` spreads the tasks evenly first; by default they run where
+    they are. The ligand's `content` is given to the scorer and dropped afterwards. Instead of task
+    columns a row may have the list of its tasks as `_tasks` (null: left out), so that its content
+    is sent once; it becomes one row per task here, a few at a time. Elements of the list are tasks, or
+    scenarios with `replicas`, which stand for replicas from 1 on.
+    """
+    if partitions:
+        keys = [c for c in ["collection", "ligand", "scenario", "replica"] if c in tasks.columns]
+        tasks = tasks.repartition(partitions, *keys)
+    schema, run = _scoring(tasks.schema, scorer)
     return tasks.mapInPandas(run, schema)
 
 
+def run_in_chunks(tasks: DataFrame, scorer: Scorer, chunk: str, partitions: int, folder: str) -> DataFrame:
+    """`run_scorer` for long runs: each chunk of rows (by the number in the column `chunk`) is kept as it is done.
+
+    Scored tasks of a chunk go to a file in `folder`, which gets its name when it is whole. A chunk whose file is
+    there is not scored again, be it by a task that runs again or by a new job; what is lost with a task is the
+    chunk it was at. Each of the `partitions` does its chunks one by one. Returns all there is in `folder`.
+    """
+    store, where = archives.file_system(folder)
+    store.create_dir(where, recursive=True)
+    schema, run = _scoring(tasks.drop(chunk).schema, scorer)
+    arrow = to_arrow_schema(schema)
+
+    def score_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces = ((number, rows) for batch in batches for number, rows in batch.groupby(chunk, sort=False))
+        done = []
+        for number, some in itertools.groupby(pieces, key=lambda p: p[0]):
+            path = f"{folder}/chunk-{number:08d}.parquet"
+            store, where = archives.file_system(path)
+            if store.get_file_info(where).type != FileType.NotFound:
+                continue
+            with archives.written(path) as file, pq.ParquetWriter(file, arrow) as out:
+                for frame in run(rows.drop(columns=chunk) for _, rows in some):
+                    out.write_table(pa.Table.from_pandas(frame, schema=arrow, preserve_index=False))
+            done.append(number)
+        yield pd.DataFrame({"chunk": done}, dtype="int64")
+
+    keys = [c for c in ("collection", "ligand") if c in tasks.columns]
+    dealt = tasks.repartition(partitions, chunk).sortWithinPartitions(chunk, *keys)
+    dealt.mapInPandas(score_chunks, "chunk LONG").agg(F.count("chunk")).collect()
+    return tasks.sparkSession.read.schema(schema).parquet(folder)
+
+
 def score_results(scored: DataFrame) -> DataFrame:
     """Turn scorer output into results: score from the log or as given, and the status."""
     score = F.coalesce("score_given", scores.score_of(F.col("program"), F.col("log")))

@@ -14,7 +14,11 @@ from screenlake.operators.joins import salted_join
 from screenlake.operators.ligands import ligand_verdict, with_smiles
 from screenlake.operators.state import latest_state
 from screenlake.session import stable
-from screenlake.sources import sinks, text
+from screenlake.sources import archives, sinks, snapshots, text
+
+# Bytes times tasks of a chunk of a screen that keeps its progress: 1000 ligands of 4 kB with 20 tasks.
+CHUNK_COST = 80_000_000
+MOST_TASKS = 20_000
 
 
 @dataclass
@@ -37,6 +41,8 @@ def screen(
     precedence: str = "aws",
     partitions: int | None = None,
     with_scores: bool = True,
+    progress: str | None = None,
+    chunk_cost: int = CHUNK_COST,
 ) -> Screen:
     """Screen a library in one pass over its files.
 
@@ -46,6 +52,10 @@ def screen(
     without tasks. Scored tasks are checkpointed: a lost executor never makes a docking run
     twice for the tables derived from it. `finished` (latest states) leaves out tasks that
     already have a final state.
+
+    With `progress`, a folder of this screen's own, ligands are cut into chunks of about `chunk_cost` (bytes of
+    a ligand times its tasks), and each chunk is kept there when it is done. A screen that was killed goes on
+    when it is called again with the same input: only the chunks that tasks were at are scored again.
     """
     spark = ligands.sparkSession
     count = partitions or 2 * spark.sparkContext.defaultParallelism
@@ -55,10 +65,7 @@ def screen(
     if finished is None:
         with_tasks = files.repartition(count, *keys).withColumn("_tasks", tasks.listed_tasks(scenario_rows))
     else:
-        grid = tasks.pending_tasks(tasks.task_grid(files.select(*keys), scenario_rows), finished)
-        # At most scenarios times replicas per ligand.
-        wanted = grid.groupBy(*keys).agg(F.collect_list(F.struct(*tasks.TASK_FIELDS)).alias("_tasks"))
-        with_tasks = files.join(wanted, keys).repartition(count, *keys)
+        with_tasks = tasks.pending_lists(files, scenario_rows, finished).repartition(count, *keys)
     checked = ligand_verdict(with_smiles(with_tasks), precedence)
     own = checked.select(
         *keys, "smiles", "verdict", "info", "content", F.when(F.col("verdict") == "ok", F.col("_tasks")).alias("_tasks")
@@ -67,7 +74,8 @@ def screen(
         # A ligand that was rejected before is not reported again.
         rejected = finished.where(F.col("scenario").isNull()).select(*keys).distinct()
         own = own.join(rejected, keys, "left_anti")
-    passed = stable(tasks.score_results(tasks.run_scorer(own, scorer)))
+    scored = tasks.run_scorer(own, scorer) if progress is None else _scored_in_chunks(own, scorer, progress, chunk_cost, partitions)
+    passed = stable(tasks.score_results(scored)) if progress is None else tasks.score_results(scored)
     results = passed.where("scenario IS NOT NULL").drop("verdict", "info")
     if energies is not None:
         results = tasks.energy_check(results, energies, energy_max)
@@ -86,6 +94,35 @@ def screen(
     )
 
 
+def _scored_in_chunks(
+    own: DataFrame, scorer: tasks.Scorer, progress: str, chunk_cost: int, partitions: int | None
+) -> DataFrame:
+    """Score ligands in chunks kept below `progress`; the first call settles how many there are."""
+    spark = own.sparkSession
+    if not archives.can_seek(spark, progress):
+        raise ValueError(f"tasks cannot write files below {progress}")
+    # Ligands that failed the checks have no tasks, and cost next to nothing. Listed scenarios stand for replicas.
+    listed = "replicas" in own.schema["_tasks"].dataType.elementType.names
+    n_tasks = F.aggregate("_tasks", F.lit(0).cast("long"), lambda a, t: a + (t["replicas"] if listed else 1))
+    cost = F.octet_length("content").cast("long") * F.coalesce(n_tasks, F.lit(0)) + 1
+    tag = F.pmod(F.xxhash64("collection", "ligand", "content", "_tasks"), F.lit(1 << 40))
+    total = own.agg(F.sum(cost).alias("cost"), F.sum(tag).cast("string").alias("input")).first()
+    _, plan = snapshots.current(spark, progress)
+    if not plan:
+        plan = {"chunks": max(1, -(-(total["cost"] or 0) // chunk_cost)), "input": total["input"]}
+        snapshots.commit(spark, progress, 1, plan)
+    if plan["input"] != total["input"]:
+        raise ValueError(f"{progress} holds chunks of another screen")
+    # Chunks are dealt by hash: ligands are small beside a chunk, so chunks cost about the same.
+    chunked = own.withColumn("_chunk", F.pmod(F.xxhash64("collection", "ligand"), F.lit(plan["chunks"])))
+    folder = archives.qualified(spark, f"{progress}/chunks")
+    kept = [int(n[6:-8]) for n in snapshots.list_names(spark, folder) if n.startswith("chunk-")]
+    rest = spark.createDataFrame([(k,) for k in kept], "_chunk LONG")
+    todo = chunked.join(rest, "_chunk", "left_anti")
+    # Small tasks even out; beyond so many each does several chunks.
+    return tasks.run_in_chunks(todo, scorer, "_chunk", partitions or min(plan["chunks"], MOST_TASKS), folder)
+
+
 def merged(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of both; where both have a task (or a ligand without tasks), the new one counts."""
     keys = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_{k}") for k in schemas.TASK_KEYS]

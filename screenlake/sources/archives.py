@@ -61,12 +61,16 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """The path with its store, as tasks need it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def can_seek(spark: SparkSession, root: str) -> bool:
     """Whether files below `root` can be opened without Spark; others are read whole, by Spark."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
     try:
-        file_system(whole)
+        file_system(qualified(spark, root))
     except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
         return False
     return True
@@ -259,9 +263,7 @@ def write_library(ligands: DataFrame, root: str, layout: str = "tranche") -> Non
     layout `collection`: `<meta>/<tranche>/<ID>.tar.gz`; `tranche`: `<meta>/<tranche>.tar` holding
     `<tranche>/<ID>.tar.gz`. A collection is packed in one task, a tranche written by one, archive by archive.
     """
-    spark = ligands.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    whole = qualified(ligands.sparkSession, root)
 
     def write_each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = 0

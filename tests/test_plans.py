@@ -67,3 +67,24 @@ def test_summary_combines_before_the_shuffle(spark):
 
 def test_partial_filter_is_no_python(spark):
     assert "Python" not in plan_of(QUERIES["p7_extract_score"](spark, SF_DIR).where(F.col("score") < 0))
+
+
+def test_successors_take_one_shuffle(spark, monkeypatch):
+    """One exchange of all rows, no sort over the table, no checkpoint; stretches of any size give the same."""
+    from screenlake.operators import state
+
+    plan = plan_of(QUERIES["w8_next_ligand"](spark, SF_DIR))
+    borders, rows = plan.count("Aggregate("), len(re.findall(r"Exchange hashpartitioning\(collection[^,]*, _stretch", plan))
+    # Beside the rows only borders, folded before they are sent, move.
+    assert rows == 2 and borders == 2 and "rangepartitioning" not in plan and "ExistingRDD" not in plan
+    monkeypatch.setattr(state, "POSITIONS", 7)
+    ligands = [("A", p, f"L{p}") for p in range(-20, 3000, 3)] + [("A", 4, "twin"), ("A", 4, None), ("A", None, "none"), ("B", 5, "only"), (None, 1, "x"), (None, 2, "y")]
+    got = state.next_ligand(spark.createDataFrame(ligands, "collection STRING, pos INT, ligand STRING")).collect()
+    a = sorted((r for r in ligands if r[0] == "A"), key=lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or ""))
+    want = {("A", p, x): y for (_, p, x), (_, _, y) in zip(a, [*a[1:], (0, 0, None)])}
+    assert {(r["collection"], r["pos"], r["ligand"]): r["next_ligand"] for r in got} == want | {("B", 5, "only"): None, (None, 1, "x"): None, (None, 2, "y"): None}
+
+
+def test_pending_tasks_are_met_before_they_are_multiplied(spark):
+    plan = plan_of(QUERIES["j3_pending_tasks"](spark, SF_DIR))
+    assert plan.count("Join") == 1 and plan.index("Generate explode") < plan.index("Join")
