@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import tarfile
 
@@ -28,24 +29,39 @@ def _control_files(spark, d):
     )
 
 
-@query(
-    "s1_control_shell",
-    """SELECT CAST(s_suppkey AS STRING) AS file, v.line_no, v.key, CASE v.key WHEN 'docking_scenario_names' THEN 'Supplier' WHEN 'limit' THEN concat('5', CAST(s_nationkey AS STRING)) ELSE v.value END AS value
-       FROM supplier, (VALUES (2, 'job_letter', 't'), (4, 'a', '1'), (7, 'docking_scenario_names', ''), (9, 'limit', '')) AS v(line_no, key, value)""",
-)
+SHELL_SQL = """SELECT CAST(s_suppkey AS STRING) AS file, v.line_no, v.key, CASE v.key WHEN 'docking_scenario_names' THEN 'Supplier' WHEN 'limit' THEN concat('5', CAST(s_nationkey AS STRING)) ELSE v.value END AS value
+       FROM supplier, (VALUES (2, 'job_letter', 't'), (4, 'a', '1'), (7, 'docking_scenario_names', ''), (9, 'limit', '')) AS v(line_no, key, value)"""
+PYTHON_SQL = """SELECT CAST(s_suppkey AS STRING) AS file, v.line_no, v.key, CASE v.key WHEN 'docking_scenario_names' THEN concat(s_name, ':second') WHEN 'limit' THEN concat('5', CAST(s_nationkey AS STRING), ' =7') ELSE v.value END AS value
+       FROM supplier, (VALUES (2, 'job_letter', 't # note'), (3, '# Example: a', '9'), (10, 'a', '2'), (5, ' b', 'x  y'), (7, 'docking_scenario_names', ''), (8, 'energy_max', '10000 # note'), (9, 'limit', '')) AS v(line_no, key, value)"""
+
+
+@query("s1_control_shell", SHELL_SQL)
 def s1_control_shell(spark, d):
     return text.control_rows(_control_files(spark, d), "shell")
 
 
-@query(
-    "s1_control_python",
-    """SELECT CAST(s_suppkey AS STRING) AS file, v.line_no, v.key, CASE v.key WHEN 'docking_scenario_names' THEN concat(s_name, ':second') WHEN 'limit' THEN concat('5', CAST(s_nationkey AS STRING), ' =7') ELSE v.value END AS value
-       FROM supplier, (VALUES (2, 'job_letter', 't # note'), (3, '# Example: a', '9'), (10, 'a', '2'), (5, ' b', 'x  y'), (7, 'docking_scenario_names', ''), (8, 'energy_max', '10000 # note'), (9, 'limit', '')) AS v(line_no, key, value)""",
-)
+@query("s1_control_python", PYTHON_SQL)
 def s1_control_python(spark, d):
     return text.control_rows(_control_files(spark, d), "python")
 
 
+def _control_folder(spark, d):
+    """The same control files as files of a folder."""
+    root = shared_path(spark, "control")
+    archives.write_files(_control_files(spark, d).select(F.col("file").alias("path"), F.col("text").alias("content")), root)
+    return root
+
+
+@query("s1_read_control_shell", SHELL_SQL)
+def s1_read_control_shell(spark, d):
+    return text.read_control(spark, _control_folder(spark, d), "shell")
+
+
+@query("s1_read_control_python", PYTHON_SQL)
+def s1_read_control_python(spark, d):
+    return text.read_control(spark, _control_folder(spark, d), "python")
+
+
 @query(
     "s2_manifest",
     """SELECT row_number() OVER (ORDER BY p_partkey) AS seq, m.collection, CASE WHEN p_brand <> 'Brand#13' THEN m.n_ligands END AS n_ligands,
@@ -163,19 +179,72 @@ def s3_cut_tranches(spark, d):
     )
 
 
-@query(
-    "s4_summaries",
-    f"""WITH {TASK_SQL}
-    SELECT 'complete' AS state, scenario, collection, ligand, CAST(printf('%.1f', min(score)) AS DOUBLE) AS best_score,
+SUMMARIES_SQL = """WITH {tasks}
+    SELECT {state} AS state, scenario, collection, ligand, CAST(printf('%.1f', min(score)) AS DOUBLE) AS best_score,
            CAST(printf('%.1f', max(score)) AS DOUBLE) AS worst_score, CAST(count(score) AS INT) AS n_dockings
-    FROM t WHERE score IS NOT NULL GROUP BY 2, 3, 4""",
-)
+    FROM t WHERE score IS NOT NULL GROUP BY 2, 3, 4"""
+COMPLETE = "'complete'"
+BY_COLLECTION = "CASE WHEN collection LIKE '%1' THEN 'incomplete' ELSE 'complete' END"
+
+
+@query("s4_summaries", SUMMARIES_SQL.format(tasks=TASK_SQL, state=COMPLETE))
 def s4_summaries(spark, d):
     path = shared_path(spark, "summaries")
     sinks.write_summary_text(summary.ligand_summary(dockings(spark, d), padded=True), path, 7)
     return text.read_summaries(spark, path, layout="table").drop("avg_score", "scores", "smiles")
 
 
+def _summary_files(spark, d):
+    """(state, scenario, path, content): a gzip text file per scenario and collection; some collections are incomplete."""
+    lines = sinks.summary_lines(summary.ligand_summary(dockings(spark, d), padded=True))
+    state = F.when(F.col("collection").endswith("1"), "incomplete").otherwise("complete")
+    files = lines.groupBy("scenario", "collection", state.alias("state")).agg(F.array_join(F.sort_array(F.collect_list("line")), "\n").alias("text"))
+    name = F.concat(F.substring("collection", 1, 2), F.lit("/"), F.replace("collection", F.lit("_"), F.lit("/")), F.lit(".txt.gz"))
+    named = files.select("state", "scenario", name.alias("path"), "text")
+    header = sinks.summary_header(7, False)
+
+    def pack(frames):
+        for frame in frames:
+            content = [gzip.compress(f"{header}\n{t}\n".encode()) for t in frame["text"]]
+            yield frame.drop(columns="text").assign(content=content)
+
+    return named.mapInPandas(pack, "state STRING, scenario STRING, path STRING, content BINARY")
+
+
+def _in_tree(files):
+    folder = F.concat("state", F.lit("/"), "scenario", F.lit("/summaries/"), "path")
+    return files.select(folder.alias("path"), "content")
+
+
+@query("s4_read_collections", SUMMARIES_SQL.format(tasks=TASK_SQL, state=BY_COLLECTION))
+def s4_read_collections(spark, d):
+    root = shared_path(spark, "summary-tree")
+    archives.write_files(_in_tree(_summary_files(spark, d)), root)
+    return text.read_summaries(spark, root).drop("avg_score", "scores", "smiles")
+
+
+@query("s4_read_tranches", SUMMARIES_SQL.format(tasks=TASK_SQL, state=BY_COLLECTION))
+def s4_read_tranches(spark, d):
+    """Complete collections in one archive per tranche, incomplete ones beside them as files."""
+    root, files = shared_path(spark, "summary-tranches"), _summary_files(spark, d)
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        buffer = io.BytesIO()
+        with tarfile.open(fileobj=buffer, mode="w") as tar:
+            for r in rows.itertuples():
+                info = tarfile.TarInfo(r.path.split("/", 1)[1])
+                info.size = len(r.content)
+                tar.addfile(info, io.BytesIO(r.content))
+        first = rows.iloc[0]
+        return pd.DataFrame({"state": ["complete"], "scenario": [first["scenario"]], "path": [first["path"].rsplit("/", 1)[0] + ".tar"], "content": [buffer.getvalue()]})
+
+    packed = files.where("state = 'complete'").groupBy("scenario", F.substring_index("path", "/", 2).alias("tranche")).applyInPandas(
+        pack, "state STRING, scenario STRING, path STRING, content BINARY"
+    )
+    archives.write_files(_in_tree(packed.unionByName(files.where("state = 'incomplete'"))), root)
+    return text.read_summaries(spark, root, layout="tranche").drop("avg_score", "scores", "smiles")
+
+
 @query(
     "s10_summary_text",
     """
@@ -302,6 +371,25 @@ def s6_batch_attempts(spark, d):
     return _batch_files(spark, d)["attempt"]
 
 
+@query(
+    "s6_attempt_order",
+    """SELECT workunit, subjob, CAST(row_number() OVER (PARTITION BY workunit, subjob ORDER BY attempt_no, started_at NULLS FIRST, stopped_at NULLS FIRST, reason) - 1 AS INT) AS attempt_no, started_at, stopped_at, reason FROM @attempt""",
+)
+def s6_attempt_order(spark, d):
+    """Status files with all attempts of a subjob in a row, one file per work unit."""
+    struct = lambda **cols: F.struct(*(c.alias(n) for n, c in cols.items()))
+    attempt = struct(no=F.col("attempt_no"), startedAt=F.col("started_at"), stoppedAt=F.col("stopped_at"), statusReason=F.col("reason"))
+    jobs = table(spark, d, "attempt").groupBy("workunit", "subjob").agg(F.sort_array(F.collect_list(attempt)).alias("attempts"))
+    detail = struct(container=struct(vcpus=F.lit(8)), attempts=F.transform("attempts", lambda a: a.dropFields("no")))
+    subjob = struct(status=F.lit("SUCCEEDED"), detailed_status=detail)
+    units = jobs.groupBy("workunit").agg(F.map_from_entries(F.collect_list(F.struct(F.col("subjob").cast("string"), subjob))).alias("subjobs"))
+    unit = F.create_map(F.col("workunit").cast("string"), struct(status=struct(job_id=F.lit("job")), subjobs=F.col("subjobs")))
+    root = shared_path(spark, "status-files")
+    content = F.to_json(F.struct(unit.alias("workunits")), {"ignoreNullFields": "false", "pretty": "true"})
+    archives.write_files(units.select(F.concat(F.col("workunit").cast("string"), F.lit(".json")).alias("path"), content.alias("content")), root)
+    return nested.read_batch_status(spark, root)["attempt"]
+
+
 @query(
     "s6_batch_subjobs",
     """SELECT workunit, subjob, 'SUCCEEDED' AS status, 8 AS vcpus, count(*) AS n_rows, CAST(sum(attempt_no + 7) AS BIGINT) AS n_ligands FROM @attempt GROUP BY 1, 2""",
@@ -343,6 +431,11 @@ def s8_logs(spark, d):
     """SELECT collection, ligand, scenario, replica, length(log) AS n_chars FROM @log""",
 )
 def s8_log_archives(spark, d):
+    packed = _log_archives(spark, d).withColumn("path", F.concat(F.lit("/"), "path"))
+    return text.log_rows(nested.unpack_files(packed)).withColumn("n_chars", F.length("log").cast("long")).drop("log")
+
+
+def _log_archives(spark, d):
     """Logs in one archive per scenario and collection, as finished collections publish them."""
     rows = table(spark, d, "log").select("collection", "scenario", "ligand", "replica", "log")
 
@@ -356,10 +449,36 @@ def s8_log_archives(spark, d):
                 info.size = len(data)
                 tar.addfile(info, io.BytesIO(data))
         tranche, number = collection.split("_", 1)
-        return pd.DataFrame({"path": [f"/out/{scenario}/logfiles/AB/{tranche}/{number}.tar.gz"], "content": [buffer.getvalue()]})
+        return pd.DataFrame({"path": [f"out/{scenario}/logfiles/AB/{tranche}/{number}.tar.gz"], "content": [buffer.getvalue()]})
 
-    archives = rows.groupBy("collection", "scenario").applyInPandas(pack, nested.ARCHIVE)
-    return text.log_rows(nested.unpack_files(archives)).withColumn("n_chars", F.length("log").cast("long")).drop("log")
+    return rows.groupBy("collection", "scenario").applyInPandas(pack, nested.ARCHIVE)
+
+
+@query(
+    "s8_read_logs",
+    """SELECT collection, ligand, concat('S', CAST(pos % 2 AS VARCHAR)) AS scenario, CAST(pos % 3 + 1 AS INT) AS replica, length(content) AS n_chars, md5(content) AS digest FROM @ligand""",
+)
+def s8_read_logs(spark, d):
+    """Loose logs of unfinished collections, replicas from 0 in the file names."""
+    root = shared_path(spark, "logs")
+    files = table(spark, d, "ligand").selectExpr(
+        """concat('incomplete/S', pos % 2, '/logfiles/', substr(collection, 1, 2), '/', replace(collection, '_', '/'), '/', ligand, '_replica-', pos % 3) AS path""",
+        "content",
+    )
+    archives.write_files(files, root)
+    return text.read_logs(spark, root, replica_base=0).select(
+        "collection", "ligand", "scenario", "replica", F.length("log").cast("long").alias("n_chars"), F.md5("log").alias("digest")
+    )
+
+
+@query(
+    "s8_read_log_archives",
+    """SELECT collection, ligand, scenario, replica, length(log) AS n_chars FROM @log""",
+)
+def s8_read_log_archives(spark, d):
+    root = shared_path(spark, "log-archives")
+    archives.write_files(_log_archives(spark, d), root)
+    return text.read_logs(spark, root, archived=True).withColumn("n_chars", F.length("log").cast("long")).drop("log")
 
 
 @query(

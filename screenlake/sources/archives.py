@@ -257,13 +257,9 @@ def pack_collections(ligands: DataFrame) -> DataFrame:
     return columns.groupBy("collection").applyInPandas(pack, "path STRING, content BINARY")
 
 
-def write_library(ligands: DataFrame, root: str, layout: str = "tranche") -> None:
-    """A ligand library below `root`: (collection, ligand, format, pos, content) rows in archives.
-
-    layout `collection`: `<meta>/<tranche>/<ID>.tar.gz`; `tranche`: `<meta>/<tranche>.tar` holding
-    `<tranche>/<ID>.tar.gz`. A collection is packed in one task, a tranche written by one, archive by archive.
-    """
-    whole = qualified(ligands.sparkSession, root)
+def write_files(files: DataFrame, root: str) -> None:
+    """(path, content) rows as files below `root`, each written by the task that has it; files of the same name are replaced."""
+    whole = qualified(files.sparkSession, root)
 
     def write_each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = 0
@@ -274,6 +270,17 @@ def write_library(ligands: DataFrame, root: str, layout: str = "tranche") -> Non
                 n += 1
         yield pd.DataFrame({"n": [n]})
 
+    files.select("path", F.col("content").cast("binary").alias("content")).mapInPandas(write_each, "n LONG").agg(F.sum("n")).collect()
+
+
+def write_library(ligands: DataFrame, root: str, layout: str = "tranche") -> None:
+    """A ligand library below `root`: (collection, ligand, format, pos, content) rows in archives.
+
+    layout `collection`: `<meta>/<tranche>/<ID>.tar.gz`; `tranche`: `<meta>/<tranche>.tar` holding
+    `<tranche>/<ID>.tar.gz`. A collection is packed in one task, a tranche written by one, archive by archive.
+    """
+    whole = qualified(ligands.sparkSession, root)
+
     def write_tranches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, rows = 0, (r for frame in frames for r in frame[["tranche", "path", "content"]].itertuples(index=False))
         row = next(rows, None)
@@ -292,4 +299,4 @@ def write_library(ligands: DataFrame, root: str, layout: str = "tranche") -> Non
         ordered = packed.withColumn("tranche", folder).repartition("tranche").sortWithinPartitions("tranche", "path")
         ordered.mapInPandas(write_tranches, "n LONG").agg(F.sum("n")).collect()
     else:
-        packed.mapInPandas(write_each, "n LONG").agg(F.sum("n")).collect()
+        write_files(packed, root)
