@@ -370,3 +370,65 @@ def test_pipeline_of_odd_rows(spark, edge_dirs):
     assert corpus_pipeline.run(spark, edge_dirs["rows"]).count() > 0
     assert corpus_pipeline.run(spark, edge_dirs["empty"]).count() == 0
     assert DOCS.startswith("doc_id")
+
+
+def base_spans_by_the_contract(text):
+    """Written from the words of the contract, not from the operator's patterns."""
+    import regex
+
+    def found(pattern, holds, flags=0):
+        return [(m.start(), m.end()) for m in regex.compile(pattern, flags | regex.ASCII).finditer(text) if holds(m)]
+
+    word = "(?:" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else "_?" if c == "?" else c for c in w) for w in ("password", "passwd", "secret", "token", "api?key")) + ")"
+    spans = [(s, 0, "assign", e) for s, e in found(word + "[\"']?[ ]*[:=][ ]*[\"']?([A-Za-z0-9+/_.=\\-]+)", lambda m: len(m[1]) >= 6)]
+    spans += [(s, 1, "access", e) for s, e in found("AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20)]
+    spans += [(s, 2, "hex", e) for s, e in found("[0-9a-f]+", lambda m: len(m[0]) >= 24)]
+    return [(s, k, e) for s, _, k, e in sorted(spans)]
+
+
+def test_secret_query_equals_the_contract(spark, docs, edge_dirs, rows):
+    for d, pairs in ((SF_DIR, list(zip(docs.doc_id, docs.text))), (edge_dirs["rows"], [r[:2] for r in rows])):
+        got = QUERIES["op4_secret_scan"](spark, d).collect()
+        want = []
+        for i, text in pairs:
+            base = base_spans_by_the_contract(text or "")
+            said = ",".join(f"{k}:{s}:{e}" for s, k, e in base)
+            want.append((i, *(sum(k == x for _, k, _ in base) for x in ("assign", "access", "hex")), sha256(said.encode()).hexdigest()))
+        assert sorted(map(str, ((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got))) == sorted(map(str, want))
+        for r in got:
+            # The method adds spans, base ones stay.
+            assert sha256(",".join(x for x in r.spans.split(",") if not x.startswith("named:")).encode()).hexdigest() == r.base_sha256
+
+
+def test_secrets_over_several_lines():
+    from screenlake.llm.secrets import spans_of
+
+    named = lambda t: [t[a:b] for a, k, b in spans_of(t) if k == "named"]
+    assert named('token = """abC\ndef123"""\n') == ["abC\ndef123"] and named("token = '''Zq81\n'mm'Kq0s'''") == ["Zq81\n'mm'Kq0s"]
+    assert named("private_key: |\n  -----BEGIN RSA PRIVATE KEY-----\n  abc\n\n  def\nother: 1") == ["-----BEGIN RSA PRIVATE KEY-----\n  abc\n\n  def"]
+    assert named("a:\n  token: >-\n    Zq81mm\n    Kq0s77\n  user: joe\n") == ["Zq81mm\n    Kq0s77"]
+    assert named('<add key="db_password" value="Xy81kk-Qp0"/>') == ["Xy81kk-Qp0"]
+    assert named('{"name": "API_TOKEN", "value": "a8sd7f6A8s7d6f"}, {"name": "title", "value": "Zq81mmKq0s"}') == ["a8sd7f6A8s7d6f"]
+    assert named('k = "Zq81mmKq0s"; auth_token = k; k = ""') == ["Zq81mmKq0s"]
+    # Circles end; what builds on itself is judged by its shares of characters.
+    assert named("a = b\nb = a + 'x1Y2z3'\npassword = a") == ["x1Y2z3"]
+    assert named("t0 = 'aB3dE5'\n" + "".join(f"t{i} = t{i - 1} + t{i - 1}\n" for i in range(1, 3000)) + "token = t2999") == ["aB3dE5"]
+
+
+def test_secret_scan_is_linear():
+    """Texts of a megabyte that used to take the square of their length."""
+    import time
+
+    from screenlake.llm.secrets import spans_of
+
+    n = 1 << 20
+    texts = [
+        "token=" + "a=" * (n // 2), "token = " + "+".join("a" * (n // 2)), "token = " + "'" * n, "token = " + '"""' * (n // 3) + "\n", "token\n" * (n // 6),
+        'token_0="aB3dE5fG7"\n' + "".join(f"token_{i} = token_{i - 1}\n" for i in range(1, n // 26)),
+        "token_0='aB3dE5fG7'\n" + "".join(f"token_{i} = token_{i - 1} + token_{i - 1}\n" for i in range(1, n // 40)),
+        "token = token\n" * (n // 14), "x=1\n" * (n // 8) + "token = x\n" * (n // 20), "".join(f"token{i}: |\n  aB3dE5f{i}\n" for i in range(n // 28)),
+    ]
+    for text in texts:
+        start = time.perf_counter()
+        spans_of(text)
+        assert time.perf_counter() - start < 10, text[:60]
