@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake.llm.common import id_back, id_of, text_of, whole_row
@@ -26,10 +26,10 @@ SLICES = 128
 # Shingles in at most this share of documents weigh 1; commoner ones less, never below FLOOR, so that
 # a large family of near copies still shows as one.
 COMMON, FLOOR = 0.01, 0.9
-# Heads of a bucket in the rounds after the first; None: every member.
-ROUNDS = (16, None)
-# 64-bit words of a sketch relative to the first head.
-SKETCH = 8
+# Members of a bucket that are compared with each other or with another block in one task, and characters of their texts.
+BLOCK, BLOCK_CHARS = 128, 8 << 20
+# Shingles of a block pair that are counted at a time: bounds memory, no result depends on it.
+COLUMNS = 4096
 # Entries of the tables of random variates that sampling draws from.
 DRAWS = 1 << 16
 
@@ -108,6 +108,11 @@ def vectors(texts: pa.Array, weights: Weights) -> tuple[np.ndarray, np.ndarray,
     return hashes[new], weights.of(hashes[new], times), np.bincount(docs[new], minlength=len(texts))
 
 
+def totals(weights: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of the weights of every text."""
+    return np.bincount(np.repeat(np.arange(len(counts)), counts), weights=weights, minlength=len(counts))
+
+
 # --- sampling --------------------------------------------------------------------------------
 
 
@@ -162,7 +167,7 @@ def band_keys(hashes: np.ndarray, weights: np.ndarray, counts: np.ndarray) -> np
     return keys
 
 
-SIGNATURES = "_doc LONG, _check LONG, d1 LONG, d2 LONG, keys ARRAY<LONG>"
+SIGNATURES = "_doc LONG, _check LONG, d1 LONG, d2 LONG, keys ARRAY<LONG>, total DOUBLE"
 
 
 def _sign(frames: Iterator[pd.DataFrame], weights: Weights) -> Iterator[pd.DataFrame]:
@@ -178,11 +183,12 @@ def _sign(frames: Iterator[pd.DataFrame], weights: Weights) -> Iterator[pd.DataF
                 total = np.zeros(len(n), np.uint64)
                 np.add.at(total, owner, mix(words + mix(place + np.uint64(salt))))
                 digests.append(total.astype(np.int64))
-            keys = band_keys(*vectors(part, weights)).astype(np.int64)
+            vector = vectors(part, weights)
+            keys = band_keys(*vector).astype(np.int64)
             own = frame.iloc[start:stop]
             yield pd.DataFrame({
                 "_doc": own["_doc"].to_numpy(), "_check": own["_check"].to_numpy(), "d1": digests[0], "d2": digests[1],
-                "keys": [k if some else [] for k, some in zip(keys, n > 0)],
+                "keys": [k if some else [] for k, some in zip(keys, n > 0)], "total": totals(*vector[1:]),
             })
 
 
@@ -191,150 +197,195 @@ def _sign(frames: Iterator[pd.DataFrame], weights: Weights) -> Iterator[pd.DataF
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Sum of smaller over sum of larger weights; both sides are (sorted shingles, weights)."""
-    return compared(a, b)[0]
-
-
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(20) & np.uint64(64 * SKETCH - 1)).astype(np.int64)
-
-
-def _words(bits: np.ndarray) -> list[int]:
-    set_ = np.zeros(64 * SKETCH, np.uint8)
-    set_[bits] = 1
-    return np.packbits(set_).view(np.int64).tolist()
-
-
-def compared(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple:
-    """Weighted Jaccard similarity, and a sketch of `b` relative to `a`.
-
-    The sketch: total weight of b; its weight on shingles of a; its least weight there; its largest
-    weight on other shingles of one bit; bits of shingles that it lacks of a; bits of its others.
-    """
     if not len(a[0]) or not len(b[0]):
-        total = float(b[1].sum())
-        return float(len(a[0]) == len(b[0])), total, 0.0, 0.0, total, _words(_bits(a[0])), _words(_bits(b[0]))
+        return float(len(a[0]) == len(b[0]))
     at = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
     same = a[0][at] == b[0]
     low = np.minimum(a[1][at[same]], b[1][same]).sum()
-    kept = np.zeros(len(a[0]), bool)
-    kept[at[same]] = True
-    other = _bits(b[0][~same])
-    most = np.bincount(other, weights=b[1][~same]).max() if len(other) else 0.0
-    total, shared = b[1].sum(), b[1][same].sum()
-    least = b[1][same].min() if same.any() else 0.0
-    sim = float(low / (a[1].sum() + total - low))
-    return sim, float(total), float(shared), float(least), float(most), _words(_bits(a[0][~kept])), _words(other)
-
-
-def _may_link(x: str, y: str) -> Column:
-    """False only where the sketches of two texts, relative to the same head, prove them unlike.
-
-    On shingles of the head they share at most what x has there, less its least weight for every bit
-    of which y lacks a shingle and x none; the same the other way round. On others they share at
-    most the largest weight of a bit for every bit that both have.
-    """
-    def count(words: Callable[[int], Column]) -> Column:
-        total = F.bit_count(words(0))
-        for i in range(1, SKETCH):
-            total = total + F.bit_count(words(i))
-        return total
-
-    def word(side: str, name: str, i: int) -> Column:
-        return F.col(f"{side}.{name}")[i]
-
-    def on_head(p: str, q: str) -> Column:
-        lacking = count(lambda i: word(q, "lacks", i).bitwiseAND(F.bitwise_not(word(p, "lacks", i))))
-        return F.col(f"{p}.shared") - F.col(f"{p}.least") * lacking
-
-    both = count(lambda i: word(x, "others", i).bitwiseAND(word(y, "others", i)))
-    common = F.least(on_head(x, y), on_head(y, x)) + F.least(F.col(f"{x}.most"), F.col(f"{y}.most")) * both
-    total = F.col(f"{x}.total") + F.col(f"{y}.total")
-    return common * (1 + SIMILARITY) + 1e-6 >= total * SIMILARITY
+    return float(low / (a[1].sum() + b[1].sum() - low))
 
 
-VERIFIED = (
-    "a LONG, b LONG, la LONG, lb LONG, sim DOUBLE, total DOUBLE, shared DOUBLE, least DOUBLE, most DOUBLE, "
-    "lacks ARRAY<LONG>, others ARRAY<LONG>"
-)
-_SKETCH = ["total", "shared", "least", "most", "lacks", "others"]
+def _split(texts: list[str], weights: Weights) -> list[tuple[np.ndarray, np.ndarray]]:
+    hashes, w, n = vectors(pa.array(texts, pa.large_string()), weights)
+    ends = np.cumsum(n)
+    return [(hashes[e - k:e], w[e - k:e]) for e, k in zip(ends, n)]
 
 
 def _verify(frames: Iterator[pd.DataFrame], weights: Weights) -> Iterator[pd.DataFrame]:
-    """Similarity and sketch of every pair (a, b, la, lb, text_a, text_b)."""
-
-    def split(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        hashes, w, n = vectors(pa.array(texts, pa.large_string()), weights)
-        ends = np.cumsum(n)
-        return [(hashes[e - k:e], w[e - k:e]) for e, k in zip(ends, n)]
-
+    """Similarity of every pair (a, b, text_a, text_b)."""
     for frame in frames:
         # About 4 MB of text at a time; a text that repeats on side `a` is cut into shingles once.
         lots = np.cumsum(frame["text_a"].str.len() + frame["text_b"].str.len()) // (4 << 20)
         for _, lot in frame.groupby(lots.to_numpy(), sort=False):
             firsts = lot.drop_duplicates("a")
-            of_a = dict(zip(firsts["a"], split(firsts["text_a"].tolist())))
-            found = [compared(of_a[a], b) for a, b in zip(lot["a"], split(lot["text_b"].tolist()))]
-            rows = pd.DataFrame(found, columns=["sim", *_SKETCH], index=lot.index)
-            yield pd.concat([lot[["a", "b", "la", "lb"]], rows], axis=1)
+            of_a = dict(zip(firsts["a"], _split(firsts["text_a"].tolist(), weights)))
+            sims = [weighted_jaccard(of_a[a], b) for a, b in zip(lot["a"], _split(lot["text_b"].tolist(), weights))]
+            yield lot[["a", "b"]].assign(sim=sims)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
-    """`pairs` (a, b, la, lb) with similarities and sketches."""
+    """`pairs` (a, b) with their similarities."""
     of_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("_text").alias("text_b")), "b")
-    both = of_b.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("text_a")), "a")
-    out = both.select("a", "b", "la", "lb", "text_a", "text_b").mapInPandas(lambda it: _verify(it, weights), VERIFIED)
-    # A repeated row of the input makes a pair twice.
-    return stable(out.dropDuplicates(["a", "b"]))
+    both = salted_join(of_b, texts.select(F.col("node").alias("a"), F.col("_text").alias("text_a")), ["a"], "inner", salts=2)
+    return both.select("a", "b", "text_a", "text_b").mapInPandas(lambda it: _verify(it, weights), "a LONG, b LONG, sim DOUBLE")
+
+
+def common_weights(vectors_: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Sum of the smaller weights, for all pairs of texts.
+
+    A smaller weight is the sum of the steps, between the weights a shingle has, that both texts reach: with
+    one column per step the sums are a product of matrices. Shingles that one text holds alone have no part.
+    """
+    n = len(vectors_)
+    docs = np.repeat(np.arange(n), [len(h) for h, _ in vectors_])
+    hashes, weights = (np.concatenate([v[i] for v in vectors_]) if n else np.empty(0) for i in (0, 1))
+    _, column, held = np.unique(hashes, return_inverse=True, return_counts=True)
+    met = held[column] > 1
+    docs, column, weights = docs[met], np.unique(column[met], return_inverse=True)[1], weights[met]
+    out = np.zeros((n, n))
+    # The steps of a column: its different weights, ascending.
+    order = np.lexsort((weights, column))
+    docs, column, weights = docs[order], column[order], weights[order]
+    fresh = np.ones(len(column), bool)
+    fresh[1:] = (column[1:] != column[:-1]) | (weights[1:] != weights[:-1])
+    first = np.ones(len(column), bool)
+    first[1:] = column[1:] != column[:-1]
+    number = np.cumsum(fresh) - 1
+    step = weights[fresh] - np.where(first[fresh], 0.0, np.append(0.0, weights[fresh][:-1]))
+    lowest = number[first][column] if len(column) else number
+    level = number - lowest
+    for k in range(int(level.max(initial=-1)) + 1):
+        reach = level >= k
+        which, place = np.unique(lowest[reach] + k, return_inverse=True)
+        for start in range(0, len(which), COLUMNS):
+            here = (place >= start) & (place < start + COLUMNS)
+            table = np.zeros((n, min(COLUMNS, len(which) - start)))
+            table[docs[reach][here], place[here] - start] = 1.0
+            out += (table * step[which[start:start + COLUMNS]]) @ table.T
+    return out
+
+
+LINKS = "a LONG, b LONG, la LONG, lb LONG"
+
+
+def _links_of_blocks(frames: Iterator[pd.DataFrame], weights: Weights) -> Iterator[pd.DataFrame]:
+    """Links between members of different labels, of block pairs (key, p, q) that come row after row."""
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        node, label, block = (rows[c].to_numpy() for c in ("node", "label", "block"))
+        vector = _split(rows["_text"].tolist(), weights)
+        total = np.array([w.sum() for _, w in vector])
+        low = common_weights(vector)
+        sim = low / np.maximum(total[:, None] + total[None, :] - low, 1e-300)
+        asked = (label[:, None] != label[None, :]) & (node[:, None] < node[None, :])
+        if rows["p"].iloc[0] != rows["q"].iloc[0]:
+            asked &= block[:, None] != block[None, :]
+        at, to = np.nonzero(asked & (sim >= SIMILARITY - 1e-6))
+        # Sums in another order may differ in their last digits: those near the threshold are summed as elsewhere.
+        sure = [sim[i, j] >= SIMILARITY + 1e-6 or weighted_jaccard(vector[i], vector[j]) >= SIMILARITY for i, j in zip(at, to)]
+        at, to = at[sure], to[sure]
+        return pd.DataFrame({"a": node[at], "b": node[to], "la": label[at], "lb": label[to]})
+
+    held: list[pd.DataFrame] = []
+    last = None
+    for frame in frames:
+        for pair, rows in frame.groupby(["key", "p", "q"], sort=False):
+            if pair != last and held:
+                yield links(pd.concat(held))
+                held = []
+            held.append(rows)
+            last = pair
+    if held:
+        yield links(pd.concat(held))
+
+
+def _shingle_rows(frames: Iterator[pd.DataFrame], weights: Weights) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        texts = pa.array(frame["_text"].tolist(), pa.large_string())
+        for start, stop in batches(texts, 1 << 20):
+            hashes, w, n = vectors(texts[start:stop], weights)
+            yield pd.DataFrame({"node": np.repeat(frame["node"].to_numpy()[start:stop], n), "hash": hashes.astype(np.int64), "w": w})
+
+
+def _mixed(cells: DataFrame) -> DataFrame:
+    """Cells of buckets with members of several components."""
+    several = cells.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high")
+    return salted_join(cells, several.select("key"), ["key"], "left_semi")
+
+
+def _hopeful(cells: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """Cells without those that no mate can be similar to.
+
+    What a text shares with any other is at most its weight on shingles that some other text here holds. Similar
+    texts share at least SIMILARITY / (1 + SIMILARITY) of both weights together; the lightest mate, and the mate
+    that could share most, tell who has none. In a family of pages of one template, alike but not enough, that is
+    everybody, so families cost their members and not their pairs.
+    """
+    nodes = cells.select("node").distinct()
+    own = texts.join(nodes, "node").mapInPandas(lambda it: _shingle_rows(it, weights), "node LONG, hash LONG, w DOUBLE")
+    alone = own.groupBy("hash").agg(F.min("node").alias("node"), F.max("node").alias("_last"), F.min("w").alias("w")).where("node = _last")
+    unshared = alone.groupBy("node").agg(F.sum("w").alias("_alone"))
+    of_node = texts.select("node", "total").join(nodes, "node").join(unshared, "node", "left")
+    # The heaviest mate that is light enough, with a margin for sums in another order.
+    most = (F.col("total") - F.coalesce("_alone", F.lit(0.0))) * ((1 + SIMILARITY) / SIMILARITY) - F.col("total") + 1e-6
+    known = stable(cells.join(of_node.select("node", "total", most.alias("most")), "node"))
+    bounds = known.groupBy("key").agg(F.min("total").alias("_lightest"), F.max("most").alias("_most"))
+    met = salted_join(known, bounds, ["key"], "inner")
+    return met.where("most >= _lightest AND total <= _most").select("key", "node", "label")
+
+
+def _compared_in_blocks(cells: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """Links (a, b, la, lb) between bucket mates of different components.
+
+    The members of a bucket's largest component are never compared with each other. They and the rest are dealt
+    into blocks; a block pair is compared in one task, to which each of its texts is sent once.
+    """
+    sized = cells.join(texts.select("node", F.length("_text").alias("chars")), "node")
+    per_label = sized.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    largest = F.max(F.struct("n", "label", "chars")).alias("_top")
+    per_key = per_label.groupBy("key").agg(largest, F.sum("n").alias("_n"), F.sum("chars").alias("_chars"))
+    parts = lambda n, chars: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(chars / BLOCK_CHARS)).cast("long")
+    plan = per_key.select(
+        "key", F.col("_top.label").alias("_label"), parts(F.col("_top.n"), F.col("_top.chars")).alias("_tops"),
+        parts(F.col("_n") - F.col("_top.n"), F.col("_chars") - F.col("_top.chars")).alias("_rests"),
+    )
+    met = salted_join(cells, plan, ["key"], "inner")
+    place = F.xxhash64("node")
+    is_top = F.col("label") == F.col("_label")
+    block = F.when(is_top, F.col("_rests") + F.pmod(place, "_tops")).otherwise(F.pmod(place, "_rests"))
+    mates = F.sequence(F.lit(0).cast("long"), F.when(is_top, F.col("_rests")).otherwise(F.col("_rests") + F.col("_tops")) - 1)
+    dealt = met.withColumn("block", block).withColumn("mate", F.explode(mates)).select(
+        "key", F.least("block", "mate").alias("p"), F.greatest("block", "mate").alias("q"), "node", "label", "block"
+    )
+    with_text = dealt.join(texts.select("node", "_text"), "node")
+    together = with_text.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+    return together.select("key", "p", "q", "node", "label", "block", "_text").mapInPandas(lambda it: _links_of_blocks(it, weights), LINKS).distinct()
 
 
 def _link_buckets(cells: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     """(node, label) of all nodes that are linked to another one; links are between bucket mates.
 
-    First every member of a bucket is compared with its head, the least node, and components are
-    merged: buckets of one component, such as families of copies, are done with one comparison a
-    member. In the others members of different components are paired, first with a few heads, then
-    with each other, unless their sketches relative to the head prove them unlike. So no link
-    between components is lost, and pairs that are emitted are nearly all close to the threshold.
+    First every member of a bucket is compared with its head, the least node, and components are merged: buckets of
+    one component, such as families of copies, are done with one comparison a member. Of the others, members that may
+    have a similar mate are compared, block by block. So no link between components is lost.
     """
     heads = cells.groupBy("key").agg(F.min("node").alias("head"))
-    met = stable(cells.join(heads, "key").where("node <> head").select("key", "head", "node"))
-    pairs = met.select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("head").alias("la"), F.col("node").alias("lb"))
-    new = _verified(pairs.distinct(), texts, weights)
-    sims = new.select("a", "b")
-    labels = None
-    sketched = new.select(F.col("a").alias("head"), F.col("b").alias("node"), F.struct(*_SKETCH).alias("x"))
-    cells = met.join(sketched, ["head", "node"]).select("key", "node", F.col("node").alias("label"), "x")
-    for count in ROUNDS:
-        labels, merged = _merged_labels(labels, new)
-        cells = cells if merged is None else _relabelled(cells, merged)
-        mixed = cells.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high")
-        cells = stable(cells.join(mixed.select("key"), "key").select("key", "node", "label", "x"))
-        others = cells.select("key", F.col("node").alias("mate"), F.col("label").alias("mate_label"), F.col("x").alias("y"))
-        if count is not None:
-            part = F.pmod(F.xxhash64("mate"), F.lit(count))
-            row = F.struct("mate", "mate_label", "y")
-            others = others.groupBy("key", part).agg(F.min_by(row, "mate").alias("_m")).select("key", "_m.*")
-            once = F.col("node") != F.col("mate")
-        else:
-            once = F.col("node") < F.col("mate")
-        near = cells.join(others, "key").where(once & (F.col("label") != F.col("mate_label")) & _may_link("x", "y"))
-        turned = F.col("node") > F.col("mate")
-        pairs = near.select(
-            F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b"),
-            F.when(turned, F.col("mate_label")).otherwise(F.col("label")).alias("la"),
-            F.when(turned, F.col("label")).otherwise(F.col("mate_label")).alias("lb"),
-        ).distinct()
-        new = _verified(pairs.join(sims, ["a", "b"], "left_anti"), texts, weights)
-        sims = stable(sims.unionAll(new.select("a", "b")))
-    labels, _ = _merged_labels(labels, new)
+    met = salted_join(cells, heads, ["key"], "inner").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    sims = _verified(met, texts, weights).where(F.col("sim") >= SIMILARITY)
+    labels, _ = _merged_labels(None, stable(sims.select(F.col("a").alias("la"), F.col("b").alias("lb")).distinct()))
+    own = cells.withColumn("label", F.col("node"))
+    open_ = stable(_mixed(own if labels is None else _relabelled(own, labels)))
+    if not open_.isEmpty():
+        open_ = stable(_mixed(_hopeful(open_, texts, weights)))
+        labels, _ = _merged_labels(labels, stable(_compared_in_blocks(open_, texts, weights)))
     if labels is None:
         return texts.sparkSession.createDataFrame([], "node LONG, label LONG")
     return labels
 
 
 def _merged_labels(labels: DataFrame | None, new: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-    """Labels after the links among `new`, and how those change labels; None where nothing is linked."""
-    found = new.where(F.col("sim") >= SIMILARITY).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    """Labels after the links `new` (la, lb), and how those change labels; None where nothing is linked."""
+    found = new.select(F.col("la").alias("a"), F.col("lb").alias("b"))
     if found.isEmpty():
         return labels, None
     merged = components(found)
@@ -354,17 +405,18 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node of each connected component, for nodes that have links.
 
     Labels are lowered to the least one among neighbours, then to the label's own label, until
-    nothing changes; every step is a join, which splits hot nodes, and a combined minimum.
+    nothing changes; every step is a join that is salted, as hubs have many neighbours and large
+    components one label, and a combined minimum.
     """
     both = stable(links.union(links.select("b", "a")).toDF("node", "other").distinct())
     labels = stable(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")))
     while True:
         of_other = labels.select(F.col("node").alias("other"), F.col("label").alias("_theirs"))
-        near = both.join(of_other, "other").groupBy("node").agg(F.min("_theirs").alias("_near"))
+        near = salted_join(both, of_other, ["other"], "inner").groupBy("node").agg(F.min("_theirs").alias("_near"))
         lower = labels.join(near, "node").withColumn("_low", F.least("label", "_near"))
         # The label of the label: paths shrink by half each time.
         jump = labels.select(F.col("node").alias("_low"), F.col("label").alias("_next"))
-        after = stable(lower.join(jump, "_low").select("node", F.least("_low", "_next").alias("label"), F.col("label").alias("_was")))
+        after = stable(salted_join(lower, jump, ["_low"], "inner").select("node", F.least("_low", "_next").alias("label"), F.col("label").alias("_was")))
         if after.where("label < _was").isEmpty():
             return after.select("node", "label")
         labels = after.select("node", "label")
@@ -376,13 +428,14 @@ def _labelled(docs: DataFrame) -> DataFrame:
     weights = shingle_weights(keyed, docs.count())
     signed = stable(keyed.mapInPandas(lambda it: _sign(it, weights), SIGNATURES).withColumn("_row", F.monotonically_increasing_id()))
     copies = signed.groupBy("d1", "d2").agg(F.min("_row").alias("node"))
-    members = stable(salted_join(signed, copies, ["d1", "d2"]).select("_doc", "_check", "_row", "node", "keys"))
+    members = stable(salted_join(signed, copies, ["d1", "d2"]).select("_doc", "_check", "_row", "node", "keys", "total"))
     nodes = members.where("_row = node")
     cells = nodes.select("node", F.explode("keys").alias("key"))
     shared = cells.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key")
-    cells = stable(cells.join(shared, "key"))
-    involved = nodes.select("_doc", "_check", "node").join(cells.select("node").distinct(), "node")
-    texts = stable(keyed.join(involved, ["_doc", "_check"]).select("node", "_text"))
+    cells = stable(salted_join(cells, shared, ["key"], "left_semi"))
+    involved = nodes.select("_doc", "_check", "node", "total").join(cells.select("node").distinct(), "node")
+    # One row per node, though rows of the input may be repeated.
+    texts = stable(keyed.join(involved, ["_doc", "_check"]).groupBy("node").agg(F.first("_text").alias("_text"), F.first("total").alias("total")))
     labels = _link_buckets(cells, texts, weights)
     labelled = salted_join(members.select("_doc", "_check", "node"), labels, ["node"])
     return labelled.select("_doc", "_check", F.coalesce("label", "node").alias("_class"))

@@ -187,34 +187,92 @@ def test_chain_of_edits_is_one_class(spark):
     assert all(got[k] == 0 for k in range(120)) and all(got[1000 + k] == 1000 + k for k in range(5))
 
 
-def test_sketches_never_prune_a_link():
-    """The bound of the sketches holds for every pair, and prunes most that are far apart."""
+def test_block_sums_equal_pair_by_pair():
+    """Sums of smaller weights as products of matrices, with weights that differ between texts, and empty texts."""
     import random
 
-    from screenlake.llm.near_dedup import SIMILARITY, compared, weighted_jaccard
+    from screenlake.llm import near_dedup
+
+    rng = random.Random(3)
+    words = [rng.getrandbits(63) for _ in range(400)]
+    texts = [{w: rng.choice((0.9, 1.0, 1.0, 1.7, 1 + np.log(3))) for w in rng.sample(words, rng.randrange(0, 200))} for _ in range(60)]
+    vecs = [(np.array(sorted(t), np.uint64), np.array([t[k] for k in sorted(t)])) for t in texts]
+    near_dedup.COLUMNS, before = 37, near_dedup.COLUMNS
+    try:
+        low = near_dedup.common_weights(vecs)
+    finally:
+        near_dedup.COLUMNS = before
+    for i, a in enumerate(vecs):
+        for j, b in enumerate(vecs[:i]):
+            total = a[1].sum() + b[1].sum()
+            if len(a[0]) and len(b[0]):
+                assert abs(low[i, j] / (total - low[i, j]) - near_dedup.weighted_jaccard(a, b)) < 1e-9
+            else:
+                assert low[i, j] == 0
+
+
+def weighted_classes(pairs):
+    """Classes over all pairs, from the words of the docstring: shingles, 1 + ln(count) times idf, weighted Jaccard."""
+    import math
+
+    counts = [brute.shingles(t) for _, t in pairs]
+    df = {}
+    for c in counts:
+        for x in c:
+            df[x] = df.get(x, 0) + 1
+    idf = lambda x: max(0.9, min(1.0, math.log(len(pairs) / df[x]) / math.log(100))) if df[x] > 0.01 * len(pairs) else 1.0
+    vec = [{x: (1 + math.log(n)) * idf(x) for x, n in c.items()} for c in counts]
+    total, holders = [sum(v.values()) for v in vec], {}
+    for k, v in enumerate(vec):
+        for x in v:
+            holders.setdefault(x, []).append(k)
+    common = {}
+    for x, held in holders.items():
+        for n, b in enumerate(held):
+            for a in held[:n]:
+                common[a, b] = common.get((a, b), 0.0) + min(vec[a][x], vec[b][x])
+    ids = [i for i, _ in pairs]
+    links = [(ids[a], ids[b]) for (a, b), low in common.items() if low / (total[a] + total[b] - low) >= 0.8]
+    empty = [i for i, v in zip(ids, vec) if not v]
+    return brute.classes([*links, *((empty[0], i) for i in empty)], ids)
+
 
-    rng, pruned, far = random.Random(3), 0, 0
-    pick = lambda: rng.getrandbits(63)
-    head = {pick(): rng.choice((0.9, 1.0, 1.7)) for _ in range(180)}
-    extra = [pick() for _ in range(60)]
+def test_near_duplicates_with_weights_equal_brute_force(spark, docs, monkeypatch):
+    """The query as it is; then families of several templates, in blocks of a few documents."""
+    from screenlake.llm import near_dedup
+
+    got = {r.doc_id: r.class_id for r in QUERIES["op7_near_duplicates"](spark, SF_DIR).collect()}
+    assert got == weighted_classes(list(zip(docs.doc_id.tolist(), docs.text.tolist())))
+    rng = np.random.default_rng(4)
     texts = []
-    for _ in range(70):
-        lost = rng.random() * 0.3
-        text = {k: w if rng.random() < 0.9 else 1.3 for k, w in head.items() if rng.random() > lost}
-        texts.append(text | {k: 1.0 for k in rng.sample(extra, rng.randrange(20))} | {pick(): 1.0 for _ in range(int(180 * lost))})
-    vec = lambda t: (np.array(sorted(t), np.uint64), np.array([t[k] for k in sorted(t)]))
-    vecs = [vec(t) for t in texts]
-    marks = [compared(vec(head), v)[1:] for v in vecs]
-    ones = lambda words: sum(bin(w & (2**64 - 1)).count("1") for w in words)
-    for i, (ti, si, li, mi, ki, oi) in enumerate(marks):
-        for j, (tj, sj, lj, mj, kj, oj) in enumerate(marks[:i]):
-            on = min(si - li * ones(b & ~a for a, b in zip(ki, kj)), sj - lj * ones(a & ~b for a, b in zip(ki, kj)))
-            common = on + min(mi, mj) * ones(a & b for a, b in zip(oi, oj))
-            true = weighted_jaccard(vecs[i], vecs[j])
-            assert common / (ti + tj - common) >= true - 1e-9
-            far += true < SIMILARITY - 0.1
-            pruned += true < SIMILARITY - 0.1 and common * (1 + SIMILARITY) < (ti + tj) * SIMILARITY
-    assert pruned > 0.8 * far
+    for family in range(6):
+        base = [f"f{family}w{i}" for i in range(120)]
+        for _ in range(25):
+            words = list(base)
+            for at in rng.choice(120, rng.integers(0, 5), replace=False):
+                words[at] = f"x{rng.integers(0, 6)}"
+            texts.append(" ".join(words + base[: rng.integers(0, 30)]))
+    pairs = list(enumerate(texts))
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    found = near_dedup.near_duplicate_classes(spark.createDataFrame(pairs, "doc_id LONG, text STRING").repartition(3))
+    # Pairs at the threshold meet in no bucket with a probability of some in 100,000.
+    assert {r.doc_id: r.class_id for r in found.collect()} == weighted_classes(pairs)
+
+
+def template_family(spark, n):
+    """Pages of one template: 300 shingles that all share, 36 of their own; alike, but below the threshold."""
+    shared = [f"t{i}" for i in range(304)]
+    return spark.createDataFrame([(i, " ".join([*shared, *(f"d{i}x{k}" for k in range(36))])) for i in range(n)], "doc_id LONG, text STRING").repartition(8)
+
+
+def test_template_families_cost_their_members_and_not_their_pairs(spark, monkeypatch):
+    from screenlake.llm import near_dedup
+
+    left = []
+    real = near_dedup._compared_in_blocks
+    monkeypatch.setattr(near_dedup, "_compared_in_blocks", lambda cells, *a: left.append(cells.count()) or real(cells, *a))
+    got = near_dedup.near_duplicate_classes(template_family(spark, 900)).collect()
+    assert all(r.class_id == r.doc_id for r in got) and left == [0]
 
 
 def test_common_groups_are_counted_over_all_documents(spark):
