@@ -357,7 +357,8 @@ def _compared_in_blocks(cells: DataFrame, texts: DataFrame, weights: Weights) ->
     dealt = met.withColumn("block", block).withColumn("mate", F.explode(mates)).select(
         "key", F.least("block", "mate").alias("p"), F.greatest("block", "mate").alias("q"), "node", "label", "block"
     )
-    with_text = dealt.join(texts.select("node", "_text"), "node")
+    # A member that is left over from a large family meets all of its blocks.
+    with_text = salted_join(dealt, texts.select("node", "_text").join(cells.select("node").distinct(), "node"), ["node"], "inner", salts=4)
     together = with_text.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
     return together.select("key", "p", "q", "node", "label", "block", "_text").mapInPandas(lambda it: _links_of_blocks(it, weights), LINKS).distinct()
 

@@ -424,6 +424,25 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert check_packing(seen["packing"], ids) == sum(len(ids[str(i)]) * n for i, n in mixed.items())
 
 
+def test_stages_keep_columns_named_like_their_own(spark, edge_dirs):
+    """Types and values of columns that operators use the names of, and the text and number of characters as changed."""
+    rows = [(i, f"a line that repeats\nand one of its own {i}\nx", 77 + i, f"d{i}", None if i % 2 else "kept", i / 2, f"doc{i}", 0) for i in range(6)]
+    schema = "doc_id LONG, text STRING, n_lines INT, N_Dropped STRING, kept_text STRING, _quality DOUBLE, _doc STRING, n_chars INT"
+    docs = spark.createDataFrame(rows, schema)
+    stages = dict(corpus_pipeline.STAGES)
+    out = stages["line_dedup"](spark, docs, edge_dirs["rows"])
+    assert out.dtypes == docs.dtypes
+    want = []
+    for i, text, *rest, _ in rows:
+        kept = text if i == 0 else text.split("\n", 1)[1]
+        want.append((i, kept, *rest, len(kept)))
+    assert sorted(map(tuple, out.collect())) == want
+    for name in ("quality_classifier", "near_dedup", "mixing"):
+        got = stages[name](spark, docs, edge_dirs["rows"])
+        assert got.dtypes == docs.dtypes
+        assert set(map(tuple, got.collect())) <= set(rows), name
+
+
 def test_pipeline_of_odd_rows(spark, edge_dirs):
     assert corpus_pipeline.run(spark, edge_dirs["rows"]).count() > 0
     assert corpus_pipeline.run(spark, edge_dirs["empty"]).count() == 0
