@@ -17,22 +17,34 @@ from screenlake.llm.packing import pack
 from screenlake.llm.quality import THRESHOLD, fit, score_quality
 from screenlake.session import remove_path, shared_path
 
-SCORE, CLASS = "_quality", "_class"
+# Columns that line dedup adds.
+LINE_COLUMNS = ("n_lines", "n_dropped", "kept_text")
+
+
+def _fresh(name: str, docs: DataFrame) -> str:
+    """The name, made longer until no column of `docs` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold go."""
-    model = fit(docs, table(spark, sf_dir, "labels"))
-    return score_quality(docs, model, SCORE).where(F.col(SCORE) >= THRESHOLD).drop(SCORE)
+    model, score = fit(docs, table(spark, sf_dir, "labels")), _fresh("_quality", docs)
+    return score_quality(docs, model, score).where(F.col(score) >= THRESHOLD).drop(score)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; n_chars follows the text. A document of such lines only becomes empty."""
+    # Columns of docs that are named like new ones stand aside.
+    aside = {c: _fresh(f"_own_{c}", docs) for c in docs.columns if c.lower() in LINE_COLUMNS}
     text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
     new = {"text": text}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
-    return dedup_lines(docs).withColumns(new).select(*docs.columns)
+    done = dedup_lines(docs.withColumnsRenamed(aside)).withColumns(new)
+    return done.select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
