@@ -426,8 +426,8 @@ def test_pipeline_stages(spark, docs, tmp_path):
 
 def test_stages_keep_columns_named_like_their_own(spark, edge_dirs):
     """Types and values of columns that operators use the names of, and the text and number of characters as changed."""
-    rows = [(i, f"a line that repeats\nand one of its own {i}\nx", 77 + i, f"d{i}", None if i % 2 else "kept", i / 2, f"doc{i}", 0) for i in range(6)]
-    schema = "doc_id LONG, text STRING, n_lines INT, N_Dropped STRING, kept_text STRING, _quality DOUBLE, _doc STRING, n_chars INT"
+    rows = [(i, f"a line that repeats\nand one of its own {i}\nx", 77 + i, f"d{i}", None if i % 2 else "kept", i / 2, f"doc{i}", "s", 0) for i in range(6)]
+    schema = "doc_id LONG, text STRING, n_lines INT, N_Dropped STRING, kept_text STRING, _quality DOUBLE, _doc STRING, source STRING, n_chars INT"
     docs = spark.createDataFrame(rows, schema)
     stages = dict(corpus_pipeline.STAGES)
     out = stages["line_dedup"](spark, docs, edge_dirs["rows"])
