@@ -7,10 +7,12 @@ partitions before. Only one total per partition reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenlake.session import stable
@@ -66,17 +68,32 @@ def number_rows(
 def running_totals(
     df: DataFrame, order_by: Sequence[str | Column] | str, value: str, col: str = "p", number: str = "rn"
 ) -> DataFrame:
-    """Position from 1 and running total of `value`, this row included."""
-    parts = ordered_parts(df, order_by)
-    offsets = part_offsets(parts, {"_rows": F.count(F.lit(1)), "_sum": F.sum(value)})
-    window = Window.partitionBy(PART).orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        parts.join(offsets, PART)
-        .withColumns(
-            {
-                number: F.col("_rows") + F.col(ROW) + 1,
-                col: F.sum(F.col(value).cast("long")).over(window) + F.col("_sum"),
-            }
-        )
-        .drop("_rows", "_sum", PART, ROW)
-    )
+    """Position from 1 and running total of `value` (null: 0), this row included.
+
+    Rows are shuffled once, by the order. Each partition then adds up its own rows, batch by batch, from
+    where the partitions before it end.
+    """
+    parts = ordered_parts(df.withColumn("_value", F.coalesce(F.col(value).cast("long"), F.lit(0))), order_by)
+    sums = parts.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"), F.sum("_value").alias("sum")).collect()
+    before, rows, total = {}, 0, 0
+    for r in sorted(sums, key=lambda r: r[PART]):
+        before[r[PART]] = (rows, total)
+        rows, total = rows + r["rows"], total + r["sum"]
+    schema = df.select("*", F.lit(0).cast("long").alias(number), F.lit(0).cast("long").alias(col)).schema
+    names = df.columns
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if at is None:
+                at = before[batch.column(batch.schema.get_field_index(PART))[0].as_py()]
+            own = batch.column(batch.schema.get_field_index("_value"))
+            sums_here = pc.add(pc.cumulative_sum(own), at[1])
+            numbers = pa.array(range(at[0] + 1, at[0] + batch.num_rows + 1), pa.int64())
+            at = (at[0] + batch.num_rows, sums_here[-1].as_py())
+            kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*kept, numbers, sums_here], [*names, number, col])
+
+    return parts.mapInArrow(add_up, schema)

@@ -8,11 +8,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenlake.operators.joins import salted_join
-from screenlake.operators.ordering import PART, ROW, number_rows, ordered_parts, running_totals
+from screenlake.operators.ordering import number_rows, running_totals
 from screenlake.session import shared_path, stable
 
 # Rows handled together when bin chains are followed inside one task.
@@ -33,31 +33,41 @@ def chunk_manifest(manifest: DataFrame, n: int) -> DataFrame:
 
 
 def _first_reaching(rows: DataFrame, t: int) -> DataFrame:
-    """(id, nxt): for a bin starting at row `id`, the row after the one closing it, else null.
+    """(block, id, nxt): for a bin starting at row `id`, the row after the one closing it, else -1.
 
-    `rows` has rn, x and the running total p. The bin closes at the first row whose p is at
-    least p - x + t. Data totals and wanted totals are sorted together; the closing row is
-    the next data row in that order, within the partition or the first of a later one.
+    `rows` has block, rn, x and the running total p. The bin closes at the first row whose p is at least
+    p - x + t: a binary search in the row's own block. For the others the ends of the blocks, one number each,
+    tell the block, and only these rows are sent there.
     """
-    data = rows.select(F.col("p").alias("value"), F.lit(1).alias("kind"), "rn")
-    wanted = rows.select((F.col("p") - F.col("x") + t).alias("value"), F.lit(0).alias("kind"), "rn")
-    parts = ordered_parts(wanted.unionAll(data), ["value", "kind", "rn"])
-    data_rn = F.when(F.col("kind") == 1, F.col("rn"))
-    # Backwards with a growing frame: a frame that shrinks would be recomputed for every row.
-    ahead = Window.partitionBy(PART).orderBy(F.desc(ROW)).rowsBetween(Window.unboundedPreceding, 0)
-    # One row per partition: the first data row there, then the first in any later partition.
-    firsts = sorted(parts.groupBy(PART).agg(F.min(data_rn).alias("rn")).collect(), reverse=True)
-    later, seen = [], None
-    for row in firsts:
-        later.append((row[PART], seen))
-        seen = row["rn"] if row["rn"] is not None else seen
-    later_df = rows.sparkSession.createDataFrame(later, f"{PART} INT, _later LONG")
-    return (
-        parts.withColumn("_here", F.min(data_rn).over(ahead))
-        .where("kind = 0")
-        .join(F.broadcast(later_df), PART)
-        .select(F.col("rn").alias("id"), (F.coalesce("_here", "_later") + 1).alias("nxt"))
+    # One number per block.
+    ends = [r["end"] for r in rows.groupBy("block").agg(F.max("p").alias("end")).orderBy("block").collect()]
+    border = np.array(ends, np.int64)
+
+    def search(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("rn")
+        p, first = own["p"].to_numpy(), int(own["rn"].iloc[0])
+        wanted = p - own["x"].to_numpy() + t
+        at = np.searchsorted(p, wanted)
+        target = np.searchsorted(border, wanted)
+        here, ended = at < len(p), target >= len(border)
+        nxt = np.where(here, first + at + 1, np.where(ended, -1, 0))
+        return pd.DataFrame({"block": own["block"], "id": own["rn"], "nxt": nxt, "wanted": wanted, "target": np.where(here | ended, -1, target)})
+
+    def meet(leaving: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("rn")
+        if not len(leaving):
+            return pd.DataFrame({"block": [], "id": [], "nxt": []}, dtype="int64")
+        at = np.searchsorted(own["p"].to_numpy(), leaving["wanted"].to_numpy())
+        return pd.DataFrame({"block": leaving["block"], "id": leaving["id"], "nxt": int(own["rn"].iloc[0]) + at + 1})
+
+    found = stable(rows.groupBy("block").applyInPandas(search, "block LONG, id LONG, nxt LONG, wanted LONG, target LONG"))
+    leaving = found.where("target >= 0")
+    # Only blocks that rows lead to are read again.
+    asked = leaving.select(F.col("target").alias("block")).distinct()
+    met = leaving.groupBy("target").cogroup(rows.select("block", "rn", "p").join(asked, "block", "left_semi").groupBy("block")).applyInPandas(
+        meet, "block LONG, id LONG, nxt LONG"
     )
+    return found.where("target < 0").select("block", "id", "nxt").unionAll(met)
 
 
 def _block_exits(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -124,9 +134,8 @@ def pack_bins(manifest: DataFrame, t: int, block: int = BLOCK) -> DataFrame:
     small = manifest.where(F.col("n_ligands") < t)
     rows = running_totals(small, ["seq", "collection"], "n_ligands").withColumn("x", F.col("n_ligands"))
     block_of = F.floor((F.col("id") - 1) / block).cast("long")
-    links = _first_reaching(rows.select("rn", "x", "p"), t).select(
-        block_of.alias("block"), "id", F.coalesce("nxt", F.lit(-1)).cast("long").alias("nxt")
-    )
+    in_block = F.floor((F.col("rn") - 1) / block).cast("long").alias("block")
+    links = _first_reaching(rows.select(in_block, "rn", F.col("x").cast("long").alias("x"), "p"), t)
     exits = stable(
         links.groupBy("block").applyInPandas(_block_exits, "block LONG, id LONG, nxt LONG, exit LONG")
     )
