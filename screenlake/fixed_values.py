@@ -10,6 +10,7 @@ FAILED = "failed"
 FAILED_DOCKING = "failed(docking)"
 FAILED_PROGRAM = "failed(docking_program)"
 FAILED_COORDINATES = "failed(ligand_coordinates)"
+FAILED_ELEMENTS = "failed(ligand_elements:"
 FAILED_ENERGY = "energy-check:failed"
 
 # Batch job statuses: name, order, completed, check parent, check subjobs.

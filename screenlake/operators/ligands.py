@@ -105,7 +105,7 @@ def ligand_verdict(
         if precedence == "aws":
             by_element = by_element & (duplicate.isNull() | (line <= duplicate))
         verdict = (
-            F.when(by_element, F.concat(F.lit("failed(ligand_elements:"), element, F.lit(")")))
+            F.when(by_element, F.concat(F.lit(fv.FAILED_ELEMENTS), element, F.lit(")")))
             .when(duplicate.isNotNull(), fv.FAILED_COORDINATES)
             .otherwise("ok")
         )

@@ -44,6 +44,17 @@ def workflow_totals(manifest: DataFrame, done: DataFrame) -> DataFrame:
     return as_metrics(total).unionAll(as_metrics(counters))
 
 
+def workflow_numbers(manifest: DataFrame, done: DataFrame, current: DataFrame, todo: DataFrame) -> DataFrame:
+    """`workflow_progress` and `workflow_totals` in one: every table is read once."""
+    def number(name: str) -> Column:
+        return F.count(F.lit(1)).alias(f"collections_{name}")
+
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS]
+    ligands = F.coalesce(F.sum("n_ligands"), F.lit(0)).alias("ligands_total")
+    rows = (manifest.agg(number("total"), ligands), done.agg(number("completed"), *sums), current.agg(number("processing")), todo.agg(number("todo")))
+    return reduce(DataFrame.unionAll, map(as_metrics, rows))
+
+
 def double_assigned(assignment: DataFrame) -> DataFrame:
     """Collections held by more than one queue."""
     queue = [c for c in ("jobline", "step", "queue") if c in assignment.columns]

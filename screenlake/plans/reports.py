@@ -21,16 +21,14 @@ def workflow_report(
     jobs: DataFrame | None = None,
 ) -> DataFrame:
     """(section, metric, value): joblines, collections, ligands and dockings of a campaign."""
-    totals = progress.workflow_totals(manifest, done)
-    is_docking = F.col("metric").startswith("dockings")
+    numbers = progress.workflow_numbers(manifest, done, current, todo)
+    # The first word of a metric names its section.
+    section = F.substring_index("metric", "_", 1).alias("section")
     doubles = progress.double_assigned(current).agg(F.count(F.lit(1)).alias("collections_double_assigned"))
     runs = tasks.runs_per_ligand(scenario_rows)
     report = (
-        _section("collections", progress.workflow_progress(manifest, done, current, todo))
+        numbers.select(section, "metric", "value")
         .unionAll(_section("collections", progress.as_metrics(doubles)))
-        .unionAll(totals.select(
-            F.when(is_docking, "dockings").otherwise("ligands").alias("section"), "metric", "value"
-        ))
         .unionAll(_section("dockings", progress.as_metrics(runs)))
     )
     if jobs is not None:

@@ -123,7 +123,7 @@ def status_objects(status: DataFrame) -> DataFrame:
 
 def status_lines(status: DataFrame) -> DataFrame:
     element = F.regexp_extract("info", r"elements: (\S+)", 1)
-    removed = F.when(element != "", F.format_string("failed(ligand_elements:%s)", element)).otherwise(
+    removed = F.when(element != "", F.concat(F.lit(fv.FAILED_ELEMENTS), element, F.lit(")"))).otherwise(
         fv.FAILED_COORDINATES
     )
     time = F.concat(F.lit("total-time:"), F.round(F.col("seconds") * 1000).cast("long").cast("string"))

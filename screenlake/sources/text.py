@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -224,7 +226,7 @@ def status_text_rows(lines: DataFrame, unit: str = "ms", replica_base: int = 1)
     docked = r"^(\S+) (\S+) ([0-9]+) (.*?)(?: total-time:([0-9.]+))?\s*$"
     removed = r"^(\S+) (failed\(ligand_.*)$"
     is_removed = text.rlike(removed)
-    element = F.regexp_extract(text, r"failed\(ligand_elements:\s*(\S+?)\s*\)", 1)
+    element = F.regexp_extract(text, re.escape(fv.FAILED_ELEMENTS) + r"\s*(\S+?)\s*\)", 1)
     seconds = F.regexp_extract(text, docked, 5).try_cast("double")
     return lines.where(F.trim(text) != "").select(
         "collection",
