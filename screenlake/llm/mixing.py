@@ -19,42 +19,42 @@ DP_WORDS = 16_384
 
 
 def fit_subset(lengths: Sequence[int], counts: Sequence[int], budget: int, dp_words: int = DP_WORDS) -> list[int]:
-    """How many documents of each length to take, so that their lengths sum to about `budget`.
+    """How many documents of each length to take, so that their lengths sum to `budget`, or as near as they can.
 
-    The same share of every length is taken first, then long documents until about `dp_words` are
-    left; a bounded knapsack over the reachable sums (one bit per sum, counts split into powers of
-    two) fits the rest.
+    Of a budget above `dp_words` the same share of every length is taken first, then long documents, until about
+    `dp_words` are left. A bounded knapsack over the reachable sums (one bit per sum, counts split into powers of
+    two) fits the rest with the documents that are left: a smaller budget is fitted whole. Of two sums that are
+    equally near the smaller one is taken.
     """
     total = sum(x * n for x, n in zip(lengths, counts))
     if budget <= 0 or total == 0:
         return [0] * len(lengths)
     if budget >= total:
         return list(counts)
-    taken = [n * budget // total for n in counts]
+    taken = [n * max(0, budget - dp_words) // total for n in counts]
     left = budget - sum(x * k for x, k in zip(lengths, taken))
     downward = sorted((i for i in range(len(lengths)) if lengths[i] > 0), key=lambda i: -lengths[i])
     for i in downward:
         more = min(counts[i] - taken[i], max(0, left - dp_words) // lengths[i])
         taken[i] += more
         left -= more * lengths[i]
-    reach, mask, steps = 1, (1 << (left + 1)) - 1, []
+    # Sums up to twice what is left: 0 is a sum, so the nearest one lies there.
+    reach, mask, steps = 1, (1 << (2 * left + 1)) - 1, []
     for i in downward:
         rest, lot = counts[i] - taken[i], 1
-        while rest > 0 and lengths[i] <= left and not reach >> left & 1:
+        while rest > 0 and lengths[i] <= 2 * left and not reach >> left & 1:
             k = min(lot, rest)
             steps.append((i, k, reach))
             reach |= reach << (k * lengths[i]) & mask
             rest, lot = rest - k, lot * 2
-    at = reach.bit_length() - 1
+    below = (reach & ((1 << (left + 1)) - 1)).bit_length() - 1
+    higher = reach >> (left + 1)
+    above = left + 1 + (higher & -higher).bit_length() - 1 if higher else None
+    at = above if above is not None and above - left < left - below else below
     for i, k, before in reversed(steps):
         if not before >> at & 1:
             taken[i] += k
             at -= k * lengths[i]
-    # One document more where that comes nearer than stopping short.
-    short = budget - sum(x * k for x, k in zip(lengths, taken))
-    over = min((lengths[i] - short, i) for i in downward if taken[i] < counts[i])
-    if 0 <= over[0] < short:
-        taken[over[1]] += 1
     return taken
 
 

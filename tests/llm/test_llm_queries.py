@@ -106,6 +106,39 @@ def test_quality_on_held_out_documents(spark):
     assert (held["predicted"] == held["quality"]).mean() >= 0.97
 
 
+def test_quality_model_by_the_textbook(spark):
+    """Moments, shrunk covariances and log-densities against numpy's own, on the rows that the fit takes."""
+    import pyarrow as pa
+
+    from screenlake.llm import quality
+
+    sf = "/root/testdata/sf0.01"
+    frame, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.fit(frame, labels)
+    both = pd.read_parquet(f"{sf}/documents.parquet").merge(pd.read_parquet(f"{sf}/labels.parquet"), on="doc_id")
+    own = both[both["quality"].isin([0, 1]) & both["doc_id"].map(lambda i: zlib.crc32(str(i).encode()) % 5 != 0)]
+    assert 0 < len(own) < 20_000
+    x = quality.statistics(pa.array(own["text"].fillna("").tolist(), pa.large_string()))
+    y = own["quality"].to_numpy().astype(int)
+    scale = np.sqrt(np.maximum(x.var(axis=0), 1e-8))
+    z = x / scale
+    covs = [np.cov(z[y == k].T, bias=True) for k in (0, 1)]
+    pooled = sum(c * (y == k).mean() for k, c in enumerate(covs))
+    some = both["text"].fillna("").tolist()[:300]
+    points = quality.statistics(pa.array(some, pa.large_string())) / scale
+    density = []
+    for k, cov in enumerate(covs):
+        cov = (1 - quality.TO_POOLED) * cov + quality.TO_POOLED * pooled
+        cov = (1 - quality.TO_IDENTITY) * cov + quality.TO_IDENTITY * np.trace(cov) / len(cov) * np.eye(len(cov))
+        away = points - z[y == k].mean(axis=0)
+        distance = np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away)
+        density.append(-0.5 * (distance + np.linalg.slogdet(cov)[1]))
+    apart = density[1] - density[0] + np.log((y == 1).mean() / (y == 0).mean())
+    want = 1 / (1 + np.exp(-np.clip(apart / quality.TEMPERATURE, -500, 36)))
+    got = model.score(quality.statistics(pa.array(some, pa.large_string())))
+    assert np.abs(got - want).max() < 1e-6 and 0.05 < (got > 0.5).mean() < 0.999
+
+
 def test_fingerprints_estimate_likeness(spark, docs):
     got = {r.doc_id: r for r in QUERIES["op5_document_fingerprints"](spark, SF_DIR).collect()}
     order = docs.sort_values("doc_id", ascending=False)
@@ -300,6 +333,36 @@ def test_mixing_meets_targets(spark):
     assert dict(zip(got.doc_id, got.taken)) == dict(zip(again.doc_id, again.taken))
 
 
+def test_subsets_come_as_near_as_any(spark):
+    """Against all subsets, budgets below the limit of the dynamic program; above it the sum is met as well."""
+    import random
+
+    from screenlake.llm.mixing import fit_subset
+
+    rng = random.Random(5)
+    for _ in range(400):
+        lengths = rng.sample(range(0, 60), rng.randint(1, 6))
+        counts = [rng.randint(1, 4) for _ in lengths]
+        sums = {0}
+        for x, n in zip(lengths, counts):
+            sums = {s + x * k for s in sums for k in range(n + 1)}
+        budget = rng.randint(0, max(sums))
+        taken = fit_subset(lengths, counts, budget)
+        assert all(0 <= k <= n for k, n in zip(taken, counts))
+        best = min(abs(s - budget) for s in sums)
+        assert abs(sum(x * k for x, k in zip(lengths, taken)) - budget) == best, (lengths, counts, budget, taken)
+    for _ in range(50):
+        lengths = rng.sample(range(1, 3000), 200)
+        counts = [rng.randint(1, 30) for _ in lengths]
+        total = sum(x * n for x, n in zip(lengths, counts))
+        budget = rng.randint(20_000, total)
+        taken = fit_subset(lengths, counts, budget)
+        assert sum(x * k for x, k in zip(lengths, taken)) == budget and all(0 <= k <= n for k, n in zip(taken, counts))
+        # Above what the program fits, every length gives the same share.
+        share = max(0, budget - 16_384) / total
+        assert all(k >= int(n * share) for k, n in zip(taken, counts))
+
+
 def test_mixing_of_odd_rows(spark, edge_dirs):
     got = {(r.doc_id, r.source): r for r in QUERIES["op8_source_mixing"](spark, edge_dirs["rows"]).collect()}
     assert got[2, None].source_size == 15 and got[None, None]["size"] == 15 and got[3, "s1"].taken == 0
