@@ -1,4 +1,4 @@
-"""Streams run to the end of their input, then read."""
+"""Streams run to the end of their input, in several batches, then read."""
 
 from __future__ import annotations
 
@@ -23,7 +23,7 @@ from screenlake.streaming import live
 def t1_stream_outcomes(spark, d):
     files, out = shared_path(spark, "t1-files"), shared_path(spark, "t1")
     sinks.write_status(table(spark, d, "status"), files, "json")
-    live.stream_outcomes(live.status_stream(spark, files), f"{out}/table", f"{out}/progress").awaitTermination()
+    live.stream_outcomes(live.status_stream(spark, files, max_files=20), f"{out}/table", f"{out}/progress").awaitTermination()
     return live.read_changes(spark, f"{out}/table", ["collection"])
 
 
@@ -31,8 +31,8 @@ def t1_stream_outcomes(spark, d):
 def t2_stream_summary(spark, d):
     files, out = shared_path(spark, "t2-files"), shared_path(spark, "t2")
     rows = table(spark, d, "result").select(*LIGAND_KEYS, "replica", "score")
-    rows.write.parquet(files)
-    stream = spark.readStream.schema(rows.schema).parquet(files)
+    rows.repartition(6).write.parquet(files)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(files)
     live.stream_summary(stream, f"{out}/table", f"{out}/progress").awaitTermination()
     return live.read_changes(spark, f"{out}/table", LIGAND_KEYS)
 
@@ -48,7 +48,7 @@ def t2_stream_summary(spark, d):
 def t3_stream_state(spark, d):
     files, out = shared_path(spark, "t3-files"), shared_path(spark, "t3")
     rows = table(spark, d, "status").select(*schemas.TASK_KEYS, "status", F.col("ts").cast("timestamp").alias("ts"))
-    rows.write.parquet(files)
-    stream = spark.readStream.schema(rows.schema).parquet(files)
+    rows.repartition(6).write.parquet(files)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(files)
     live.stream_state(stream, f"{out}/table", f"{out}/progress").awaitTermination()
     return live.read_states(spark, f"{out}/table").drop("ts")
