@@ -384,6 +384,46 @@ def test_top_k_by_brute_force(spark):
     assert sorted(got) == want
 
 
+def test_top_k_in_many_blocks(spark, monkeypatch):
+    """Several blocks on both sides; ties, repeated rows and ids, outliers, several lengths, products beyond 2^53 and 2^63."""
+    from screenlake.llm import topk
+
+    monkeypatch.setattr(topk, "BLOCK", 100)
+    rng = np.random.default_rng(6)
+    v = rng.normal(0, 40, (700, 12)).astype(int)
+    v[100:260] = v[0]
+    v[300, 3], v[301, 5], v[302] = 10**6, -(10**9), 0
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(700 + i, x[:3].tolist()) for i, x in enumerate(v[300:350])]
+    rows += [(7, v[7].tolist())] * 30 + [(7, v[8].tolist()), (0, v[0].tolist())]
+    rows += [(900 + i, [int(x) << 45 for x in y[:2]]) for i, y in enumerate(v[:20])] + [(950, [])]
+    df = spark.createDataFrame(rows, "vec_id LONG, v ARRAY<LONG>").repartition(6)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 3 = 0"), 5).collect())
+    want, most = [], (1 << 63) - 1
+    for q in sorted({i for i, x in rows if i % 3 == 0 and x}):
+        asked = next(x for i, x in rows if i == q)
+        scored = [(-max(-most, min(most, sum(a * b for a, b in zip(asked, x)))), i) for i, x in rows if i != q and len(x) == len(asked)]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:5])]
+    assert got == want
+
+
+def test_top_k_segments_and_proof():
+    """Postings descend by impact and give back the vectors; a proof spares what it excludes, and nothing else."""
+    from screenlake.llm.topk import ImpactBlock, build_block
+
+    rng = np.random.default_rng(7)
+    v = (rng.normal(0, 1, (3000, 24)) ** 3 * 50).astype("int64")
+    block = ImpactBlock(build_block((24, 0), pd.DataFrame({"vec_id": np.arange(3000), "v": list(v)})).iloc[0].to_dict())
+    assert (np.diff(np.abs(block.impacts)) <= 0).all() and len(block.rows) == (v != 0).sum()
+    assert (np.diff(block.unread.max(axis=1)) <= 0).all() and len(block.stops) > 2
+    queries = v[::100].astype("float64")
+    q, rows = block.candidates(np.arange(0, 3000, 100), queries, 5)
+    score = queries @ v.T
+    for i in range(len(queries)):
+        best = [r for r in np.lexsort((np.arange(3000), -score[i])) if r != 100 * i][:5]
+        mine = rows[q == i]
+        assert set(best) <= set(mine) and len(mine) < 300
+
+
 def test_top_k_of_odd_rows(spark, edge_dirs):
     got = [tuple(r) for r in QUERIES["op10_exact_top_k"](spark, edge_dirs["rows"]).collect()]
     assert sorted(got) == sorted([(0, 1, 3, 3226), (0, 2, 3, 3226), (0, 3, 100, -5980), (100, 1, 0, -5980), (100, 2, 3, -5980), (100, 3, 3, -5980)])
