@@ -97,15 +97,17 @@ class ImpactBlock:
         self.norms = np.sqrt((self.exact**2).sum(axis=1))
 
     def _add(self, scores: np.ndarray, queries: np.ndarray, begin: int, end: int) -> None:
-        """Add what the segments from begin to end give to the scores (one row per vector)."""
+        """Add what the segments from begin to end give to the scores (one row per query)."""
         a, b = self.starts[begin], self.starts[end]
         if (b - a) * 16 <= self.exact.size:
+            given = np.zeros(scores.shape[::-1])
             for s in range(begin, end):
-                scores[self.rows[self.starts[s]:self.starts[s + 1]]] += self.impacts[s] * queries[:, self.components[s]]
+                given[self.rows[self.starts[s]:self.starts[s + 1]]] += self.impacts[s] * queries[:, self.components[s]]
+            scores += given.T
         else:  # many postings: all at once
             part, sizes = np.zeros(self.exact.shape), np.diff(self.starts[begin:end + 1])
             part[self.rows[a:b], np.repeat(self.components[begin:end], sizes)] = np.repeat(self.impacts[begin:end], sizes)
-            scores += part @ queries.T
+            scores += queries @ part.T
 
     def candidates(self, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, row) of all rows that may be among a query's k best.
@@ -116,25 +118,27 @@ class ImpactBlock:
         """
         norms = np.sqrt((queries**2).sum(axis=1))
         rounding = 4e-16 * (queries.shape[1] + 16)
-        scores, open_, begin, found = np.zeros((len(self.ids), len(queries))), np.arange(len(queries)), 0, []
+        scores, open_, begin, found = np.zeros((len(queries), len(self.ids))), np.arange(len(queries)), 0, []
         for stop, unread in zip(self.stops, self.unread):
             self._add(scores, queries[open_], begin, stop)
             begin, last = stop, stop == self.stops[-1]
-            slack = np.outer(unread + rounding * self.norms, norms[open_])
-            low, high = (scores - slack).T.copy(), (scores + slack).T.copy()
-            # The query's own rows are no candidates.
-            own = ids[open_][:, None] == self.ids
-            low[own], high[own] = -np.inf, -np.inf
+            left = unread + rounding * self.norms
+            # Where even the least slack covers all scores nothing can be excluded.
+            if not last and (scores.max(axis=1) - scores.min(axis=1) <= 2 * left.min() * norms[open_]).all():
+                continue
+            slack = np.outer(norms[open_], left)
+            own = ids[open_][:, None] == self.ids  # the query's own rows are no candidates
             sure = np.full(len(open_), -np.inf)
-            # Without a row whose bound is below another's there is nothing to exclude.
-            worth = low.max(axis=1) > np.where(own, np.inf, high).min(axis=1)
-            if worth.any() and low.shape[1] > k:
-                sure[worth] = np.partition(low[worth], -k, axis=1)[:, -k]
-            alive = (high >= sure[:, None]) & ~own
+            if len(self.ids) > k:
+                low = scores - slack
+                low[own] = -np.inf
+                sure = np.partition(low, -k, axis=1)[:, -k]
+            slack += scores
+            alive = (slack >= sure[:, None]) & ~own
             done = np.full(len(open_), True) if last else alive.sum(axis=1) <= max(4 * k, len(self.ids) // 64)
             q, rows = np.nonzero(alive & done[:, None])
             found.append((open_[q], rows))
-            scores, open_ = scores[:, ~done], open_[~done]
+            scores, open_ = scores[~done], open_[~done]
             if not len(open_):
                 break
         return np.concatenate([q for q, _ in found]), np.concatenate([r for _, r in found])
