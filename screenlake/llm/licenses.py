@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from screenlake.llm.common import text_of
 from screenlake.operators.joins import salted_join
+from screenlake.session import stable
 
 # Complete texts and the headers of files, as published; a file is named by its license, then its variant.
 TEXTS = Path(__file__).parent / "license_texts"
@@ -92,21 +93,6 @@ def canonical(text: Column) -> Column:
     return _spell(F.replace(_plain(text), F.lit("\n"), F.lit("  ")))
 
 
-def canonical_lines(text: Column) -> Column:
-    """The canonical forms of a text's lines, copyright lines left empty."""
-    spaced = F.replace(_plain(text), F.lit("\n"), F.lit("  \n  "))
-    return F.transform(F.split(spaced, "\n", -1), _spell)
-
-
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame = KNOWN_NOTICES) -> DataFrame:
-    """(digest, license, chars): one row per digest, the first license by name where texts coincide."""
-    texts = known if isinstance(known, DataFrame) else spark.createDataFrame(known, "license STRING, text STRING")
-    keyed = texts.select(canonical(text_of()).alias("_canon"), "license").where("_canon != ''")
-    return keyed.groupBy(F.sha2("_canon", 256).alias("digest")).agg(
-        F.min("license").alias("license"), F.min(F.length("_canon")).alias("chars")
-    )
-
-
 def run_lines(text: Column) -> Column:
     """The canonical forms of a text's lines that are not empty; lines that go on about copyright stay."""
     spaced = _spell(F.replace(_plain(F.regexp_replace(text, NOTICE_LINE, ""), None), F.lit("\n"), F.lit("  \n  ")))
@@ -147,58 +133,54 @@ def _needles(texts: list[str]) -> list[str] | None:
     return found
 
 
-def _in_runs(docs: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
-    """scan_licenses() for a list of known texts: the driver holds their digests, lengths and first letters."""
-    spark, text, lines = docs.sparkSession, F.col("_text"), F.col("_lines")
-    forms = (
-        spark.createDataFrame(known, "license STRING, text STRING").select("license", text_of().alias("_text"))
+def _forms(known: DataFrame) -> DataFrame:
+    """(license, whole, run, letters, d1, d2) of known texts: canonical as a whole and as a run of lines, with digests."""
+    text, lines = F.col("_text"), F.col("_lines")
+    return (
+        known.select("license", text_of().alias("_text"))
         .select("license", canonical(text).alias("whole"), run_lines(text).alias("_lines"))
         .select("license", "whole", _joined(lines).alias("run"), F.array_join(_letters(lines), "").alias("letters"))
-        .select("license", "whole", "run", "letters", F.sha2("whole", 256).alias("d1"), F.sha2("run", 256).alias("d2"))
-        .collect()
+        .withColumns({"d1": F.sha2("whole", 256), "d2": F.sha2("run", 256)})
     )
-    named: dict[str, str] = {}
-    for r in forms:
-        for digest in [r["d1"]] * (r["whole"] != "") + [r["d2"]] * (r["run"] != ""):
-            named[digest] = min(r["license"], named.get(digest, r["license"]))
-    letters = {r["letters"] for r in forms if r["run"]}
-    lead = min([LEAD, *map(len, letters)])
-    starts: dict[str, set[int]] = {}
-    for x in letters:
-        starts.setdefault(x[:lead], set()).add(len(x))
-    needles = _needles([r["run"] for r in forms if r["run"]])
-    suspect = F.lit(True) if needles is None else reduce(or_, (F.contains(F.lower(text), F.lit(n)) for n in needles), F.lit(False))
-    heads = F.array(*(F.struct(F.lit(k).alias("lead"), F.array(*map(F.lit, sorted(v))).alias("sizes")) for k, v in sorted(starts.items())))
-    none = F.expr("CAST(array() AS ARRAY<INT>)")
 
-    def ends(x: Column, i: Column, own: Column) -> Column:
+
+def _starts(letters: Column, lead: int) -> Column:
+    """(i, lead) for every line: the letters that the text goes on with from there."""
+    return F.transform(letters, lambda _, i: F.struct(i.alias("i"), F.left(F.array_join(F.slice(letters, i + 1, F.lit(lead)), ""), F.lit(lead)).alias("lead")))
+
+
+def _runs(letters: Column, lead: int, leads: Column, heads: Column) -> Column:
+    """(i, n) of the runs of n lines from i on that begin and are as long as a known text.
+
+    `leads` holds the beginnings of known texts, `heads` their (lead, sizes).
+    """
+
+    def ends(i: Column, own: Column) -> Column:
         """How many lines from i on make up as many letters as a known text of the same beginning has."""
         step = lambda s, y: F.struct(
             (s["at"] + F.length(y)).alias("at"), (s["n"] + 1).alias("n"),
             F.when(F.array_contains(own, s["at"] + F.length(y)), F.concat(s["hit"], F.array(s["n"] + 1))).otherwise(s["hit"]).alias("hit"),
         )
-        begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), none.alias("hit"))
-        return F.aggregate(F.slice(x, i + 1, F.array_max(own)), begin, step, lambda s: s["hit"])
+        begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.expr("CAST(array() AS ARRAY<INT>)").alias("hit"))
+        return F.aggregate(F.slice(letters, i + 1, F.array_max(own)), begin, step, lambda s: s["hit"])
+
+    heard = F.filter(_starts(letters, lead), lambda s: F.array_contains(leads, s["lead"]))
+    sized = F.transform(heard, lambda s: F.struct(s["i"].alias("i"), ends(s["i"], F.filter(heads, lambda h: h["lead"] == s["lead"])[0]["sizes"]).alias("n")))
+    return F.flatten(F.transform(sized, lambda s: F.transform(s["n"], lambda n: F.struct(s["i"].alias("i"), n.alias("n")))))
 
-    def runs(x: Column) -> Column:
-        leads = F.transform(x, lambda _, i: F.struct(i.alias("i"), F.left(F.array_join(F.slice(x, i + 1, F.lit(lead)), ""), F.lit(lead)).alias("lead")))
-        heard = F.filter(leads, lambda s: F.array_contains(F.array(*map(F.lit, sorted(starts))), s["lead"]))
-        sized = F.transform(heard, lambda s: F.struct(s["i"].alias("i"), ends(x, s["i"], F.filter(heads, lambda h: h["lead"] == s["lead"])[0]["sizes"]).alias("n")))
-        return F.flatten(F.transform(sized, lambda s: F.transform(s["n"], lambda n: F.struct(s["i"].alias("i"), n.alias("n")))))
 
+def _digested(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row (keys, i, n, all, digest) for the whole text (i = -1) and for each of its `_runs`."""
+    lines = F.col("_lines")
     whole = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).alias("n"), F.lit(False).alias("all"), F.sha2("_canon", 256).alias("digest")))
     found = F.transform("_runs", lambda r: F.struct(
         r["i"].alias("i"), r["n"].alias("n"), (r["n"] == F.size(lines)).alias("all"), F.sha2(_joined(F.slice(lines, r["i"] + 1, r["n"])), 256).alias("digest")))
-    # Only texts that may hold a known text are read line by line, and only runs that may be one are digested.
-    parts = (
-        docs.select("doc_id", text_of().alias("_text"))
-        .select("doc_id", F.monotonically_increasing_id().alias("_row"), canonical(text).alias("_canon"), F.when(suspect, run_lines(text)).alias("_lines"))
-        .withColumn("_runs", F.when(F.size("_lines") > 0, runs(_letters(lines))))
-        .select("_row", "doc_id", F.explode(F.when(F.size("_runs") > 0, F.concat(whole, found)).otherwise(whole)).alias("_part"))
-        .select("_row", "doc_id", "_part.*")
-    )
-    wanted = spark.createDataFrame(sorted(named.items()), "digest STRING, license STRING")
-    met = parts.join(F.broadcast(wanted), "digest", "left")
+    parts = F.explode(F.when(F.size("_runs") > 0, F.concat(whole, found)).otherwise(whole))
+    return rows.select(*keys, parts.alias("_part")).select(*keys, "_part.*")
+
+
+def _reported(met: DataFrame, *keys: str) -> DataFrame:
+    """The licenses of each text, from its digested parts and the licenses that they met."""
     hit = F.when((F.col("i") >= 0) & F.col("license").isNotNull(), F.struct("i", (-F.col("n")).alias("less"), "license"))
     begin = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"), F.expr("CAST(array() AS ARRAY<STRING>)").alias("names"))
     # By start, longest first: a run inside one before it is part of that one.
@@ -207,7 +189,7 @@ def _in_runs(docs: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
         F.struct((x["i"] - x["less"]).alias("end"), (s["n"] + 1).alias("n"), F.array_union(s["names"], F.array(x["license"])).alias("names")),
     ).otherwise(s))
     return (
-        met.groupBy("_row", "doc_id")
+        met.groupBy(*keys)
         .agg(
             F.max(F.when(F.col("i") < 0, F.col("digest"))).alias("text_digest"),
             F.max(F.when(F.col("i") < 0, F.col("license"))).alias("_whole"),
@@ -216,48 +198,80 @@ def _in_runs(docs: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
         )
         .withColumn("_outer", outer)
         .select(
-            "doc_id", "text_digest", F.coalesce("_whole", "_all").alias("text_license"),
+            *keys, "text_digest", F.coalesce("_whole", "_all").alias("text_license"),
             F.col("_outer.n").alias("n_notices"), F.array_join(F.array_sort("_outer.names"), ",").alias("notice_licenses"),
         )
     )
 
 
+def _scan_list(docs: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
+    """scan_licenses() for a list of known texts: the driver holds their digests, lengths and first letters."""
+    spark, text = docs.sparkSession, F.col("_text")
+    forms = _forms(spark.createDataFrame(known, "license STRING, text STRING")).collect()
+    named: dict[str, str] = {}
+    for r in forms:
+        for digest in [r["d1"]] * (r["whole"] != "") + [r["d2"]] * (r["run"] != ""):
+            named[digest] = min(r["license"], named.get(digest, r["license"]))
+    letters = {r["letters"] for r in forms if r["run"]}
+    lead = min([LEAD, *map(len, letters)])
+    starts: dict[str, set[int]] = {}
+    for x in letters:
+        starts.setdefault(x[:lead], set()).add(len(x))
+    needles = _needles([r["run"] for r in forms if r["run"]])
+    suspect = F.lit(True) if needles is None else reduce(or_, (F.contains(F.lower(text), F.lit(n)) for n in needles), F.lit(False))
+    heads = F.array(*(F.struct(F.lit(k).alias("lead"), F.array(*map(F.lit, sorted(v))).alias("sizes")) for k, v in sorted(starts.items())))
+    runs = _runs(_letters(F.col("_lines")), lead, F.array(*map(F.lit, sorted(starts))), heads)
+    # Only texts that may hold a known text are read line by line, and only runs that may be one are digested.
+    rows = (
+        docs.select("doc_id", text_of().alias("_text"))
+        .select("doc_id", F.monotonically_increasing_id().alias("_row"), canonical(text).alias("_canon"), F.when(suspect, run_lines(text)).alias("_lines"))
+        .withColumn("_runs", F.when(F.size("_lines") > 0, runs))
+    )
+    wanted = spark.createDataFrame(sorted(named.items()), "digest STRING, license STRING")
+    return _reported(_digested(rows, "_row", "doc_id").join(F.broadcast(wanted), "digest", "left"), "_row", "doc_id").drop("_row")
+
+
+def _scan_table(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """scan_licenses() for a table of known texts of any size: beginnings and digests are met by salted joins.
+
+    Each different text is scanned once and its result handed to all rows that hold it.
+    """
+    forms = stable(_forms(known))
+    shortest = forms.where("run != ''").agg(F.min(F.length("letters"))).first()[0]
+    lead = min(LEAD, shortest or LEAD)
+    digests = F.explode(F.filter(F.array(F.when(F.col("whole") != "", F.col("d1")), F.when(F.col("run") != "", F.col("d2"))), F.isnotnull))
+    wanted = forms.select("license", digests.alias("digest")).groupBy("digest").agg(F.min("license").alias("license"))
+    starts = forms.where("run != ''").groupBy(F.left("letters", F.lit(lead)).alias("lead")).agg(F.collect_set(F.length("letters")).alias("sizes"))
+    texts = docs.select("doc_id", text_of().alias("_text")).withColumn("_key", F.sha2("_text", 256))
+    once = stable(
+        texts.select("_key", "_text").dropDuplicates(["_key"])
+        .select("_key", canonical(F.col("_text")).alias("_canon"), run_lines(F.col("_text")).alias("_lines"))
+        .withColumn("_letters", _letters(F.col("_lines")))
+    )
+    begun = once.select("_key", F.explode(F.array_distinct(_starts(F.col("_letters"), lead)["lead"])).alias("lead"))
+    heads = salted_join(begun, starts, ["lead"], "inner").groupBy("_key").agg(F.collect_list(F.struct("lead", "sizes")).alias("_heads"))
+    runs = _runs(F.col("_letters"), lead, F.col("_heads")["lead"], F.col("_heads"))
+    rows = once.join(heads, "_key", "left").withColumn("_runs", F.when(F.size("_heads") > 0, runs))
+    reported = _reported(salted_join(_digested(rows, "_key"), wanted, ["digest"]), "_key")
+    return salted_join(texts.select("doc_id", "_key"), reported, ["_key"]).drop("_key")
+
+
 def scan_licenses(docs: DataFrame, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
     """(doc_id, text_digest, text_license, n_notices, notice_licenses) for every row of `docs`.
 
     text_license is the known license whose canonical text the whole document is; n_notices counts
     its runs of adjacent lines, single ones too, that as a whole are a known text and do not lie
     inside a longer one; notice_licenses names those licenses in order. Without `known` the known
-    texts are known_texts().
+    texts are known_texts(); a list and a table (license, text) give the same rows.
 
     Null text is empty; an empty canonical text matches nothing. Repeated rows are reported once
     each, null ids too; an empty table gives an empty table. Columns other than doc_id and text are
-    ignored. SQL expressions only: a text and its runs are digested where they lie and met with the
-    known digests by a hash join; rows of one document are combined before the only shuffle. A list
-    of known texts, which the driver holds already, is broadcast, and only runs of the right first
-    letters and length are digested. With a table of known texts, joined by salted digest, runs are
-    single lines.
+    ignored. SQL expressions only: only runs that begin and are as long as a known text are digested,
+    and met with the known digests by a hash join; rows of one document are combined afterwards. A list
+    of known texts, which the driver holds already, is broadcast, and texts stay where they lie. A
+    table may be of any size: it is joined by salted beginnings and digests, and each different text
+    is shuffled once.
     """
-    if not isinstance(known, DataFrame):
-        return _in_runs(docs, known_texts() if known is None else known)
-    digests = known_digests(docs.sparkSession, known)
-    lines = F.transform(canonical_lines(F.col("_text")), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("canon")))
-    whole = F.array(F.struct(F.lit(True).alias("whole"), canonical(F.col("_text")).alias("canon")))
-    parts = (
-        docs.select("doc_id", text_of().alias("_text"))
-        .withColumn("_row", F.monotonically_increasing_id())
-        .select("_row", "doc_id", F.explode(F.concat(whole, lines)).alias("_part"))
-        .select("_row", "doc_id", "_part.whole", F.sha2("_part.canon", 256).alias("digest"))
-    )
-    met = salted_join(parts, digests.drop("chars"), ["digest"])
-    notice = F.when(~F.col("whole"), F.col("license"))
-    return (
-        met.groupBy("_row", "doc_id")
-        .agg(
-            F.max(F.when(F.col("whole"), F.col("digest"))).alias("text_digest"),
-            F.max(F.when(F.col("whole"), F.col("license"))).alias("text_license"),
-            F.count(notice).alias("n_notices"),
-            F.array_join(F.array_sort(F.collect_set(notice)), ",").alias("notice_licenses"),
-        )
-        .drop("_row")
-    )
+    if isinstance(known, DataFrame):
+        return _scan_table(docs, known)
+    return _scan_list(docs, known_texts() if known is None else known)

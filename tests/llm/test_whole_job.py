@@ -92,3 +92,28 @@ def test_constants_travel_any_way_to_a_sensitive_name():
     double = f'd0 = "{secret}"\n' + "".join(f"d{i} = d{i - 1} + d{i - 1}\n" for i in range(1, 60))
     assert named(double + "auth_token = d59") == [secret]
     assert named('a = "zX8-1"\nauth_token = a + a') == ["zX8-1"]
+
+
+def test_table_of_licenses_gives_what_a_list_gives(spark):
+    from screenlake.llm.licenses import known_texts, scan_licenses
+
+    known = known_texts()
+    longest = max((x for _, x in known), key=len)
+    mit = next(x for k, x in known if k == "MIT" and len(x) > 500)
+    wrapped = "\n".join("# " + x for x in mit.replace("\n\n", "\n").split("\n"))
+    texts = [
+        mit, f"before\n{wrapped}\nafter", f"{longest}\nReleased under the MIT License.", "Licensed under CC BY 4.0.\nx\nReleased under the ISC License.",
+        None, "", "\n\n", "nothing here", "Licensed under the Apache License,\nVersion 2.0.", mit.upper(), mit[:-30],
+    ]
+    rows = list(enumerate(texts)) + [(None, mit), (0, mit), (None, None)] + [(100 + i, "Released under the MIT License.") for i in range(40)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id LONG, text STRING, license STRING, _key INT").repartition(5)
+    table = spark.createDataFrame([*known, ("Z", None), ("Z", "")], "license STRING, text STRING")
+    key = lambda r: tuple((x is not None, x) for x in r)
+    by_list = sorted(map(tuple, scan_licenses(docs).collect()), key=key)
+    got = scan_licenses(docs, table)
+    assert got.columns == scan_licenses(docs).columns and sorted(map(tuple, got.collect()), key=key) == by_list
+    found = {r[0]: r for r in by_list}
+    assert found[0][2] == "MIT" and found[1][4] == "MIT" and found[1][3] == 1 and found[3][3] == 2 and found[7][3] == 0
+    assert scan_licenses(docs.limit(0), table).collect() == []
+    none = scan_licenses(docs, table.limit(0)).collect()
+    assert len(none) == len(rows) and all(r.n_notices == 0 and r.text_license is None for r in none)
