@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from screenlake.llm.licenses import KNOWN_NOTICES, SPELLINGS
+from screenlake.llm.licenses import LEAD, LOOSE, SPELLINGS, known_texts
 from screenlake.llm.pii import CONTEXT, KINDS, NEARBY, SCORES, THRESHOLD
 from screenlake.llm.urls import LISTED, UNWANTED, pattern_rule
 
@@ -56,19 +56,75 @@ def _canonical(text: str) -> str:
     return _spell(f"replace({_plain(text)}, chr(10), '  ')")
 
 
-_LINES = f"string_split(replace({_plain('t')}, chr(10), '  ' || chr(10) || '  '), chr(10))"
-LICENSES = f"""
-WITH n(license, text) AS (VALUES {', '.join(f'({_quoted(a)}, {_quoted(b)})' for a, b in KNOWN_NOTICES)}),
-known AS (SELECT sha256({_canonical('text')}) AS digest, min(license) AS license FROM n GROUP BY 1),
-d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT doc_id, sha256({_canonical('t')}) AS text_digest FROM d),
-l AS (SELECT doc_id, unnest({_LINES}) AS line FROM d),
-h AS (SELECT doc_id, license FROM l JOIN known ON sha256({_spell('line')}) = digest),
-g AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM h GROUP BY doc_id)
-SELECT w.doc_id, text_digest, known.license AS text_license, coalesce(n, 0) AS n_notices, coalesce(names, '') AS notice_licenses
-FROM w LEFT JOIN known ON text_digest = digest LEFT JOIN g ON w.doc_id = g.doc_id
+def _notice_line(line: str) -> str:
+    """True for a copyright line that does not go on with a sentence. RE2 cannot look ahead: two patterns and a third one against them."""
+    begin, name = r"^[ \t\r*#/;-]*", r"(Copyright|COPYRIGHT)[ \t]+"
+    sure = r"(?i:copyright[ \t]*(\(c\)|©|[0-9:])|\(c\)[ \t]*(copyright|©|[0-9]{4})|©|all rights reserved)"
+    goes_on = (r"(?i:holder|owner|notice|licen|law|statement|interest|treat|disclaimer|doctrine|material|permission|protection|right|status"
+               r"|and\b|or\b|in\b|on\b|to\b|is\b)")
+    return (f"(regexp_matches({line}, '{begin}{sure}') OR "
+            f"(regexp_matches({line}, '{begin}{name}[^ \\t]') AND NOT regexp_matches({line}, '{begin}{name}{goes_on}')))")
+
+
+_WORDS = "list_transform(string_split(line, ' '), lambda w: CASE w " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in LOOSE.items()) + " ELSE w END)"
+
+
+def licenses_sql(known: list[tuple[str, str]]) -> str:
+    """scan_licenses() with the known texts in the statement; doc_id is unique and not null.
+
+    Known texts and documents are cut into canonical lines alike. A run of lines that begins with the first
+    letters of a known text and is as long is digested as a whole, and met with the digests.
+    """
+    line = _spell(r"'  ' || regexp_replace(lower(line), '[^0-9a-z\x{80}-\x{10FFFF}]+', '  ', 'g') || '  '")
+    joined = _spell("'  ' || replace(array_to_string(lines[a.i:e.i], ' '), ' ', '  ') || '  '")
+    return f"""
+WITH n(license, text) AS (VALUES {', '.join(f'({_quoted(a)}, {_quoted(b)})' for a, b in known)}),
+src AS (
+  SELECT false AS own, row_number() OVER () AS id, license, text AS t FROM n
+  UNION ALL SELECT true, doc_id, NULL, coalesce(text, '') FROM documents
+),
+w AS (SELECT own, id, license, {_canonical('t')} AS whole FROM src),
+cut AS (SELECT own, id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM src),
+canon AS (SELECT own, id, pos, {line} AS line FROM cut WHERE NOT {_notice_line('line')}),
+l AS (
+  SELECT own, id, line, array_to_string({_WORDS}, '') AS letters, row_number() OVER (PARTITION BY own, id ORDER BY pos) AS i
+  FROM canon WHERE line <> ''
+),
+p AS (
+  SELECT *, CAST(sum(length(letters)) OVER (PARTITION BY own, id ORDER BY i) AS BIGINT) AS stop,
+    string_agg(left(letters, {LEAD}), '') OVER (PARTITION BY own, id ORDER BY i ROWS BETWEEN CURRENT ROW AND {LEAD} FOLLOWING) AS begun
+  FROM l
+),
+x AS (SELECT own, id, list(line ORDER BY i) AS lines, max(stop) AS size, min(begun) FILTER (i = 1) AS begun FROM p GROUP BY own, id),
+short AS (SELECT least({LEAD}, min(size)) AS n FROM x WHERE NOT own),
+starts AS (SELECT DISTINCT left(begun, n) AS begun, size FROM x, short WHERE NOT own),
+known AS (
+  SELECT digest, min(license) AS license FROM (
+    SELECT sha256(whole) AS digest, license FROM w WHERE NOT own AND whole <> ''
+    UNION ALL SELECT sha256({joined.replace('lines[a.i:e.i]', 'lines')}), license FROM x JOIN w USING (own, id) WHERE NOT own
+  ) GROUP BY digest
+),
+r AS (
+  SELECT a.id, a.i, e.i - a.i + 1 AS n, len(lines) AS of, sha256({joined}) AS digest
+  FROM (SELECT p.id, p.i, stop - length(letters) + size AS stop FROM p, short, starts WHERE own AND left(p.begun, short.n) = starts.begun) a
+  JOIN p e ON e.own AND e.id = a.id AND e.stop = a.stop
+  JOIN x ON x.own AND x.id = a.id
+),
+h AS (SELECT id, i, n, of, license, max(i + n) OVER (PARTITION BY id ORDER BY i, -n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r JOIN known USING (digest)),
+g AS (
+  SELECT id, max(license) FILTER (n = of) AS entire, count(*) FILTER (i + n > coalesce(before, 0)) AS n,
+    string_agg(DISTINCT license, ',' ORDER BY license) FILTER (i + n > coalesce(before, 0)) AS names
+  FROM h GROUP BY id
+)
+SELECT w.id AS doc_id, sha256(whole) AS text_digest, coalesce(known.license, entire) AS text_license,
+  coalesce(n, 0) AS n_notices, coalesce(names, '') AS notice_licenses
+FROM w LEFT JOIN known ON sha256(whole) = digest LEFT JOIN g ON w.id = g.id
+WHERE own
 """
 
+
+LICENSES = licenses_sql(known_texts())
+
 # The patterns as RE2 reads them: without possessive runs and looking around.
 _RE2 = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",

@@ -502,6 +502,36 @@ def test_license_of_whole_text_and_lines(spark):
     assert again[2].text_license == "A" and again[0].text_license is None and again[3].text_license is None
 
 
+def test_license_texts_equal_sql(spark, tmp_path):
+    """Complete texts and headers: alone, wrapped anew, commented out, under copyright lines, inside prose, next to each other, and changed."""
+    import textwrap
+
+    from screenlake.llm.licenses import known_texts
+
+    # Of the long ones those whose copyright lines are paragraphs: one that is wrapped into a sentence is not found, by SQL nor operator.
+    short = [x for x in known_texts() if len(x[1]) < 2000]
+    known = short[::2] + [next(x for x in known_texts() if x[0] == license and len(x[1]) > 2000) for license in ("Artistic-1.0", "Apache-2.0", "MPL-2.0", "CC0-1.0")]
+    texts = ["", "Copyright (c) 2001 A\n", "copyright notice of the licence\nlicense\n"]
+    for k, (_, text) in enumerate(known):
+        wrapped = "\n\n".join(textwrap.fill(x, 30 + 17 * (k % 4), break_long_words=False) for x in text.split("\n\n"))
+        commented = "".join(f" * {x}\n" for x in text.split("\n"))
+        texts += [
+            text, f"Copyright 2020 Some Body\n(c) 2021 others\n\n{wrapped}", f"Some prose before.\n{commented}and after it\n{text.upper()}",
+            f"{wrapped}\n{known[k - 1][1]}\nCopyright holder and licence", text.replace("license", "licence").replace("the", "a", 1), f"same line {text}",
+        ]
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    frame.to_parquet(tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    ok, note = compare(spark, con, "op3_license_scan", str(tmp_path))
+    assert ok, note
+    got = [r for r in QUERIES["op3_license_scan"](spark, str(tmp_path)).sort("doc_id").collect()]
+    for k, (license, _) in enumerate(known):
+        alone, wrapped, inside, pair, changed, shared = got[3 + 6 * k:9 + 6 * k]
+        assert alone.text_license == wrapped.text_license is not None and inside.text_license is None
+        assert inside.n_notices >= 2 and pair.n_notices >= 2 and alone.text_license in inside.notice_licenses.split(",")
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     """Each stage on what the one before wrote, against plain Python."""
     frame, seen = spark.read.parquet(f"{SF_DIR}/documents.parquet"), {}
