@@ -123,54 +123,76 @@ def _pairs_of(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
+class Chunks:
+    """Cuts of the order by descending id, then descending tie (a hash of 63 bits): one before every quantile.
+
+    An id that is several quantiles is cut before and, in as many equal parts, by its ties.
+    """
+
+    def __init__(self, quantiles: list[int]):
+        self.ids, self.parts = np.unique(np.array(quantiles, np.int64), return_counts=True)
+        # Cuts at the ids from one on, and none behind the last.
+        self.above = np.append(np.cumsum(self.parts[::-1])[::-1], 0)
+        self.count = int(self.above[0]) + 1
+
+    def of(self, ids: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """The number of cuts before each row."""
+        at = np.searchsorted(self.ids, ids, "left")
+        chunk = self.above[at]
+        for k in np.flatnonzero(self.parts > 1).tolist():
+            own = (at == k) & (ids == self.ids[k])
+            chunk[own] -= (ties[own] >> 31) * self.parts[k] >> 32
+        return chunk
+
+
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Fingerprint every text, its edited text, and compare both and the next document.
 
-    The next document is the one after it by descending doc_id (null ids last, repeated ids by text),
-    after the last one the first; a single document is its own next. Null text is empty: its
-    fingerprint is the empty string. An empty table gives an empty table. Columns other than doc_id
-    and text are ignored.
+    The next document is the one after it by descending doc_id (null ids last, repeated ids by the hash of
+    their text, then the text), after the last one the first; a single document is its own next. Null
+    text is empty: its fingerprint is the empty string. An empty table gives an empty table. Columns
+    other than doc_id and text are ignored.
 
-    The order is cut into chunks at quantiles of the ids, one task each. The first document of every
-    chunk is also sent, as a guest, to the chunk before it; so one shuffle of the texts brings every
-    document and its successor together, and nothing depends on how rows lie in the input. The driver
-    holds two numbers per task.
+    The order is cut into chunks at quantiles of the ids, one task each; an id that several quantiles
+    fall on, such as null, is cut by the hash of the text into as many chunks more. The first document of
+    every chunk is also sent, as a guest, to the chunk before it; so one shuffle of the texts brings
+    every document and its successor together, and nothing depends on how rows lie in the input. Rows
+    that agree in id and text stay in one chunk. The driver holds two numbers per task.
     """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    base = docs.select(id_of().alias("doc_id"), text_of().alias("_text"), key.alias("_id"))
-    cuts = np.array([], np.int64)
+    tie = F.shiftrightunsigned(F.xxhash64("_text"), 1)
+    base = docs.select(id_of().alias("doc_id"), text_of().alias("_text"), key.alias("_id")).withColumn("_tie", tie)
+    found: list[int] = []
     if tasks > 1:
         at = [i / tasks for i in range(1, tasks)]
-        found = base.agg(F.percentile_approx("_id", at, 50 * tasks)).first()[0]
-        cuts = np.unique(np.array(found or [], np.int64))
+        found = base.agg(F.percentile_approx("_id", at, 50 * tasks)).first()[0] or []
+    chunks = Chunks(found)
 
     @F.pandas_udf("int")
-    def chunk_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(len(cuts) - np.searchsorted(cuts, ids.to_numpy(), "left")).astype("int32")
+    def chunk_of(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        return pd.Series(chunks.of(ids.to_numpy(), ties.to_numpy())).astype("int32")
 
-    firsts = base.select("_id", chunk_of("_id").alias("_chunk")).groupBy("_chunk").agg(F.max("_id").alias("first"))
-    heads = sorted(firsts.collect())
+    firsts = base.select("_id", "_tie", chunk_of("_id", "_tie").alias("_chunk")).groupBy("_chunk").agg(F.max(F.struct("_id", "_tie")).alias("first"))
+    heads = sorted((r["_chunk"], tuple(r["first"])) for r in firsts.collect())
+    if not heads:
+        return spark.createDataFrame([], SCHEMA)
     # A chunk's guest is the head of the next chunk that has rows; the last one's is the very first.
-    host = {b["first"]: a["_chunk"] for a, b in zip(heads, heads[1:] + heads[:1])}
-    guests = np.array(sorted(host), np.int64)
-    hosts = np.array([host[g] for g in guests.tolist()], np.int32)
+    guests = pd.MultiIndex.from_tuples([first for _, first in heads[1:] + heads[:1]])
+    hosts = [c for c, _ in heads]
 
     @F.pandas_udf("array<int>")
-    def places(ids: pd.Series) -> pd.Series:
-        ids = ids.to_numpy()
-        own = len(cuts) - np.searchsorted(cuts, ids, "left")
-        near = np.minimum(np.searchsorted(guests, ids), len(guests) - 1)
-        return pd.Series([[c, h] if g else [c] for c, h, g in zip(own, hosts[near], guests[near] == ids)])
+    def places(ids: pd.Series, ties: pd.Series) -> pd.Series:
+        own = chunks.of(ids.to_numpy(), ties.to_numpy()).tolist()
+        near = guests.get_indexer(pd.MultiIndex.from_arrays([ids, ties])).tolist()
+        return pd.Series([[c] if g < 0 else [c, hosts[g]] for c, g in zip(own, near)])
 
-    if not heads:
-        return spark.createDataFrame([], SCHEMA)
     met = (
-        base.withColumn("_places", places("_id"))
-        .select("doc_id", "_text", "_id", F.posexplode("_places").alias("_guest", "_chunk"))
-        .repartitionById(len(cuts) + 1, F.col("_chunk"))
-        .sortWithinPartitions("_chunk", "_guest", F.desc("_id"), "_text")
+        base.withColumn("_places", places("_id", "_tie"))
+        .select("doc_id", "_text", "_id", "_tie", F.posexplode("_places").alias("_guest", "_chunk"))
+        .repartitionById(chunks.count, F.col("_chunk"))
+        .sortWithinPartitions("_chunk", "_guest", F.desc("_id"), F.desc("_tie"), "_text")
         .select("doc_id", "_text", "_chunk", (F.col("_guest") > 0).alias("_guest"))
     )
     return met.mapInPandas(_fingerprint_pairs, SCHEMA).withColumn("doc_id", id_back("doc_id"))

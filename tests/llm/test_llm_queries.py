@@ -156,6 +156,35 @@ def test_fingerprints_estimate_likeness(spark, docs):
         assert by_text.setdefault(text, got[i].fingerprint) == got[i].fingerprint
 
 
+def test_fingerprints_of_hot_ids(spark):
+    """Null and repeated ids that hold most rows are cut over tasks; everyone still meets the row behind."""
+    from screenlake.llm.fingerprints import Chunks, fingerprint_documents
+
+    rows = [(None, f"text number {i} of those without an id {i * i}") for i in range(60)]
+    rows += [(7, f"another one {i % 25} with an id") for i in range(50)] + [(i, f"own id {i}") for i in range(20)]
+    got = fingerprint_documents(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()
+    # Each id's rows are followed by one another, and its last by a row of the next id: every text follows exactly one.
+    ends = {}
+    for i, text in rows:
+        ends.setdefault(i, set()).add(text)
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_chars) for r in got) == sorted((i is None, i or 0, len(t)) for i, t in rows)
+    halves = {}
+    for i, text in rows:
+        for j, after in {*rows}:
+            half = len(text) // 2
+            halves.setdefault((i, len(text), sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()), set()).add(j)
+    following = [halves[r.doc_id, r.n_chars, r.edited_sha256] for r in got]
+    order = [*sorted((i for i in ends if i is not None), reverse=True), None]
+    for r, met in zip(got, following):
+        k = order.index(r.doc_id)
+        assert met & {r.doc_id, order[(k + 1) % len(order)]}
+    chunks = Chunks([-5, -5, -5, 7, 9, 9])
+    ids, ties = np.repeat(np.array([12, 9, 8, 7, -5, -6]), 400), np.tile(np.linspace((1 << 63) - 1024, 0, 400).astype(np.int64), 6)
+    found = chunks.of(ids, ties)
+    assert chunks.count == 7 and (np.diff(found) >= 0).all() and set(found) == set(range(7))
+    assert np.bincount(found[ids == -5]).max() <= 134
+
+
 def test_line_dedup_of_odd_rows(spark, edge_dirs):
     got = {r.doc_id: r for r in QUERIES["op6_line_dedup"](spark, edge_dirs["rows"]).collect()}
     assert (got[1].n_dropped, got[4].n_dropped, got[None].n_dropped, got[2].n_lines, got[6].n_lines) == (0, 2, 2, 1, 4)
