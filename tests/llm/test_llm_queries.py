@@ -518,6 +518,25 @@ def test_personal_data_context_equals_sql(spark, tmp_path):
     assert [got[i].count("ssn") for i in range(7)] == [3, 2, 1, 0, 0, 1, 2]
 
 
+def test_personal_data_context_in_four_languages(spark, tmp_path):
+    """Words of the texts' languages, accents and upper case too, count alike in operator and SQL."""
+    from screenlake.llm.pii import find_personal_data
+
+    said = ["Sozialversicherungsnummer", "SÉCURITÉ", "sécurité", "securite", "Seguridad", "steuernummer", "CONTRIBUYENTE", "nothing", "insecurity", "socially"]
+    phones = ["Téléphone", "TÉLÉPHONE", "teléfono", "Rufnummer", "móvil", "telefonica"]
+    texts = [f"{w}: 123-45-6789" for w in said] + [f"{w} +49 30 1234567" for w in phones] + [f"{w}, DE89 3704 0044 0532 0130 00" for w in ("Überweisung", "virement", "cuenta", "x")]
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    frame.to_parquet(tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    ok, note = compare(spark, con, "op9_personal_data", str(tmp_path))
+    assert ok, note
+    got = [[(s.name, s.score) for s in r.spans] for r in find_personal_data(spark.createDataFrame(frame)).sort("doc_id").collect()]
+    assert got[:10] == [[("ssn", 0.8)]] * 7 + [[]] * 3
+    assert got[10:16] == [[("phone", 0.9)]] * 5 + [[("phone", 0.6)]]
+    assert [[x for x in g if x[0] == "iban"] for g in got[16:]] == [[("iban", 1.0)]] * 3 + [[("iban", 0.8)]]
+
+
 def test_license_of_whole_text_and_lines(spark):
     from screenlake.llm.licenses import scan_licenses
 
