@@ -158,22 +158,25 @@ def s3_read_collections(spark, d):
 )
 def s3_cut_tranches(spark, d):
     root, cut = _library(spark, d, "tranche"), shared_path(spark, "library-cut")
+    counted = archives.arrow_schema("n LONG")
 
-    def copy(frames):
+    def copy(batches):
         n = 0
-        for entry in (e for frame in frames for e in archives.entries_of(frame)):
+        for entry in archives.entries_in(batches):
             meta, name = entry.path.rsplit("/", 2)[1:]
             with archives.opened(entry) as (file, _):
                 members = archives.index(file)
                 # Tranches that begin with E are cut where their last archive begins: all others in it are whole.
-                end = members[-1].offset - 512 if name.startswith("E") else entry.size
+                left = members[-1].offset - 512 if name.startswith("E") else entry.size
                 file.seek(0)
                 with archives.written(f"{cut}/{meta}/{name}") as out:
-                    out.write(file.read(end))
+                    while left > 0 and (block := file.read(min(left, 1 << 20))):
+                        out.write(block)
+                        left -= len(block)
             n += 1
-        yield pd.DataFrame({"n": [n]})
+        return archives.batches_of([(n,)], counted)
 
-    archives.list_entries(spark, root, "*.tar").mapInPandas(copy, "n LONG").collect()
+    archives.list_entries(spark, root, "*.tar").mapInArrow(copy, "n LONG").collect()
     return nested.read_ligands(spark, cut).groupBy(F.coalesce("tranche", "collection").alias("tranche")).agg(
         F.count("ligand").alias("n_ligands"), F.count("error").cast("int").alias("n_errors")
     )
@@ -198,17 +201,22 @@ def _summary_files(spark, d):
     """(state, scenario, path, content): a gzip text file per scenario and collection; some collections are incomplete."""
     lines = sinks.summary_lines(summary.ligand_summary(dockings(spark, d), padded=True))
     state = F.when(F.col("collection").endswith("1"), "incomplete").otherwise("complete")
-    files = lines.groupBy("scenario", "collection", state.alias("state")).agg(F.array_join(F.sort_array(F.collect_list("line")), "\n").alias("text"))
     name = F.concat(F.substring("collection", 1, 2), F.lit("/"), F.replace("collection", F.lit("_"), F.lit("/")), F.lit(".txt.gz"))
-    named = files.select("state", "scenario", name.alias("path"), "text")
+    named = lines.select("scenario", "collection", state.alias("state"), name.alias("path"), "line")
     header = sinks.summary_header(7, False)
 
-    def pack(frames):
-        for frame in frames:
-            content = [gzip.compress(f"{header}\n{t}\n".encode()) for t in frame["text"]]
-            yield frame.drop(columns="text").assign(content=content)
-
-    return named.mapInPandas(pack, "state STRING, scenario STRING, path STRING, content BINARY")
+    def pack(key, rows):
+        scenario, _, state, path = key
+        out = io.BytesIO()
+        with gzip.GzipFile("", "wb", archives.GZIP_LEVEL, out, 0) as text:
+            text.write(f"{header}\n".encode())
+            for *_, line in rows:
+                text.write(f"{line}\n".encode())
+        yield state, scenario, path, out.getvalue()
+
+    return archives.per_group(
+        named, ["scenario", "collection", "state", "path"], ["line"], pack, "state STRING, scenario STRING, path STRING, content BINARY"
+    )
 
 
 def _in_tree(files):
@@ -227,21 +235,25 @@ def s4_read_collections(spark, d):
 def s4_read_tranches(spark, d):
     """Complete collections in one archive per tranche, incomplete ones beside them as files."""
     root, files = shared_path(spark, "summary-tranches"), _summary_files(spark, d)
-
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        buffer = io.BytesIO()
-        with tarfile.open(fileobj=buffer, mode="w") as tar:
-            for r in rows.itertuples():
-                info = tarfile.TarInfo(r.path.split("/", 1)[1])
-                info.size = len(r.content)
-                tar.addfile(info, io.BytesIO(r.content))
-        first = rows.iloc[0]
-        return pd.DataFrame({"state": ["complete"], "scenario": [first["scenario"]], "path": [first["path"].rsplit("/", 1)[0] + ".tar"], "content": [buffer.getvalue()]})
-
-    packed = files.where("state = 'complete'").groupBy("scenario", F.substring_index("path", "/", 2).alias("tranche")).applyInPandas(
-        pack, "state STRING, scenario STRING, path STRING, content BINARY"
-    )
-    archives.write_files(_in_tree(packed.unionByName(files.where("state = 'incomplete'"))), root)
+    whole = archives.qualified(spark, root)
+
+    def write(key, rows):
+        state, scenario, tranche = key
+        folder, n = f"{whole}/{state}/{scenario}/summaries", 0
+        if state == "complete":
+            with archives.written(f"{folder}/{tranche}.tar") as file, tarfile.open(fileobj=file, mode="w|") as tar:
+                for *_, path, content in rows:
+                    archives.add(tar, path.split("/", 1)[1], content)
+                    n += 1
+        else:
+            for *_, path, content in rows:
+                with archives.written(f"{folder}/{path}") as file:
+                    file.write(content)
+                n += 1
+        yield (n,)
+
+    in_tranches = files.select("state", "scenario", F.substring_index("path", "/", 2).alias("tranche"), "path", "content")
+    archives.per_group(in_tranches, ["state", "scenario", "tranche"], ["path"], write, "n LONG").agg(F.sum("n")).collect()
     return text.read_summaries(spark, root, layout="tranche").drop("avg_score", "scores", "smiles")
 
 
@@ -439,19 +451,12 @@ def _log_archives(spark, d):
     """Logs in one archive per scenario and collection, as finished collections publish them."""
     rows = table(spark, d, "log").select("collection", "scenario", "ligand", "replica", "log")
 
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        collection, scenario = frame["collection"].iloc[0], frame["scenario"].iloc[0]
-        buffer = io.BytesIO()
-        with tarfile.open(fileobj=buffer, mode="w:gz") as tar:
-            for r in frame.itertuples():
-                data = (r.log or "").encode()
-                info = tarfile.TarInfo(f"{r.ligand}_replica-{r.replica}")
-                info.size = len(data)
-                tar.addfile(info, io.BytesIO(data))
-        tranche, number = collection.split("_", 1)
-        return pd.DataFrame({"path": [f"out/{scenario}/logfiles/AB/{tranche}/{number}.tar.gz"], "content": [buffer.getvalue()]})
-
-    return rows.groupBy("collection", "scenario").applyInPandas(pack, nested.ARCHIVE)
+    def pack(key, logs):
+        (collection, scenario), (tranche, number) = key, key[0].split("_", 1)
+        packed = archives.gzip_tar((f"{ligand}_replica-{replica}", (log or "").encode()) for _, _, ligand, replica, log in logs)
+        yield f"out/{scenario}/logfiles/AB/{tranche}/{number}.tar.gz", packed
+
+    return archives.per_group(rows, ["collection", "scenario"], [], pack, nested.ARCHIVE)
 
 
 @query(

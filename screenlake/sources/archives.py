@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import gzip
 import io
+import itertools
 import posixpath
 import shutil
 import tarfile
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from typing import BinaryIO, NamedTuple
 from urllib.parse import quote
@@ -24,13 +25,17 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Decompressed archives up to this size stay in memory, larger ones in a file of the task.
 SPOOL = 64 << 20
 # An archive ends with two empty blocks.
 END = bytes(2 * tarfile.BLOCKSIZE)
-# Entries leave a task in frames of this many rows.
-ROWS_PER_FRAME = 1000
+# Rows leave a task in Arrow batches of so many rows or bytes, and are taken from one so many at a time.
+BATCH_ROWS, BATCH_BYTES, SLICE_ROWS = 10_000, 4 << 20, 256
+# Text and tar headers are small at any level; the higher ones only cost time.
+GZIP_LEVEL = 4
 ENTRY = "path STRING, content BINARY, file STRING, offset LONG, size LONG, error STRING"
 
 
@@ -100,6 +105,62 @@ def entries_of(frame: pd.DataFrame) -> Iterator[Entry]:
                     error if isinstance(error, str) else None)
 
 
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows of Arrow batches, made a few at a time: of a batch with long contents there is one copy, in Arrow."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield from zip(*(column.to_pylist() for column in batch.slice(at, SLICE_ROWS).columns))
+
+
+def arrow_schema(schema: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def batches_of(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of bounded rows and bytes."""
+    held: list[tuple] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        for value in row:
+            if isinstance(value, (str, bytes)):
+                size += len(value)
+        if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def per_group(rows: DataFrame, by: list[str], order: list, make: Callable[[tuple, Iterator[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
+    """What `make(key, rows)` gives for each group of the columns `by`; they come first in the rows it sees.
+
+    Rows are sorted inside their tasks, by group and `order`, and stream through: no group is whole in memory.
+    """
+    first = [*by, *(c for c in rows.columns if c not in by)]
+    spark = rows.sparkSession
+    # A given number: small shuffles are not put together, as the work is in the tasks.
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    ordered = rows.select(*first).repartition(count, *by).sortWithinPartitions(*by, *order)
+    arrow = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups = itertools.groupby(rows_of(batches), key=lambda row: row[: len(by)])
+        return batches_of((out for key, some in groups for out in make(key, some)), arrow)
+
+    return ordered.mapInArrow(run, schema)
+
+
+def entries_in(batches: Iterable[pa.RecordBatch]) -> Iterator[Entry]:
+    """Entries of Arrow batches with the columns of ENTRY."""
+    for path, content, file, offset, size, error in rows_of(batches):
+        yield Entry(path, content, file, offset if file is not None else 0, size if file is not None else 0, error)
+
+
 def frame_of(entries: list[Entry]) -> pd.DataFrame:
     return pd.DataFrame(entries, columns=Entry._fields).astype({"offset": "Int64", "size": "Int64"})
 
@@ -193,9 +254,18 @@ def members(entry: Entry) -> Iterator[tuple[str, bytes]]:
             yield member.name, read_member(file, member)
 
 
-def inner_entries(entry: Entry, endings: tuple[str, ...] = ("",)) -> list[Entry]:
-    """The files with these endings in an archive, as entries below its folder; a broken archive is one with `error`."""
-    folder, out = posixpath.dirname(entry.path), []
+def read_entry(entry: Entry) -> bytes:
+    """The bytes of an entry; that of a broken archive raises BadArchive."""
+    if entry.error is not None:
+        raise BadArchive(entry.error)
+    with _bytes_of(entry) as file:
+        return file.read()
+
+
+def inner_entries(entry: Entry, endings: tuple[str, ...] = ("",), below: bool = False) -> list[Entry]:
+    """The files with these endings in an archive, as entries below its folder, or below its own path with
+    `below`; a broken archive is one with `error`."""
+    folder, out = entry.path if below else posixpath.dirname(entry.path), []
     try:
         with opened(entry) as (file, stored):
             for member in index(file):
@@ -210,19 +280,14 @@ def inner_entries(entry: Entry, endings: tuple[str, ...] = ("",)) -> list[Entry]
     return out
 
 
-def unpacked(entries: DataFrame, endings: tuple[str, ...] = ("",)) -> DataFrame:
+def unpacked(entries: DataFrame, endings: tuple[str, ...] = ("",), below: bool = False) -> DataFrame:
     """Entries of the files inside archives; a broken archive is one entry with its own path and `error`."""
+    arrow = arrow_schema(ENTRY)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for entry in entries_of(frame):
-                inner = inner_entries(entry, endings)
-                # Where contents ride along, they leave the task one by one.
-                rows = ROWS_PER_FRAME if inner and inner[0].content is None else 1
-                for at in range(0, len(inner), rows):
-                    yield frame_of(inner[at:at + rows])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batches_of((inner for entry in entries_in(batches) for inner in inner_entries(entry, endings, below)), arrow)
 
-    return entries.mapInPandas(run, ENTRY)
+    return entries.select(*Entry._fields).mapInArrow(run, ENTRY)
 
 
 @contextmanager
@@ -236,67 +301,105 @@ def written(path: str) -> Iterator[BinaryIO]:
     store.move(part, where)
 
 
-def _add(tar: tarfile.TarFile, name: str, data: bytes) -> None:
+def add(tar: tarfile.TarFile, name: str, data: bytes) -> None:
     info = tarfile.TarInfo(name)
     info.size = len(data)
     tar.addfile(info, io.BytesIO(data))
 
 
+def write_gzip_tar(out: BinaryIO, members: Iterable[tuple[str, bytes]]) -> None:
+    """Names and contents as a `.tar.gz`, one after the other."""
+    with gzip.GzipFile("", "wb", GZIP_LEVEL, out, 0) as packed:
+        for name, data in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            packed.write(info.tobuf(tarfile.GNU_FORMAT) + data + bytes(-len(data) % tarfile.BLOCKSIZE))
+        packed.write(END)
+
+
+def gzip_tar(members: Iterable[tuple[str, bytes]]) -> bytes:
+    buffer = io.BytesIO()
+    write_gzip_tar(buffer, members)
+    return buffer.getvalue()
+
+
+_COLLECTION = ["collection", "ligand", "format", "pos", "content"]
+
+
+def _collection_path(collection: str) -> str:
+    tranche, number = collection.rsplit("_", 1)
+    return f"{tranche[:2]}/{tranche}/{number}.tar.gz"
+
+
+def _members_of(collection: str, rows: Iterator[tuple]) -> Iterator[tuple[str, bytes]]:
+    number = collection.rsplit("_", 1)[1]
+    return ((f"{number}/{ligand}.{ending}", content.encode()) for _, ligand, ending, _, content in rows)
+
+
+def _per_collection(ligands: DataFrame, make, schema: str) -> DataFrame:
+    order = [F.asc_nulls_last(c) for c in ("pos", "ligand")]
+    return per_group(ligands.select(*_COLLECTION), ["collection"], order, make, schema)
+
+
 def pack_collections(ligands: DataFrame) -> DataFrame:
     """(path, content): `<meta>/<tranche>/<ID>.tar.gz` per collection, with `<ID>/<ligand>.<format>` in the order of `pos`."""
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        tranche, number = rows["collection"].iloc[0].rsplit("_", 1)
-        buffer = io.BytesIO()
-        with tarfile.open(fileobj=buffer, mode="w:gz") as tar:
-            for row in rows.sort_values(["pos", "ligand"]).itertuples():
-                _add(tar, f"{number}/{row.ligand}.{row.format}", row.content.encode())
-        return pd.DataFrame({"path": [f"{tranche[:2]}/{tranche}/{number}.tar.gz"], "content": [buffer.getvalue()]})
+    def pack(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
+        yield _collection_path(key[0]), gzip_tar(_members_of(key[0], rows))
 
-    columns = ligands.select("collection", "ligand", "format", "pos", "content")
-    return columns.groupBy("collection").applyInPandas(pack, "path STRING, content BINARY")
+    return _per_collection(ligands, pack, "path STRING, content BINARY")
 
 
 def write_files(files: DataFrame, root: str) -> None:
     """(path, content) rows as files below `root`, each written by the task that has it; files of the same name are replaced."""
-    whole = qualified(files.sparkSession, root)
+    whole, counted = qualified(files.sparkSession, root), arrow_schema("n LONG")
 
-    def write_each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = 0
-        for frame in frames:
-            for name, content in frame[["path", "content"]].itertuples(index=False):
-                with written(f"{whole}/{name}") as file:
-                    file.write(content)
-                n += 1
-        yield pd.DataFrame({"n": [n]})
+        for name, content in rows_of(batches):
+            with written(f"{whole}/{name}") as file:
+                file.write(content)
+            n += 1
+        return batches_of([(n,)], counted)
 
-    files.select("path", F.col("content").cast("binary").alias("content")).mapInPandas(write_each, "n LONG").agg(F.sum("n")).collect()
+    files.select("path", F.col("content").cast("binary").alias("content")).mapInArrow(write_each, "n LONG").agg(F.sum("n")).collect()
 
 
 def write_library(ligands: DataFrame, root: str, layout: str = "tranche") -> None:
     """A ligand library below `root`: (collection, ligand, format, pos, content) rows in archives.
 
     layout `collection`: `<meta>/<tranche>/<ID>.tar.gz`; `tranche`: `<meta>/<tranche>.tar` holding
-    `<tranche>/<ID>.tar.gz`. A collection is packed in one task, a tranche written by one, archive by archive.
+    `<tranche>/<ID>.tar.gz`. A collection is packed in one task, ligand by ligand, straight into a file; the files of
+    a tranche are then copied into its archive by one task, block by block. Only their names are shuffled.
     """
     whole = qualified(ligands.sparkSession, root)
+    parts = f"{whole}/.parts-{uuid.uuid4().hex}" if layout == "tranche" else whole
+
+    def write_collection(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
+        path = _collection_path(key[0])
+        with written(f"{parts}/{path}") as file:
+            write_gzip_tar(file, _members_of(key[0], rows))
+        yield posixpath.dirname(path), path
+
+    def write_tranche(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
+        (tranche,), n = key, 0
+        with written(f"{whole}/{tranche}.tar") as file, tarfile.open(fileobj=file, mode="w|") as tar:
+            for _, path in rows:
+                store, where = file_system(f"{parts}/{path}")
+                with store.open_input_file(where) as packed:
+                    info = tarfile.TarInfo(posixpath.join(posixpath.basename(tranche), posixpath.basename(path)))
+                    info.size = packed.size()
+                    tar.addfile(info, packed)
+                n += 1
+        yield tranche, n
 
-    def write_tranches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, rows = 0, (r for frame in frames for r in frame[["tranche", "path", "content"]].itertuples(index=False))
-        row = next(rows, None)
-        while row is not None:
-            tranche = row.tranche
-            with written(f"{whole}/{tranche}.tar") as file, tarfile.open(fileobj=file, mode="w|") as tar:
-                while row is not None and row.tranche == tranche:
-                    _add(tar, posixpath.join(posixpath.basename(tranche), posixpath.basename(row.path)), row.content)
-                    row = next(rows, None)
-            n += 1
-        yield pd.DataFrame({"n": [n]})
-
-    packed = pack_collections(ligands)
+    packed = _per_collection(ligands, write_collection, "tranche STRING, path STRING")
     if layout == "tranche":
-        folder = F.regexp_extract("path", "^(.*)/", 1)
-        ordered = packed.withColumn("tranche", folder).repartition("tranche").sortWithinPartitions("tranche", "path")
-        ordered.mapInPandas(write_tranches, "n LONG").agg(F.sum("n")).collect()
+        try:
+            per_group(packed, ["tranche"], ["path"], write_tranche, "tranche STRING, n LONG").agg(F.sum("n")).collect()
+        finally:
+            store, where = file_system(parts)
+            if store.get_file_info(where).type != fs.FileType.NotFound:
+                store.delete_dir(where)
     else:
-        write_files(packed, root)
+        packed.agg(F.count("path")).collect()

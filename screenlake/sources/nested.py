@@ -4,25 +4,21 @@ from __future__ import annotations
 
 import gzip
 import posixpath
+import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenlake import schemas
 from screenlake.functions.keys import metatranche_of, tranche_of
-from screenlake.sources.archives import BadArchive, as_entries, entries_of, list_entries, members, unpacked
+from screenlake.sources.archives import BadArchive, Entry, arrow_schema, as_entries, batches_of, entries_in, list_entries, members, read_entry, unpacked
 
 ARCHIVE = "path STRING, content BINARY"
 # Endings of JSON lists.
 JSON_ENDINGS = (".json", ".json.gz")
 
-# Ligand files leave a task in frames of this many rows.
-ROWS_PER_FRAME = 1000
-
-LIGAND = ["collection", "ligand", "format", "pos", "content", "error"]
-
 
 def unpack_collections(archives: DataFrame, keep_extension: bool = False) -> DataFrame:
     """`.../<tranche>/<ID>.tar.gz` rows (path, content) or entries to one row per ligand file.
@@ -33,33 +29,27 @@ def unpack_collections(archives: DataFrame, keep_extension: bool = False) -> Dat
     entries = archives if "file" in archives.columns else as_entries(archives)
     schema = "collection STRING, ligand STRING, format STRING, pos INT, content STRING, error STRING"
 
-    def frame_of(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=LIGAND).astype({"pos": "Int32"})
-
-    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
-        for frame in frames:
-            for entry in entries_of(frame):
-                folder, name = posixpath.split(entry.path)
-                number = name.split(".", 1)[0]
-                # An error from before is that of a whole tranche, whose archive the path names.
-                collection = number if entry.error is not None else f"{posixpath.basename(folder)}_{number}"
-                try:
-                    for pos, (member, text) in enumerate(members(entry), 1):
-                        base = posixpath.basename(member)
-                        ligand = base if keep_extension else base.split(".", 1)[0]
-                        ending = base.rsplit(".", 1)[1] if "." in base else ""
-                        rows.append((collection, ligand, ending, pos, text.decode("utf-8", "replace"), None))
-                        if len(rows) >= ROWS_PER_FRAME:
-                            yield frame_of(rows)
-                            rows = []
-                except BadArchive as exc:
-                    rows.append((collection, None, None, None, None, str(exc)))
-        if rows:
-            yield frame_of(rows)
+    arrow = arrow_schema(schema)
+
+    def ligands_of(entry: Entry) -> Iterator[tuple]:
+        folder, name = posixpath.split(entry.path)
+        number = name.split(".", 1)[0]
+        # An error from before is that of a whole tranche, whose archive the path names.
+        collection = number if entry.error is not None else f"{posixpath.basename(folder)}_{number}"
+        try:
+            for pos, (member, text) in enumerate(members(entry), 1):
+                base = posixpath.basename(member)
+                ligand = base if keep_extension else base.split(".", 1)[0]
+                ending = base.rsplit(".", 1)[1] if "." in base else ""
+                yield collection, ligand, ending, pos, text.decode("utf-8", "replace"), None
+        except BadArchive as exc:
+            yield collection, None, None, None, None, str(exc)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batches_of((row for entry in entries_in(batches) for row in ligands_of(entry)), arrow)
 
     key = F.col("collection")
-    return entries.mapInPandas(unpack, schema).select(
+    return entries.select(*Entry._fields).mapInArrow(unpack, schema).select(
         "collection",
         tranche_of(key).alias("tranche"),
         metatranche_of(key).alias("metatranche"),
@@ -94,33 +84,37 @@ def _plain(name: str, inner: bytes) -> str:
     return (gzip.decompress(inner) if name.endswith(".gz") else inner).decode("utf-8", "replace")
 
 
+def _archived(spark: SparkSession, folder: str, json: bool) -> DataFrame:
+    """Entries of the JSON lists, or of all other files, inside `.tar` files below `folder`, dealt out anew: only
+    the headers of an archive are read in one task."""
+    inner = unpacked(list_entries(spark, folder, "*.tar"), below=True)
+    is_json = F.col("path").rlike("|".join(f"{re.escape(e)}$" for e in JSON_ENDINGS))
+    return inner.where(F.col("error").isNotNull() | (is_json if json else ~is_json)).repartition("path")
+
+
 def read_archived_lines(spark: SparkSession, folder: str) -> DataFrame:
     """(path, value): lines of the text files, gzip or not, inside `.tar` files below `folder`.
 
     `path` ends in the member's name; JSON lists are left to `read_archived_json`. A broken archive stops the job.
     """
+    schema = "path STRING, value STRING"
+    arrow = arrow_schema(schema)
 
-    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for entry in entries_of(frame):
-                for name, inner in members(entry):
-                    if not name.endswith(JSON_ENDINGS):
-                        yield pd.DataFrame({"path": f"{entry.path}/{name}", "value": _plain(name, inner).splitlines()}, columns=["path", "value"])
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batches_of(((e.path, line) for e in entries_in(batches) for line in _plain(e.path, read_entry(e)).splitlines()), arrow)
 
-    return list_entries(spark, folder, "*.tar").mapInPandas(unpack, "path STRING, value STRING")
+    return _archived(spark, folder, json=False).mapInArrow(unpack, schema)
 
 
 def read_archived_json(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """(path, columns of `schema`): objects of the JSON lists, gzip or not, inside `.tar` files below `folder`."""
+    columns = "path STRING, text STRING"
+    arrow = arrow_schema(columns)
 
-    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for entry in entries_of(frame):
-                for name, inner in members(entry):
-                    if name.endswith(JSON_ENDINGS):
-                        yield pd.DataFrame({"path": [f"{entry.path}/{name}"], "text": [_plain(name, inner)]})
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batches_of(((e.path, _plain(e.path, read_entry(e))) for e in entries_in(batches)), arrow)
 
-    texts = list_entries(spark, folder, "*.tar").mapInPandas(unpack, "path STRING, text STRING")
+    texts = _archived(spark, folder, json=True).mapInArrow(unpack, columns)
     parsed = F.from_json("text", f"ARRAY<STRUCT<{schema}>>", {"mode": "FAILFAST"})
     return texts.select("path", F.inline(parsed))
 
@@ -132,14 +126,18 @@ def unpack_files(archives: DataFrame) -> DataFrame:
     """
     entries = archives if "file" in archives.columns else as_entries(archives)
 
-    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for entry in entries_of(frame):
-                folder = entry.path.removesuffix(".tar.gz")
-                for name, inner in members(entry):
-                    yield pd.DataFrame({"path": [f"{folder}/{posixpath.basename(name)}"], "text": [_plain(name, inner)]})
+    schema = "path STRING, text STRING"
+    arrow = arrow_schema(schema)
+
+    def texts_of(entry: Entry) -> Iterator[tuple[str, str]]:
+        folder = entry.path.removesuffix(".tar.gz")
+        for name, inner in members(entry):
+            yield f"{folder}/{posixpath.basename(name)}", _plain(name, inner)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batches_of((row for entry in entries_in(batches) for row in texts_of(entry)), arrow)
 
-    return entries.mapInPandas(unpack, "path STRING, text STRING")
+    return entries.select(*Entry._fields).mapInArrow(unpack, schema)
 
 
 # -- batch status ----------------------------------------------------------------------
