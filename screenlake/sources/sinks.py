@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
+import itertools
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +15,10 @@ from screenlake.functions.keys import with_collection_parts
 from screenlake.functions.scores import one_place
 from screenlake.operators.joins import salted_join
 from screenlake.session import stable
+from screenlake.sources import archives
 
+# Summary lines that are compressed together.
+LINES_AT_ONCE = 1000
 TREE = ["state", "scenario", "metatranche", "tranche"]
 
 
@@ -84,26 +92,39 @@ def summary_lines(summary: DataFrame) -> DataFrame:
     return summary.withColumn("line", line)
 
 
+def _escaped(value: str | None) -> str:
+    """A value as Spark writes it in the name of a partition folder."""
+    return re.sub(r'[\x01-\x1f"#%\'*/:=?\\\x7f{\[\]^]', lambda m: f"%{ord(m[0]):02X}", value) if value else "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_summary_text(summary: DataFrame, root: str, max_replicas: int, state: str = "complete") -> None:
-    """gzip text below `<root>/state=.../scenario=.../metatranche=.../tranche=.../collection=...`.
+    """gzip text below `<root>/state=.../scenario=.../metatranche=.../tranche=.../`, a file per collection.
 
     Collections in `summary` replace their earlier text of the same state; all others stay. A column
-    `state` counts instead of the argument. The header comes before a folder's lines; where a very
-    large folder is split over several files, its first file has it.
+    `state` counts instead of the argument. A file has the header and its lines in order. Tasks write the files
+    themselves, line by line, so neither the driver nor a commit handles collections one after the other.
     """
+    spark = summary.sparkSession
+    if not archives.can_seek(spark, root):
+        raise ValueError(f"tasks cannot write files below {root}")
     folders = ["state", "scenario", "metatranche", "tranche", "collection"]
     keyed = with_collection_parts(summary_lines(summary))
     keyed = keyed if "state" in summary.columns else keyed.withColumn("state", F.lit(state))
-    lines = keyed.select(*folders, F.lit(1).alias("kind"), "line")
-    header = summary_header(max_replicas, "smiles" in summary.columns)
-    headers = lines.select(*folders).distinct().select(*folders, F.lit(0).alias("kind"), F.lit(header).alias("line"))
-    (
-        _rebalanced(lines.unionAll(headers), folders)
-        .sortWithinPartitions(*folders, "kind", "line")
-        .select(*folders, "line")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*folders).option("compression", "gzip").text(root)
-    )
+    header, whole = summary_header(max_replicas, "smiles" in summary.columns), archives.qualified(spark, root)
+
+    def write(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
+        folder = "/".join(f"{name}={_escaped(value)}" for name, value in zip(folders[:-1], key))
+        with archives.written(f"{whole}/{folder}/part-{_escaped(key[-1])}.txt.gz") as file:
+            with gzip.GzipFile("", "wb", archives.GZIP_LEVEL, file, 0) as out:
+                out.write(f"{header}\n".encode())
+                for lines in iter(lambda: "".join(f"{row[-1]}\n" for row in itertools.islice(rows, LINES_AT_ONCE)), ""):
+                    out.write(lines.encode())
+        yield (1,)
+
+    store, where = archives.file_system(whole)
+    store.create_dir(where, recursive=True)
+    named = keyed.select(*folders, "line").withColumns({f: F.col(f).cast("string") for f in folders})
+    archives.per_group(named, folders, ["line"], write, "n LONG").agg(F.sum("n")).collect()
 
 
 def status_objects(status: DataFrame) -> DataFrame:
