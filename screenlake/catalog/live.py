@@ -13,6 +13,9 @@ from screenlake.session import shared_path
 from screenlake.sources import sinks
 from screenlake.streaming import live
 
+# Batches that the input of a stream comes in.
+BATCHES = 3
+
 
 @query(
     "t1_stream_outcomes",
@@ -27,12 +30,18 @@ def t1_stream_outcomes(spark, d):
     return live.read_changes(spark, f"{out}/table", ["collection"])
 
 
+def _in_batches(rows, files):
+    """The rows as a stream of files in three batches; rows are dealt out by hash to more files where there are more of them."""
+    count = 2 * BATCHES * max(1, rows.rdd.getNumPartitions() // BATCHES)
+    rows.repartition(count, *rows.columns).write.parquet(files)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-count // BATCHES)).parquet(files)
+
+
 @query("t2_stream_summary", SUMMARY_SQL)
 def t2_stream_summary(spark, d):
     files, out = shared_path(spark, "t2-files"), shared_path(spark, "t2")
     rows = table(spark, d, "result").select(*LIGAND_KEYS, "replica", "score")
-    rows.repartition(6).write.parquet(files)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(files)
+    stream = _in_batches(rows, files)
     live.stream_summary(stream, f"{out}/table", f"{out}/progress").awaitTermination()
     return live.read_changes(spark, f"{out}/table", LIGAND_KEYS)
 
@@ -48,7 +57,6 @@ def t2_stream_summary(spark, d):
 def t3_stream_state(spark, d):
     files, out = shared_path(spark, "t3-files"), shared_path(spark, "t3")
     rows = table(spark, d, "status").select(*schemas.TASK_KEYS, "status", F.col("ts").cast("timestamp").alias("ts"))
-    rows.repartition(6).write.parquet(files)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(files)
+    stream = _in_batches(rows, files)
     live.stream_state(stream, f"{out}/table", f"{out}/progress").awaitTermination()
     return live.read_states(spark, f"{out}/table").drop("ts")
