@@ -13,7 +13,7 @@ from screenlake.operators import summary, tasks
 from screenlake.operators.joins import salted_join
 from screenlake.operators.ligands import ligand_verdict, with_smiles
 from screenlake.operators.state import latest_state
-from screenlake.session import stable
+from screenlake.session import small_batches, stable
 from screenlake.sources import archives, sinks, snapshots, text
 
 # Bytes times tasks of a chunk of a screen that keeps its progress: 1000 ligands of 4 kB with 20 tasks.
@@ -74,8 +74,12 @@ def screen(
         # A ligand that was rejected before is not reported again.
         rejected = finished.where(F.col("scenario").isNull()).select(*keys).distinct()
         own = own.join(rejected, keys, "left_anti")
-    scored = tasks.run_scorer(own, scorer) if progress is None else _scored_in_chunks(own, scorer, progress, chunk_cost, partitions)
-    passed = stable(tasks.score_results(scored)) if progress is None else tasks.score_results(scored)
+    # Files are long: a worker holds a bounded number of them.
+    with small_batches(spark):
+        if progress is None:
+            passed = stable(tasks.score_results(tasks.run_scorer(own, scorer)))
+        else:
+            passed = tasks.score_results(_scored_in_chunks(own, scorer, progress, chunk_cost, partitions))
     results = passed.where("scenario IS NOT NULL").drop("verdict", "info")
     if energies is not None:
         results = tasks.energy_check(results, energies, energy_max)
