@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 from screenlake.llm.common import id_back, id_of, text_of, whole_row
 from screenlake.llm.shingles import batches, mix, shingle_hashes, word_hashes
 from screenlake.operators.joins import salted_join
-from screenlake.session import stable
+from screenlake.session import small_batches, stable
 
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 # Document frequencies are counted for this many groups of shingles by hash, each far rarer than
 # COMMON unless it holds a common shingle.
 GROUPS = 1 << 20
+# Rows with whole texts that a Python worker gets at once.
+TEXTS_AT_ONCE = 1000
 SLICES = 128
 # Shingles in at most this share of documents weigh 1; commoner ones less, never below FLOOR, so that
 # a large family of near copies still shows as one.
@@ -425,6 +427,12 @@ def components(links: DataFrame) -> DataFrame:
 
 def _labelled(docs: DataFrame) -> DataFrame:
     """(_doc, _check, _class) for every row; _class is a number of the class."""
+    # Everything that runs in Python is done before this returns; a worker holds few texts at once.
+    with small_batches(docs.sparkSession, TEXTS_AT_ONCE):
+        return _classes(docs)
+
+
+def _classes(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs)
     weights = shingle_weights(keyed, docs.count())
     signed = stable(keyed.mapInPandas(lambda it: _sign(it, weights), SIGNATURES).withColumn("_row", F.monotonically_increasing_id()))
