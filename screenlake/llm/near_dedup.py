@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenlake.llm.common import id_back, id_of, text_of, whole_row
+from screenlake.llm.common import id_back, id_of, lean, text_of, whole_row
 from screenlake.llm.shingles import batches, mix, shingle_hashes, word_hashes
 from screenlake.operators.joins import salted_join
 from screenlake.session import small_batches, stable
@@ -89,9 +89,9 @@ def shingle_weights(texts: DataFrame, rows: int) -> Weights:
     """Weights from document frequencies over all texts. The counters have a fixed size, and so has
     what reaches the driver: groups commoner than COMMON, at most GROUPS."""
     common = (
-        texts.select("_text").mapInPandas(_count_groups, "slice INT, counts BINARY")
+        texts.select("_text").mapInPandas(lean(_count_groups), "slice INT, counts BINARY")
         .repartition("slice")
-        .mapInPandas(lambda it: _sum_slices(it, COMMON * rows), "grp LONG, df LONG")
+        .mapInPandas(lean(_sum_slices, COMMON * rows), "grp LONG, df LONG")
         .sort("grp").collect()
     )
     df = np.array([r["df"] for r in common], float)
@@ -229,7 +229,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame
     """`pairs` (a, b) with their similarities."""
     of_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("_text").alias("text_b")), "b")
     both = salted_join(of_b, texts.select(F.col("node").alias("a"), F.col("_text").alias("text_a")), ["a"], "inner", salts=2)
-    return both.select("a", "b", "text_a", "text_b").mapInPandas(lambda it: _verify(it, weights), "a LONG, b LONG, sim DOUBLE")
+    return both.select("a", "b", "text_a", "text_b").mapInPandas(lean(_verify, weights), "a LONG, b LONG, sim DOUBLE")
 
 
 def common_weights(vectors_: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -324,7 +324,7 @@ def _hopeful(cells: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     everybody, so families cost their members and not their pairs.
     """
     nodes = cells.select("node").distinct()
-    own = texts.join(nodes, "node").mapInPandas(lambda it: _shingle_rows(it, weights), "node LONG, hash LONG, w DOUBLE")
+    own = texts.join(nodes, "node").mapInPandas(lean(_shingle_rows, weights), "node LONG, hash LONG, w DOUBLE")
     alone = own.groupBy("hash").agg(F.min("node").alias("node"), F.max("node").alias("_last"), F.min("w").alias("w")).where("node = _last")
     unshared = alone.groupBy("node").agg(F.sum("w").alias("_alone"))
     of_node = texts.select("node", "total").join(nodes, "node").join(unshared, "node", "left")
@@ -362,7 +362,7 @@ def _compared_in_blocks(cells: DataFrame, texts: DataFrame, weights: Weights) ->
     # A member that is left over from a large family meets all of its blocks.
     with_text = salted_join(dealt, texts.select("node", "_text").join(cells.select("node").distinct(), "node"), ["node"], "inner", salts=4)
     together = with_text.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    return together.select("key", "p", "q", "node", "label", "block", "_text").mapInPandas(lambda it: _links_of_blocks(it, weights), LINKS).distinct()
+    return together.select("key", "p", "q", "node", "label", "block", "_text").mapInPandas(lean(_links_of_blocks, weights), LINKS).distinct()
 
 
 def _link_buckets(cells: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
@@ -435,7 +435,7 @@ def _labelled(docs: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame) -> DataFrame:
     keyed = _keyed(docs)
     weights = shingle_weights(keyed, docs.count())
-    signed = stable(keyed.mapInPandas(lambda it: _sign(it, weights), SIGNATURES).withColumn("_row", F.monotonically_increasing_id()))
+    signed = stable(keyed.mapInPandas(lean(_sign, weights), SIGNATURES).withColumn("_row", F.monotonically_increasing_id()))
     copies = signed.groupBy("d1", "d2").agg(F.min("_row").alias("node"))
     members = stable(salted_join(signed, copies, ["d1", "d2"]).select("_doc", "_check", "_row", "node", "keys", "total"))
     nodes = members.where("_row = node")

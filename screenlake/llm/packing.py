@@ -13,9 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenlake.llm.common import id_back, id_of, rank_in_group, text_of
+from screenlake.llm.common import id_back, id_of, lean, rank_in_group, text_of
 from screenlake.operators.ordering import PART, part_offsets
-from screenlake.session import stable
+from screenlake.session import small_batches, stable
 
 WINDOW = 1024
 # How often one length may be repeated in a combination.
@@ -240,11 +240,12 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str = "byte_bpe_50k",
     share is no hot group.
     """
     texts = docs.select(id_of().alias("doc_id"), text_of().alias("_text"))
-    tokens = stable(
-        texts.mapInPandas(lambda it: _tokenise(it, tokenizer, window), TOKENS)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn(PART, F.shiftright("_row", 33).cast("int"))
-    )
+    with small_batches(docs.sparkSession):
+        tokens = stable(
+            texts.mapInPandas(lean(_tokenise, tokenizer, window), TOKENS)
+            .withColumn("_row", F.monotonically_increasing_id())
+            .withColumn(PART, F.shiftright("_row", 33).cast("int"))
+        )
     counts = {r["rest"]: r["count"] for r in tokens.groupBy("rest").count().collect()}
     histogram = np.zeros(window + 1, np.int64)
     for n, k in counts.items():
@@ -254,12 +255,12 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str = "byte_bpe_50k",
     rests = tokens.where("rest > 0").select("doc_id", "doc_tokens", "rest", "rest_ids", "_row")
     ranked = rank_in_group(rests, ["rest"], ["doc_id", "_row"], int(histogram.sum()))
     of_rests = ranked.select("doc_id", "doc_tokens", "rest", "rest_ids", "rank").mapInPandas(
-        lambda it: _place_rests(it, plan), PIECES
+        lean(_place_rests, plan), PIECES
     )
     first = plan.sequences + plan.line // window + len(line_cuts(plan.line, window))
     full = tokens.where("n_full > 0").select("doc_id", "doc_tokens", "n_full", "full_crcs", PART)
     offsets = part_offsets(full, {"before": F.sum("n_full")})
     of_full = full.join(offsets, PART).withColumnRenamed(PART, "part").mapInPandas(
-        lambda it: _place_full(it, first, window), PIECES
+        lean(_place_full, first, window), PIECES
     )
     return of_rests.unionAll(of_full).withColumn("doc_id", id_back("doc_id"))

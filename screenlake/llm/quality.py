@@ -12,8 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenlake.llm.common import text_of
+from screenlake.llm.common import give_back, lean, text_of
 from screenlake.llm.shingles import batches, mix, word_hashes
+from screenlake.session import small_batches
 
 STATISTICS = (
     "chars", "words", "word_length", "upper", "digits", "points", "symbols", "bangs", "bars",
@@ -26,6 +27,8 @@ TEMPERATURE = 4.0
 # Words added to every text when shares of repeats are taken, so that few words say little.
 PRIOR_WORDS = 6
 THRESHOLD = 0.3
+# Bytes of text whose statistics are taken together: bounds memory, no result depends on it.
+AT_ONCE = 1 << 18
 FOLDS = 5
 _UPPER, _LOWER, _DIGIT, _SPACE, _LINE, _POINT, _BANG, _BAR, _SYMBOL, _OTHER = range(10)
 
@@ -94,7 +97,7 @@ def _range_statistics(texts: pa.Array) -> np.ndarray:
 
 def statistics(texts: pa.Array) -> np.ndarray:
     """One row of STATISTICS for every text; all whole texts, null as empty."""
-    parts = [_range_statistics(texts[a:b]) for a, b in batches(texts, 1 << 20)]
+    parts = [_range_statistics(texts[a:b]) for a, b in batches(texts, AT_ONCE)]
     return np.concatenate(parts) if parts else np.empty((0, len(STATISTICS)))
 
 
@@ -172,7 +175,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
     rows = docs.select("doc_id", text_of().alias("_text")).join(F.broadcast(chosen), "doc_id").select("_text", "quality")
     d = len(STATISTICS) + 1
     cells = np.zeros(2 * d * d)
-    for r in rows.mapInPandas(_moments, "cell INT, value DOUBLE").groupBy("cell").agg(F.sum("value").alias("value")).collect():
+    with small_batches(docs.sparkSession):
+        moments = rows.mapInPandas(lean(_moments), "cell INT, value DOUBLE").groupBy("cell").agg(F.sum("value").alias("value")).collect()
+    for r in moments:
         cells[r["cell"]] = r["value"]
     both = cells.reshape(2, d, d)
     return fit_moments(both[:, 0, 0], both[:, 0, 1:], both[:, 1:, 1:])
@@ -186,8 +191,12 @@ def score_quality(docs: DataFrame, model: Model, out: str = "score") -> DataFram
     like the new one is replaced.
     """
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(statistics(pa.array(texts.tolist(), pa.large_string()))))
+    # Texts stay in the Arrow batch they come in; as Python strings they would be there three times.
+    @F.arrow_udf("double")
+    def score(batches_: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches_:
+            yield pa.array(model.score(statistics(texts.cast(pa.large_string()))))
+            del texts
+            give_back()
 
     return docs.drop(out).withColumn(out, score(text_of()))

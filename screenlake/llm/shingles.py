@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 WORDS = 5
 # Bytes of text hashed together: bounds memory, no result depends on it.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _FACTORS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 _POWERS: dict[str, np.ndarray] = {}
