@@ -154,30 +154,48 @@ def pending_tasks(grid: DataFrame, latest: DataFrame) -> DataFrame:
     return grid.join(finished, schemas.TASK_KEYS, "left_anti")
 
 
+def _task_name(replica: Column, scenario: Column) -> Column:
+    return F.concat_ws(" ", replica.cast("string"), scenario)
+
+
+def _done_names(latest: DataFrame) -> DataFrame:
+    """Ligands with `_done`, the names of their tasks with a final state."""
+    finished = latest.where((F.col("status") != fv.PROCESSING) & F.col("scenario").isNotNull() & F.col("replica").isNotNull())
+    names = F.collect_set(_task_name(F.col("replica"), F.col("scenario")))
+    return finished.groupBy("collection", "ligand").agg(names.alias("_done"))
+
+
+def _is_open(replica: Column, scenario: Column) -> Column:
+    return F.col("_done").isNull() | ~F.array_contains("_done", _task_name(replica, scenario))
+
+
 def pending_lists(ligands: DataFrame, scenario_rows: DataFrame, latest: DataFrame, replica_base: int = 1) -> DataFrame:
     """Ligands with `_tasks`, the list of their tasks with no final state; those without any are left out.
 
     What is finished is folded to a set per ligand and met there, before tasks are multiplied out: ligands are
     shuffled, tasks never. Scenarios and replicas, and so the set, are bounded by one control file.
     """
-    finished = latest.where((F.col("status") != fv.PROCESSING) & F.col("scenario").isNotNull() & F.col("replica").isNotNull())
-    name = lambda t: F.concat_ws(" ", t["replica"].cast("string"), t["scenario"])
-    done = finished.groupBy("collection", "ligand").agg(F.collect_set(name({c: F.col(c) for c in ("replica", "scenario")})).alias("_done"))
+    done = _done_names(latest)
     fields = ("scenario_idx", "scenario", "program")
     each = lambda s: F.transform(
         F.sequence(F.lit(replica_base), s["replicas"] + (replica_base - 1)),
         lambda r: F.struct(*(s[f].alias(f) for f in fields), r.alias("replica")),
     )
     everything = ligands.withColumn("_scenarios", _scenario_list(scenario_rows))
-    left = F.filter(F.flatten(F.transform("_scenarios", each)), lambda t: F.col("_done").isNull() | ~F.array_contains("_done", name(t)))
+    left = F.filter(F.flatten(F.transform("_scenarios", each)), lambda t: _is_open(t["replica"], t["scenario"]))
     met = everything.join(done, ["collection", "ligand"], "left").withColumn("_tasks", left)
     return met.drop("_done", "_scenarios").where(F.size("_tasks") > 0)
 
 
 def pending_grid(ligands: DataFrame, scenario_rows: DataFrame, latest: DataFrame, replica_base: int = 1) -> DataFrame:
-    """The task grid without the tasks that have a final state, see `pending_lists`."""
-    rows = pending_lists(ligands, scenario_rows, latest, replica_base)
-    return rows.withColumn("_t", F.explode("_tasks")).select(*ligands.columns, "_t.*")
+    """The task grid without the tasks that have a final state.
+
+    As in `pending_lists` only ligands are shuffled. Tasks are multiplied out behind the join and looked up row by row
+    in compiled code: a list of them would be made, by interpreted functions, for each condition on it again.
+    """
+    met = ligands.join(_done_names(latest), ["collection", "ligand"], "left")
+    rows = task_grid(met, scenario_rows, replica_base).where(_is_open(F.col("replica"), F.col("scenario")))
+    return rows.drop("_done")
 
 
 # A scorer gets the task as a dict and returns the program's log, the score itself, or a

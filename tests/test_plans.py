@@ -88,3 +88,20 @@ def test_successors_take_one_shuffle(spark, monkeypatch):
 def test_pending_tasks_are_met_before_they_are_multiplied(spark):
     plan = plan_of(QUERIES["j3_pending_tasks"](spark, SF_DIR))
     assert plan.count("Join") == 1 and plan.index("Generate explode") < plan.index("Join")
+
+
+def test_pending_tasks_are_looked_up_in_compiled_code(spark):
+    """No list of tasks is made by interpreted functions, and rows are those that the lists hold."""
+    from screenlake.operators import tasks
+
+    assert "lambdafunction" not in plan_of(QUERIES["j3_pending_tasks"](spark, SF_DIR))
+    ligands = spark.createDataFrame([("A", "L1"), ("A", "L2"), ("A", "L2"), (None, "L3"), ("B", "L4")], "collection STRING, ligand STRING")
+    scenarios = spark.createDataFrame([(1, "s", "vina", 2), (2, None, "adfr", 1), (3, "t", "vina", 0), (4, "t", None, 2)], "idx INT, name STRING, program STRING, replicas INT")
+    latest = [("A", "L1", "s", 1, "succeeded"), ("A", "L1", "s", 2, "processing"), ("A", "L2", "t", 2, "failed"), ("A", "L2", None, 1, "failed"), (None, "L3", "s", 1, "succeeded")]
+    latest += [("B", "L4", s, r, "succeeded") for s in ("s", "t") for r in (1, 2)]
+    latest = spark.createDataFrame(latest, "collection STRING, ligand STRING, scenario STRING, replica INT, status STRING")
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    lists = tasks.pending_lists(ligands, scenarios, latest).selectExpr("collection", "ligand", "inline(_tasks)")
+    got = tasks.pending_grid(ligands, scenarios, latest)
+    assert got.columns == lists.columns and order(got.collect()) == order(lists.collect())
+    assert got.where("ligand = 'L4'").count() == 1 and got.where("ligand = 'L2'").count() == 8 and got.where("ligand = 'L3'").count() == 5
