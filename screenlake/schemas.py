@@ -41,3 +41,20 @@ workunits MAP<STRING, STRUCT<
   >>
 >>
 """
+
+# The fields of it that one table is made of.
+BATCH_WORKUNIT_JSON = "workunits MAP<STRING, STRUCT<status: STRUCT<job_id: STRING, aws_batch_status: STRING>>>"
+BATCH_SUBJOB_JSON = """
+workunits MAP<STRING, STRUCT<
+  subjobs: MAP<STRING, STRUCT<
+    status: STRING, collections: ARRAY<ARRAY<STRING>>, detailed_status: STRUCT<container: STRUCT<vcpus: INT>>
+  >>
+>>
+"""
+BATCH_ATTEMPT_JSON = """
+workunits MAP<STRING, STRUCT<
+  subjobs: MAP<STRING, STRUCT<
+    detailed_status: STRUCT<attempts: ARRAY<STRUCT<startedAt: BIGINT, stoppedAt: BIGINT, statusReason: STRING>>>
+  >>
+>>
+"""
