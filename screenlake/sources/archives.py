@@ -10,6 +10,7 @@ import gzip
 import io
 import itertools
 import posixpath
+import re
 import shutil
 import tarfile
 import tempfile
@@ -36,6 +37,13 @@ END = bytes(2 * tarfile.BLOCKSIZE)
 BATCH_ROWS, BATCH_BYTES, SLICE_ROWS = 10_000, 4 << 20, 256
 # Text and tar headers are small at any level; the higher ones only cost time.
 GZIP_LEVEL = 4
+# Members are compressed when so many bytes of them are there.
+PACK_BYTES = 256 << 10
+# The header of a file with nothing but zeros and blanks in the fields that differ, and the sum of its bytes.
+_HEADER = tarfile.TarInfo("").tobuf(tarfile.GNU_FORMAT)
+_HEADER_SUM = sum(_HEADER) - sum(_HEADER[124:136]) - sum(_HEADER[148:156]) + 8 * ord(" ")
+# Behind its name: a regular file with octal numbers of full length and no prefix of the name.
+_PLAIN = re.compile(rb"(?s)(?:[0-7]{7}[\0 ]){3}([0-7]{11})[\0 ][0-7]{11}[\0 ]([0-7]{6})\0 0.{172}(?:[0-7]{7}[\0 ]|\0{8}){2}\0")
 ENTRY = "path STRING, content BINARY, file STRING, offset LONG, size LONG, error STRING"
 
 
@@ -222,9 +230,29 @@ def opened(entry: Entry) -> Iterator[tuple[BinaryIO, bool]]:
             yield plain, False
 
 
+def _plain_members(file: BinaryIO) -> list[Member] | None:
+    """The files of a whole tar of regular files with short names; any other one is left to tarfile, at ten times the cost a file."""
+    found, at = [], 0
+    while True:
+        file.seek(at)
+        block = file.read(tarfile.BLOCKSIZE)
+        if not (header := _PLAIN.match(block, 100)):
+            return found if block + file.read(tarfile.BLOCKSIZE) == END else None
+        # Sums of half a block are below the modulus of adler32, which gives them exactly; the sum is taken over blanks in its own place.
+        total = (zlib.adler32(block[:256]) & 0xFFFF) + (zlib.adler32(block[256:]) & 0xFFFF) - 2
+        if total - sum(block[148:156]) + 8 * ord(" ") != int(header[2], 8):
+            return None
+        name, size = block[:100].partition(b"\0")[0].decode("utf-8", "surrogateescape"), int(header[1], 8)
+        found.append(Member(name, at + tarfile.BLOCKSIZE, size))
+        at += tarfile.BLOCKSIZE + size + -size % tarfile.BLOCKSIZE
+
+
 def index(file: BinaryIO) -> list[Member]:
     """The files in a tar, in order; only headers are read. An archive that is cut, anywhere, is a BadArchive."""
+    if (plain := _plain_members(file)) is not None:
+        return plain
     found = []
+    file.seek(0)
     try:
         with tarfile.open(fileobj=file, mode="r:") as tar:
             while (member := tar.next()) is not None:
@@ -307,14 +335,28 @@ def add(tar: tarfile.TarFile, name: str, data: bytes) -> None:
     tar.addfile(info, io.BytesIO(data))
 
 
+def header_of(name: str, size: int) -> bytes:
+    """The header of a file in a tar, the bytes that tarfile gives; it is asked for long names and large files only."""
+    short, digits = name.encode("utf-8", "surrogateescape"), b"%011o" % size
+    if len(short) > tarfile.LENGTH_NAME or len(digits) > 11:
+        info = tarfile.TarInfo(name)
+        info.size = size
+        return info.tobuf(tarfile.GNU_FORMAT)
+    total = b"%06o\0 " % (_HEADER_SUM + sum(short) + sum(digits))
+    return b"".join((short.ljust(100, b"\0"), _HEADER[100:124], digits, b"\0", _HEADER[136:148], total, _HEADER[156:]))
+
+
 def write_gzip_tar(out: BinaryIO, members: Iterable[tuple[str, bytes]]) -> None:
     """Names and contents as a `.tar.gz`, one after the other."""
+    held, size = [], 0
     with gzip.GzipFile("", "wb", GZIP_LEVEL, out, 0) as packed:
         for name, data in members:
-            info = tarfile.TarInfo(name)
-            info.size = len(data)
-            packed.write(info.tobuf(tarfile.GNU_FORMAT) + data + bytes(-len(data) % tarfile.BLOCKSIZE))
-        packed.write(END)
+            held += header_of(name, len(data)), data, bytes(-len(data) % tarfile.BLOCKSIZE)
+            size += len(data) + tarfile.BLOCKSIZE
+            if size >= PACK_BYTES:
+                packed.write(b"".join(held))
+                held, size = [], 0
+        packed.write(b"".join(held) + END)
 
 
 def gzip_tar(members: Iterable[tuple[str, bytes]]) -> bytes:

@@ -114,14 +114,17 @@ def log_rows(files: DataFrame, replica_base: int = 1) -> DataFrame:
 
     `replica_base` is the number of the first replica in the file names.
     """
-    path = F.col("path")
-    part = lambda n: F.regexp_extract(path, r"([^/]+)/logfiles/([^/]+)/([^/]+)/([^/]+)/(.+)_replica-([0-9]+)[^/]*$", n)
-    return files.select(
+    # The path is searched once: only from the start of each folder, whose name is not given back letter by letter.
+    found = F.regexp_extract("path", r"(?<![^/])[^/]++/logfiles/[^/]++/[^/]++/[^/]++/.+_replica-[0-9]+[^/]*$", 0)
+    rows = files.select(F.split(found, "/", 6).alias("_parts"), F.col("text").alias("log"))
+    part = lambda n: F.when(F.col("_parts").isNotNull(), F.coalesce(F.get("_parts", F.lit(n)), F.lit("")))
+    name = lambda n: F.regexp_extract(part(5), r"^(.+)_replica-([0-9]+)[^/]*$", n)
+    return rows.select(
         F.concat_ws("_", part(3), part(4)).alias("collection"),
-        part(5).alias("ligand"),
-        part(1).alias("scenario"),
-        (part(6).try_cast("int") - replica_base + 1).alias("replica"),
-        F.col("text").alias("log"),
+        name(1).alias("ligand"),
+        part(0).alias("scenario"),
+        (name(2).try_cast("int") - replica_base + 1).alias("replica"),
+        "log",
     )
 
 
