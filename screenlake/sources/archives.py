@@ -6,9 +6,13 @@ the store can only be read by Spark. Ranges are cheap to send around, and no arc
 
 from __future__ import annotations
 
+import bz2
+import fnmatch
+import functools
 import gzip
 import io
 import itertools
+import os
 import posixpath
 import re
 import shutil
@@ -44,6 +48,9 @@ _HEADER = tarfile.TarInfo("").tobuf(tarfile.GNU_FORMAT)
 _HEADER_SUM = sum(_HEADER) - sum(_HEADER[124:136]) - sum(_HEADER[148:156]) + 8 * ord(" ")
 # Behind its name: a regular file with octal numbers of full length and no prefix of the name.
 _PLAIN = re.compile(rb"(?s)(?:[0-7]{7}[\0 ]){3}([0-7]{11})[\0 ][0-7]{11}[\0 ]([0-7]{6})\0 0.{172}(?:[0-7]{7}[\0 ]|\0{8}){2}\0")
+# Folders are split up among tasks when there are so many of them.
+FOLDERS = 1000
+LISTED = "path STRING, size LONG"
 ENTRY = "path STRING, content BINARY, file STRING, offset LONG, size LONG, error STRING"
 
 
@@ -89,17 +96,185 @@ def can_seek(spark: SparkSession, root: str) -> bool:
     return True
 
 
+def partitions_for(spark: SparkSession) -> int:
+    """A number of partitions to be given: small shuffles are not put together, as the work is in the tasks."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
+def _hidden(name: str, folder: bool) -> bool:
+    """Names that Spark leaves out, and those that are no text."""
+    if folder and name.startswith(("_metadata", "_common_metadata")):
+        return False
+    if name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_"):
+        return True
+    return not name.isascii() and any("\ud800" <= c <= "\udfff" for c in name)
+
+
+def _children(folder: str, folders: bool) -> Iterator[tuple[str, int | None]]:
+    """Paths and sizes of the files in a folder, or those of its folders without a size; one that is gone has none."""
+    store, where = file_system(folder)
+    if isinstance(store, fs.LocalFileSystem):
+        try:
+            with os.scandir(where) as found:
+                for entry in found:
+                    if _hidden(entry.name, folders) or entry.is_dir() != folders:
+                        continue
+                    try:
+                        yield f"{folder}/{entry.name}", None if folders else entry.stat().st_size
+                    except FileNotFoundError:
+                        continue
+        except FileNotFoundError:
+            return
+    else:
+        for info in store.get_file_info(fs.FileSelector(where, allow_not_found=True)):
+            if not _hidden(info.base_name, folders) and (info.type == fs.FileType.Directory) == folders:
+                yield f"{folder}/{info.base_name}", None if folders else info.size
+
+
+def _walk(folder: str, deep: bool) -> Iterator[tuple[str, int]]:
+    yield from _children(folder, False)
+    if deep:
+        for inner, _ in _children(folder, True):
+            yield from _walk(inner, True)
+
+
+def listed(spark: SparkSession, root: str, glob: str) -> DataFrame | None:
+    """(path, size) of the files below `root` whose name fits, those that Spark's readers would find.
+
+    Tasks list the folders, so the driver sees no more than the names of some folders, however many files there are. It goes
+    down until there are enough folders to be split up. None where Spark has to list them, or where nothing is.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) if can_seek(spark, root) else None
+    if not found:
+        return None
+    at = [(status.getPath().toString(), status.isDirectory(), status.getLen()) for status in found]
+    fits, arrow, count = re.compile(fnmatch.translate(glob)), arrow_schema(LISTED), partitions_for(spark)
+    below = arrow_schema("path STRING, deep BOOLEAN")
+
+    def folders_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batches_of(((inner, True) for path, _ in rows_of(batches) for inner, _ in _children(path, True)), below)
+
+    def files_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = (file for path, deep in rows_of(batches) for file in _walk(path, deep))
+        # As with Spark's readers, files of zero bytes and hidden ones are none.
+        return batches_of((file for file in files if file[1] and fits.match(posixpath.basename(file[0]))), arrow)
+
+    def frame(rows: list[tuple], schema: str) -> DataFrame:
+        return spark.createDataFrame(spark.sparkContext.parallelize(rows, max(1, min(len(rows), count))), schema)
+
+    level, flat = [(path, False) for path, is_folder, _ in at if is_folder], []
+    while level:
+        flat += level
+        inner = frame(level, "path STRING, deep BOOLEAN").mapInArrow(folders_in, "path STRING, deep BOOLEAN")
+        some = inner.take(FOLDERS)
+        if len(some) == FOLDERS:
+            break
+        level = [(row["path"], False) for row in some]
+    single = [(path, size) for path, is_folder, size in at if not is_folder and size and not _hidden(posixpath.basename(path), False) and fits.match(posixpath.basename(path))]
+    folders = frame(flat, "path STRING, deep BOOLEAN")
+    files = (folders.unionAll(inner) if level else folders).repartition(count, "path").mapInArrow(files_in, LISTED)
+    return (files.unionAll(frame(single, LISTED)) if single else files).repartition(count, "path")
+
+
 def list_entries(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """One entry per file below `root` whose name fits; contents are read only where files cannot be opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
-    if can_seek(spark, root):
+    files = listed(spark, root, glob)
+    if files is not None:
         return files.select(
             "path", F.lit(None).cast("binary").alias("content"), F.col("path").alias("file"),
-            F.lit(0).cast("long").alias("offset"), F.col("length").alias("size"), F.lit(None).cast("string").alias("error"),
+            F.lit(0).cast("long").alias("offset"), "size", F.lit(None).cast("string").alias("error"),
         )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     return as_entries(files.select("path", "content"))
 
 
+def _blocks(data: bytes, chunk: Callable[[bytes], bytes]) -> bytes:
+    """Blocks as Hadoop's codecs write them: their length, then chunks, each behind its own, until it is reached."""
+    out, at = [], 0
+    number = lambda i: int.from_bytes(data[i : i + 4], "big")
+    while at < len(data):
+        left, at = number(at), at + 4
+        while left > 0:
+            size = number(at)
+            if at + 4 + size > len(data):
+                raise EOFError("a compressed file is cut")
+            out.append(chunk(data[at + 4 : at + 4 + size]))
+            left, at = left - len(out[-1]), at + 4 + size
+    return b"".join(out)
+
+
+def _snappy(data: bytes) -> bytes:
+    size = shift = at = 0
+    while True:
+        size, shift, at = size | (data[at] & 127) << shift, shift + 7, at + 1
+        if data[at - 1] < 128:
+            return pa.Codec("snappy").decompress(data, size, asbytes=True)
+
+
+def _lz4(data: bytes) -> bytes:
+    size = at = 0
+
+    def length(first: int) -> int:
+        nonlocal at
+        total, more = first, 255 if first == 15 else 0
+        while more == 255:
+            more, at = data[at], at + 1
+            total += more
+        return total
+
+    while at < len(data):
+        token, at = data[at], at + 1
+        literals = length(token >> 4)
+        at, size = at + literals, size + literals
+        if at < len(data):
+            at += 2
+            size += 4 + length(token & 15)
+    return pa.Codec("lz4_raw").decompress(data, size, asbytes=True)
+
+
+# How files are unpacked, by their ending, as Spark's text reader does.
+UNPACK = {
+    ".gz": gzip.decompress,
+    ".bz2": bz2.decompress,
+    ".deflate": zlib.decompress,
+    ".snappy": lambda data: _blocks(data, _snappy),
+    ".lz4": lambda data: _blocks(data, _lz4),
+    ".zst": lambda data: pa.input_stream(pa.BufferReader(data), compression="zstd").read(),
+}
+
+
+@functools.lru_cache(maxsize=256)
+def _store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """Stores are asked for once a folder, not once a file."""
+    return file_system(folder)
+
+
+# Characters that Java quotes in the path of a URI.
+_QUOTED = re.compile(r"""[\x00-\x20\x7f-\xa0"#%<>?\[\\\]^`{|}\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]""")
+
+
+def contents(files: DataFrame) -> DataFrame:
+    """(path, content) of listed files, each opened by the task that has it and unpacked as its ending says.
+
+    Paths are quoted like those in the metadata of Spark's readers.
+    """
+    schema = "path STRING, content BINARY"
+    arrow = arrow_schema(schema)
+
+    def content(path: str) -> bytes:
+        folder, name = posixpath.split(path)
+        store, where = _store_of(folder)
+        with store.open_input_file(f"{where.rstrip('/')}/{name}") as file:
+            data = file.read()
+        return UNPACK.get(posixpath.splitext(name)[1].lower(), bytes)(data)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return batches_of(((_QUOTED.sub(lambda c: quote(c[0], safe=""), path), content(path)) for (path,) in rows_of(batches)), arrow)
+
+    return files.select("path").mapInArrow(read, schema)
+
+
 def as_entries(archives: DataFrame) -> DataFrame:
     """(path, content) rows as entries."""
     nothing = {"file": "string", "offset": "long", "size": "long", "error": "string"}
@@ -150,10 +325,7 @@ def per_group(rows: DataFrame, by: list[str], order: list, make: Callable[[tuple
     Rows are sorted inside their tasks, by group and `order`, and stream through: no group is whole in memory.
     """
     first = [*by, *(c for c in rows.columns if c not in by)]
-    spark = rows.sparkSession
-    # A given number: small shuffles are not put together, as the work is in the tasks.
-    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    ordered = rows.select(*first).repartition(count, *by).sortWithinPartitions(*by, *order)
+    ordered = rows.select(*first).repartition(partitions_for(rows.sparkSession), *by).sortWithinPartitions(*by, *order)
     arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from screenlake import fixed_values as fv
 from screenlake import schemas
 from screenlake.operators.ordering import number_rows
-from screenlake.sources.archives import list_entries
+from screenlake.sources.archives import contents, list_entries, listed
 from screenlake.sources.nested import read_archived_json, read_archived_lines, unpack_files
 
 
@@ -130,12 +130,15 @@ def log_rows(files: DataFrame, replica_base: int = 1) -> DataFrame:
 
 def read_logs(spark: SparkSession, root: str, replica_base: int = 1, archived: bool = False) -> DataFrame:
     """Logs of a tree: loose files, or with `archived` the members of `<ID>.tar.gz` archives, in which
-    finished collections publish them."""
-    reader = spark.read.option("recursiveFileLookup", "true")
+    finished collections publish them. Loose files are listed and read by tasks; only where tasks cannot open them, by Spark,
+    whose driver keeps the name of each."""
+    loose = "*_replica-*"
     if archived:
         files = unpack_files(list_entries(spark, root, "*.tar.gz"))
+    elif (found := listed(spark, root, loose)) is not None:
+        files = contents(found).select("path", F.col("content").cast("string").alias("text"))
     else:
-        files = reader.option("pathGlobFilter", "*_replica-*").text(root, wholetext=True).select(
+        files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", loose).text(root, wholetext=True).select(
             F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
         )
     return log_rows(files, replica_base)
