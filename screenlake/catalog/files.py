@@ -358,8 +358,12 @@ def s11_status_sink(spark, d):
     )
 
 
+# Status lines in a file: a compressed file is read by one task.
+LINES_PER_FILE = 50_000
+
+
 def _batch_files(spark, d):
-    """Status rows as JSON lines, each with one attempt of one subjob."""
+    """Status rows as compressed JSON lines, each with one attempt of one subjob."""
     attempts = table(spark, d, "attempt").selectExpr(
         """map(CAST(workunit AS STRING), named_struct(
              'status', named_struct('job_id', concat('j', CAST(workunit AS STRING)), 'aws_batch_status', 'RUNNING'),
@@ -371,7 +375,8 @@ def _batch_files(spark, d):
              )))) AS workunits"""
     )
     path = shared_path(spark, "batch-status")
-    attempts.select(F.to_json(F.struct("workunits")).alias("value")).write.text(path)
+    lines = attempts.select(F.to_json(F.struct("workunits")).alias("value"))
+    lines.write.options(**{"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": LINES_PER_FILE}).text(path)
     return nested.read_batch_status(spark, path, multiline=False)
 
 
